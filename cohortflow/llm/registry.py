@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import mixing, secrets, sharding, topk
+from cohortflow.llm import mixing, near_join, secrets, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_ngram_jaccard_join": near_join.query,
     "op3_mixing": mixing.query,
     "op6_secret_scans": secrets.query,
     "op8_sharding": sharding.query,
     "op10_exact_top_k": topk.query,
 }
 SQL: dict[str, str] = {
+    "op2_ngram_jaccard_join": near_join.SQL,
     "op3_mixing": mixing.SQL,
     "op6_secret_scans": secrets.SQL,
     "op8_sharding": sharding.SQL,
