@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import mixing, near_join, secrets, sharding, topk
+from cohortflow.llm import media, mixing, near_join, packing, secrets, sharding, token_counts, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": token_counts.query,
     "op2_ngram_jaccard_join": near_join.query,
     "op3_mixing": mixing.query,
     "op6_secret_scans": secrets.query,
+    "op7_packing": packing.query,
     "op8_sharding": sharding.query,
+    "op9_media_columns": media.query,
     "op10_exact_top_k": topk.query,
 }
 SQL: dict[str, str] = {
