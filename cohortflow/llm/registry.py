@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import media, mixing, near_join, packing, secrets, sharding, token_counts, topk
+from cohortflow.llm import language_id, media, mixing, near_join, packing, secrets, sharding, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts.query,
     "op2_ngram_jaccard_join": near_join.query,
     "op3_mixing": mixing.query,
+    "op4_language_id": language_id.query,
+    "op5_toxicity": toxicity.query,
     "op6_secret_scans": secrets.query,
     "op7_packing": packing.query,
     "op8_sharding": sharding.query,
