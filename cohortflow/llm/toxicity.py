@@ -25,9 +25,9 @@ from cohortflow.llm.shingles import mix, spans_hash, text_slices
 BITS = 20
 #: At most about so many labelled rows are learned from.
 TRAIN_ROWS = 16_000
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.2, 1.0, 1.0, 0.1
-PREFIXES = (4, 5, 6, 7)
+EPOCHS = 6
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 12.0, 0.1
+PREFIXES = (3, 4, 5, 6, 7)
 CUT = 0.3
 
 
