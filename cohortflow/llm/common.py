@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names; a temporary one only where it is unset."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -25,11 +28,18 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here.
 
     Row ids made by ``monotonically_increasing_id`` are fixed from then on, and
-    a lost executor costs no recomputation of what stands before.
+    a lost executor costs no recomputation of what stands before. The job's shuffle
+    files, which nothing reads again, are removed when it ends.
     """
-    path = f"{shared_folder(df.sparkSession)}/cohortflow/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/cohortflow/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,6 +113,23 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     return placed.select("row", "doc_id", "size", "source_size", "target"), pieces
 
 
+def remix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``df``, each as many times as the mix takes at least half of its words: 0 to 3.
+
+    Rows are known by a hash of id, source and text, and by their number among equals.
+    """
+    keyed = df.withColumn("_key", F.xxhash64(id_col, source_col, text_col))
+    rows, pieces = mix(keyed, "_key", text_col, source_col)
+    taken = rows.join(pieces.groupBy("row").agg(F.sum("length").alias("taken")), "row").where("size > 0")
+    copies = F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2))
+    nth = Window.partitionBy("_key").orderBy("row")
+    wanted = taken.select(F.col("doc_id").alias("_key"), "row", copies.alias("copies")).withColumn("nth", F.row_number().over(nth)).drop("row")
+    each = keyed.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy(F.col(id_col))))
+    # Compared by size, so that the join is on the key alone and reuses the windows' partitioning.
+    both = each.join(wanted, "_key").where((F.col("_nth") >= F.col("nth")) & (F.col("_nth") <= F.col("nth")) & (F.col("copies") > 0))
+    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*df.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, pieces = mix(documents(spark, sf_dir))
     taken = pieces.groupBy("row").agg(F.sum("length").alias("taken"))

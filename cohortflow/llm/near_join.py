@@ -11,9 +11,10 @@ Classes that meet in a prefix shingle are candidates, each pair once, less what
 length, positional and suffix filters exclude; what is left is verified on the whole
 sets. Copies of one text meet in the same shingles, and all their pairs would grow
 with the square of the group. So each list first pairs its members with two of
-them only, and what links there is one component from then on; then only members of
-different components are paired, against all the rest of the list. A link within a
-component changes no component, so none that matters is lost.
+them only, and what links there is one component from then on. Then only members of
+different components are compared, block against block within a task, from which
+only links come out. A link within a component changes no component, so none that
+matters is lost.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,8 @@ N = 5
 PERCENT = 75
 #: Shingles that a task gathers before it sends blocks.
 FLUSH = 1 << 21
+#: Classes and list members that are verified in one block, and set elements compared at once.
+QUERIES, MEMBERS, STRETCH = 512, 256, 4096
 
 BLOCK = "part int, ids binary, classes binary, sizes binary, counts binary, hashes binary, seen binary"
 _BLOCK_ARROW = pa.schema([("part", pa.int32()), *[(c, pa.binary()) for c in ("ids", "classes", "sizes", "counts", "hashes", "seen")]])
@@ -277,18 +281,88 @@ def sided(met: DataFrame, cls: str, size: str, place: str) -> DataFrame:
     return met.select(*out.values())
 
 
-def across(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """The pairs of each list whose members are of different components.
+def shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of the sets ``x`` shares with each of ``y``, a stretch of the elements at a time."""
+    hx, hy = np.concatenate(x), np.concatenate(y)
+    both = np.intersect1d(hx, hy)
+    rx, ry = np.repeat(np.arange(len(x)), [len(s) for s in x]), np.repeat(np.arange(len(y)), [len(s) for s in y])
+    out = np.zeros((len(x), len(y)), dtype=np.float32)
+    if not len(both):
+        return out
+    cx, cy = (np.minimum(np.searchsorted(both, h), len(both) - 1) for h in (hx, hy))
+    kx, ky = both[cx] == hx, both[cy] == hy
+    cx, rx, cy, ry = cx[kx], rx[kx], cy[ky], ry[ky]
+    ox, oy = np.argsort(cx, kind="stable"), np.argsort(cy, kind="stable")
+    cx, rx, cy, ry = cx[ox], rx[ox], cy[oy], ry[oy]
+    for lo in range(0, len(both), STRETCH):
+        mx, my = np.zeros((len(x), STRETCH), dtype=np.float32), np.zeros((len(y), STRETCH), dtype=np.float32)
+        for m, c, r in ((mx, cx, rx), (my, cy, ry)):
+            u, v = np.searchsorted(c, [lo, lo + STRETCH])
+            m[r[u:v], c[u:v] - lo] = 1
+        out += mx @ my.T
+    return out
+
+
+def block_links(percent: int, every: bool):
+    """Links between one block of classes and one of list members, of different components.
+
+    One link of a class to each component, or ``every`` link.
+    """
+
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"x": [], "y": []}, dtype="int64")
+        x, y, cx, cy = (d[c].to_numpy(np.int64) for c in ("class", "comp") for d in (left, right))
+        sx, sy = left["size"].to_numpy(np.int64), right["size"].to_numpy(np.int64)
+        ok = (cx[:, None] != cy[None, :]) & (np.maximum.outer(sx, sy) * percent <= np.minimum.outer(sx, sy) * 100)
+        rows, columns = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
+        if not len(rows):
+            return pd.DataFrame({"x": [], "y": []}, dtype="int64")
+        a, b = ([np.frombuffer(h, dtype=np.int64) for h in d["hashes"].iloc[at]] for d, at in ((left, rows), (right, columns)))
+        shared = shared_counts(a, b).astype(np.int64)
+        total = sx[rows][:, None] + sy[columns][None, :]
+        u, v = np.nonzero(ok[np.ix_(rows, columns)] & (100 * shared >= percent * (total - shared)))
+        u, v = rows[u], columns[v]
+        if not every and len(u):
+            _, first = np.unique(np.stack([u, cy[v]]), axis=1, return_index=True)
+            u, v = u[first], v[first]
+        return pd.DataFrame({"x": np.minimum(x[u], y[v]), "y": np.maximum(x[u], y[v])})
+
+    return run
+
 
-    Members of the list's largest component don't meet each other; all others meet the whole list.
+def across(postings: DataFrame, labels: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``x, y`` between list members of different components; every link, if there are no ``labels``.
+
+    Members of a list's largest component don't meet each other; all others meet the whole list. Those others
+    are put in blocks, like with like, and a block meets all members of its lists, in blocks: a pair is
+    verified once, in whatever number of lists it meets, and only links leave the task.
     """
-    named = postings.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-    sizes = named.groupBy("hash", "comp").agg(F.count("*").alias("n"))
-    lists = sizes.groupBy("hash").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1").drop("comps")
+    every = labels is None
+    if every:
+        named = postings.withColumn("comp", F.col("class"))
+    else:
+        named = postings.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
+    lead = F.min(F.struct(F.xxhash64("class", F.lit(1)).alias("o"), F.col("class")))
+    sizes = named.groupBy("hash", "comp").agg(F.count("*").alias("n"), lead.alias("lead"))
+    lists = sizes.groupBy("hash").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.min("lead").alias("lead"), F.count("*").alias("comps"))
+    lists = lists.where("comps > 1").select("hash", F.lit(None).cast("long").alias("main") if every else "main", F.col("lead.class").alias("lead"), F.col("lead.o").alias("o"))
     mixed = cut(named.join(lists, "hash"), "join-mixed")
-    rest = mixed.where("comp <> main").select("hash", *[F.col(c).alias(f"{c}_2") for c in ("class", "size", "place", "comp")])
-    met = mixed.join(rest, "hash").where("comp <> comp_2")
-    return filtered(sided(met, "class_2", "size_2", "place_2"), percent)
+    other = mixed.where("main is null or comp <> main")
+    blocks = other.groupBy("class", "comp").agg(F.min_by("lead", F.struct("o", "lead")).alias("lead"))
+    blocks = blocks.join(blocks.groupBy("lead").agg(F.count("*").alias("n")), "lead")
+    blocks = cut(blocks.select("class", "comp", "lead", F.pmod(F.xxhash64("class", F.lit(3)), F.ceil(F.col("n") / QUERIES)).alias("block")), "join-blocks")
+    probes = other.join(blocks.select("class", "lead", "block").withColumnRenamed("lead", "of"), "class").select("hash", "of", "block").distinct()
+    members = probes.join(mixed.select("hash", "class", "comp"), "hash").select("of", "block", "class", "comp").distinct()
+    members = cut(members, "join-members")
+    chunks = members.groupBy("of", "block").agg(F.ceil(F.count("*") / MEMBERS).alias("chunks"))
+    right = members.join(chunks, ["of", "block"]).withColumn("chunk", F.pmod(F.xxhash64("class", F.lit(5)), F.col("chunks"))).drop("chunks")
+    left = blocks.withColumnRenamed("lead", "of").join(chunks, ["of", "block"])
+    left = left.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).drop("chunks")
+    left, right = (d.join(sets.drop("prefix"), "class").select("of", "block", "chunk", "class", "comp", "size", "hashes") for d in (left, right))
+    keys = ["of", "block", "chunk"]
+    left, right = left.toDF(*left.columns), right.toDF(*right.columns)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(block_links(percent, every), "x long, y long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -358,7 +432,7 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     postings = cut(sets.select("class", "size", "prefix", "hashes").mapInArrow(to_postings, "hash long, class long, size int, place int"), "join-postings")
     links = cut(linked_pairs(with_leaders(postings, percent), sets, percent), "join-links")
     labels = components(links)
-    more = cut(linked_pairs(across(postings, labels, percent), sets, percent), "join-links")
+    more = cut(across(postings, labels, sets, percent), "join-links")
     labels = relabelled(labels, more)
 
     least = rows.where("size > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
@@ -368,6 +442,20 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``df`` but those whose component has a row with a smaller id.
+
+    Rows with null ids stay. Where ids repeat or are null, of rows with equal ids and texts one stays.
+    """
+    found = cut(near_components(df, id_col, text_col, n, percent), "join-found")
+    stay = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(id_col)).agg(F.count("*").alias("n"))
+    plain = found.where("doc_id is null").isEmpty() and stay.where("n > 1").isEmpty()
+    kept = df.join(stay.drop("n"), id_col, "left_semi").select(*df.columns)
+    if plain:
+        return kept
+    return kept.unionByName(df.where(F.col(id_col).isNull())).dropDuplicates([id_col, text_col])
+
+
 def near_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """``x, y``: every link between different texts, as the least ids of the rows with those texts (x's hash is the smaller).
 
@@ -375,8 +463,7 @@ def near_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     """
     rows, sets = classes_and_sets(df, id_col, text_col, n, percent)
     postings = sets.select("class", "size", "prefix", "hashes").mapInArrow(to_postings, "hash long, class long, size int, place int")
-    alone = sets.select("class", F.col("class").alias("comp"))
-    links = linked_pairs(across(postings, alone, percent), sets, percent)
+    links = across(cut(postings, "join-postings"), None, sets, percent)
     least = rows.groupBy("class").agg(F.min("doc_id").alias("least"))
     for side in ("x", "y"):
         links = links.join(least.withColumnRenamed("class", side), side).drop(side).withColumnRenamed("least", side)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from cohortflow.llm import language_id, media, mixing, near_join, packing, secrets, sharding, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": sharding.query,
     "op9_media_columns": media.query,
     "op10_exact_top_k": topk.query,
+    "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
     "op2_ngram_jaccard_join": near_join.SQL,

@@ -122,24 +122,23 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars", scope: int = SCOPE) -> DataFrame:
     """``df`` with each stretch of text that spans cover replaced by ``<kind>`` of its first span, and the count of characters.
 
-    Rows without spans are returned as they are.
+    Rows without spans are returned as they are. Equal texts, known by their md5, are equal afterwards.
     """
-    others = [c for c in df.columns if c not in (id_col, text_col)]
-    fixed = cut(df.select(F.monotonically_increasing_id().alias("_row_key"), *df.columns), "secret-texts")
-    rows, spans = scan(fixed, "_row_key", text_col, scope)
+    keyed = df.withColumn("_h", F.md5(F.col(text_col)))
+    rows, spans = scan(keyed, "_h", text_col, scope)
     before = Window.partitionBy("row").orderBy("start", F.col("end").desc()).rowsBetween(Window.unboundedPreceding, -1)
     # A span that begins before an earlier one ends is covered by it or carries it on.
     cover = spans.withColumn("seen", F.coalesce(F.max("end").over(before), F.lit(0).cast("long"))).where("end > seen")
     cover = cover.withColumn("joins", (F.col("start") < F.col("seen")) & (F.col("seen") > 0))
     last = F.max("end")
     per = cover.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "seen", "joins", "kind"))).alias("s"), last.alias("last"))
-    per = rows.select("row", F.col("doc_id").alias("_row_key")).join(per, "row").drop("row")
+    per = rows.select("row", F.col("doc_id").alias("_h")).join(per, "row").drop("row").dropDuplicates(["_h"])
     text = F.col(text_col)
     pieces = F.transform("s", lambda s: F.when(s["joins"], F.lit("")).otherwise(
         F.concat(text.substr((s["seen"] + 1).cast("int"), (s["start"] - s["seen"]).cast("int")), F.lit("<"), s["kind"], F.lit(">"))))
     clean = F.concat(F.array_join(pieces, ""), F.expr(f"substring(`{text_col}`, cast(last + 1 as int))"))
-    out = fixed.join(per, "_row_key", "left").withColumn(text_col, F.when(F.col("s").isNull(), text).otherwise(clean))
-    if chars_col in others:
+    out = keyed.join(per, "_h", "left").withColumn(text_col, F.when(F.col("s").isNull(), text).otherwise(clean))
+    if chars_col in df.columns:
         out = out.withColumn(chars_col, F.when(F.col("s").isNull(), F.col(chars_col)).otherwise(F.length(text_col).cast("long")))
     return out.select(*df.columns)
 
