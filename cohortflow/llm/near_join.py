@@ -366,21 +366,23 @@ def across(postings: DataFrame, labels: DataFrame | None, sets: DataFrame, perce
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``class, comp``: the least class that each class of ``x, y`` reaches.
+    """``class, comp``: one class of each component, the same for all that ``x, y`` connect.
 
-    Every round a class takes the least label of its neighbours, then the label of that label,
-    so chains shorten by half or more. Labels are written to the shared folder each round.
+    Every round a class moves to its least neighbour, if that is less, and the edges are drawn anew between
+    those classes, without repeats and loops: the graph shrinks until no edge is left. Classes are
+    hashes, so chains shrink fast too. Each round's tables are written to the shared folder.
     """
-    both = cut(edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "join-edges")
-    labels = cut(both.groupBy(F.col("x").alias("class")).agg(F.least(F.min("y"), F.first("x")).alias("comp")), "join-labels")
-    while True:
-        near = both.join(labels.select(F.col("class").alias("y"), "comp"), "y").groupBy(F.col("x").alias("class")).agg(F.min("comp").alias("near"))
-        step = labels.join(near, "class").select("class", F.col("comp").alias("old"), F.least("comp", "near").alias("to"))
-        onward = labels.select(F.col("class").alias("to"), F.col("comp").alias("onward"))
-        step = cut(step.join(onward, "to").select("class", "old", F.least("to", "onward").alias("comp")), "join-labels")
-        labels = step.select("class", "comp")
-        if step.where("old <> comp").isEmpty():
-            return labels
+    edges = cut(edges.select("x", "y").where("x <> y").distinct(), "join-edges")
+    labels = cut(edges.select(F.explode(F.array("x", "y")).alias("class")).distinct().withColumn("comp", F.col("class")), "join-labels")
+    while not edges.isEmpty():
+        ends = edges.select("x", "y").unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        to = cut(ends.groupBy(F.col("x").alias("was")).agg(F.least(F.min("y"), F.first("x")).alias("now")), "join-steps")
+        for side in ("x", "y"):
+            edges = edges.join(to, F.col(side) == F.col("was")).drop(side, "was").withColumnRenamed("now", side)
+        edges = cut(edges.where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "join-edges")
+        labels = labels.join(to, F.col("comp") == F.col("was"), "left").select("class", F.coalesce("now", "comp").alias("comp"))
+        labels = cut(labels, "join-labels")
+    return labels
 
 
 def relabelled(labels: DataFrame, more: DataFrame) -> DataFrame:

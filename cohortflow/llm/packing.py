@@ -23,14 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortflow.llm.common import cut, documents
-from cohortflow.llm.shingles import text_slices
+from cohortflow.llm.shingles import lowered, spans_hash, text_slices, words
 
 LENGTH = 2048
 #: Sequences in a window.
 WINDOW = 32
 END = 1
 #: Distinct chunks between white space whose ids a task remembers.
-CACHE = 700_000
+CACHE = 1_500_000
 
 _IDS = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("part", pa.int64()), ("before", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 IDS = "doc_id long, source string, part long, before long, n long, ids binary"
@@ -41,10 +41,11 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 class ChunkTokenizer:
     """Ids of whole texts from the ids of their chunks between white space, which the tokenizer drops.
 
-    New chunks are encoded in one call. Chunks of letters that no normal form changes are one word
-    each, so their ids end where a word does; a stop after such a chunk is a word of its own. Other chunks are
-    parted by the end-of-text string, which the tokenizer always takes out first; chunks that might
-    hold such strings themselves are encoded alone.
+    Chunks are known by a 64-bit hash, so only new ones are taken out of the text, and those are
+    encoded in one call. Chunks of letters that no normal form changes are one word each, so their ids
+    end where a word does; a stop after such a chunk is a word of its own. Other chunks are parted by the
+    end-of-text string, which the tokenizer always takes out first; texts that might hold such strings
+    themselves are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -53,23 +54,24 @@ class ChunkTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.part = "<|endoftext|>"
         self.part_id = self.tokenizer.token_to_id(self.part)
-        if self.encode(f"a{self.part}b").tolist().count(self.part_id) != 1 or self.encode("a \t b\n").tolist() != self.encode("a b").tolist():
+        if self.encode(f"a{self.part}b").tolist().count(self.part_id) != 1 or self.encode("A \t b\n").tolist() != self.encode("a b").tolist():
             raise ValueError(f"{path}: texts can't be encoded by their chunks")
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.stop = {c: self.encode(c.decode()) for c in (b".", b",")}
         self.clear()
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known: dict[int, int] = {}
         self.pool, self.used = np.zeros(1 << 20, dtype=np.uint32), 0
         self.start, self.length = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
 
-    def add(self, chunks: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
-        n, first = len(chunks), len(self.known)
+    def add(self, keys: list[int], ids: np.ndarray, lengths: np.ndarray) -> None:
+        n, first = len(keys), len(self.known)
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         while first + n > len(self.start):
@@ -78,57 +80,76 @@ class ChunkTokenizer:
         self.length[first : first + n] = lengths
         self.start[first : first + n] = self.used + np.cumsum(lengths) - lengths
         self.used += len(ids)
-        self.known.update(zip(chunks, range(first, first + n), strict=True))
-
-    def learn(self, new: set[bytes]) -> None:
-        words, stopped, plain, odd = set(), [], [], []
-        for c in new:
-            base = c[:-1] if c[-1:] in (b".", b",") else c
-            text = base.decode()
+        self.known.update(zip(keys, range(first, first + n), strict=True))
+
+    def learn(self, keys: list[int], bases: list[int], chunks: list[bytes]) -> None:
+        """Add chunks by their keys; ``bases``: the keys of the chunks without their last byte."""
+        whole: dict[int, str] = {}
+        stopped, plain, odd = [], [], []
+        for key, base, c in zip(keys, bases, chunks, strict=True):
+            ends = c[-1:] in self.stop
+            text = (c[:-1] if ends else c).decode()
             if text.isalpha() and (text.isascii() or max(text) < "\u0100"):
-                if base is not c:
-                    stopped.append(c)
-                if base not in self.known:
-                    words.add(base)
+                if ends:
+                    stopped.append((key, base, c[-1:]))
+                    if base not in self.known:
+                        whole[base] = text
+                else:
+                    whole[key] = text
+            elif b"<|" in c:
+                odd.append(key)
             else:
-                (odd if b"<|" in c else plain).append(c)
-        if words:
-            listed = list(words)
-            ids = self.encode(b" ".join(listed).decode())
-            self.add(listed, ids, np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1))
+                plain.append((key, c.decode()))
+        if whole:
+            ids = self.encode(" ".join(whole.values()))
+            self.add(list(whole), ids, np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1))
         if stopped:
-            stop = {c: self.encode(c.decode()) for c in (b".", b",")}
-            parts = [p for c in stopped for p in (self.of(c[:-1]), stop[c[-1:]])]
-            lengths = np.array([len(p) for p in parts]).reshape(-1, 2).sum(axis=1)
-            self.add(stopped, np.concatenate(parts), lengths)
+            parts = [p for _, base, end in stopped for p in (self.of(base), self.stop[end])]
+            self.add([k for k, _, _ in stopped], np.concatenate(parts), np.array([len(p) for p in parts]).reshape(-1, 2).sum(axis=1))
         if plain:
-            ids = self.encode(self.part.join(c.decode() for c in plain))
+            ids = self.encode(self.part.join(c for _, c in plain))
             edges = np.concatenate([[-1], np.flatnonzero(ids == self.part_id), [len(ids)]])
-            self.add(plain, ids[ids != self.part_id], np.diff(edges) - 1)
-        for c in odd:
-            ids = self.encode(c.decode())
-            self.add([c], ids, np.array([len(ids)]))
+            self.add([k for k, _ in plain], ids[ids != self.part_id], np.diff(edges) - 1)
+        self.add(odd, np.zeros(0, dtype=np.uint32), np.zeros(len(odd), dtype=np.int64))  # not used
 
-    def of(self, chunk: bytes) -> np.ndarray:
-        at = self.known[chunk]
+    def of(self, key: int) -> np.ndarray:
+        at = self.known[key]
         return self.pool[self.start[at] : self.start[at] + self.length[at]]
 
-    def texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the texts end to end, and where each begins (and the end)."""
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        chunks = [c for s in split for c in s]
-        new = {c for c in chunks if c not in self.known}
-        if len(self.known) + len(new) > CACHE:
+    def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts ``data[offsets[i]:offsets[i + 1]]`` end to end, and where each begins (and the end)."""
+        starts, ends, hashes, first = words(data, offsets)
+        u, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        keys = u.tolist()
+        index = [self.known.get(k, -1) for k in keys]
+        new = [i for i, k in enumerate(index) if k < 0]
+        if new and len(self.known) + 2 * len(new) > CACHE:
             self.clear()
-            new = set(chunks)
+            new = list(range(len(keys)))
         if new:
-            self.learn(new)
-        at = np.fromiter(map(self.known.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+            at = where[new]
+            low = lowered(data)
+            raw = low.tobytes()
+            base = spans_hash(low.astype(np.uint64) + np.uint64(1), starts[at], np.maximum(ends[at] - 1, starts[at]))
+            self.learn([keys[i] for i in new], base.tolist(), [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+            index = [self.known[k] for k in keys]
+        at = np.array(index, dtype=np.int64)[inverse]
         length = self.length[at]
-        ends = np.cumsum(length)
-        where = np.repeat(self.start[at] - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)
-        of_text = np.concatenate([[0], np.cumsum([len(s) for s in split])]).astype(np.int64)
-        return self.pool[where], np.concatenate([[0], ends])[of_text]
+        upto = np.concatenate([[0], np.cumsum(length)])
+        step = np.ones(int(upto[-1]), dtype=np.int64)  # within a chunk the next id is the next of the pool
+        some = length > 0
+        begin, heads = self.start[at][some], upto[:-1][some]
+        if len(begin):
+            step[heads] = begin - np.concatenate([[0], begin[:-1] + length[some][:-1] - 1])
+        ids, bounds = self.pool[np.cumsum(step)], upto[first]
+        raw = data.tobytes()
+        if b"<|" in raw:
+            each = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+                if b"<|" in raw[a:b]:
+                    each[i] = self.encode(raw[a:b].decode())
+            ids, bounds = np.concatenate(each), np.concatenate([[0], np.cumsum([len(e) for e in each])])
+        return ids, bounds
 
 
 def tokenized(path: str):
@@ -140,8 +161,7 @@ def tokenized(path: str):
         sent: dict[str | None, int] = {}
         for batch in batches:
             for first, data, offsets in text_slices(batch.column(1)):
-                raw = data.tobytes()
-                ids, at = tokenizer.texts([raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
+                ids, at = tokenizer.texts(data, offsets)
                 small = not len(ids) or int(ids.max()) < 65_536
                 rows = []
                 for i in range(len(at) - 1):

@@ -68,6 +68,10 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         first = last
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    return _LOWER[data]
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The words of the rows, ASCII letters lower-cased: starts, ends, hashes, and each row's first word (and one more)."""
     solid = ~_SPACE[data]
