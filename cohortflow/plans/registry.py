@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from cohortflow.plans.queries import QUERIES, SQL
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 FLAGSHIP = "global_concepts"
+
+__all__ = ["FLAGSHIP", "QUERIES", "SQL"]
