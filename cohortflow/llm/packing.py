@@ -16,6 +16,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,8 @@ WINDOW = 32
 END = 1
 #: Distinct chunks between white space whose ids a task remembers.
 CACHE = 1_500_000
+#: Bytes of text looked up at once: the more, the fewer distinct chunks for each.
+SLICE = 4 << 20
 
 _IDS = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("part", pa.int64()), ("before", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 IDS = "doc_id long, source string, part long, before long, n long, ids binary"
@@ -59,11 +62,12 @@ class ChunkTokenizer:
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.stop = {c: self.encode(c.decode()) for c in (b".", b",")}
+        stops = {ord(c): self.encode(c) for c in ".,"}
+        self.stop = {c: int(ids[0]) for c, ids in stops.items() if len(ids) == 1}
         self.clear()
 
     def encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
 
     def clear(self) -> None:
         self.known: dict[int, int] = {}
@@ -82,44 +86,55 @@ class ChunkTokenizer:
         self.used += len(ids)
         self.known.update(zip(keys, range(first, first + n), strict=True))
 
-    def learn(self, keys: list[int], bases: list[int], chunks: list[bytes]) -> None:
-        """Add chunks by their keys; ``bases``: the keys of the chunks without their last byte."""
-        whole: dict[int, str] = {}
-        stopped, plain, odd = [], [], []
-        for key, base, c in zip(keys, bases, chunks, strict=True):
-            ends = c[-1:] in self.stop
-            text = (c[:-1] if ends else c).decode()
-            if text.isalpha() and (text.isascii() or max(text) < "\u0100"):
-                if ends:
-                    stopped.append((key, base, c[-1:]))
-                    if base not in self.known:
-                        whole[base] = text
-                else:
-                    whole[key] = text
-            elif b"<|" in c:
-                odd.append(key)
-            else:
-                plain.append((key, c.decode()))
+    def learn(self, keys: np.ndarray, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Add the chunks ``low[starts:ends]`` by their keys."""
+        raw = low.tobytes()
+
+        def chunks(at: np.ndarray) -> list[bytes]:
+            return [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+
+        letters = (low - 97 < 26).astype(np.uint8)  # ASCII ones, then Latin-1 ones of two bytes
+        if len(low) > 1:
+            two = np.flatnonzero((low[:-1] == 0xC3) & (low[1:] >= 0x80) & (low[1:] < 0xC0) & (low[1:] & 0x5F != 0x17))
+            letters[two] = letters[two + 1] = 1
+        upto = np.concatenate([[0], np.cumsum(letters, dtype=np.int64)])
+        count, size = upto[ends] - upto[starts], ends - starts
+        last = low[ends - 1]
+        pure = np.flatnonzero(count == size)
+        stopped = np.flatnonzero((count == size - 1) & (size > 1) & np.isin(last, list(self.stop)))
+        bases = spans_hash(low.astype(np.uint64) + np.uint64(1), starts[stopped], ends[stopped] - 1).tolist()
+        whole = dict(zip(keys[pure].tolist(), chunks(pure), strict=True))
+        for base, c in zip(bases, chunks(stopped), strict=True):
+            if base not in self.known:
+                whole[base] = c[:-1]
         if whole:
-            ids = self.encode(" ".join(whole.values()))
+            ids = self.encode(b" ".join(whole.values()).decode())
             self.add(list(whole), ids, np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1))
-        if stopped:
-            parts = [p for _, base, end in stopped for p in (self.of(base), self.stop[end])]
-            self.add([k for k, _, _ in stopped], np.concatenate(parts), np.array([len(p) for p in parts]).reshape(-1, 2).sum(axis=1))
+        if len(stopped):
+            at = np.array([self.known[b] for b in bases], dtype=np.int64)
+            length = self.length[at] + 1
+            edge = np.cumsum(length)
+            where = np.repeat(self.start[at] - (edge - length), length) + np.arange(int(edge[-1]))
+            ids = self.pool[np.minimum(where, self.used - 1)]
+            ids[edge - 1] = [self.stop[c] for c in last[stopped].tolist()]
+            self.add(keys[stopped].tolist(), ids, length)
+        rest = np.ones(len(keys), dtype=bool)
+        rest[pure] = rest[stopped] = False
+        other = list(zip(keys[rest].tolist(), chunks(np.flatnonzero(rest)), strict=True))
+        plain = [(k, c.decode()) for k, c in other if b"<|" not in c]
+        odd = [k for k, c in other if b"<|" in c]
         if plain:
             ids = self.encode(self.part.join(c for _, c in plain))
             edges = np.concatenate([[-1], np.flatnonzero(ids == self.part_id), [len(ids)]])
             self.add([k for k, _ in plain], ids[ids != self.part_id], np.diff(edges) - 1)
         self.add(odd, np.zeros(0, dtype=np.uint32), np.zeros(len(odd), dtype=np.int64))  # not used
 
-    def of(self, key: int) -> np.ndarray:
-        at = self.known[key]
-        return self.pool[self.start[at] : self.start[at] + self.length[at]]
-
     def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts ``data[offsets[i]:offsets[i + 1]]`` end to end, and where each begins (and the end)."""
         starts, ends, hashes, first = words(data, offsets)
-        u, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        inverse, u = pd.factorize(hashes)
+        where = np.empty(len(u), dtype=np.int64)
+        where[inverse[::-1]] = np.arange(len(hashes))[::-1]
         keys = u.tolist()
         index = [self.known.get(k, -1) for k in keys]
         new = [i for i, k in enumerate(index) if k < 0]
@@ -128,10 +143,7 @@ class ChunkTokenizer:
             new = list(range(len(keys)))
         if new:
             at = where[new]
-            low = lowered(data)
-            raw = low.tobytes()
-            base = spans_hash(low.astype(np.uint64) + np.uint64(1), starts[at], np.maximum(ends[at] - 1, starts[at]))
-            self.learn([keys[i] for i in new], base.tolist(), [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+            self.learn(u[new], lowered(data), starts[at], ends[at])
             index = [self.known[k] for k in keys]
         at = np.array(index, dtype=np.int64)[inverse]
         length = self.length[at]
@@ -160,7 +172,7 @@ def tokenized(path: str):
         part = TaskContext.get().partitionId()
         sent: dict[str | None, int] = {}
         for batch in batches:
-            for first, data, offsets in text_slices(batch.column(1)):
+            for first, data, offsets in text_slices(batch.column(1), SLICE):
                 ids, at = tokenizer.texts(data, offsets)
                 small = not len(ids) or int(ids.max()) < 65_536
                 rows = []

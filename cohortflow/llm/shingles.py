@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are worked on in slices of about so many bytes (or one text, if it is longer).
-SLICE = 2 << 20
+SLICE = 1 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE = 0xD1342543DE82EF95
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -52,7 +52,7 @@ def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((total[ends] - total[starts]) * down[starts] ^ (ends - starts).astype(np.uint64) * _MULT)
 
 
-def text_slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_slices(column: pa.Array, size: int = SLICE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Slices of a string column: the first row, the bytes, and the rows' offsets in them. Null is empty."""
     if column.null_count:
         column = column.fill_null("")
@@ -62,7 +62,7 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
     first = 0
     while first < len(column):
-        last = int(np.searchsorted(offsets, offsets[first] + SLICE, side="right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
         last = min(max(last, first + 1), len(column))
         yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
