@@ -132,8 +132,7 @@ def merge_action(changed: Column | None = None) -> Column:
     """What a merge does with a folder. ``changed``: the merged file was rewritten since the listing."""
     there = F.col("merged_version").isNotNull()
     return (
-        F.when((F.col("sources") == 0) & ~there & (F.col("other_merged") == 0), "NO_SOURCES")
-        .when((F.col("sources") == 0) & ~there, "NO_SOURCES")
+        F.when((F.col("sources") == 0) & ~there, "NO_SOURCES")
         .when((F.col("sources") == 0) & (F.col("other_merged") > 0), "ONLY_MERGED_COPIES")
         .when((F.col("sources") == 0) & (changed if changed is not None else F.lit(False)), "CHANGED_DURING_RUN")
         .when(F.col("sources") == 0, "REMOVED_NO_SOURCES")
