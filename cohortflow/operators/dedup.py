@@ -33,10 +33,7 @@ def first_usable_consent(df: DataFrame, keys: list[str], code: str, order: str)
     """Each key's first code that is a number but 0, and how many later rows have another (``keys, code, conflicts``); and keys without one."""
     rows = df.withColumn("_code", consent_code(F.col(code)))
     usable = F.coalesce(F.col("_code") != "0", F.lit(False))
-    per = rows.groupBy(*keys).agg(
-        F.min_by(F.when(usable, F.col("_code")), F.when(usable, F.col(order))).alias(code),
-        F.collect_set(F.when(usable, F.col("_code"))).alias("_all"),
-    )
+    per = rows.groupBy(*keys).agg(F.min_by(F.when(usable, F.col("_code")), F.when(usable, F.col(order))).alias(code))
     counts = rows.where(usable).groupBy(*keys, "_code").agg(F.count("*").alias("n")).withColumnRenamed("_code", code)
     totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
     first = per.where(F.col(code).isNotNull()).select(*keys, code)

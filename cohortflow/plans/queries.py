@@ -18,10 +18,6 @@ from cohortflow.plans import jobs as K
 from cohortflow.plans import outcomes as O
 
 
-def _ready_sql(processed: bool = True) -> str:
-    return "is_ready" if processed else "is_ready AND NOT is_processed"
-
-
 QUERIES, SQL = {}, {}
 
 
