@@ -33,7 +33,7 @@ from cohortflow.llm.shingles import mix, shingles, spans_hash, text_slices, word
 N = 5
 PERCENT = 75
 #: Shingles that a task gathers before it sends blocks.
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 #: Classes and list members that are verified in one block, and set elements compared at once.
 QUERIES, MEMBERS, STRETCH = 512, 256, 4096
 

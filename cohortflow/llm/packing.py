@@ -33,7 +33,7 @@ END = 1
 #: Distinct chunks between white space whose ids a task remembers.
 CACHE = 1_500_000
 #: Bytes of text looked up at once: the more, the fewer distinct chunks for each.
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 _IDS = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("part", pa.int64()), ("before", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 IDS = "doc_id long, source string, part long, before long, n long, ids binary"

@@ -75,12 +75,11 @@ class Model:
         return out
 
 
-def train(rows: list[np.ndarray], y: np.ndarray, seed: int = 5) -> Model:
-    """FTRL-proximal over the rows' distinct buckets, in a shuffled order each epoch."""
+def train(at_all: np.ndarray, bounds: np.ndarray, y: np.ndarray, seed: int = 5) -> Model:
+    """FTRL-proximal over the rows' distinct buckets ``at_all[bounds[i]:bounds[i + 1]]``, in a shuffled order each epoch."""
     draw = np.random.default_rng(seed)
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     free = 1 << BITS  # the bias has no penalty
-    rows = [np.append(r, free) for r in rows]
 
     def weights(at: np.ndarray) -> np.ndarray:
         w = -(z[at] - np.sign(z[at]) * L1) / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
@@ -89,8 +88,8 @@ def train(rows: list[np.ndarray], y: np.ndarray, seed: int = 5) -> Model:
         return w
 
     for _ in range(EPOCHS):
-        for i in draw.permutation(len(rows)).tolist():
-            at = rows[i]
+        for i in draw.permutation(len(y)).tolist():
+            at = np.append(at_all[bounds[i] : bounds[i + 1]], free)
             w = weights(at)
             g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - y[i]
             if abs(g) < 1e-3:
@@ -117,15 +116,27 @@ def to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sample's rows to one model. Buckets of fewer than three rows are left out: they can't be told from chance."""
-    got = [(d.as_py(), t.as_py(), np.frombuffer(a.as_py(), dtype=np.int32)) for b in batches for d, t, a in zip(*(b.column(c) for c in ("doc_id", "toxic", "at")), strict=True)]
-    got.sort(key=lambda r: r[0])
-    if got:
-        seen = np.zeros(1 << BITS, dtype=np.int64)
-        for _, _, at in got:
-            seen[at] += 1
-        least = 3 if len(got) >= 1000 else 1
-        model = train([at[seen[at] >= least].astype(np.int64) for _, _, at in got], np.array([t for _, t, _ in got], dtype=np.float64))
-        yield pa.RecordBatch.from_pylist([{"model": pickle.dumps(model)}])
+    ids, toxic, sizes, parts = [], [], [], []
+    for b in batches:
+        ids += b.column("doc_id").to_pylist()
+        toxic += b.column("toxic").to_pylist()
+        sizes += [len(a.as_buffer()) // 4 for a in b.column("at")]
+        parts += [np.frombuffer(a.as_buffer(), dtype=np.int32) for a in b.column("at")]
+    if not ids:
+        return
+    # One array for all rows, in order of their ids, whatever order they came in.
+    order = sorted(range(len(ids)), key=ids.__getitem__)
+    at = np.concatenate([parts[i] for i in order])
+    del parts, b
+    bounds = np.concatenate([[0], np.cumsum([sizes[i] for i in order])])
+    seen = np.zeros(1 << BITS, dtype=np.int64)
+    for i in range(0, len(at), 1 << 20):
+        seen += np.bincount(at[i : i + (1 << 20)], minlength=1 << BITS)
+    keep = (seen >= (3 if len(ids) >= 1000 else 1))[at]
+    upto = np.array([np.count_nonzero(keep[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+    at = at[keep]
+    model = train(at, np.concatenate([[0], np.cumsum(upto)]), np.array([toxic[i] for i in order], dtype=np.float64))
+    yield pa.RecordBatch.from_pylist([{"model": pickle.dumps(model)}])
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
