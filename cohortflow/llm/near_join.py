@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import cut, documents
-from cohortflow.llm.shingles import mix, shingles, spans_hash, text_slices, words
+from cohortflow.llm.shingles import mix, release, shingles, spans_hash, text_slices, words
 
 N = 5
 PERCENT = 75
@@ -37,6 +37,11 @@ FLUSH = 1 << 20
 #: Classes and list members that are verified in one block, and set elements compared at once.
 QUERIES, MEMBERS, STRETCH = 512, 256, 4096
 
+#: A shingle that a task meets so often in one flush is common: it takes the last place in every order
+#: and is not counted, so that no part gets a row for each text that holds it.
+COMMON = 64
+LAST = np.iinfo(np.int32).max
+
 BLOCK = "part int, ids binary, classes binary, sizes binary, counts binary, hashes binary, seen binary"
 _BLOCK_ARROW = pa.schema([("part", pa.int32()), *[(c, pa.binary()) for c in ("ids", "classes", "sizes", "counts", "hashes", "seen")]])
 SETS = "class long, size int, prefix int, hashes binary"
@@ -63,11 +68,20 @@ def _runs(x: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]])
 
 
-def to_blocks(n: int, parts: int):
+def frequent(h: np.ndarray, least: int) -> np.ndarray:
+    """The values that occur ``least`` times or more, by way of a coarse count."""
+    low = (h & np.uint64(0xFFFF)).astype(np.int64)
+    some = h[(np.bincount(low, minlength=1 << 16) >= least)[low]]
+    values, counts = np.unique(some, return_counts=True)
+    return values[counts >= least]
+
+
+def to_blocks(n: int, parts: int, common: int):
     """Texts to blocks: for each part the classes met, their sizes, and their shingles there.
 
     A task sends a class's shingles once, however many copies it meets. Blocks with ``ids``
-    carry the rows themselves: id, class and size.
+    carry the rows themselves: id, class and size. Common shingles go to the classes' own parts at
+    once, in blocks with ``seen``; the shingles' part only learns which they are, from blocks without classes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,6 +93,13 @@ def to_blocks(n: int, parts: int):
             sizes = np.concatenate([s for _, s, _ in held])
             h = np.concatenate([x for _, _, x in held])
             owner = np.repeat(np.arange(len(cls)), sizes)
+            often = frequent(h, common)
+            if len(often):
+                is_common = np.isin(h, often)
+                yield from by_class(h[is_common], cls[owner[is_common]], sizes[owner[is_common]].astype(np.int32), np.full(int(is_common.sum()), LAST, dtype=np.int32), parts)
+                for p in np.unique(part_of(often, parts)).tolist():
+                    yield _rows([{"part": int(p), "classes": b"", "hashes": often[part_of(often, parts) == np.uint64(p)].tobytes()}], _BLOCK_ARROW)
+                h, owner = h[~is_common], owner[~is_common]
             part = part_of(h, parts).astype(np.uint16 if parts < 65_536 else np.uint32)
             order = np.argsort(part, kind="stable")
             part, h, owner = part[order], h[order], owner[order]
@@ -109,20 +130,38 @@ def to_blocks(n: int, parts: int):
                     yield from blocks()
         if held:
             yield from blocks()
+        release()
 
     return run
 
 
+def by_class(h: np.ndarray, cls: np.ndarray, size: np.ndarray, seen: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """Shingles with their classes and counts, as blocks for the classes' parts."""
+    order = np.argsort(cls, kind="stable")
+    h, cls, size, seen = h[order], cls[order], size[order], seen[order]
+    to = part_of(mix(cls), parts).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    h, cls, size, seen, to = h[order], cls[order], size[order], seen[order], to[order]
+    edges = _runs(to)
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        at = _runs(cls[a:b])
+        yield _rows([{"part": int(to[a]), "classes": cls[a:b][at[:-1]].tobytes(), "sizes": size[a:b][at[:-1]].tobytes(), "counts": np.diff(at).astype(np.int32).tobytes(), "hashes": h[a:b].tobytes(), "seen": seen[a:b].tobytes()}], _BLOCK_ARROW)
+
+
 def count_shared(parts: int):
     """One part's blocks to blocks by class: the shingles of two classes or more, with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[str, list[np.ndarray]] = {"cls": [], "size": [], "h": []}
+        often = [np.zeros(0, dtype=np.uint64)]
         for batch in batches:
             for row in batch.to_pylist():
-                if row["ids"] is not None:
+                if row["seen"] is not None:  # rows, or blocks by class already
                     yield _rows([row], _BLOCK_ARROW)
                     continue
+                if not row["classes"]:
+                    often.append(np.frombuffer(row["hashes"], dtype=np.uint64))
+                    continue
                 counts = np.frombuffer(row["counts"], dtype=np.int32)
                 got["cls"].append(np.repeat(np.frombuffer(row["classes"], dtype=np.uint64), counts))
                 got["size"].append(np.repeat(np.frombuffer(row["sizes"], dtype=np.int32), counts))
@@ -135,6 +174,7 @@ def count_shared(parts: int):
         same = np.zeros(len(h) + 1, dtype=bool)
         same[1:-1] = h[1:] == h[:-1]
         several = same[1:] | same[:-1]  # others stand alone
+        several |= np.isin(h, np.unique(np.concatenate(often)))
         order, h = order[several], h[several]
         cls, size = np.concatenate(got.pop("cls"))[order], np.concatenate(got.pop("size"))[order]
         order = np.lexsort((cls, h))
@@ -144,17 +184,11 @@ def count_shared(parts: int):
         h, cls, size = h[new], cls[new], size[new]
         edges = _runs(h)
         seen = np.repeat(np.diff(edges), np.diff(edges)).astype(np.int32)
+        seen[np.isin(h, np.unique(np.concatenate(often)))] = LAST
         two = seen > 1
         h, cls, size, seen = h[two], cls[two], size[two], seen[two]
-        order = np.argsort(cls, kind="stable")
-        h, cls, size, seen = h[order], cls[order], size[order], seen[order]
-        to = part_of(mix(cls), parts).astype(np.int64)
-        order = np.argsort(to, kind="stable")
-        h, cls, size, seen, to = h[order], cls[order], size[order], seen[order], to[order]
-        edges = _runs(to)
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            at = _runs(cls[a:b])
-            yield _rows([{"part": int(to[a]), "classes": cls[a:b][at[:-1]].tobytes(), "sizes": size[a:b][at[:-1]].tobytes(), "counts": np.diff(at).astype(np.int32).tobytes(), "hashes": h[a:b].tobytes(), "seen": seen[a:b].tobytes()}], _BLOCK_ARROW)
+        yield from by_class(h, cls, size, seen, parts)
+        release()
 
     return run
 
@@ -172,6 +206,12 @@ def to_sets(percent: int):
         if not got:
             return
         cls, size, h, seen = (np.concatenate(x) for x in zip(*got, strict=True))
+        if (seen == LAST).any():  # tasks may have sent the same class
+            order = np.lexsort((h, cls))
+            cls, size, h, seen = cls[order], size[order], h[order], seen[order]
+            new = np.ones(len(h), dtype=bool)
+            new[1:] = (h[1:] != h[:-1]) | (cls[1:] != cls[:-1])
+            cls, size, h, seen = cls[new], size[new], h[new], seen[new]
         # Classes with too few shared shingles for their prefix go before the costly sort.
         order = np.argsort(cls, kind="stable")
         edges = _runs(cls[order])
@@ -401,11 +441,11 @@ def relabelled(labels: DataFrame, more: DataFrame) -> DataFrame:
     return cut(kept.unionByName(single), "join-labels")
 
 
-def classes_and_sets(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def classes_and_sets(df: DataFrame, id_col: str, text_col: str, n: int, percent: int, common: int) -> tuple[DataFrame, DataFrame]:
     """``doc_id, class, size`` of every row, and the sets that can have a similar one."""
     spark = df.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sent = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(to_blocks(n, parts), BLOCK)
+    sent = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(to_blocks(n, parts, common), BLOCK)
     counted = cut(sent.repartitionById(parts, F.col("part")).mapInArrow(count_shared(parts), BLOCK), "join-blocks")
     rows = counted.where(F.col("ids").isNotNull()).select("ids", "seen", "classes", "sizes").mapInArrow(_to_rows, "doc_id long, class long, size int")
     blocks = counted.where(F.col("ids").isNull())
@@ -421,7 +461,7 @@ def _to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.frombuffer(row["classes"], dtype=np.uint64).astype(np.int64)), pa.array(np.frombuffer(row["sizes"], dtype=np.int32))], names=["doc_id", "class", "size"])
 
 
-def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
+def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT, common: int = COMMON) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``df``.
 
     Rows link when 100 * shared >= percent * union of their sets; a component's id is its least
@@ -430,7 +470,7 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows with equal ids stay apart. Words and shingles are told apart by 64-bit hashes. An empty table gives
     no rows. Memory: a task holds one part of the shingles, of which there are ``spark.sql.shuffle.partitions``.
     """
-    rows, sets = classes_and_sets(df, id_col, text_col, n, percent)
+    rows, sets = classes_and_sets(df, id_col, text_col, n, percent, common)
     postings = cut(sets.select("class", "size", "prefix", "hashes").mapInArrow(to_postings, "hash long, class long, size int, place int"), "join-postings")
     links = cut(linked_pairs(with_leaders(postings, percent), sets, percent), "join-links")
     labels = components(links)
@@ -444,12 +484,12 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT, common: int = COMMON) -> DataFrame:
     """The rows of ``df`` but those whose component has a row with a smaller id.
 
     Rows with null ids stay. Where ids repeat or are null, of rows with equal ids and texts one stays.
     """
-    found = cut(near_components(df, id_col, text_col, n, percent), "join-found")
+    found = cut(near_components(df, id_col, text_col, n, percent, common), "join-found")
     stay = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(id_col)).agg(F.count("*").alias("n"))
     plain = found.where("doc_id is null").isEmpty() and stay.where("n > 1").isEmpty()
     kept = df.join(stay.drop("n"), id_col, "left_semi").select(*df.columns)
@@ -458,12 +498,12 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
     return kept.unionByName(df.where(F.col(id_col).isNull())).dropDuplicates([id_col, text_col])
 
 
-def near_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
+def near_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT, common: int = COMMON) -> DataFrame:
     """``x, y``: every link between different texts, as the least ids of the rows with those texts (x's hash is the smaller).
 
     For inspection: a group of similar texts has as many links as pairs.
     """
-    rows, sets = classes_and_sets(df, id_col, text_col, n, percent)
+    rows, sets = classes_and_sets(df, id_col, text_col, n, percent, common)
     postings = sets.select("class", "size", "prefix", "hashes").mapInArrow(to_postings, "hash long, class long, size int, place int")
     links = across(cut(postings, "join-postings"), None, sets, percent)
     least = rows.groupBy("class").agg(F.min("doc_id").alias("least"))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortflow.llm.common import cut, documents
-from cohortflow.llm.shingles import lowered, spans_hash, text_slices, words
+from cohortflow.llm.shingles import lowered, release, spans_hash, text_slices, words
 
 LENGTH = 2048
 #: Sequences in a window.
@@ -182,6 +182,7 @@ def tokenized(path: str):
                     rows.append({"doc_id": batch.column(0)[first + i].as_py(), "source": s, "part": part, "before": sent.get(s, 0), "n": n, "ids": mine.astype("<u2" if small else "<u4").tobytes()})
                     sent[s] = sent.get(s, 0) + n
                 yield pa.RecordBatch.from_pylist(rows, schema=_IDS)
+        release()
 
     return run
 

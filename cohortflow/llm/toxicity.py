@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from cohortflow.llm.common import cut, documents
 from cohortflow.llm.language_id import letters, word_spans
 from cohortflow.llm.sampling import bounded, held_out
-from cohortflow.llm.shingles import mix, spans_hash, text_slices
+from cohortflow.llm.shingles import mix, release, spans_hash, text_slices
 
 BITS = 20
 #: At most about so many labelled rows are learned from.
-TRAIN_ROWS = 16_000
+TRAIN_ROWS = 12_000
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 12.0, 0.1
 PREFIXES = (3, 4, 5, 6, 7)
@@ -128,6 +128,7 @@ def train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order = sorted(range(len(ids)), key=ids.__getitem__)
     at = np.concatenate([parts[i] for i in order])
     del parts, b
+    release()
     bounds = np.concatenate([[0], np.cumsum([sizes[i] for i in order])])
     seen = np.zeros(1 << BITS, dtype=np.int64)
     for i in range(0, len(at), 1 << 20):
@@ -136,6 +137,8 @@ def train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     upto = np.array([np.count_nonzero(keep[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
     at = at[keep]
     model = train(at, np.concatenate([[0], np.cumsum(upto)]), np.array([toxic[i] for i in order], dtype=np.float64))
+    del at, keep
+    release()
     yield pa.RecordBatch.from_pylist([{"model": pickle.dumps(model)}])
 
 

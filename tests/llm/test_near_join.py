@@ -52,9 +52,10 @@ def made():
 def test_components_as_brute_force(spark):
     rows = made()
     want, _, _ = brute(rows)
-    for parts in ("4", "7"):
+    for parts, common in (("4", N.COMMON), ("7", 2), ("4", 10)):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
-        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in N.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in N.near_components(df, common=common).collect()}
         assert got == want
     spark.conf.set("spark.sql.shuffle.partitions", "4")
 
