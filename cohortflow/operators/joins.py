@@ -94,6 +94,11 @@ def of_ready(studies: DataFrame, facts: DataFrame, repeat: bool = False) -> Data
     return F.broadcast(ids if repeat else ids.distinct()).join(facts, "study_id")
 
 
+def of_study(df: DataFrame, study: str) -> DataFrame:
+    """One study's rows: a partition filter where tables are stored by study."""
+    return df.where(F.col("study_id") == study)
+
+
 def new_ids(ids: DataFrame, participants: DataFrame, source: str) -> DataFrame:
     """Source ids without a participant of that source."""
     known = participants.where(F.col("source") == source).select("source_id")

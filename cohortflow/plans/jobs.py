@@ -26,7 +26,7 @@ def study_concepts(wide: DataFrame, mapping: DataFrame, patient: str, participan
     profile = A.column_profile(R.cells(wide.where(is_patient_cell(F.col(patient))), [f for f in fields if f in wide.columns], []))
     types = [r.asDict() for r in A.profiled_mapping(used, profile).select("field", "path", "type").collect()]
     rows = R.to_concepts(wide, types, patient, [])
-    own = consents if study is None else consents.where(F.col("study_id") == study)
+    own = consents if study is None else J.of_study(consents, study)
     rows = J.to_consents(J.to_people(rows, participants), own)
     good = rows.where("consent_code is not null")
     counts = rows.groupBy(F.when(F.col("person_id").isNull(), "unmapped").when(F.col("consent_code").isNull(), "no_consent").otherwise("written").alias("class"))
@@ -99,7 +99,7 @@ def split_concepts(rows: DataFrame, id_mapping: DataFrame, consents: DataFrame,
 
     ``rows``: ``old_id, path, numeric, text`` and ``malformed``. Rows of ids that the mapping lacks, or of people without a consent, are counted, not written.
     """
-    own = consents if study is None else consents.where(F.col("study_id") == study)
+    own = consents if study is None else J.of_study(consents, study)
     bad = F.coalesce(F.col("malformed"), F.lit(False)) if "malformed" in rows.columns else F.lit(False)
     keyed = J.to_consents(J.rekeyed(rows.withColumn("_bad", bad), id_mapping), own)
     kind = F.when(F.col("_bad"), "malformed").when(F.col("person_id").isNull(), "unmapped").when(F.col("consent_code").isNull(), "no_consent").otherwise("written")
