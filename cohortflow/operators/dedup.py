@@ -31,14 +31,12 @@ def first_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 def first_usable_consent(df: DataFrame, keys: list[str], code: str, order: str) -> tuple[DataFrame, DataFrame]:
     """Each key's first code that is a number but 0, and how many later rows have another (``keys, code, conflicts``); and keys without one."""
-    rows = df.withColumn("_code", consent_code(F.col(code)))
+    counts = df.groupBy(*keys, consent_code(F.col(code)).alias("_code")).agg(F.count("*").alias("_n"), F.min(order).alias("_first"))
     usable = F.coalesce(F.col("_code") != "0", F.lit(False))
-    per = rows.groupBy(*keys).agg(F.min_by(F.when(usable, F.col("_code")), F.when(usable, F.col(order))).alias(code))
-    counts = rows.where(usable).groupBy(*keys, "_code").agg(F.count("*").alias("n")).withColumnRenamed("_code", code)
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
-    first = per.where(F.col(code).isNotNull()).select(*keys, code)
-    out = first.join(totals, keys).join(counts, [*keys, code]).select(*keys, code, (F.col("total") - F.col("n")).alias("conflicts"))
-    return out, per.where(F.col(code).isNull()).select(*keys)
+    at = F.when(usable, F.col("_first"))
+    per = counts.groupBy(*keys).agg(F.min_by(F.struct(F.col("_code"), "_n"), at).alias("_r"), F.sum(F.when(usable, F.col("_n"))).alias("_all"), F.max(usable).alias("_usable"))
+    yes = per.where("_usable").select(*keys, F.col("_r._code").alias(code), (F.col("_all") - F.col("_r._n")).alias("conflicts"))
+    return yes, per.where("not _usable").select(*keys)
 
 
 def code_conflicts(df: DataFrame, keys: list[str], code: str, order: str) -> DataFrame:

@@ -60,30 +60,36 @@ def blank_identities(raw: DataFrame, column: str = "raw") -> DataFrame:
     return raw.agg(F.count_if(F.size(S.identities(F.col(column))) == 0).alias("blank_rows"))
 
 
-def concept_row(person: Column, path: Column, text: Column) -> list[Column]:
-    return [person.cast("string").alias("person_id"), path.alias("path"), F.lit("").alias("numeric"), text.alias("text"), F.lit("0").alias("timestamp")]
+def concept_entry(person: Column, path: Column, text: Column) -> Column:
+    return F.struct(person.cast("string").alias("person_id"), path.alias("path"), F.lit("").alias("numeric"), text.alias("text"), F.lit("0").alias("timestamp"))
 
 
 def global_concepts(studies: DataFrame, participants: DataFrame, consents: DataFrame, samples: DataFrame) -> DataFrame:
     """The five kinds of rows that every ready study contributes; studies without consents have none.
 
-    A study that is listed twice contributes twice.
+    A study that is listed twice contributes twice. The three kinds that a consent gives are made in one pass.
     """
-    ids = F.broadcast(studies.where("is_ready").select("study_id"))
-    own = consents.join(ids, "study_id")
-    people = own.select("study_id", "person_id").join(participants, "person_id").select("study_id", "person_id", "source_id", "source")
-    tubes = own.select("study_id", "person_id").join(samples, "person_id").select("study_id", "person_id", "source_sample_id", "sample_source")
-    once = [d.groupBy(*d.columns).agg(F.count("*")).drop("count(1)") for d in (people.join(ids.distinct(), "study_id"), tubes.join(ids.distinct(), "study_id"))]
-    listed = ids.groupBy("study_id").agg(F.count("*").alias("times"))
-    people, tubes = (d.join(F.broadcast(listed), "study_id").withColumn("_t", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))) for d in once)
+    listed = studies.where("is_ready").groupBy("study_id").agg(F.count("*").alias("times"))
+    own = consents.join(F.broadcast(listed), "study_id")
+    person = F.col("person_id")
     flag = F.concat(F.lit(S.STUDY_CONSENTS), F.col("study_id"), F.lit(S.SEP))
-    short = own.where(F.trim(F.coalesce("consent_abbreviation", F.lit(""))) != "")
+    short = F.coalesce("consent_abbreviation", F.lit(""))
+    of_consent = F.array_compact(F.array(
+        concept_entry(person, F.lit(S.CONSENTS), S.partition_name(F.col("study_id"), F.col("consent_code"))), concept_entry(person, flag, F.lit("TRUE")),
+        F.when(F.trim(short) != "", concept_entry(person, F.concat(flag, short, F.lit(S.SEP)), F.lit("TRUE"))),
+    ))
+    members = own.select("study_id", "person_id", "times")
+    people = members.join(participants, "person_id").select("study_id", "person_id", "source_id", "source", "times").distinct()
+    tubes = members.join(samples, "person_id").select("study_id", "person_id", "source_sample_id", "sample_source", "times").distinct()
+
+    def entries(df: DataFrame, made: Column) -> DataFrame:
+        repeated = F.when(F.col("times") == 1, made).otherwise(F.flatten(F.array_repeat(made, F.col("times").cast("int"))))
+        return df.select("study_id", F.explode(repeated).alias("_e")).select("study_id", "_e.*")
+
     return union(
-        own.select("study_id", *concept_row(F.col("person_id"), F.lit(S.CONSENTS), S.partition_name(F.col("study_id"), F.col("consent_code")))),
-        people.select("study_id", *concept_row(F.col("person_id"), F.lit(S.SUBJECT_ID), F.col("source_id"))),
-        tubes.select("study_id", *concept_row(F.col("person_id"), F.lit(S.SAMPLE_ID), F.col("source_sample_id"))),
-        own.select("study_id", *concept_row(F.col("person_id"), flag, F.lit("TRUE"))),
-        short.select("study_id", *concept_row(F.col("person_id"), F.concat(flag, F.col("consent_abbreviation"), F.lit(S.SEP)), F.lit("TRUE"))),
+        entries(own, of_consent),
+        entries(people, F.array(concept_entry(person, F.lit(S.SUBJECT_ID), F.col("source_id")))),
+        entries(tubes, F.array(concept_entry(person, F.lit(S.SAMPLE_ID), F.col("source_sample_id")))),
     )
 
 

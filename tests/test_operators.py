@@ -197,3 +197,12 @@ def test_small_operators(spark):
     assert R.blank_identities(ids).head()[0] == 1 and rows(R.identity_rows(ids), "identity") == [("x",), ("x",)]
     digest = A.content_digest(a, [], ["x"]).head()["digest"]
     assert digest == A.content_digest(a.orderBy(F.col("x").desc()), [], ["x"]).head()["digest"] != A.content_digest(b, [], ["x"]).head()["digest"]
+
+
+def test_a_study_listed_twice(spark):
+    studies = spark.createDataFrame([("a", True), ("a", True), ("b", True), ("c", False)], "study_id string, is_ready boolean")
+    consents = spark.createDataFrame([(1, "a", "1", "GRU"), (2, "b", "0", " "), (3, "c", "1", "X")], "person_id long, study_id string, consent_code string, consent_abbreviation string")
+    people = spark.createDataFrame([(1, "D1", "DBGap"), (1, "D1", "DBGap"), (2, "D2", "DBGap")], "person_id long, source_id string, source string")
+    tubes = spark.createDataFrame([(1, "T", "DBGap"), (1, "T", "submitted")], "person_id long, source_sample_id string, sample_source string")
+    n = R.global_concepts(studies, people, consents, tubes).groupBy("study_id").count()
+    assert rows(n, "study_id", "count") == [("a", 12), ("b", 3)]
