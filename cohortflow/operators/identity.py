@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from cohortflow.operators.dedup import first_per_key, last_per_key
 from cohortflow.operators.joins import new_ids
-from cohortflow.operators.reshape import sample_sources
+from cohortflow.operators.reshape import sample_sources, union
 
 #: Ids numbered in one task at a time.
 RUN = 1 << 16
@@ -34,8 +34,8 @@ def dense_numbers(ids: DataFrame, order: str, out: str) -> DataFrame:
 def resolve_or_create(participants: DataFrame, ids: DataFrame, source: str) -> DataFrame:
     """The table with a row for every id of ``ids``: known ones keep theirs, new ones get the next numbers in sorted order."""
     new = dense_numbers(new_ids(ids, participants, source), "source_id", "_n")
-    top = participants.agg(F.coalesce(F.max("person_id"), F.lit(0).cast("long")).alias("_top"))
-    rows = new.join(F.broadcast(top)).select((F.col("_top") + F.col("_n")).alias("person_id"), "source_id", F.lit(source).alias("source"))
+    top = participants.agg(F.coalesce(F.max("person_id"), F.lit(0).cast("long"))).head()[0]
+    rows = new.select((F.col("_n") + top).alias("person_id"), "source_id", F.lit(source).alias("source"))
     return participants.select("person_id", "source_id", "source").unionByName(rows)
 
 
@@ -75,13 +75,12 @@ def load_sstr(participants: DataFrame, consents: DataFrame, samples: DataFrame,
     tubes = sample_sources(sstr.withColumn("study_id", F.lit(study)).withColumn("subject_id", F.col("dbgap_subject_id")))
     tubes = tubes.join(known, tubes["subject_id"] == known["source_id"]).select("person_id", "source_sample_id", "sample_source").distinct()
     fresh = tubes.exceptAll(samples.select("person_id", "source_sample_id", "sample_source"))
-    counts = sstr.agg(F.count("*").alias("rows_read"), F.count_distinct("dbgap_subject_id").alias("distinct_participants"))
-    for name, df in (
-        ("participants_inserted", new_ids(ids, participants, "DBGap")), ("consents_written", new),
-        ("consents_purged", consents.where(F.col("study_id") == study)), ("consent_groups", new.select("consent_code").distinct()),
-        ("samples_seen", tubes), ("samples_inserted", fresh),
-    ):
-        counts = counts.join(F.broadcast(df.agg(F.count("*").alias(name))))
+    counted = {
+        "rows_read": sstr, "distinct_participants": ids, "participants_inserted": new_ids(ids, participants, "DBGap"), "consents_written": new,
+        "consents_purged": consents.where(F.col("study_id") == study), "consent_groups": new.select("consent_code").distinct(), "samples_seen": tubes, "samples_inserted": fresh,
+    }
+    each = union(*[df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in counted.items()])
+    counts = each.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in counted])
     return people, purge_and_reload(consents, study, new), insert_samples(samples, tubes), counts
 
 
@@ -93,7 +92,6 @@ def load_multi(participants: DataFrame, consents: DataFrame, samples: DataFrame,
     """
     from cohortflow.operators.dedup import first_usable_consent
     from cohortflow.operators.joins import decoded_consents, samples_of_subjects
-    from cohortflow.operators.reshape import union
 
     yes, no = first_usable_consent(subjects, ["dbgap_id"], "code", "ord")
     coded = yes.select(F.lit(study).alias("study_id"), "dbgap_id", F.col("code").alias("consent_code"), "conflicts")

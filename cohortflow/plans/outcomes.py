@@ -34,8 +34,8 @@ def run_review(plan: DataFrame, outcomes: DataFrame, issues: DataFrame, stages:
     unstable = own.where("result = 'UNSTABLE'").join(warned, ["study_id", "stage"], "left_anti").select("study_id", "stage", F.lit("WARNING").alias("severity"), F.lit("UNSTABLE").alias("code"), F.lit("completed with warnings").alias("detail"))
     items = [excluded, unstarted, failed, found, unstable]
     if not preflight:
-        late = F.broadcast(stages.where(F.col("stage").isin(*PUBLISHING)))
-        pairs = active.join(late, F.lit(True))
+        pairs = active.select("study_id", F.explode(F.array(*map(F.lit, PUBLISHING))).alias("stage"))
+        pairs = pairs.join(F.broadcast(stages), "stage", "left").withColumn("ran", F.coalesce("ran", F.lit(False)))
         absent = pairs.where("not ran").select("study_id", "stage", F.lit("NOT_REACHED").alias("severity"), F.lit("STAGE_NOT_RUN").alias("code"), F.lit("outputs not published").alias("detail"))
         named = union(failed, found).where("severity = 'FAILED'").select("study_id", "stage")
         broke = pairs.where("ran and status <> 'SUCCESS'").join(named, ["study_id", "stage"], "left_anti").select("study_id", "stage", F.lit("FAILED").alias("severity"), F.lit("STAGE_FAILED").alias("code"), F.coalesce("message", F.lit("see its report")).alias("detail"))

@@ -171,7 +171,7 @@ def test_run_outcomes_of_late_stages(spark):
     issues = spark.createDataFrame([], "study_id string, stage string, severity string, code string, message string")
     stages = spark.createDataFrame([("merge-allconcepts", True, "FAILED", "broke"), ("generate-allconcepts-manifest", False, None, None)], "stage string, ran boolean, status string, message string")
     review = O.run_review(plan, results, issues, stages)
-    assert rows(review, "study_id", "code") == [("a", "NOT_STARTED"), ("a", "STAGE_FAILED"), ("a", "STAGE_NOT_RUN"), ("b", "MISSING_INPUTS"), ("c", "STAGE_FAILED"), ("c", "STAGE_NOT_RUN")]
+    assert rows(review, "study_id", "code") == [("a", "NOT_STARTED"), ("a", "STAGE_FAILED"), ("a", "STAGE_NOT_RUN"), ("a", "STAGE_NOT_RUN"), ("b", "MISSING_INPUTS"), ("c", "STAGE_FAILED"), ("c", "STAGE_NOT_RUN"), ("c", "STAGE_NOT_RUN")]
     assert rows(O.run_outcomes(plan, review), "study_id", "status") == [("a", "FAILED"), ("b", "EXCLUDED"), ("c", "FAILED")]
     early = O.run_review(plan, results, issues, stages, preflight=True)
     assert rows(O.run_outcomes(plan, early), "study_id", "status") == [("a", "NOT_REACHED"), ("b", "EXCLUDED"), ("c", "ALREADY_PROCESSED")]
