@@ -16,6 +16,8 @@ OWN_SUBJECT = ["SUBJECT_ID", "SUBJID", "submitted_subject_id", "subj_id"]
 CONSENT = ["consent", "consent_1217", "consentcol", "gencons", "consent_code", "consent_group"]
 DBGAP_SAMPLE = ["dbGaP_Sample_ID", "dbGaP SampID"]
 OWN_SAMPLE = ["SAMPLE_ID", "SAMPID", "submitted_sample_id"]
+# Columns of an id mapping.
+OLD_ID, NEW_ID = "old_hpds_id", "new_hpds_id"
 READY, PROCESSED = "Data is ready to process", "Data Processed"
 
 
@@ -129,7 +131,7 @@ def read_patient_mapping(spark: SparkSession, path: str) -> DataFrame:
 
 def read_id_mapping(spark: SparkSession, path: str) -> DataFrame:
     """``old_id, new_id``; the last row of an old id counts."""
-    df = read_delimited(spark, path).select(F.monotonically_increasing_id().alias("ord"), trimmed(F.col("old_hpds_id")).alias("old_id"), trimmed(F.col("new_hpds_id")).alias("new_id"))
+    df = read_delimited(spark, path).select(F.monotonically_increasing_id().alias("ord"), trimmed(F.col(OLD_ID)).alias("old_id"), trimmed(F.col(NEW_ID)).alias("new_id"))
     return last_per_key(df.where("old_id <> '' and new_id <> ''"), ["old_id"], "ord").drop("ord")
 
 
