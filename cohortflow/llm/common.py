@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: shuffle files go with their job, and batches of whole texts stay small.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,12 +34,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/cohortflow/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    before = {k: spark.conf.get(k) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

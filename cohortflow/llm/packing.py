@@ -33,7 +33,7 @@ END = 1
 #: Distinct chunks between white space whose ids a task remembers.
 CACHE = 1_500_000
 #: Bytes of text looked up at once: the more, the fewer distinct chunks for each.
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 _IDS = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("part", pa.int64()), ("before", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 IDS = "doc_id long, source string, part long, before long, n long, ids binary"
@@ -164,11 +164,21 @@ class ChunkTokenizer:
         return ids, bounds
 
 
+#: Loaded once in each Python worker; what it learned of a task's chunks goes with the task.
+loaded: dict[str, ChunkTokenizer] = {}
+
+
+def tokenizer_for(path: str) -> ChunkTokenizer:
+    if path not in loaded:
+        loaded[path] = ChunkTokenizer(path)
+    return loaded[path]
+
+
 def tokenized(path: str):
     """``doc_id, text, source`` to ids, with the task's number and the tokens of the source that the task met before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = ChunkTokenizer(path)
+        tokenizer = tokenizer_for(path)
         part = TaskContext.get().partitionId()
         sent: dict[str | None, int] = {}
         for batch in batches:
@@ -182,6 +192,7 @@ def tokenized(path: str):
                     rows.append({"doc_id": batch.column(0)[first + i].as_py(), "source": s, "part": part, "before": sent.get(s, 0), "n": n, "ids": mine.astype("<u2" if small else "<u4").tobytes()})
                     sent[s] = sent.get(s, 0) + n
                 yield pa.RecordBatch.from_pylist(rows, schema=_IDS)
+        tokenizer.clear()
         release()
 
     return run

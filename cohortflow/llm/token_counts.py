@@ -355,11 +355,21 @@ def scan(maps: dict[int, dict], roots: dict[int, State | int]) -> tuple[dict[int
     return done, missing
 
 
+#: Compiled on in each Python worker, from task to task.
+machines: dict[str, Transducer] = {}
+
+
+def machine_for(path: str) -> Transducer:
+    if path not in machines:
+        machines[path] = Transducer(path)
+    return machines[path]
+
+
 def count_texts(path: str):
     """``doc_id, text`` to ``doc_id, n_bytes, n_tokens``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = machines.get(path) or machines.setdefault(path, Transducer(path))
+        machine = machine_for(path)
         for batch in batches:
             for first, data, offsets in text_slices(batch.column(1)):
                 lead = (data & 0xC0) != 0x80
@@ -373,8 +383,6 @@ def count_texts(path: str):
     return run
 
 
-#: Compiled once in each Python worker.
-machines: dict[str, Transducer] = {}
 LIMIT = 4096
 
 
