@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 NULL_WORDS = ("null", "na", "n/a", "nan", "nil", "nill")
 #: Numbers as the JVM's double parser takes them; usable unchanged in DuckDB.
 NUMBER = r"^[+-]?(NaN|Infinity|((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|0[xX]([0-9a-fA-F]+\.?|[0-9a-fA-F]*\.[0-9a-fA-F]+)[pP][+-]?\d+)[fFdD]?)$"
-BLANKS = "^[\\x00-\\x20]+|[\\x00-\\x20]+$"
+BLANKS = "".join(map(chr, range(0x21)))
 # The literals of a boolean option.
 TRUE_WORDS, FALSE_WORDS = ("true", "yes", "y", "1", "on"), ("false", "no", "n", "0", "off")
 
 
 def trimmed(c: Column) -> Column:
     """Without characters up to U+0020 at either end."""
-    return F.regexp_replace(c, BLANKS, "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def trim_to_null(c: Column) -> Column:
