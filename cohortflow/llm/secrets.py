@@ -2,10 +2,10 @@
 
 Base kinds are found by their patterns alone. Weak kinds (a bare 40-character
 key, a session identifier, a service address) mean nothing by themselves: each
-is reported only if the parts that complete a credential start within a scope of
-the same text. Parts meet by an interval join on (row, family, stretch of text),
-where a family's starts in a stretch are kept as their least and greatest, so a
-candidate meets three rows at most for each family, however many parts there are.
+is reported only if the parts that complete a credential are found within a scope
+of the same text, measured between the nearest edges: parts that touch, overlap or
+hold one another are near at any length. A text's parts are passed once in order of
+their starts with the greatest end so far of each family, so no parts are joined.
 """
 
 from __future__ import annotations
@@ -66,17 +66,27 @@ def parts(scanned: DataFrame) -> DataFrame:
 
 
 def linked(all_parts: DataFrame, scope: int) -> DataFrame:
-    """The weak parts with all the families they need starting at most ``scope`` characters away."""
-    at = all_parts.withColumn("stretch", F.floor(F.col("start") / scope))
-    family = F.create_map(*[F.lit(x) for kv in FAMILY.items() for x in kv])
-    near = at.where(F.col("kind").isin(*FAMILY)).groupBy("row", F.element_at(family, F.col("kind")).alias("family"), "stretch")
-    near = near.agg(F.min("start").alias("least"), F.max("start").alias("most"))
-    needs = F.create_map(*[x for k, v in NEEDS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    weak = at.where(F.col("kind").isin(*NEEDS)).withColumn("needs", F.element_at(needs, F.col("kind")))
-    weak = weak.withColumn("family", F.explode("needs")).withColumn("stretch", F.explode(F.array(F.col("stretch") - 1, F.col("stretch"), F.col("stretch") + 1)))
-    met = weak.join(near, ["row", "family", "stretch"]).where((F.col("most") >= F.col("start") - scope) & (F.col("least") <= F.col("start") + scope))
-    met = met.groupBy("row", "kind", "start", "end", F.size("needs").alias("n")).agg(F.count_distinct("family").alias("families"))
-    return met.where("families = n").select("row", "kind", "start", "end")
+    """The weak parts with a part of every family they need at most ``scope`` characters before their start or after their end.
+
+    A part counts from its start on. A weak part asks at its end plus ``scope``: of the parts
+    that have started by then, one is near if the greatest end reaches its start less ``scope``.
+    """
+    family = F.element_at(F.create_map(*[F.lit(x) for kv in FAMILY.items() for x in kv]), F.col("kind"))
+    counts = F.struct(F.col("start").alias("at"), F.lit(False).alias("asks"))
+    asks = F.struct((F.col("end") + scope).alias("at"), F.lit(True).alias("asks"))
+    points = all_parts.withColumn("family", family).withColumn("p", F.explode(F.array(counts, asks))).select("row", "kind", "family", "start", "end", "p.*")
+    points = points.where(F.when(F.col("asks"), F.col("kind").isin(*NEEDS)).otherwise(F.col("family").isNotNull()))
+    so_far = Window.partitionBy("row").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    families = sorted(set(FAMILY.values()))
+    points = points.withColumns({f"last_{f}": F.max(F.when(~F.col("asks") & (F.col("family") == f), F.col("end"))).over(so_far) for f in families})
+    near = {f: F.coalesce(F.col(f"last_{f}") >= F.col("start") - scope, F.lit(False)) for f in families}
+    whole = F.lit(False)
+    for kind, needs in NEEDS.items():
+        met = F.col("kind") == kind
+        for f in needs:
+            met &= near[f]
+        whole |= met
+    return points.where(F.col("asks") & whole).select("row", "kind", "start", "end")
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:

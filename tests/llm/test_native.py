@@ -139,6 +139,41 @@ def test_parts_are_reported_only_together(spark):
     assert [kinds[i] - set(secrets.BASE) for i in range(len(texts))] == [set(), {"key"}, set(), set(), {"session"}, set(), {"endpoint"}, set(), set()]
 
 
+def near_parts(text):
+    """Weak spans by comparing every part with every other, edge to edge."""
+    found = []
+    for kind, p in secrets.PATTERNS.items():
+        for m in re.finditer(p, text, re.A):
+            ok = {"assign": len(m[1]) >= 8, "key": len(m[1]) == 40 and not re.fullmatch("[0-9a-f]+", m[1])}.get(kind, True)
+            found += [(kind, *m.span())] if ok else []
+
+    def near(f, start, end):
+        return any(secrets.FAMILY.get(k) == f and a <= end + 256 and b >= start - 256 for k, a, b in found)
+
+    return {(k, a, b) for k, a, b in found if k in secrets.NEEDS and all(near(f, a, b) for f in secrets.NEEDS[k])}
+
+
+def test_parts_are_near_by_their_edges(spark):
+    access, session, long = "AKIA" + "B2" * 8, "ASIA" + "C3" * 8, "ab.-" * 200
+    texts = [
+        f"token={long} {session}", f"{session} token={long}", f"token={long}{session}{long}", f"https://h/?q={long} {access} secret=abcdefgh",
+        f"{access} secret=abcdefgh https://h/?q={long}", f"https://h/{long}&{access}&secret=abcdefgh&{long}", f"token={long} {KEY40} secret={long} {access}",
+        *[f"token={long}{' ' * n}{session}" for n in (255, 256, 257)], *[f"{session}{' ' * n}token={long}" for n in (255, 256, 257)],
+        f"{access} token={long}{' ' * 300}https://h/x", f"token={long}{' ' * 200}token=abcdefgh{' ' * 300}{session}", f"😀 token={long} 漢字 {session}",
+    ]
+    draw = random.Random(7)
+    bits = [access, session, KEY40, "secret=abcdefgh", "f" * 32, "https://h/x", f"token={long}", f"ftp://h/{long}", " " * 100, " " * 257]
+    texts += [" ".join(draw.choices(bits, k=6)) for _ in range(200)]
+    rows, spans = secrets.scan(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    got = defaultdict(set)
+    for r in rows.join(spans.where(~F.col("kind").isin(*secrets.BASE)), "row").collect():
+        got[r["doc_id"]].add((r["kind"], r["start"], r["end"]))
+    assert [got[i] for i in range(len(texts))] == [near_parts(t) for t in texts]
+    assert [len(got[i]) for i in range(14)] == [1, 1, 1, 1, 1, 1, 0, 1, 1, 0, 1, 1, 0, 0]
+    out = secrets.redact(spark.createDataFrame([(1, f"token={long} {session}", 0)], "doc_id long, text string, n_chars long"))
+    assert out.head()["text"] == "<assign> <session>"
+
+
 def test_redaction(spark, docs, no_docs):
     text = "a token=abcdefgh12 b " + "0f" * 16 + " c"
     out = secrets.redact(spark.createDataFrame([(1, text, 9), (2, "clean", 5), (2, "clean", 5), (3, None, 0), (None, text, 9)], "doc_id long, text string, n_chars long"))
