@@ -24,9 +24,11 @@ from cohortflow.llm.shingles import mix, release, spans_hash, text_slices
 
 BITS = 20
 #: At most about so many labelled rows are learned from.
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 16_000
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 12.0, 0.1
+#: A bucket's sum moves by less than one a row and epoch, so buckets of fewer rows never pass the L1 penalty.
+MIN_ROWS = int(L1 // EPOCHS) + 1
 PREFIXES = (3, 4, 5, 6, 7)
 CUT = 0.3
 
@@ -115,7 +117,7 @@ def to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sample's rows to one model. Buckets of fewer than three rows are left out: they can't be told from chance."""
+    """The sample's rows to one model. Buckets of fewer than ``MIN_ROWS`` rows are left out: their weights stay zero."""
     ids, toxic, sizes, parts = [], [], [], []
     for b in batches:
         ids += b.column("doc_id").to_pylist()
@@ -133,7 +135,7 @@ def train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = np.zeros(1 << BITS, dtype=np.int64)
     for i in range(0, len(at), 1 << 20):
         seen += np.bincount(at[i : i + (1 << 20)], minlength=1 << BITS)
-    keep = (seen >= (3 if len(ids) >= 1000 else 1))[at]
+    keep = (seen >= MIN_ROWS)[at]
     upto = np.array([np.count_nonzero(keep[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
     at = at[keep]
     model = train(at, np.concatenate([[0], np.cumsum(upto)]), np.array([toxic[i] for i in order], dtype=np.float64))

@@ -1,8 +1,10 @@
 import zlib
 
+import numpy as np
 import pytest
 
 from cohortflow.llm import language_id, toxicity
+from cohortflow.llm.sampling import bounded
 
 
 def labelled(spark, n=400):
@@ -62,6 +64,24 @@ def test_toxicity(spark, docs, no_docs):
     assert toxicity.fit(no_docs, labels.limit(0)) is None
 
 
+def test_rare_buckets_never_get_a_weight():
+    draw = np.random.default_rng(1)
+    rows = [np.unique(np.append(draw.integers(0, 9000, 12), 9000 if i % 3 == 0 else 9001)) for i in range(1500)]
+    y = np.array([float(i % 3 == 0) for i in range(1500)])
+    seen = np.bincount(np.concatenate(rows))
+
+    def model(kept):
+        return toxicity.train(np.concatenate(kept), np.concatenate([[0], np.cumsum([len(r) for r in kept])]), y)
+
+    a, b = model(rows), model([r[seen[r] >= toxicity.MIN_ROWS] for r in rows])
+    assert (seen[seen > 0] < toxicity.MIN_ROWS).any() and len(a.at)
+    assert a.bias == b.bias and (a.at == b.at).all() and (a.weight == b.weight).all()
+
+
+def test_toxicity_learns_from_16000_rows(spark):
+    assert bounded(spark.range(16_000).toDF("doc_id"), toxicity.TRAIN_ROWS).count() == 16_000
+
+
 @pytest.mark.parametrize("module", [language_id, toxicity])
 def test_queries(spark, sf_dir, module):
     rows = module.query(spark, sf_dir).collect()
