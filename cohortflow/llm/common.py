@@ -1,9 +1,11 @@
-"""What the corpus operators share: the shared folder and running totals."""
+"""What the corpus operators share: the shared folder, tables written to it, and running totals."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,36 +14,65 @@ from pyspark.sql.window import Window
 
 #: While a table is written: shuffle files go with their job, and batches of whole texts stay small.
 WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+#: The paths that this session's operators have written, for ``remove_tables``.
+written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one only where it is unset."""
+    """The folder that ``spark.checkpoint.dir`` names; where it is unset, a temporary one on local masters and else an error."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         base = spark.conf.get("cohortflow.scratch", "")
         if not base:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             base = "file://" + tempfile.mkdtemp(prefix="spark-")
             spark.conf.set("cohortflow.scratch", base)
     return base.rstrip("/")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here.
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of the shared folder that nothing has been written to; it is removed by ``remove_tables``."""
+    path = f"{shared_folder(spark)}/cohortflow/{name}-{uuid.uuid4().hex}"
+    written.append(path)
+    return path
 
-    Row ids made by ``monotonically_increasing_id`` are fixed from then on, and
-    a lost executor costs no recomputation of what stands before. The job's shuffle
-    files, which nothing reads again, are removed when it ends.
+
+def remove_tables(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Remove what operators wrote to the shared folder after the first ``since`` paths of ``written``, but for ``keep``.
+
+    For the time when results that read those tables have been saved.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cohortflow/{name}-{uuid.uuid4().hex}"
+    for path in [p for p in written[since:] if p not in keep]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        written.remove(path)
+
+
+@contextmanager
+def writing(spark: SparkSession) -> Iterator[None]:
+    """``WRITING`` holds inside."""
     before = {k: spark.conf.get(k) for k in WRITING}
     for k, v in WRITING.items():
         spark.conf.set(k, v)
     try:
-        df.write.parquet(path)
+        yield
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage ends here.
+
+    Row ids made by ``monotonically_increasing_id`` are fixed from then on, and
+    a lost executor costs no recomputation of what stands before. The job's shuffle
+    files, which nothing reads again, are removed when it ends.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    with writing(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

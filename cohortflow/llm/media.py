@@ -6,6 +6,10 @@ ranges of the archives in a directory; a partition's reader looks up the members
 that begin in its range in the archive's own directory, reads each by its offset and
 yields them as Arrow batches of bounded size. A member that can't be read is tried
 again by itself, and at last is returned with its error; no other member suffers.
+
+An archive's own directory has to be read whole. So that this stays a small part of
+the work, ranges of an archive are taken together, as many as hold 16 times the bytes
+of its directory: the first of them reads all, the others nothing.
 """
 
 from __future__ import annotations
@@ -21,11 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from cohortflow.llm.common import documents, shared_folder
+from cohortflow.llm.common import documents, new_path, writing
 
 UNIT = 576
 PAD = b"\xff"
@@ -35,6 +40,10 @@ SIGNATURE = b"\x89PNG\r\n\x1a\n"
 RANGE = 16 << 20
 BATCH = 4 << 20
 TRIES = 3
+#: A reader takes at least so many times the bytes of the archive's directory, which it reads too.
+SHARE = 16
+#: What a damaged, encrypted or foreign member can raise, and only it.
+BROKEN = (OSError, zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, ValueError, struct.error)
 
 
 def pad(text: bytes) -> bytes:
@@ -134,20 +143,22 @@ class ArchiveRange(InputPartition):
 class ArchiveReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.folder = options["path"]
-        self.names = [n for n in options.get("names", "").split(",") if n]
+        self.listed = options.get("listed", "false") == "true"
         self.range = int(options.get("rangeBytes", RANGE))
         self.tries = int(options.get("tries", TRIES))
 
     def partitions(self) -> list[ArchiveRange]:
-        """Byte ranges of the archives of the folder, or of those named. Only names and sizes are looked at."""
+        """Byte ranges of the archives of the folder, or of those in its list. Only names and sizes are looked at."""
         from pyarrow import fs
 
         system, base = filesystem(self.folder)
         files = [f for f in system.get_file_info(fs.FileSelector(base)) if f.is_file and f.base_name.endswith(".zip")]
-        wanted = set(self.names)
-        files = sorted((f for f in files if not wanted or f.base_name in wanted), key=lambda f: f.base_name)
-        if wanted - {f.base_name for f in files}:
-            raise FileNotFoundError(f"{self.folder} lacks archives: {sorted(wanted - {f.base_name for f in files})[:3]}")
+        files.sort(key=lambda f: f.base_name)
+        if self.listed:
+            wanted = set(pq.read_table(f"{base}/{LIST}", filesystem=system, columns=["name"]).column(0).to_pylist())
+            files = [f for f in files if f.base_name in wanted]
+            if len(files) < len(wanted):
+                raise FileNotFoundError(f"{self.folder} lacks archives: {sorted(wanted - {f.base_name for f in files})[:3]}")
         out = [ArchiveRange(f"{self.folder}/{f.base_name}", a, min(a + self.range, f.size)) for f in files for a in range(0, f.size, self.range)]
         return out or [ArchiveRange("", 0, 0)]
 
@@ -155,7 +166,7 @@ class ArchiveReader(DataSourceReader):
         for left in reversed(range(self.tries)):
             try:
                 return archive.read(info), None
-            except (OSError, zipfile.BadZipFile, zlib.error, EOFError) as e:
+            except BROKEN as e:
                 if not left:
                     return None, f"{type(e).__name__}: {e}"
                 time.sleep(0.05 * 2 ** (self.tries - left))
@@ -165,10 +176,19 @@ class ArchiveReader(DataSourceReader):
         if not partition.uri:
             return
         system, base = filesystem(partition.uri)
-        with system.open_input_file(base) as f, zipfile.ZipFile(f) as archive:
+        with system.open_input_file(base) as f:
+            together = -(-SHARE * directory_bytes(f) // self.range) * self.range or self.range
+            if partition.start % together:
+                return
+            try:
+                archive = zipfile.ZipFile(f)
+            except BROKEN as e:
+                if not partition.start:  # no directory: the archive itself is the one thing to tell
+                    yield pa.RecordBatch.from_pylist([{"archive": partition.uri, "error": f"{type(e).__name__}: {e}"}], schema=MEMBERS)
+                return
             rows, held = [], 0
             for info in archive.infolist():
-                if not partition.start <= info.header_offset < partition.end:
+                if not partition.start <= info.header_offset < partition.start + together:
                     continue
                 data, error = self.member(archive, info)
                 rows.append({"archive": partition.uri, "member": info.filename, "offset": info.header_offset, "media": data, "error": error})
@@ -180,6 +200,22 @@ class ArchiveReader(DataSourceReader):
                 yield pa.RecordBatch.from_pylist(rows, schema=MEMBERS)
 
 
+def directory_bytes(f) -> int:
+    """The size of an archive's directory, from the record at its end; 0 if there is none, or it is too large for the plain record."""
+    size = f.size()
+    f.seek(max(0, size - (1 << 16) - 22))
+    tail = f.read()
+    at = tail.rfind(b"PK\5\6")
+    f.seek(0)
+    if at < 0 or len(tail) < at + 22:
+        return 0
+    found = struct.unpack_from("<I", tail, at + 12)[0]
+    if found < 0xFFFFFFFF:
+        return found
+    far = tail.rfind(b"PK\6\6")  # the record for archives over 4 GB
+    return struct.unpack_from("<Q", tail, far + 40)[0] if 0 <= far <= len(tail) - 48 else 0
+
+
 MEMBERS = pa.schema([("archive", pa.string()), ("member", pa.string()), ("offset", pa.int64()), ("media", pa.binary()), ("error", pa.string())])
 
 
@@ -197,15 +233,31 @@ class ArchiveSource(DataSource):
         return ArchiveReader(self.options)
 
 
-def store(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[str, list[str]]:
-    """Write all texts of ``df`` to archives in a new folder of the shared one: the folder and the archives' names."""
+#: Where a folder keeps the names of the archives that whole tasks have written.
+LIST = "listed.parquet"
+
+
+def store(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> str:
+    """Write all texts of ``df`` to archives in a new folder of the shared one, with the list of those that count: the folder.
+
+    A null text is an empty one. A null id is kept as such, equal ids as members of their own; other columns are
+    not read. An empty table gives a folder with an empty list.
+    """
     spark = df.sparkSession
-    folder = f"{shared_folder(spark)}/cohortflow/media-{uuid.uuid4().hex}"
+    folder = new_path(spark, "media")
     system, base = filesystem(folder)
     system.create_dir(base, recursive=True)
     sent = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    written = sent.mapInArrow(write_archives(folder), "name string, members long").collect()
-    return folder, sorted(r["name"] for r in written)
+    with writing(spark):
+        sent.mapInArrow(write_archives(folder), "name string, members long").write.parquet(f"{folder}/{LIST}")
+    return folder
+
+
+def id_of(member: str | None) -> int | None:
+    """The id in a member's name: null for null ids, for names that hold none and for numbers that no id can be."""
+    key = (member or "").rpartition("/")[2].removesuffix(".png")
+    plain = key.removeprefix("-")
+    return int(key) if plain.isascii() and plain.isdigit() and len(plain) < 20 and -(1 << 63) <= int(key) < 1 << 63 else None
 
 
 def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,8 +265,7 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for row in batch.to_pylist():
-            key = row["member"].rpartition("/")[2].removesuffix(".png")
-            out = {"doc_id": None if key == "null" else int(key), "error": row["error"]}
+            out = {"doc_id": id_of(row["member"]), "error": row["error"]}
             if row["media"] is not None:
                 try:
                     samples = from_png(row["media"])
@@ -228,7 +279,7 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         "media_sha256": hashlib.sha256(row["media"]).hexdigest(),
                         "feature": feature(samples),
                     }
-                except (ValueError, zlib.error) as e:
+                except (*BROKEN, MemoryError) as e:
                     out["error"] = f"{type(e).__name__}: {e}"
             rows.append(out)
         yield pa.RecordBatch.from_pylist(rows, schema=_COLUMNS)
@@ -238,15 +289,14 @@ _COLUMNS = pa.schema([("doc_id", pa.int64()), *[(c, pa.int64()) for c in ("n_byt
 COLUMNS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, error string"
 
 
-def media_columns(spark: SparkSession, folder: str, names: list[str] | None = None, range_bytes: int = RANGE) -> DataFrame:
-    """The columns of every member of the folder's archives (or of those named): ``COLUMNS``.
+def media_columns(spark: SparkSession, folder: str, listed: bool = False, range_bytes: int = RANGE) -> DataFrame:
+    """The columns of every member of the folder's archives (or of those in its list): ``COLUMNS``.
 
-    ``error`` is null but for a member that could not be read or decoded, whose other columns are then null.
+    ``error`` is null but for a member that could not be read or decoded, or an archive without a directory, whose
+    other columns are then null. ``doc_id`` is null where a member's name is no number; that is no error.
     """
     spark.dataSource.register(ArchiveSource)
-    reader = spark.read.format("archive_members").option("rangeBytes", range_bytes)
-    if names:
-        reader = reader.option("names", ",".join(names))
+    reader = spark.read.format("archive_members").option("rangeBytes", range_bytes).option("listed", listed)
     return reader.load(folder).mapInArrow(describe, COLUMNS)
 
 
@@ -256,10 +306,7 @@ def texts_as_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A null or empty text is one unit of padding. Equal texts give equal media; null and equal ids stay
     apart as rows; an empty table gives no rows. A task holds one text and one batch of members at a time.
     """
-    folder, names = store(df, id_col, text_col)
-    if not names:
-        return df.sparkSession.createDataFrame([], COLUMNS)
-    return media_columns(df.sparkSession, folder, names)
+    return media_columns(df.sparkSession, store(df, id_col, text_col), listed=True)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

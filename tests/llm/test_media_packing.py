@@ -91,13 +91,90 @@ def test_round_trip(docs, no_docs):
 
 
 def test_ranges_cover_every_member_once(docs):
-    folder, names = media.store(docs.repartition(2))
+    folder = media.store(docs.repartition(2))
     spark = docs.sparkSession
-    for size in (100, 1000, 1 << 20):
-        assert media.media_columns(spark, folder, names, size).count() == docs.count()
+    for size in (100, 1000, 5000, 1 << 20):
+        assert media.media_columns(spark, folder, True, size).count() == docs.count()
     assert media.media_columns(spark, folder).count() == docs.count()
 
 
+def test_a_directory_is_read_by_few_ranges(tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        for i in range(300):
+            z.writestr(f"{i}/{i}.png", media.to_png(media.pad(b"x" * i)))
+    size = (tmp_path / "a.zip").stat().st_size
+    reader = media.ArchiveReader({"path": f"file://{tmp_path}", "rangeBytes": "2000"})
+    parts = reader.partitions()
+    found = [[m for b in reader.read(p) for m in b.column("member").to_pylist()] for p in parts]
+    assert len(parts) == -(-size // 2000) and sorted(sum(found, [])) == sorted(f"{i}/{i}.png" for i in range(300))
+    with (tmp_path / "a.zip").open("rb") as f:
+        import pyarrow as pa
+
+        directory = media.directory_bytes(pa.PythonFile(f))
+    assert 0 < directory and sum(map(bool, found)) <= max(1, -(-size // (media.SHARE * directory)))
+
+
+def test_only_listed_archives_count(spark, docs, tmp_path):
+    folder = media.store(docs)
+    with zipfile.ZipFile(folder.removeprefix("file://") + "/orphan.zip", "w") as z:
+        z.writestr("0/77.png", media.to_png(media.pad(b"of a task that failed")))
+    assert media.media_columns(spark, folder, True).count() == docs.count()
+    assert media.media_columns(spark, folder).count() == docs.count() + 1
+
+
+def test_foreign_and_damaged_members(spark, tmp_path):
+    good = media.to_png(media.pad(b"fine"))
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("0/1.png", good[:-10])  # whole as a member, cut as a picture
+        z.writestr("cover.png", good)
+        z.writestr("1/99999999999999999999.png", good)
+        z.writestr("2/-5.png", good)
+        z.writestr("3/x\u0663.png", good[:20])
+        z.writestr("4/7.png", b"")
+        z.writestr("5/8.png", good)
+    raw = bytearray((tmp_path / "a.zip").read_bytes())
+    for name, flag in ((b"5/8.png", 1),):  # as if it were encrypted
+        at = raw.rindex(name) - 46
+        raw[at + 8] |= flag
+        raw[raw.index(name) - 30 + 6] |= flag
+    (tmp_path / "a.zip").write_bytes(bytes(raw))
+    (tmp_path / "b.zip").write_bytes(b"PK nothing")
+    rows = media.media_columns(spark, f"file://{tmp_path}").collect()
+    assert Counter((r["doc_id"], r["n_bytes"], r["error"] is None) for r in rows) == Counter([(1, None, False), (None, 4, True), (None, 4, True), (-5, 4, True), (None, None, False), (7, None, False), (8, None, False), (None, None, False)])
+
+
+def test_a_member_that_fails_at_first():
+    class Flaky:
+        def __init__(self, failures):
+            self.left = failures
+
+        def read(self, info):
+            self.left -= 1
+            if self.left >= 0:
+                raise OSError("store is busy")
+            return b"data"
+
+    reader = media.ArchiveReader({"path": "file:///none", "tries": "3"})
+    assert reader.member(Flaky(2), None) == (b"data", None)
+    assert reader.member(Flaky(3), None) == (None, "OSError: store is busy")
+    assert reader.member(type("Odd", (), {"read": lambda self, i: (_ for _ in ()).throw(NotImplementedError("method 99"))})(), None)[1] == "NotImplementedError: method 99"
+
+
+def test_features_as_counted_plainly():
+    import math
+
+    for payload in (media.pad(b""), media.pad(b"some text " * 100), bytes(range(192)) * 3):
+        samples = np.frombuffer(payload, dtype=np.uint8).reshape(-1, media.WIDTH)
+        n, counts = len(payload), Counter(payload)
+        mean = sum(payload) / n
+        spread = math.sqrt(sum((b - mean) ** 2 for b in payload) / n)
+        entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+        bins = [sum(c for b, c in counts.items() if b // 32 == k) * 1000 // n for k in range(8)]
+        got = dict(x.split("=") for x in media.feature(samples).split(";"))
+        assert abs(float(got["mean"]) - mean) < 1e-3 and abs(float(got["std"]) - spread) < 1e-3 and abs(float(got["entropy"]) - entropy) < 1e-3
+        assert got["hist"] == "/".join(map(str, bins))
+
+
 def test_a_bad_member_does_not_stop_the_others(spark, tmp_path):
     good = media.to_png(media.pad(b"fine"))
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
