@@ -84,7 +84,40 @@ def test_mix(docs, no_docs):
     assert all(t == int(target) for t, target in per.values())
     rows, pieces = mixing.mix(no_docs)
     assert rows.count() == 0 and pieces.count() == 0
-    assert mixing.remix(docs).columns == docs.columns and mixing.remix(no_docs).count() == 0
+    assert mixing.remix(no_docs).count() == 0
+
+
+def test_remix_keeps_columns_and_order(spark, docs):
+    out = mixing.remix(docs)
+    assert out.columns == docs.columns
+    whole = Counter(map(tuple, docs.collect()))
+    got = Counter(map(tuple, out.collect()))
+    assert set(got) <= set(whole) and all(n <= 3 * whole[r] for r, n in got.items())
+    rows = [(i, f"w{i} " * (50 + i % 7), "abc"[i % 3], i) for i in range(120)] + [(7, "same words here", "a", 0)] * 400
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, nth long")
+    sized, pieces = mixing.mix(df)
+    size = {r["row"]: (r["doc_id"], r["size"]) for r in sized.collect()}
+    turns, taken = defaultdict(lambda: 1 << 62), Counter()
+    for p in pieces.collect():
+        turns[p["row"], p["epoch"]] = min(turns[p["row"], p["epoch"]], p["slot"])
+        taken[p["row"]] += p["length"]
+    want = []
+    for r, (i, n) in size.items():
+        copies = (2 * taken[r] + n) // (2 * n)
+        want += [(slot, r, i) for slot in sorted(v for (row, _), v in turns.items() if row == r)[:copies]]
+    # One file a part, named in order: the rows as they will be read.
+    assert [r["doc_id"] for r in mixing.remix(df).collect()] == [i for _, _, i in sorted(want)]
+
+
+def test_shuffled_slots_change_the_result(spark, sf_dir, monkeypatch, check_same, duck):
+    plain = mixing.schedule
+
+    def turned(targets, block):
+        return plain(targets, block).withColumn("slot", 100_000 - F.col("slot"))
+
+    monkeypatch.setattr(mixing, "schedule", turned)
+    with pytest.raises(AssertionError):
+        check_same(mixing.query(spark, sf_dir), duck.execute(mixing.SQL).df())
 
 
 def test_slots_are_even(spark):
@@ -147,10 +180,23 @@ def near_parts(text):
             ok = {"assign": len(m[1]) >= 8, "key": len(m[1]) == 40 and not re.fullmatch("[0-9a-f]+", m[1])}.get(kind, True)
             found += [(kind, *m.span())] if ok else []
 
-    def near(f, start, end):
-        return any(secrets.FAMILY.get(k) == f and a <= end + 256 and b >= start - 256 for k, a, b in found)
+    rank = secrets.KINDS.index
+
+    def nearest(f, kind, start, end):
+        def distance(p):
+            k, a, b = p
+            before = (a, rank(k)) < (start, rank(kind))
+            return (max(0, start - b, a - end), not before, -b if before else a, -a if before else rank(k))
+
+        near = [p for p in found if secrets.FAMILY.get(p[0]) == f and p[1] <= end + 256 and p[2] >= start - 256]
+        return min(near, key=distance, default=None)
 
-    return {(k, a, b) for k, a, b in found if k in secrets.NEEDS and all(near(f, a, b) for f in secrets.NEEDS[k])}
+    out = set()
+    for k, a, b in found:
+        links = [nearest(f, k, a, b) for f in secrets.NEEDS.get(k, ())]
+        if links and all(links):
+            out.add((k, a, b, "+".join(f"{x}:{y}:{z}" for x, y, z in links)))
+    return out
 
 
 def test_parts_are_near_by_their_edges(spark):
@@ -167,7 +213,7 @@ def test_parts_are_near_by_their_edges(spark):
     rows, spans = secrets.scan(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
     got = defaultdict(set)
     for r in rows.join(spans.where(~F.col("kind").isin(*secrets.BASE)), "row").collect():
-        got[r["doc_id"]].add((r["kind"], r["start"], r["end"]))
+        got[r["doc_id"]].add((r["kind"], r["start"], r["end"], r["links"]))
     assert [got[i] for i in range(len(texts))] == [near_parts(t) for t in texts]
     assert [len(got[i]) for i in range(14)] == [1, 1, 1, 1, 1, 1, 0, 1, 1, 0, 1, 1, 0, 0]
     out = secrets.redact(spark.createDataFrame([(1, f"token={long} {session}", 0)], "doc_id long, text string, n_chars long"))
@@ -180,7 +226,10 @@ def test_redaction(spark, docs, no_docs):
     got = sorted((r["text"] or "", r["n_chars"]) for r in out.collect())
     masked = "a <assign> b <hex> c"
     assert got == sorted([(masked, len(masked)), ("clean", 5), ("clean", 5), ("", 0), (masked, len(masked))])
-    assert secrets.redact(docs).columns == docs.columns and secrets.redact(docs).count() == docs.count()
+    # Nothing to hide there, and names that clash come back with their own values.
+    assert secrets.redact(docs).columns == docs.columns and Counter(map(tuple, secrets.redact(docs).collect())) == Counter(map(tuple, docs.collect()))
+    hidden = secrets.redact(docs.withColumn("text", F.lit(text)))
+    assert Counter(map(tuple, hidden.collect())) == Counter(map(tuple, docs.withColumn("text", F.lit(masked)).withColumn("n_chars", F.lit(len(masked)).cast("long")).collect()))
     assert secrets.redact(no_docs).count() == 0
     assert secrets.scan(docs)[0].count() == docs.count()
 
