@@ -9,12 +9,14 @@ enough: its unshared shingles fill the prefix first, so most classes drop out he
 
 Classes that meet in a prefix shingle are candidates, each pair once, less what the
 length, positional and suffix filters exclude; what is left is verified on the whole
-sets. Copies of one text meet in the same shingles, and all their pairs would grow
-with the square of the group. So each list first pairs its members with two of
-them only, and what links there is one component from then on. Then only members of
-different components are compared, block against block within a task, from which
-only links come out. A link within a component changes no component, so none that
-matters is lost.
+sets, once a pair. Copies of one text meet in the same shingles, and all their pairs
+would grow with the square of the group. So each list first pairs its members with two
+of them only, and what links there is one component from then on. Then only members of
+different components are candidates of each other. They meet in blocks within a task,
+from which only links come out: a pair belongs to the first prefix shingle that both
+hold, and to the side that is not of that list's largest component (of two such sides,
+the smaller class); pairs that failed before are left out. A link within a component
+changes no component, so none that matters is lost.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortflow.llm import common
 from cohortflow.llm.common import cut, documents
 from cohortflow.llm.shingles import mix, release, shingles, spans_hash, text_slices, words
 
@@ -34,8 +37,8 @@ N = 5
 PERCENT = 75
 #: Shingles that a task gathers before it sends blocks.
 FLUSH = 1 << 20
-#: Classes and list members that are verified in one block, and set elements compared at once.
-QUERIES, MEMBERS, STRETCH = 512, 256, 4096
+#: Classes and list members that meet in one block, set elements gathered at once, and stretches of the suffix filter.
+QUERIES, MEMBERS, GATHER, BUCKETS = 512, 256, 1 << 22, 16
 
 #: A shingle that a task meets so often in one flush is common: it takes the last place in every order
 #: and is not counted, so that no part gets a row for each text that holds it.
@@ -249,160 +252,230 @@ def to_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def overlap_bound(a: np.ndarray, b: np.ndarray) -> int:
-    """The suffix filter: sorted sets cut at the same points can share the smaller count of each stretch at most."""
-    cuts = a[:: max(1, len(a) // 16)]
-    at_a, at_b = np.searchsorted(a, cuts), np.searchsorted(b, cuts)
-    in_a, in_b = np.diff(at_a, prepend=0, append=len(a)), np.diff(at_b, prepend=0, append=len(b))
-    return int(np.minimum(in_a, in_b).sum())
+def stretch(h: np.ndarray) -> np.ndarray:
+    """Which of the suffix filter's stretches of hash values each element falls into."""
+    return (h.view(np.uint64) >> np.uint64(60)).astype(np.int64)
+
+
+def suffix_counts(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many elements of ``h`` after each place in ``at`` fall into each stretch."""
+    inside = np.zeros((len(h) + 1, BUCKETS), dtype=np.int32)
+    inside[np.arange(len(h)), stretch(h)] = 1
+    after = inside[::-1].cumsum(axis=0)[::-1]
+    return after[at + 1]
+
+
+def need(total: np.ndarray | int, percent: int) -> np.ndarray | int:
+    """The fewest shared elements that link sets of so many in all: 100 shared >= percent * (total - shared)."""
+    return -(-percent * total // (100 + percent))
 
 
 def verify(percent: int):
-    """Pairs with their sets to the pairs that link."""
+    """Pairs with their sets to ``x, y, member, ok``: whether they link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, last, a = [], None, None
+            keep, last, a, whole = [], None, None, None
             x, y, sx, sy, hx, hy = (batch.column(k) for k in ("x", "y", "size_x", "size_y", "hashes_x", "hashes_y"))
             for i in range(batch.num_rows):
                 if x[i].as_py() != last:
                     last = x[i].as_py()
                     a = np.sort(np.frombuffer(hx[i].as_buffer(), dtype=np.int64))
-                b = np.sort(np.frombuffer(hy[i].as_buffer(), dtype=np.int64))
-                total = sx[i].as_py() + sy[i].as_py()
-                # 100 shared >= percent * union, with union = total - shared
-                need = -(-percent * total // (100 + percent))
-                ok = overlap_bound(a, b) >= need
+                    whole = np.bincount(stretch(a), minlength=BUCKETS)
+                b = np.frombuffer(hy[i].as_buffer(), dtype=np.int64)
+                least = need(sx[i].as_py() + sy[i].as_py(), percent)
+                ok = int(np.minimum(whole, np.bincount(stretch(b), minlength=BUCKETS)).sum()) >= least
                 if ok:
                     at = np.searchsorted(a, b)
                     at[at == len(a)] = 0
-                    ok = int((a[at] == b).sum()) >= need
+                    ok = int((a[at] == b).sum()) >= least
                 keep.append(ok)
-            mask = pa.array(keep, type=pa.bool_())
-            yield pa.RecordBatch.from_arrays([x.filter(mask), y.filter(mask)], names=["x", "y"])
+            yield pa.RecordBatch.from_arrays([x, y, batch.column("member"), pa.array(keep, pa.bool_())], names=["x", "y", "member", "ok"])
 
     return run
 
 
-def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``x, y`` of the candidate pairs ``x, y`` whose sets are similar enough."""
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``x, y, member, ok`` of the candidate pairs ``x, y, member``: whether their sets are similar enough."""
     a = sets.select(F.col("class").alias("x"), F.col("size").alias("size_x"), F.col("hashes").alias("hashes_x"))
     b = sets.select(F.col("class").alias("y"), F.col("size").alias("size_y"), F.col("hashes").alias("hashes_y"))
-    return pairs.join(b, "y").join(a, "x").select("x", "y", "size_x", "size_y", "hashes_x", "hashes_y").mapInArrow(verify(percent), "x long, y long")
-
-
-def filtered(met: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of meetings (``x, y`` and sizes and places) that the length and positional filters leave."""
-    met = met.where(F.greatest("size_x", "size_y") * percent <= F.least("size_x", "size_y") * 100)
-    pair = met.groupBy("x", "y").agg(*[F.min(c).alias(c) for c in ("size_x", "size_y", "place_x", "place_y")])
-    most = F.least(F.col("size_x") - F.col("place_x"), F.col("size_y") - F.col("place_y"))
-    return pair.where(most * (100 + percent) >= (F.col("size_x") + F.col("size_y")) * percent).select("x", "y")
+    both = pairs.join(b, "y").join(a, "x").select("x", "y", "member", "size_x", "size_y", "hashes_x", "hashes_y")
+    return both.mapInArrow(verify(percent), "x long, y long, member long, ok boolean")
 
 
 def with_leaders(postings: DataFrame, percent: int) -> DataFrame:
-    """Each list's members paired with two of them, chosen by hashes of the class."""
+    """``x, y, member``: each list's members paired with two of them, chosen by hashes of the class, less what the filters exclude.
+
+    The positional bound is that of the shingle they met in, which may not be their first: what it
+    excludes too much is met again among members of different components.
+    """
     def first(seed: int) -> Column:
         return F.min(F.struct(F.xxhash64("class", F.lit(seed)).alias("o"), F.col("class"), "size", "place"))
 
-    lists = postings.groupBy("hash").agg(F.count("*").alias("n"), F.array(first(1), first(2)).alias("leaders")).where("n > 1")
-    met = postings.join(lists, "hash").select("class", "size", "place", F.explode("leaders").alias("l"))
-    return filtered(sided(met, "l.class", "l.size", "l.place"), percent)
-
-
-def sided(met: DataFrame, cls: str, size: str, place: str) -> DataFrame:
-    """Meetings with the smaller class as x."""
-    met = met.where(F.col("class") != F.col(cls))
-    lower = F.col("class") < F.col(cls)
-    both = {"x": (F.col("class"), F.col(cls)), "size_x": (F.col("size"), F.col(size)), "place_x": (F.col("place"), F.col(place))}
-    out = {}
-    for k, (p, q) in both.items():
-        out[k] = F.when(lower, p).otherwise(q).alias(k)
-        out[k.replace("x", "y")] = F.when(lower, q).otherwise(p).alias(k.replace("x", "y"))
-    return met.select(*out.values())
-
-
-def shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
-    """How many elements each of the sets ``x`` shares with each of ``y``, a stretch of the elements at a time."""
-    hx, hy = np.concatenate(x), np.concatenate(y)
-    both = np.intersect1d(hx, hy)
-    rx, ry = np.repeat(np.arange(len(x)), [len(s) for s in x]), np.repeat(np.arange(len(y)), [len(s) for s in y])
-    out = np.zeros((len(x), len(y)), dtype=np.float32)
-    if not len(both):
-        return out
-    cx, cy = (np.minimum(np.searchsorted(both, h), len(both) - 1) for h in (hx, hy))
-    kx, ky = both[cx] == hx, both[cy] == hy
-    cx, rx, cy, ry = cx[kx], rx[kx], cy[ky], ry[ky]
-    ox, oy = np.argsort(cx, kind="stable"), np.argsort(cy, kind="stable")
-    cx, rx, cy, ry = cx[ox], rx[ox], cy[oy], ry[oy]
-    for lo in range(0, len(both), STRETCH):
-        mx, my = np.zeros((len(x), STRETCH), dtype=np.float32), np.zeros((len(y), STRETCH), dtype=np.float32)
-        for m, c, r in ((mx, cx, rx), (my, cy, ry)):
-            u, v = np.searchsorted(c, [lo, lo + STRETCH])
-            m[r[u:v], c[u:v] - lo] = 1
-        out += mx @ my.T
+    # A table of its own, so that a join with it can be split where a list is long.
+    lists = cut(postings.groupBy("hash").agg(F.count("*").alias("n"), F.array(first(1), first(2)).alias("leaders")).where("n > 1"), "join-lists")
+    met = postings.join(lists, "hash").select("class", "size", "place", F.explode("leaders").alias("l")).where(F.col("class") != F.col("l.class"))
+    met = met.where(F.greatest("size", "l.size") * percent <= F.least("size", "l.size") * 100)
+    pair = met.groupBy(F.least("class", "l.class").alias("x"), F.greatest("class", "l.class").alias("y")).agg(
+        F.min("class").alias("member"), F.min(F.struct("place", F.col("size").alias("a"), F.col("l.size").alias("b"), F.col("l.place").alias("at"))).alias("m"))
+    most = F.least(F.col("m.a") - F.col("m.place"), F.col("m.b") - F.col("m.at"))
+    return pair.where(most * (100 + percent) >= (F.col("m.a") + F.col("m.b")) * percent).select("x", "y", "member")
+
+
+class Side:
+    """One side of a block: its classes' sets, and their places in lists that hold several components."""
+
+    def __init__(self, d: pd.DataFrame) -> None:
+        self.cls, self.comp, self.size = (d[c].to_numpy(np.int64) for c in ("class", "comp", "size"))
+        self.sets = [np.frombuffer(h, dtype=np.int64) for h in d["hashes"]]
+        count = [len(h) for h in d["listed"]]
+        self.row, self.first = np.repeat(np.arange(len(d)), count), np.concatenate([[0], np.cumsum(count)])
+        self.hash, self.place = (np.concatenate([np.asarray(x, dtype=np.int64) for x in d[c]]) for c in ("listed", "places"))
+        self.other = np.concatenate([np.asarray(x, dtype=bool) for x in d["others"]])
+        self.failed = [() if f is None else f for f in d["failed"]]
+        order = np.argsort(self.hash, kind="stable")
+        self.by_hash, self.edges = order, _runs(self.hash[order])
+        self.named = self.hash[order][self.edges[:-1]]
+
+    def list_of(self, i: int) -> np.ndarray:
+        return self.by_hash[self.edges[i] : self.edges[i + 1]]
+
+    def at(self, row: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Where the entry of each row and place is."""
+        key = self.row << 32 | self.place
+        order = np.argsort(key)
+        return order[np.searchsorted(key[order], row << 32 | place)]
+
+    def suffixes(self, entry: np.ndarray) -> np.ndarray:
+        """For each entry, its set's elements after it by stretch of hash values."""
+        out = np.zeros((len(self.row), BUCKETS), dtype=np.int32)
+        for r in np.unique(self.row[entry]).tolist():
+            own = slice(self.first[r], self.first[r + 1])
+            out[own] = suffix_counts(self.sets[r], self.place[own] - (self.size[r] - len(self.sets[r])))
+        return out[entry]
+
+
+def candidates(x: Side, y: Side, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a block to verify: those that first meet here, less what the three filters exclude."""
+    ok = (x.comp[:, None] != y.comp[None, :]) & (np.maximum.outer(x.size, y.size) * percent <= np.minimum.outer(x.size, y.size) * 100)
+    none = np.iinfo(np.int64).max
+    px, py = (np.full(ok.shape, none) for _ in "xy")
+    _, at_x, at_y = np.intersect1d(x.named, y.named, assume_unique=True, return_indices=True)
+    for i, j in zip(at_x.tolist(), at_y.tolist(), strict=True):
+        a, b = x.list_of(i), y.list_of(j)
+        both = np.ix_(x.row[a], y.row[b])
+        px[both] = np.minimum(px[both], x.place[a][:, None])
+        py[both] = np.minimum(py[both], y.place[b][None, :])
+    u, v = np.nonzero(ok & (px < none))
+    if not len(u):
+        return u, v
+    a, b = x.at(u, px[u, v]), y.at(v, py[u, v])
+    mine = x.other[a] & (~y.other[b] | (x.cls[u] < y.cls[v]))
+    least = need(x.size[u] + y.size[v], percent)
+    # No element before the first that both hold is shared, so these bound what is: the positional filter ...
+    mine &= np.minimum(x.size[u] - x.place[a], y.size[v] - y.place[b]) >= least
+    past = np.zeros(ok.shape, dtype=bool)
+    for side, other, of in ((x, y, past), (y, x, past.T)):
+        for i in (i for i, f in enumerate(side.failed) if len(f)):
+            of[i] |= np.isin(other.cls, side.failed[i])
+    mine &= ~past[u, v]
+    u, v, a, b, least = u[mine], v[mine], a[mine], b[mine], least[mine]
+    if not len(u):
+        return u, v
+    # ... and the suffix filter: of each stretch no more than the smaller count is shared.
+    sx, sy, keep = x.suffixes(a), y.suffixes(b), np.zeros(len(u), dtype=bool)
+    for i in range(0, len(u), 1 << 16):
+        j = slice(i, i + (1 << 16))
+        keep[j] = 1 + np.minimum(sx[j], sy[j]).sum(axis=1) >= least[j]
+    return u[keep], v[keep]
+
+
+def overlaps(x: Side, y: Side, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """How many elements the sets of each pair share: verification, ordered by ``u``."""
+    sizes = np.array([len(s) for s in y.sets])
+    _, ids = np.unique(np.concatenate(x.sets + y.sets), return_inverse=True)
+    start = np.concatenate([[0], np.cumsum([len(s) for s in x.sets])])
+    ids_x, ids_y, first = ids[: start[-1]], ids[start[-1] :], np.concatenate([[0], np.cumsum(sizes)])
+    held, out = np.zeros(int(ids.max()) + 1, dtype=bool), np.zeros(len(u), dtype=np.int64)
+    edges = _runs(u)
+    for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        own = ids_x[start[u[i]] : start[u[i] + 1]]
+        held[own] = True
+        n = sizes[v[i:j]]
+        upto, k = np.cumsum(n), 0
+        while k < len(n):  # in gathers of bounded size
+            stop = max(k + 1, int(np.searchsorted(upto, (upto[k - 1] if k else 0) + GATHER, side="right")))
+            size = n[k:stop]
+            ends = np.cumsum(size)
+            at = np.repeat(first[v[i + k : i + stop]] - (ends - size), size) + np.arange(int(ends[-1]))
+            out[i + k : i + stop] = np.add.reduceat(held[ids_y[at]].astype(np.int64), ends - size)
+            k = stop
+        held[own] = False
     return out
 
 
-def block_links(percent: int, every: bool):
-    """Links between one block of classes and one of list members, of different components.
-
-    One link of a class to each component, or ``every`` link.
-    """
+def block_links(percent: int, told: bool):
+    """``x, y, ok`` of one block of classes against one of list members: the links, or all pairs verified if ``told``."""
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"x": np.zeros(0, np.int64), "y": np.zeros(0, np.int64), "ok": np.zeros(0, bool)})
         if left.empty or right.empty:
-            return pd.DataFrame({"x": [], "y": []}, dtype="int64")
-        x, y, cx, cy = (d[c].to_numpy(np.int64) for c in ("class", "comp") for d in (left, right))
-        sx, sy = left["size"].to_numpy(np.int64), right["size"].to_numpy(np.int64)
-        ok = (cx[:, None] != cy[None, :]) & (np.maximum.outer(sx, sy) * percent <= np.minimum.outer(sx, sy) * 100)
-        rows, columns = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
-        if not len(rows):
-            return pd.DataFrame({"x": [], "y": []}, dtype="int64")
-        a, b = ([np.frombuffer(h, dtype=np.int64) for h in d["hashes"].iloc[at]] for d, at in ((left, rows), (right, columns)))
-        shared = shared_counts(a, b).astype(np.int64)
-        total = sx[rows][:, None] + sy[columns][None, :]
-        u, v = np.nonzero(ok[np.ix_(rows, columns)] & (100 * shared >= percent * (total - shared)))
-        u, v = rows[u], columns[v]
-        if not every and len(u):
-            _, first = np.unique(np.stack([u, cy[v]]), axis=1, return_index=True)
-            u, v = u[first], v[first]
-        return pd.DataFrame({"x": np.minimum(x[u], y[v]), "y": np.maximum(x[u], y[v])})
+            return empty
+        x, y = Side(left), Side(right)
+        u, v = candidates(x, y, percent)
+        if not len(u):
+            return empty
+        total = x.size[u] + y.size[v]
+        ok = overlaps(x, y, u, v) >= need(total, percent)
+        if not told:
+            u, v, ok = u[ok], v[ok], ok[ok]
+        return pd.DataFrame({"x": np.minimum(x.cls[u], y.cls[v]), "y": np.maximum(x.cls[u], y.cls[v]), "ok": ok})
 
     return run
 
 
-def across(postings: DataFrame, labels: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``x, y`` between list members of different components; every link, if there are no ``labels``.
+def across(postings: DataFrame, labels: DataFrame | None, sets: DataFrame, failed: DataFrame | None, percent: int, told: bool = False) -> DataFrame:
+    """Links ``x, y, ok`` between list members of different components; every link, if there are no ``labels``.
 
     Members of a list's largest component don't meet each other; all others meet the whole list. Those others
-    are put in blocks, like with like, and a block meets all members of its lists, in blocks: a pair is
-    verified once, in whatever number of lists it meets, and only links leave the task.
+    are put in blocks, like with like, and a block meets all members of its lists, in blocks. ``failed``: ``x, y,
+    member`` of pairs that have been verified before. ``told``: all pairs verified here, whether they link or not.
     """
     every = labels is None
     if every:
         named = postings.withColumn("comp", F.col("class"))
     else:
-        named = postings.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
+        named = cut(postings.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class")), "join-named")
     lead = F.min(F.struct(F.xxhash64("class", F.lit(1)).alias("o"), F.col("class")))
     sizes = named.groupBy("hash", "comp").agg(F.count("*").alias("n"), lead.alias("lead"))
     lists = sizes.groupBy("hash").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.min("lead").alias("lead"), F.count("*").alias("comps"))
     lists = lists.where("comps > 1").select("hash", F.lit(None).cast("long").alias("main") if every else "main", F.col("lead.class").alias("lead"), F.col("lead.o").alias("o"))
-    mixed = cut(named.join(lists, "hash"), "join-mixed")
-    other = mixed.where("main is null or comp <> main")
+    mixed = named.join(cut(lists, "join-lists"), "hash").withColumn("other", F.col("main").isNull() | (F.col("comp") != F.col("main")))
+    mixed = cut(mixed.select("hash", "class", "comp", "place", "other", "lead", "o"), "join-mixed")
+    other = mixed.where("other")
     blocks = other.groupBy("class", "comp").agg(F.min_by("lead", F.struct("o", "lead")).alias("lead"))
-    blocks = blocks.join(blocks.groupBy("lead").agg(F.count("*").alias("n")), "lead")
+    blocks = cut(blocks, "join-leads")
+    blocks = blocks.join(cut(blocks.groupBy("lead").agg(F.count("*").alias("n")), "join-lead-sizes"), "lead")
     blocks = cut(blocks.select("class", "comp", "lead", F.pmod(F.xxhash64("class", F.lit(3)), F.ceil(F.col("n") / QUERIES)).alias("block")), "join-blocks")
-    probes = other.join(blocks.select("class", "lead", "block").withColumnRenamed("lead", "of"), "class").select("hash", "of", "block").distinct()
-    members = probes.join(mixed.select("hash", "class", "comp"), "hash").select("of", "block", "class", "comp").distinct()
-    members = cut(members, "join-members")
-    chunks = members.groupBy("of", "block").agg(F.ceil(F.count("*") / MEMBERS).alias("chunks"))
+    probes = cut(other.join(blocks.select("class", "lead", "block").withColumnRenamed("lead", "of"), "class").select("hash", "of", "block").distinct(), "join-probes")
+    members = cut(probes.join(mixed.select("hash", "class"), "hash").select("of", "block", "class").distinct(), "join-members")
+    chunks = cut(members.groupBy("of", "block").agg(F.ceil(F.count("*") / MEMBERS).alias("chunks")), "join-chunks")
     right = members.join(chunks, ["of", "block"]).withColumn("chunk", F.pmod(F.xxhash64("class", F.lit(5)), F.col("chunks"))).drop("chunks")
-    left = blocks.withColumnRenamed("lead", "of").join(chunks, ["of", "block"])
+    left = blocks.select("class", F.col("lead").alias("of"), "block").join(chunks, ["of", "block"])
     left = left.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).drop("chunks")
-    left, right = (d.join(sets.drop("prefix"), "class").select("of", "block", "chunk", "class", "comp", "size", "hashes") for d in (left, right))
+    entries = F.array_sort(F.collect_list(F.struct("place", "hash", "other")))
+    own = mixed.groupBy("class", "comp").agg(entries.alias("e")).select("class", "comp", F.col("e.hash").alias("listed"), F.col("e.place").alias("places"), F.col("e.other").alias("others"))
+    own = own.join(sets.select("class", "size", "hashes"), "class")
+    if failed is None:
+        own = own.withColumn("failed", F.lit(None).cast("array<long>"))
+    else:
+        past = failed.groupBy(F.col("member").alias("class")).agg(F.collect_set(F.when(F.col("x") == F.col("member"), F.col("y")).otherwise(F.col("x"))).alias("failed"))
+        own = own.join(past, "class", "left")
+    own = cut(own, "join-own")
     keys = ["of", "block", "chunk"]
+    left, right = (d.join(own, "class").select(*keys, *own.columns) for d in (left, right))
     left, right = left.toDF(*left.columns), right.toDF(*right.columns)
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(block_links(percent, every), "x long, y long").distinct()
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(block_links(percent, told), "x long, y long, ok boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -441,16 +514,18 @@ def relabelled(labels: DataFrame, more: DataFrame) -> DataFrame:
     return cut(kept.unionByName(single), "join-labels")
 
 
-def classes_and_sets(df: DataFrame, id_col: str, text_col: str, n: int, percent: int, common: int) -> tuple[DataFrame, DataFrame]:
+def classes_and_sets(df: DataFrame, id_col: str, text_col: str, n: int, percent: int, often: int) -> tuple[DataFrame, DataFrame]:
     """``doc_id, class, size`` of every row, and the sets that can have a similar one."""
-    spark = df.sparkSession
+    spark, began = df.sparkSession, len(common.written)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sent = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(to_blocks(n, parts, common), BLOCK)
+    sent = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(to_blocks(n, parts, often), BLOCK)
     counted = cut(sent.repartitionById(parts, F.col("part")).mapInArrow(count_shared(parts), BLOCK), "join-blocks")
     rows = counted.where(F.col("ids").isNotNull()).select("ids", "seen", "classes", "sizes").mapInArrow(_to_rows, "doc_id long, class long, size int")
     blocks = counted.where(F.col("ids").isNull())
     sets = blocks.repartitionById(parts, F.col("part")).mapInArrow(to_sets(percent), SETS)
-    return cut(rows, "join-rows"), cut(sets, "join-sets")
+    rows, sets = cut(rows, "join-rows"), cut(sets, "join-sets")
+    common.remove_tables(spark, began, ("join-rows", "join-sets"))
+    return rows, sets
 
 
 def _to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -461,7 +536,7 @@ def _to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.frombuffer(row["classes"], dtype=np.uint64).astype(np.int64)), pa.array(np.frombuffer(row["sizes"], dtype=np.int32))], names=["doc_id", "class", "size"])
 
 
-def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT, common: int = COMMON) -> DataFrame:
+def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT, often: int = COMMON) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``df``.
 
     Rows link when 100 * shared >= percent * union of their sets; a component's id is its least
@@ -470,43 +545,53 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows with equal ids stay apart. Words and shingles are told apart by 64-bit hashes. An empty table gives
     no rows. Memory: a task holds one part of the shingles, of which there are ``spark.sql.shuffle.partitions``.
     """
-    rows, sets = classes_and_sets(df, id_col, text_col, n, percent, common)
-    postings = cut(sets.select("class", "size", "prefix", "hashes").mapInArrow(to_postings, "hash long, class long, size int, place int"), "join-postings")
-    links = cut(linked_pairs(with_leaders(postings, percent), sets, percent), "join-links")
-    labels = components(links)
-    more = cut(across(postings, labels, sets, percent), "join-links")
-    labels = relabelled(labels, more)
-
-    least = rows.where("size > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    least = least.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-    named = least.join(least.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").select("class", "component_id")
+    began = len(common.written)
+    rows, sets = classes_and_sets(df, id_col, text_col, n, percent, often)
+    labels, _ = linked_classes(sets, percent)
+
+    least = cut(rows.where("size > 0").groupBy("class").agg(F.min("doc_id").alias("least")).join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class")), "join-least")
+    named = least.join(cut(least.groupBy("comp").agg(F.min("least").alias("component_id")), "join-components"), "comp").select("class", "component_id")
+    named = cut(named, "join-final")
+    common.remove_tables(df.sparkSession, began, ("join-rows", "join-final"))
     out = rows.join(named, "class", "left")
     return out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT, common: int = COMMON) -> DataFrame:
-    """The rows of ``df`` but those whose component has a row with a smaller id.
+def linked_classes(sets: DataFrame, percent: int, told: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``class, comp`` of the classes that link with any, and, if ``told``, ``x, y, ok`` of every pair that was verified."""
+    postings = cut(sets.select("class", "size", "prefix", "hashes").mapInArrow(to_postings, "hash long, class long, size int, place int"), "join-postings")
+    tried = cut(verified(with_leaders(postings, percent), sets, percent), "join-tried")
+    labels = components(tried.where("ok"))
+    more = cut(across(postings, labels, sets, tried.where("not ok"), percent, told), "join-links")
+    return relabelled(labels, more.where("ok")), tried.select("x", "y", "ok").unionByName(more)
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT, often: int = COMMON) -> DataFrame:
+    """Of the rows of each component one: that with the least id (a null one is the last), and of these the first.
 
-    Rows with null ids stay. Where ids repeat or are null, of rows with equal ids and texts one stays.
+    It is a row that stays, not an id: of rows with equal ids those in other components are judged by themselves.
+    Null, empty and blank texts link with nothing, so all of them stay. All columns of ``df`` pass through under
+    their own names, in a struct of their own; an empty table gives no rows.
     """
-    found = cut(near_components(df, id_col, text_col, n, percent, common), "join-found")
-    stay = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(id_col)).agg(F.count("*").alias("n"))
-    plain = found.where("doc_id is null").isEmpty() and stay.where("n > 1").isEmpty()
-    kept = df.join(stay.drop("n"), id_col, "left_semi").select(*df.columns)
-    if plain:
-        return kept
-    return kept.unionByName(df.where(F.col(id_col).isNull())).dropDuplicates([id_col, text_col])
+    mine = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
+    whole = cut(df.select(F.monotonically_increasing_id().alias("row"), mine.alias("kept")), "join-whole")
+    at = {c: F.col(f"kept.c{i}") for i, c in enumerate(df.columns)}
+    found = near_components(whole.select("row", at[text_col].alias("text")), "row", "text", n, percent, often)
+    best = F.struct(at[id_col].isNull().alias("none"), at[id_col].alias("id"), "row")
+    narrow = found.select(F.col("doc_id").alias("row"), "component_id").join(whole.select("row", best.alias("best")), "row")
+    stay = narrow.groupBy("component_id").agg(F.min("best").alias("best")).select("best.row")
+    return whole.join(cut(stay, "join-stay"), "row", "left_semi").select(*[at[c].alias(c) for c in df.columns])
 
 
-def near_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT, common: int = COMMON) -> DataFrame:
+def near_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT, often: int = COMMON) -> DataFrame:
     """``x, y``: every link between different texts, as the least ids of the rows with those texts (x's hash is the smaller).
 
-    For inspection: a group of similar texts has as many links as pairs.
+    For inspection: a group of similar texts has as many links as pairs. Texts whose rows have no id are left out.
     """
-    rows, sets = classes_and_sets(df, id_col, text_col, n, percent, common)
+    rows, sets = classes_and_sets(df, id_col, text_col, n, percent, often)
     postings = sets.select("class", "size", "prefix", "hashes").mapInArrow(to_postings, "hash long, class long, size int, place int")
-    links = across(cut(postings, "join-postings"), None, sets, percent)
-    least = rows.groupBy("class").agg(F.min("doc_id").alias("least"))
+    links = across(cut(postings, "join-postings"), None, sets, None, percent).drop("ok")
+    least = cut(rows.groupBy("class").agg(F.min("doc_id").alias("least")), "join-least")
     for side in ("x", "y"):
         links = links.join(least.withColumnRenamed("class", side), side).drop(side).withColumnRenamed("least", side)
     return links.select("x", "y")

@@ -55,7 +55,7 @@ def test_components_as_brute_force(spark):
     for parts, common in (("4", N.COMMON), ("7", 2), ("4", 10)):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
         df = spark.createDataFrame(rows, "doc_id long, text string")
-        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in N.near_components(df, common=common).collect()}
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in N.near_components(df, often=common).collect()}
         assert got == want
     spark.conf.set("spark.sql.shuffle.partitions", "4")
 
@@ -85,19 +85,56 @@ def test_awkward_rows(docs, no_docs):
     assert N.near_components(no_docs).count() == 0
 
 
-def test_keep_one(docs, no_docs):
+def test_keep_one(spark, docs, no_docs):
     kept = N.keep_one(docs)
     assert kept.columns == docs.columns
-    assert Counter(r["doc_id"] for r in kept.collect()) == Counter([1, 5, 6, 7, 8, None, 9, 10] + ([] if 4 not in {r["doc_id"] for r in kept.collect()} else [4]))
+    whole = Counter(map(tuple, docs.collect()))
+    assert set(map(tuple, kept.collect())) <= set(whole)
+    near = [4] if N.near_components(docs).where("doc_id = 4 and component_id = 4").count() else []
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter([1, 5, 6, 7, 8, None, 9, 10] + near)
     assert N.keep_one(no_docs).count() == 0
 
 
+def test_rows_stay_and_not_ids(spark):
+    a, b = "one two three four five six seven", "other words that stand in no way near the first"
+    df = spark.createDataFrame([(1, a, 1), (2, a, 2), (2, b, 3), (None, b, 4), (None, a, 5), (3, b, 6), (3, None, 7), (3, None, 8), (4, "", 9)], "doc_id long, text string, row long")
+    assert sorted(r["row"] for r in N.keep_one(df).collect()) == [1, 3, 7, 8, 9]
+    only = df.where("doc_id is null").unionByName(df.where("doc_id is null"))
+    assert sorted(r["text"] for r in N.keep_one(only).collect()) == sorted([a, b])
+
+
+def test_a_pair_is_verified_once_and_shares_a_prefix(spark):
+    texts = family(2, 25, 30, (1, 4)) + family(5, 40, 90, (1, 5)) + family(6, 60, 300, (2, 14)) + family(7, 40, 200, (4, 10))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, sets = N.classes_and_sets(df, "doc_id", "text", 5, 75, N.COMMON)
+    _, told = N.linked_classes(sets, 75, told=True)
+    pairs = Counter((r["x"], r["y"]) for r in told.collect())
+    assert len(pairs) > 150 and set(pairs.values()) == {1}
+    prefix = {r["class"]: set(np.frombuffer(r["hashes"], dtype=np.int64)[: r["prefix"]].tolist()) for r in sets.collect()}
+    assert all(prefix[x] & prefix[y] for x, y in pairs)
+    assert any(not r["ok"] for r in told.collect()) and any(r["ok"] for r in told.collect())
+
+
 def test_filters():
-    a, b = np.arange(0, 200, 2), np.arange(0, 200, 4)
-    assert N.overlap_bound(a, b) >= len(np.intersect1d(a, b))
-    assert N.overlap_bound(a, a + 10_000) == 0 or N.overlap_bound(a, a + 10_000) < len(a)
-    assert N.shared_counts([a, b], [b]).tolist() == [[50], [50]]
-    assert N.least_shared(np.array([1, 4, 5]), 75).tolist() == [1, 3, 4]
+    a, b = (np.sort(np.random.default_rng(i).integers(-(2**63), 2**63 - 1, 300)) for i in (1, 2))
+    b[:200] = a[50:250]
+    counts = N.suffix_counts(a, np.array([-1, 0, 149, 299]))
+    assert counts.sum(axis=1).tolist() == [300, 299, 150, 0] and counts[2].tolist() == np.bincount(N.stretch(a[150:]), minlength=16).tolist()
+    assert np.minimum(counts[0], N.suffix_counts(b, np.array([-1]))[0]).sum() >= 200
+    assert N.least_shared(np.array([1, 4, 5]), 75).tolist() == [1, 3, 4] and N.need(7, 75) == 3
+
+
+def test_verification_counts():
+    import pandas as pd
+
+    draw = np.random.default_rng(3)
+    sets = [np.unique(draw.integers(0, 400, draw.integers(1, 300))) for _ in range(30)]
+    frame = pd.DataFrame({"class": range(30), "comp": range(30), "size": [len(s) for s in sets], "hashes": [s.tobytes() for s in sets], "listed": [[1]] * 30, "places": [[0]] * 30, "others": [[True]] * 30, "failed": [None] * 30})
+    x, y = N.Side(frame[:10]), N.Side(frame[10:])
+    u, v = (z.ravel() for z in np.meshgrid(range(10), range(20), indexing="ij"))
+    for gather in (7, 1 << 22):
+        N.GATHER = gather
+        assert N.overlaps(x, y, u, v).tolist() == [len(np.intersect1d(sets[i], sets[10 + j])) for i, j in zip(u, v)]
 
 
 def test_components_of_a_chain(spark):
