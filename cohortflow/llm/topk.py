@@ -1,26 +1,40 @@
 """Exact top-k search by inner product with ball trees (operator 10).
 
-Rows are dealt over shards by a hash of their id; each shard builds a ball tree
-over its vectors. A query with norm |q| can score at most q.c + |q|r in a ball
-with centre c and radius r. Blocks of queries walk a shard's balls from the
-highest bound down, keep the k best scores so far and stop where no query's
-bound reaches its kth score. Queries search their own shard first; the kth score
-found there goes with them to the other shards and prunes from the start.
+A bounded sample gives the centres of cells, rows go to the nearest centre's cell, and
+cells of too many rows are dealt on into shards; each shard is a ball of its cell's
+centre and the distance of its farthest row. A query with norm |q| can score at most
+q.c + |q|r in a ball with centre c and radius r. In waves a query goes to the shard of its
+highest bound, then to the next few, then to all that are left; the kth score so far
+goes with it, and shards whose bound it beats are never visited: no row is sent for them.
+Within a shard a ball tree is searched likewise: blocks of queries walk its leaves from
+the highest bound down, sharing each query's kth score from leaf to leaf.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortflow.llm.common import cut
+from cohortflow.llm.shingles import mix
 
 LEAF = 128
 QUERY_BLOCK = 256
-HITS = "query_id long, vec_id long, score long"
+#: Rows of a shard at most, cells at most, sampled rows for each cell, and queries that one group takes.
+SHARD_ROWS, CELLS, SAMPLE, GROUP_QUERIES = 65_536, 1024, 16, 65_536
+#: Shards that a query visits before it is told its kth score: in the first wave, and until the second is over.
+WAVES = (1, 9)
+SPACE = 1 << 20
+#: Whole numbers up to here are exact as doubles, and scores up to here are longs.
+EXACT, LONG = 2.0**53, 2.0**63
+HITS = "query long, query_id long, vec_id long, score long"
 
 
 class BallTree:
@@ -49,46 +63,73 @@ class BallTree:
         self.centres, self.radii = np.array(centres), np.array(radii)
 
 
+def norms(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x**2).sum(axis=1))
+
+
+def bounds(q: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """What each of ``q`` can score in each ball at most, with some slack for rounding."""
+    length = norms(q)[:, None]
+    return q @ centres.T + length * radii[None, :] + 1e-9 * length * (norms(centres) + radii)[None, :] + 1e-3
+
+
+def products(q: np.ndarray, x: np.ndarray, wide: bool) -> np.ndarray:
+    """The integer inner products of whole vectors. ``wide``: they may be beyond what doubles tell apart.
+
+    Sums of longs wrap around, so a score that fits a long is right whatever came between; one that doesn't is an error.
+    """
+    about = q.astype(np.float64) @ x.astype(np.float64).T
+    if not wide:
+        return about.astype(np.int64)
+    if about.size and np.abs(about).max() >= LONG * (1 - 1e-9):
+        raise OverflowError("an inner product is beyond a long")
+    return q @ x.T
+
+
 def better(score: np.ndarray, vec: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k best of each row: highest score, then smallest id."""
     order = np.lexsort((vec, -score), axis=1)[:, :k]
     return np.take_along_axis(score, order, 1), np.take_along_axis(vec, order, 1)
 
 
-NONE = -(2**62)
+NONE = -(2**63) + 1
 
 
-def search(tree: BallTree, x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def search(tree: BallTree, x: np.ndarray, rows: np.ndarray, ids: np.ndarray, q: np.ndarray, q_rows: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Scores and ids of the k best rows of one shard for each query; ``NONE`` where there are fewer.
 
-    ``floor``: a score below which a row can't be among the query's k best anywhere.
-    Sums of whole numbers below 2^53 are exact in doubles; bounds get a little slack for rounding.
+    ``floor``: a score below which a row can't be among the query's k best anywhere. A query's own row is left out.
     """
-    bound = q @ tree.centres.T + np.sqrt((q**2).sum(axis=1))[:, None] * tree.radii[None, :]
-    bound += 1e-9 * np.abs(bound) + 1e-3
+    as_floats = q.astype(np.float64)
+    bound = bounds(as_floats, tree.centres, tree.radii)
+    wide = bool(len(x) and len(q)) and norms(as_floats).max() * (norms(tree.centres) + tree.radii).max() >= EXACT
     best = np.full((len(q), k), NONE, dtype=np.int64)
-    who = np.full((len(q), k), 2**62, dtype=np.int64)
-    kth = floor.astype(np.float64)
+    who = np.full((len(q), k), np.iinfo(np.int64).max, dtype=np.int64)
+    kth = floor.copy()
     for leaf in np.argsort(-bound.max(axis=0), kind="stable"):
         live = np.flatnonzero(bound[:, leaf] >= kth)
         if not len(live):
             continue
         at = tree.leaves[leaf]
-        score = (q[live] @ x[at].T).astype(np.int64)
-        score[q_ids[live][:, None] == ids[at][None, :]] = NONE
+        score = products(q[live], x[at], wide)
+        score[q_rows[live][:, None] == rows[at][None, :]] = NONE
         wins = np.flatnonzero(score.max(axis=1) >= kth[live])
         if not len(wins):
             continue
-        rows = live[wins]
-        merged = np.concatenate([best[rows], score[wins]], axis=1)
-        names = np.concatenate([who[rows], np.broadcast_to(ids[at], (len(rows), len(at)))], axis=1)
-        best[rows], who[rows] = better(merged, names, k)
-        kth[rows] = np.maximum(kth[rows], best[rows][:, -1])
+        mine = live[wins]
+        merged = np.concatenate([best[mine], score[wins]], axis=1)
+        names = np.concatenate([who[mine], np.broadcast_to(ids[at], (len(mine), len(at)))], axis=1)
+        best[mine], who[mine] = better(merged, names, k)
+        kth[mine] = np.maximum(kth[mine], best[mine][:, -1])
     return best, who
 
 
 def whole(vector: Column) -> Column:
-    return F.transform(vector, lambda v: F.floor(F.lit(256) * v.cast("double")).cast("long"))
+    def one(v: Column) -> Column:
+        x = F.lit(256) * v.cast("double")
+        return F.when(F.abs(x) < LONG, F.floor(x).cast("long")).otherwise(F.raise_error(F.lit("a vector's component is beyond a long")).cast("long"))
+
+    return F.transform(vector, one)
 
 
 def usable(vector: Column) -> Column:
@@ -99,64 +140,177 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.forall(vector, finite)
 
 
+def by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The vectors of an Arrow list column by their number of components: the rows, and their matrix."""
+    flat, ends = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), column.value_lengths().to_numpy(zero_copy_only=False)
+    first = np.cumsum(ends) - ends
+    for d in np.unique(ends).tolist():
+        at = np.flatnonzero(ends == d)
+        yield at, flat[first[at][:, None] + np.arange(d)[None, :]]
+
+
+@dataclass
+class Cells:
+    """By number of components: the cells' centres and into how many shards each is dealt; and the shards with their cells and radii."""
+
+    centres: dict[int, np.ndarray]
+    dealt: dict[int, np.ndarray]
+    shards: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
+
+    def of(self, d: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths that the sample lacks have one cell around zero."""
+        return self.centres.get(d, np.zeros((1, d))), self.dealt.get(d, np.ones(1, dtype=np.int64))
+
+
+def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(x), dtype=np.int64)
+    for i in range(0, len(x), 4096):
+        out[i : i + 4096] = ((centres**2).sum(axis=1) - 2 * x[i : i + 4096] @ centres.T).argmin(axis=1)
+    return out
+
+
+def make_cells(sample: list[list[int]], n: int, size: int) -> Cells:
+    """Cells around the leaves of a tree over the sample, dealt by the share of the sample that is nearest."""
+    cells = Cells({}, {})
+    for d in sorted({len(v) for v in sample}):
+        own = [v for v in sample if len(v) == d]
+        x = np.array(own, dtype=np.float64).reshape(len(own), d)
+        rows = n * len(x) / len(sample)
+        wanted = min(CELLS, max(1, round(rows / size)))
+        centres = np.unique(BallTree(x, max(1, -(-len(x) // wanted))).centres, axis=0) if wanted > 1 else x.mean(axis=0)[None, :]
+        share = np.bincount(nearest(x, centres), minlength=len(centres)) / len(x)
+        cells.centres[d], cells.dealt[d] = centres, np.maximum(1, np.ceil(share * rows / size)).astype(np.int64)
+    return cells
+
+
+def shard_name(d: int, cell: np.ndarray, part: np.ndarray) -> np.ndarray:
+    return np.int64(d) << 40 | cell << 28 | part
+
+
+def route(cells: Cells):
+    """``row, vec_id, v`` to their shards, and the distance to its centre."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column("row").to_numpy()
+            shard, away = np.zeros(len(row), dtype=np.int64), np.zeros(len(row))
+            for at, v in by_length(batch.column("v")):
+                x = v.astype(np.float64)
+                centres, dealt = cells.of(v.shape[1])
+                cell = nearest(x, centres)
+                part = (mix(row[at].astype(np.uint64)) % dealt[cell].astype(np.uint64)).astype(np.int64)
+                shard[at], away[at] = shard_name(v.shape[1], cell, part), norms(x - centres[cell])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shard), pa.array(away)], names=[*batch.schema.names, "shard", "away"])
+
+    return run
+
+
+def choose(cells: Cells, first: int, last: int | None):
+    """Queries to the shards of the ``first`` to ``last`` highest bounds, as far as a bound reaches the query's ``floor``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            floor = batch.column("floor").to_numpy()
+            shards: list[list[int]] = [[] for _ in floor]
+            for at, v in by_length(batch.column("v")):
+                names, cell, radius = cells.shards[v.shape[1]]
+                bound = bounds(v.astype(np.float64), cells.of(v.shape[1])[0][cell], radius)
+                order = np.argsort(-bound, axis=1, kind="stable")[:, first:last]
+                ok = np.take_along_axis(bound, order, 1) >= floor[at][:, None]
+                for i, o, keep in zip(at.tolist(), order, ok, strict=True):
+                    shards[i] = names[o[keep]].tolist()
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "vec_id", "v", "floor")), pa.array(shards, pa.list_(pa.int64()))], names=["row", "vec_id", "v", "floor", "shards"])
+
+    return run
+
+
 def shard_search(k: int):
-    """For a cogroup of one shard's vectors and one block of queries."""
+    """For a cogroup of one shard's vectors and some of its queries; the tree is built once for all of them."""
 
-    def run(key: tuple, vectors: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-        if vectors.empty or block.empty:
+    def run(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query", "query_id", "vec_id", "score")})
+        if vectors.empty or queries.empty:
             return empty
-        x = np.stack(vectors["v"].to_numpy()).astype(np.float64)
-        ids = vectors["vec_id"].to_numpy(np.int64)
-        tree = BallTree(x)
+        x = np.stack(vectors["v"].to_numpy()).astype(np.int64)
+        rows, ids = vectors["row"].to_numpy(np.int64), vectors["vec_id"].to_numpy(np.int64)
+        tree = BallTree(x.astype(np.float64))
         found = []
-        for i in range(0, len(block), QUERY_BLOCK):
-            part = block.iloc[i : i + QUERY_BLOCK]
-            q = np.stack(part["v"].to_numpy()).astype(np.float64)
-            q_ids = part["vec_id"].to_numpy(np.int64)
-            best, who = search(tree, x, ids, q, q_ids, part["floor"].to_numpy(np.int64), k)
-            keep = best > NONE
-            found.append(pd.DataFrame({"query_id": np.repeat(q_ids, k)[keep.ravel()], "vec_id": who.ravel()[keep.ravel()], "score": best.ravel()[keep.ravel()]}))
-        return pd.concat(found) if found else empty
+        for i in range(0, len(queries), QUERY_BLOCK):
+            part = queries.iloc[i : i + QUERY_BLOCK]
+            q = np.stack(part["v"].to_numpy()).astype(np.int64)
+            q_rows, q_ids = part["row"].to_numpy(np.int64), part["vec_id"].to_numpy(np.int64)
+            best, who = search(tree, x, rows, ids, q, q_rows, part["floor"].to_numpy(np.int64), k)
+            keep = (best > NONE).ravel()
+            found.append(pd.DataFrame({"query": np.repeat(q_rows, k)[keep], "query_id": np.repeat(q_ids, k)[keep], "vec_id": who.ravel()[keep], "score": best.ravel()[keep]}))
+        return pd.concat(found)
 
     return run
 
 
 def top(hits: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def exact_top_k(df: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int | None = None) -> DataFrame:
+def visit(rows: DataFrame, chosen: DataFrame, k: int, groups: int) -> DataFrame:
+    """Hits of the queries in the shards chosen for them. ``groups``: how many a shard's queries are dealt into at most."""
+    if groups > 1:
+        chosen = cut(chosen, "top-k-chosen")
+    each = chosen.withColumn("shard", F.explode("shards")).drop("shards")
+    if groups == 1:
+        left, right = rows.withColumn("part", F.lit(0)), each.withColumn("part", F.lit(0))
+    else:
+        sizes = cut(each.groupBy("shard").agg(F.ceil(F.count("*") / GROUP_QUERIES).alias("parts")), "top-k-parts")
+        left = rows.join(sizes, "shard").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+        right = each.join(sizes, "shard").withColumn("part", F.pmod(F.xxhash64("row", F.lit(1)), F.col("parts"))).drop("parts")
+    left, right = left.select("row", "vec_id", "v", "shard", "part"), right.select("row", "vec_id", "v", "floor", "shard", "part")
+    left, right = left.toDF(*left.columns), right.toDF(*right.columns)
+    return left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInPandas(shard_search(k), HITS)
+
+
+def exact_top_k(df: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int | None = None, group_queries: int = GROUP_QUERIES) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k rows with the highest integer inner product for each query row.
 
-    Components become floor(256 x). Every usable row is a candidate for every query but the
-    one with its id; only rows of as many components are comparable. Ties go to the smaller id.
+    Components become floor(256 x). Every usable row is a candidate for every query but itself, rows of
+    the same id among them; only rows of as many components are comparable. Ties go to the smaller id.
     Rows whose vector is null or holds a null or a non-finite component, and rows without id, take
-    no part; of rows with equal ids the smallest vector stays. Fewer candidates give fewer ranks, an
-    empty table none. ``is_query`` is a condition on ``vec_id``. Each task holds one shard and one
-    block of as many queries; both grow with the table to 65,536 rows and no further.
+    no part. Fewer candidates give fewer ranks, an empty table none. Scores are exact up to a long; a component or
+    a score beyond it is an error. ``is_query`` is a condition on ``vec_id``. Columns but the two named are not read.
+    Each task holds one shard and as many queries as ``group_queries``, whatever the table's size. The driver gets
+    16,384 sampled vectors at most, and one distance for each shard, which is one for 65,536 rows.
     """
-    rows = df.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), whole(F.col(vector_col)).alias("v"))
-    rows = cut(rows.groupBy("vec_id").agg(F.min("v").alias("v")), "top-k-rows")
+    own = df.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull())
+    rows = cut(own.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), whole(F.col(vector_col)).alias("v")), "top-k-rows")
     n = rows.count()
-    size = shard_rows or min(65_536, max(2_048, n // 48))
-    shards = -(-n // size) or 1
-    rows = rows.withColumns({"dim": F.size("v"), "shard": F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")})
-    queries = rows.where(is_query).withColumn("floor", F.lit(NONE).cast("long"))
-    queries = queries.toDF(*queries.columns)
-    home = queries.groupBy("dim", "shard")
-    first = cut(rows.groupBy("dim", "shard").cogroup(home).applyInPandas(shard_search(k), HITS), "top-k-home")
-    kth = first.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).otherwise(NONE).alias("floor"))
-    told = queries.drop("floor").join(kth, queries["vec_id"] == kth["query_id"], "left").withColumn("floor", F.coalesce("floor", F.lit(NONE).cast("long")))
-    told = told.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(max(1, -(-n // (size * 16))))).cast("int"))
-    away = told.select("vec_id", "v", "dim", "floor", "block", F.explode(F.array_remove(F.sequence(F.lit(0), F.lit(shards - 1)), F.col("shard"))).alias("shard"))
-    away = away.toDF(*away.columns)
-    blocks = told.select("dim", "block").distinct()
-    dealt = rows.join(blocks, "dim").select("vec_id", "v", "dim", "shard", "block")
-    keys = ("dim", "shard", "block")
-    rest = dealt.groupBy(*keys).cogroup(away.groupBy(*keys)).applyInPandas(shard_search(k), HITS)
-    return top(first.unionByName(rest), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    if not n:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    size = shard_rows or min(SHARD_ROWS, max(2_048, n // 48))
+    wanted = SAMPLE * min(CELLS, -(-n // size))
+    few = F.pmod(F.xxhash64("row", F.lit(3)), F.lit(SPACE)) < int(SPACE * min(1.0, wanted / n))
+    cells = make_cells([r["v"] for r in rows.where(few).select("v").limit(2 * wanted).collect()], n, size)
+    rows = cut(rows.mapInArrow(route(cells), "row long, vec_id long, v array<long>, shard long, away double"), "top-k-routed")
+    radii = rows.groupBy("shard").agg(F.max("away").alias("radius")).orderBy("shard").collect()
+    for d in {r["shard"] >> 40 for r in radii}:
+        mine = [r for r in radii if r["shard"] >> 40 == d]
+        names = np.array([r["shard"] for r in mine], dtype=np.int64)
+        cells.shards[d] = names, names >> 28 & 0xFFF, np.array([r["radius"] for r in mine])
+    most = max(len(s[0]) for s in cells.shards.values())
+
+    queries = rows.where(is_query).select("row", "vec_id", "v")
+    groups = -(-queries.count() // group_queries)
+    told, hits, first = queries.withColumn("floor", F.lit(NONE).cast("long")), None, 0
+    for last in (*[w for w in WAVES if w < most], None):
+        chosen = told.mapInArrow(choose(cells, first, last), "row long, vec_id long, v array<long>, floor long, shards array<long>")
+        new = visit(rows, chosen, k, groups)
+        if last is None:
+            hits = new if hits is None else hits.unionByName(new)
+            break
+        new = cut(new, "top-k-hits")
+        hits, first = new if hits is None else hits.unionByName(new), last
+        best = F.slice(F.sort_array(F.collect_list("score"), asc=False), 1, k)
+        kth = hits.groupBy(F.col("query").alias("row")).agg(best.alias("b")).where(F.size("b") == k).select("row", F.element_at("b", k).alias("floor"))
+        told = queries.join(kth, "row", "left").withColumn("floor", F.coalesce("floor", F.lit(NONE).cast("long")))
+    return top(hits, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 K = 5
@@ -169,11 +323,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % {EVERY} = 0),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+  SELECT q.n, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.n <> c.n AND len(q.v) = len(c.v) WHERE q.vec_id % {EVERY} = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {K}
 """

@@ -241,27 +241,64 @@ def test_empty_hash(spark):
 def plain_top(rows, k, every):
     import math
 
-    ok = {}
+    ok = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            w = [math.floor(256 * x) for x in v]
-            ok[i] = min(ok.get(i, w), w)
-    out = set()
-    for q, v in ok.items():
+            ok.append((i, [math.floor(256 * x) for x in v]))
+    out = Counter()
+    for at, (q, v) in enumerate(ok):
         if q % every == 0:
-            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in ok.items() if i != q and len(w) == len(v))[:k]
-            out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(best)}
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for b, (i, w) in enumerate(ok) if b != at and len(w) == len(v))[:k]
+            out.update((q, r + 1, i, -s) for r, (s, i) in enumerate(best))
     return out
 
 
-@pytest.mark.parametrize("shard_rows", [3, 40, 1000])
-def test_top_k(spark, shard_rows):
+@pytest.mark.parametrize(("shard_rows", "group_queries"), [(3, 10_000), (8, 4), (40, 10_000), (1000, 5)])
+def test_top_k(spark, shard_rows, group_queries):
     draw = random.Random(5)
     rows = [(i, [draw.uniform(-1, 1) for _ in range(4)]) for i in range(150)]
-    rows += [(i, [0.5, 0.5, 0.5, 0.5]) for i in range(150, 190)] + [(190, None), (191, [1.0, None, 1.0, 1.0]), (192, [float("nan")] * 4), (193, [float("inf")] * 4), (None, [1.0] * 4), (200, [1.0, 2.0]), (201, []), (10, rows[10][1])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("shard", F.lit("x"))
-    got = topk.exact_top_k(df, F.col("vec_id") % 10 == 0, 5, shard_rows=shard_rows).collect()
-    assert {tuple(r) for r in got} == plain_top(rows, 5, 10)
+    rows += [(i, [0.5, 0.5, 0.5, 0.5]) for i in range(150, 190)] + [(190, None), (191, [1.0, None, 1.0, 1.0]), (192, [float("nan")] * 4), (193, [float("inf")] * 4), (None, [1.0] * 4), (200, [1.0, 2.0]), (201, [])]
+    rows += [(10, rows[10][1]), (10, [0.25, -0.5, 1.0, 1.0]), (20, rows[20][1])]  # ids that repeat, with equal and other vectors
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("shard", F.lit("x")).withColumn("row", F.lit("y"))
+    got = topk.exact_top_k(df, F.col("vec_id") % 10 == 0, 5, shard_rows=shard_rows, group_queries=group_queries).collect()
+    assert Counter(map(tuple, got)) == plain_top(rows, 5, 10)
+
+
+@pytest.mark.parametrize("scale", [1e4, 1e6, 5e6])
+def test_top_k_of_large_components(spark, scale):
+    draw = random.Random(6)
+    rows = [(i, [draw.uniform(-1, 1) * scale for _ in range(2)]) for i in range(60)] + [(60, [scale, scale]), (70, [scale + 1 / 256, scale]), (71, [scale, scale + 1 / 256])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.exact_top_k(df, F.col("vec_id") % 10 == 0, 5, shard_rows=9).collect()
+    assert Counter(map(tuple, got)) == plain_top(rows, 5, 10)
+
+
+@pytest.mark.parametrize("scale", [1e8, 1e300])
+def test_top_k_beyond_a_long_fails(spark, scale):
+    df = spark.createDataFrame([(i, [scale, scale * i]) for i in range(20)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond a long"):
+        topk.exact_top_k(df, F.col("vec_id") % 10 == 0, 5).collect()
+
+
+def test_far_shards_get_no_queries(spark):
+    draw = random.Random(8)
+    rows = [(i, [(i % 8) * 10 + draw.uniform(-1, 1), draw.uniform(-1, 1)]) for i in range(800)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    cut, sent = topk.cut, []
+
+    def counted(frame, name):
+        out = cut(frame, name)
+        if name == "top-k-chosen":
+            sent.append(out.select(F.explode("shards")).count())
+        return out
+
+    topk.cut = counted
+    try:
+        got = topk.exact_top_k(df, F.col("vec_id") % 10 == 0, 5, shard_rows=50, group_queries=40).collect()
+    finally:
+        topk.cut = cut
+    assert Counter(map(tuple, got)) == plain_top(rows, 5, 10)
+    assert sent[0] == 80 and sum(sent) < 80 * 16 / 2
 
 
 def test_top_k_of_nothing(spark):
