@@ -21,26 +21,57 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from cohortflow.llm.common import cut, documents
+from cohortflow.llm.common import cut, documents, running_total
 from cohortflow.llm.shingles import lowered, release, spans_hash, text_slices, words
 
 LENGTH = 2048
 #: Sequences in a window.
 WINDOW = 32
 END = 1
-#: Distinct chunks between white space whose ids a task remembers.
-CACHE = 1_500_000
+#: Distinct chunks between white space whose ids a Python worker remembers from task to task, and the slots of their table.
+CACHE, SLOTS = 1_000_000, 1 << 21
 #: Bytes of text looked up at once: the more, the fewer distinct chunks for each.
 SLICE = 1 << 20
 
-_IDS = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("part", pa.int64()), ("before", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
-IDS = "doc_id long, source string, part long, before long, n long, ids binary"
+_IDS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("source", pa.string()), ("n", pa.int64()), ("ids", pa.binary())])
+IDS = "row long, doc_id long, source string, n long, ids binary"
 _PIECES = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+class Numbers:
+    """Numbers of 64-bit keys in a table of open slots, looked up and added whole arrays at a time."""
+
+    def __init__(self, slots: int = SLOTS) -> None:
+        self.key, self.number, self.mask, self.count = np.zeros(slots, dtype=np.uint64), np.full(slots, -1, dtype=np.int32), slots - 1, 0
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(20)).astype(np.int64) & self.mask
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 for those not there."""
+        out, at = np.full(len(keys), -1, dtype=np.int64), self.places(keys)
+        left = np.arange(len(keys))
+        while len(left):
+            found = self.number[at]
+            hit = (found >= 0) & (self.key[at] == keys[left])
+            out[left[hit]] = found[hit]
+            more = ~hit & (found >= 0)
+            left, at = left[more], at[more] + 1 & self.mask
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Number keys that are not there, each once, from the count on."""
+        at, left = self.places(keys), np.arange(len(keys))
+        while len(left):
+            free = self.number[at] < 0
+            self.number[at[free]], self.key[at[free]] = self.count + left[free], keys[left[free]]
+            lost = self.key[at] != keys[left]  # the slot was taken, or another of these took it
+            left, at = left[lost], at[lost] + 1 & self.mask
+        self.count += len(keys)
+
+
 class ChunkTokenizer:
     """Ids of whole texts from the ids of their chunks between white space, which the tokenizer drops.
 
@@ -70,12 +101,12 @@ class ChunkTokenizer:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known = Numbers()
         self.pool, self.used = np.zeros(1 << 20, dtype=np.uint32), 0
         self.start, self.length = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
 
-    def add(self, keys: list[int], ids: np.ndarray, lengths: np.ndarray) -> None:
-        n, first = len(keys), len(self.known)
+    def add(self, keys: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        n, first = len(keys), self.known.count
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         while first + n > len(self.start):
@@ -84,7 +115,7 @@ class ChunkTokenizer:
         self.length[first : first + n] = lengths
         self.start[first : first + n] = self.used + np.cumsum(lengths) - lengths
         self.used += len(ids)
-        self.known.update(zip(keys, range(first, first + n), strict=True))
+        self.known.add(keys)
 
     def learn(self, keys: np.ndarray, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Add the chunks ``low[starts:ends]`` by their keys."""
@@ -102,32 +133,30 @@ class ChunkTokenizer:
         last = low[ends - 1]
         pure = np.flatnonzero(count == size)
         stopped = np.flatnonzero((count == size - 1) & (size > 1) & np.isin(last, list(self.stop)))
-        bases = spans_hash(low.astype(np.uint64) + np.uint64(1), starts[stopped], ends[stopped] - 1).tolist()
-        whole = dict(zip(keys[pure].tolist(), chunks(pure), strict=True))
-        for base, c in zip(bases, chunks(stopped), strict=True):
-            if base not in self.known:
-                whole[base] = c[:-1]
-        if whole:
-            ids = self.encode(b" ".join(whole.values()).decode())
-            self.add(list(whole), ids, np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1))
+        bases = spans_hash(low.astype(np.uint64) + np.uint64(1), starts[stopped], ends[stopped] - 1)
+        new = (self.known.get(bases) < 0) & ~np.isin(bases, keys[pure])
+        alone, at = np.unique(bases[new], return_index=True)
+        if len(pure) or len(alone):
+            ids = self.encode(b" ".join([*chunks(pure), *(c[:-1] for c in chunks(stopped[new][at]))]).decode())
+            self.add(np.concatenate([keys[pure], alone]), ids, np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1))
         if len(stopped):
-            at = np.array([self.known[b] for b in bases], dtype=np.int64)
+            at = self.known.get(bases)
             length = self.length[at] + 1
             edge = np.cumsum(length)
             where = np.repeat(self.start[at] - (edge - length), length) + np.arange(int(edge[-1]))
             ids = self.pool[np.minimum(where, self.used - 1)]
             ids[edge - 1] = [self.stop[c] for c in last[stopped].tolist()]
-            self.add(keys[stopped].tolist(), ids, length)
+            self.add(keys[stopped], ids, length)
         rest = np.ones(len(keys), dtype=bool)
         rest[pure] = rest[stopped] = False
-        other = list(zip(keys[rest].tolist(), chunks(np.flatnonzero(rest)), strict=True))
-        plain = [(k, c.decode()) for k, c in other if b"<|" not in c]
-        odd = [k for k, c in other if b"<|" in c]
-        if plain:
-            ids = self.encode(self.part.join(c for _, c in plain))
+        rest = np.flatnonzero(rest)
+        other = chunks(rest)
+        odd = np.array([b"<|" in c for c in other], dtype=bool)
+        if not odd.all():
+            ids = self.encode(self.part.join(c.decode() for c, x in zip(other, odd.tolist(), strict=True) if not x))
             edges = np.concatenate([[-1], np.flatnonzero(ids == self.part_id), [len(ids)]])
-            self.add([k for k, _ in plain], ids[ids != self.part_id], np.diff(edges) - 1)
-        self.add(odd, np.zeros(0, dtype=np.uint32), np.zeros(len(odd), dtype=np.int64))  # not used
+            self.add(keys[rest[~odd]], ids[ids != self.part_id], np.diff(edges) - 1)
+        self.add(keys[rest[odd]], np.zeros(0, dtype=np.uint32), np.zeros(int(odd.sum()), dtype=np.int64))  # not used
 
     def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts ``data[offsets[i]:offsets[i + 1]]`` end to end, and where each begins (and the end)."""
@@ -135,17 +164,18 @@ class ChunkTokenizer:
         inverse, u = pd.factorize(hashes)
         where = np.empty(len(u), dtype=np.int64)
         where[inverse[::-1]] = np.arange(len(hashes))[::-1]
-        keys = u.tolist()
-        index = [self.known.get(k, -1) for k in keys]
-        new = [i for i, k in enumerate(index) if k < 0]
-        if new and len(self.known) + 2 * len(new) > CACHE:
+        index = self.known.get(u)
+        new = np.flatnonzero(index < 0)
+        if len(new) and self.known.count + 2 * len(new) > CACHE:
             self.clear()
-            new = list(range(len(keys)))
-        if new:
+            new = np.arange(len(u))
+            while len(self.known.key) < 4 * len(new):  # a single text of more chunks
+                self.known = Numbers(2 * len(self.known.key))
+        if len(new):
             at = where[new]
             self.learn(u[new], lowered(data), starts[at], ends[at])
-            index = [self.known[k] for k in keys]
-        at = np.array(index, dtype=np.int64)[inverse]
+            index = self.known.get(u)
+        at = index[inverse]
         length = self.length[at]
         upto = np.concatenate([[0], np.cumsum(length)])
         step = np.ones(int(upto[-1]), dtype=np.int64)  # within a chunk the next id is the next of the pool
@@ -164,7 +194,7 @@ class ChunkTokenizer:
         return ids, bounds
 
 
-#: Loaded once in each Python worker; what it learned of a task's chunks goes with the task.
+#: Loaded once in each Python worker.
 loaded: dict[str, ChunkTokenizer] = {}
 
 
@@ -175,24 +205,20 @@ def tokenizer_for(path: str) -> ChunkTokenizer:
 
 
 def tokenized(path: str):
-    """``doc_id, text, source`` to ids, with the task's number and the tokens of the source that the task met before."""
+    """``doc_id, text, source`` to ids, under numbers of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_for(path)
-        part = TaskContext.get().partitionId()
-        sent: dict[str | None, int] = {}
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for first, data, offsets in text_slices(batch.column(1), SLICE):
                 ids, at = tokenizer.texts(data, offsets)
                 small = not len(ids) or int(ids.max()) < 65_536
-                rows = []
-                for i in range(len(at) - 1):
-                    s, mine = batch.column(2)[first + i].as_py(), ids[at[i] : at[i + 1]]
-                    n = len(mine) + 1
-                    rows.append({"doc_id": batch.column(0)[first + i].as_py(), "source": s, "part": part, "before": sent.get(s, 0), "n": n, "ids": mine.astype("<u2" if small else "<u4").tobytes()})
-                    sent[s] = sent.get(s, 0) + n
-                yield pa.RecordBatch.from_pylist(rows, schema=_IDS)
-        tokenizer.clear()
+                raw, width = ids.astype("<u2" if small else "<u4").tobytes(), 2 if small else 4
+                n, edges = len(at) - 1, at.tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + n)), batch.column(0).slice(first, n), batch.column(2).slice(first, n), pa.array(np.diff(at) + 1), pa.array([raw[width * a : width * b] for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())], schema=_IDS)
+                row += n
         release()
 
     return run
@@ -211,7 +237,7 @@ def spread(shares: list[int], length: int, window: int):
         def window_starts(k: int) -> list[int]:
             """The place in the whole of each source's run in window k."""
             if k not in starts:
-                if len(starts) > 4096:
+                if len(starts) * len(shares) > 1 << 18:
                     starts.clear()
                 at, out = sum(sent(s, k) for s in range(len(shares))), []
                 for s in range(len(shares)):
@@ -250,24 +276,22 @@ def pack(df: DataFrame, path: str, length: int = LENGTH, window: int = WINDOW, i
     """The pieces of all rows' ids, with the end id, in sequences of ``length``: ``PIECES``.
 
     Each window of ``window`` sequences holds every source in its share of all tokens, to the token, as far as
-    whole tokens go. Queues follow the order of the input's partitions. A null or empty text is its end id alone;
-    a null source is a source; rows with null or equal ids stay apart; an empty table gives no rows. The
-    shares of the sources (a number each) go to all tasks, and so do the tasks' own totals by source.
+    whole tokens go. A queue's rows are in the order of md5 of id, checksum of the ids and their number, so that the
+    result is the same however the input is split. A null or empty text is its end id alone;
+    a null source is a source, the first; rows with null or equal ids stay apart; an empty table gives no rows. Columns
+    but the three named are not read. The sources' totals, a number each, go to the driver and to all tasks.
     """
-    sent = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).cast("string").alias("source"))
+    sent = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{source_col}`").cast("string").alias("source"))
     rows = cut(sent.mapInArrow(tokenized(path), IDS), "pack-ids")
-    by_part = rows.groupBy("source", "part").agg(F.sum("n").alias("n"))
-    queue = Window.partitionBy("source").orderBy("part")
-    totals = cut(by_part.withColumn("base", F.sum("n").over(queue) - F.col("n")), "pack-totals")
-    shares = totals.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.col("source").asc_nulls_first()).collect()
+    key = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.crc32("ids"), "n"))
+    narrow = cut(rows.select("row", "doc_id", "source", "n", key.alias("_h")), "pack-rows")
+    shares = narrow.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.col("source").asc_nulls_first()).collect()
     if not shares:
         return df.sparkSession.createDataFrame([], PIECES)
     names = df.sparkSession.createDataFrame([(r["source"], i) for i, r in enumerate(shares)], "source string, idx int")
-    placed = totals.join(F.broadcast(names), totals["source"].eqNullSafe(names["source"])).select(totals["source"].alias("_s"), F.col("part").alias("_p"), "base", "idx")
-    if totals.count() <= 1_000_000:
-        placed = F.broadcast(placed)
-    at = rows.join(placed, rows["source"].eqNullSafe(placed["_s"]) & (rows["part"] == placed["_p"]))
-    at = at.select("doc_id", "n", "ids", "idx", (F.col("base") + F.col("before")).alias("at"))
+    placed = narrow.join(names, narrow["source"].eqNullSafe(names["source"])).select("row", "doc_id", "n", "_h", "idx", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int").alias("_part"))
+    placed = cut(running_total(placed, ["idx"], "_part", [F.col(c) for c in ("_h", "n", "row")], "n", "at").select("row", "idx", "at"), "pack-places")
+    at = rows.join(placed, "row").select("doc_id", "n", "ids", "idx", "at")
     return at.mapInArrow(spread([r["n"] for r in shares], length, window), PIECES)
 
 

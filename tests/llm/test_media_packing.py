@@ -65,6 +65,78 @@ def test_windows_hold_the_shares(spark, tokenizer):
         assert all(abs(per[w][s] - 1024 * total[s] / n) <= 8 for s in total)
 
 
+def round_robin(rows, length, window):
+    """Places by a plain deficit round robin, token by token: rows are ``doc_id, source, n, key`` in any order."""
+    from fractions import Fraction
+
+    queues = defaultdict(list)
+    for doc_id, source, n, key in sorted(rows, key=lambda r: r[3]):
+        queues[source] += [(doc_id, key, k) for k in range(n)]
+    order = sorted(queues, key=lambda s: (s is not None, s))
+    total = sum(map(len, queues.values()))
+    quantum = {s: Fraction(len(queues[s]) * length * window, total) for s in order}
+    deficit, stream, at = dict.fromkeys(order, Fraction(0)), [], 0
+    while any(queues.values()):
+        for s in order:
+            deficit[s] += quantum[s]
+            send = min(int(deficit[s]), len(queues[s]))
+            deficit[s] -= send
+            stream += [(at, *token) for token in queues[s][:send]]
+            queues[s] = queues[s][send:]
+        at += 1
+    pieces = Counter()
+    begin = 0
+    for i in range(1, len(stream) + 1):
+        # A piece ends where its document, its window's run or its sequence does.
+        if i == len(stream) or i % length == 0 or stream[i][:3] != stream[i - 1][:3] or stream[i][3] != stream[i - 1][3] + 1:
+            _, doc_id, _, start = stream[begin]
+            pieces[doc_id, start, i - begin, begin // length, begin % length] += 1
+            begin = i
+    return pieces
+
+
+@pytest.mark.parametrize(("length", "window"), [(16, 1), (32, 3), (64, 32)])
+def test_places_as_a_plain_round_robin(spark, docs, tokenizer, length, window):
+    texts = [(i, " ".join(f"w{(i * k) % 50}" for k in range(i % 40)), None if i % 7 == 0 else f"s{i % 5 if i % 3 else 0}") for i in range(150)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string, source string")
+    rows = []
+    for i, text, source in texts:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        n, crc = len(ids) + 1, zlib.crc32(np.array(ids, dtype="<u2").tobytes())
+        rows.append((i, source, n, (hashlib.md5(f"{i}|{crc}|{n}".encode()).hexdigest(), n)))
+    want = round_robin(rows, length, window)
+    for parts in (1, 5):
+        got = packing.pack(frame.repartition(parts), WORDS, length, window).collect()
+        assert Counter((p["doc_id"], p["start"], p["length"], p["sequence_id"], p["offset"]) for p in got) == want
+
+
+def test_numbers_of_keys():
+    draw = np.random.default_rng(2)
+    table, want = packing.Numbers(1 << 12), {}
+    for _ in range(6):
+        keys = np.unique(np.concatenate([draw.integers(0, 2**63, 250, dtype=np.uint64), np.arange(3, dtype=np.uint64) << np.uint64(52)]))
+        new = keys[table.get(keys) < 0]
+        want |= {k: len(want) + i for i, k in enumerate(new.tolist())}
+        table.add(new)
+        assert table.get(keys).tolist() == [want[k] for k in keys.tolist()]
+    assert table.count == len(want) and (table.get(draw.integers(2**63, 2**64 - 1, 500, dtype=np.uint64)) == -1).all()
+
+
+def test_a_full_table_starts_anew(tokenizer, monkeypatch):
+    import pyarrow as pa
+
+    from cohortflow.llm.shingles import text_slices
+
+    monkeypatch.setattr(packing, "CACHE", 40)
+    monkeypatch.setattr(packing, "SLOTS", 64)
+    texts = [" ".join(f"tok{i * 37 + k}. {k}<x" for k in range(30)) for i in range(12)]
+    chunked = packing.ChunkTokenizer(WORDS)
+    for _, data, offsets in text_slices(pa.array(texts), 100):
+        ids, at = chunked.texts(data, offsets)
+        want = [tokenizer.encode(data[a:b].tobytes().decode(), add_special_tokens=False).ids for a, b in zip(offsets[:-1], offsets[1:])]
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+
+
 def test_chunks_as_the_library(tokenizer):
     import pyarrow as pa
 
