@@ -3,7 +3,8 @@
 A text's subwords are its three-byte runs of letters (with a mark at a word's ends) and its
 whole words, hashed to rows of an embedding table. Their mean goes through a linear
 softmax. Both are trained by stochastic gradient descent in numpy on a bounded sample of
-labelled rows, in one task. A part of the sample is kept apart to calibrate: a temperature
+labelled rows, in one task; languages share the sample evenly, so a rare one keeps all its
+rows up to its share. Every fifth row of a language is kept apart to calibrate: a temperature
 for the probabilities, and the score below which a prediction counts as rejected.
 For scoring, embeddings and softmax are multiplied into one small table.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import documents
-from cohortflow.llm.sampling import bounded, held_out
+from cohortflow.llm.sampling import bounded_by, held_out
 from cohortflow.llm.shingles import mix, spans_hash, text_slices
 
 BUCKETS = 1 << 16
@@ -28,7 +29,8 @@ DIM = 16
 #: At most about so many labelled rows are learned from.
 TRAIN_ROWS = 6_000
 EPOCHS = 5
-RATE = 0.5
+#: Learning rates of the softmax, of its bias, and of the embeddings: a mean over some hundred subwords gives each a small gradient.
+RATE, BIAS_RATE, EMBEDDING_RATE = 0.5, 0.05, 25.0
 #: The share of calibration rows that are predicted right which may be rejected.
 REJECT = 0.005
 UNKNOWN = "und"
@@ -100,19 +102,20 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(texts: list[bytes], langs: list[str], seed: int = 4) -> Model:
-    """Fit embeddings and softmax, then calibrate on every fifth row."""
+def train(rows: list[tuple[np.ndarray, np.ndarray]], langs: list[str], seed: int = 4) -> Model:
+    """Fit embeddings and softmax, then calibrate on every fifth row of each language.
+
+    Rows are a text's distinct buckets and their shares. Without a row to calibrate on the temperature is 1 and all is accepted.
+    """
     draw = np.random.default_rng(seed)
     names = sorted(set(langs))
     y = np.array([names.index(x) for x in langs])
-    rows = []
-    for t in texts:
-        at, _ = subwords(np.frombuffer(t, dtype=np.uint8), np.array([0, len(t)]))
-        where, n = np.unique(at, return_counts=True)
-        rows.append((where, (n / max(1, n.sum())).astype(np.float64)))
+    met, keep, rest = [0] * len(names), [], []
+    for i, k in enumerate(y.tolist()):
+        (rest if met[k] % 5 == 4 else keep).append(i)
+        met[k] += 1
     emb = draw.normal(0, 0.1, (BUCKETS, DIM))
     out, bias = draw.normal(0, 0.1, (DIM, len(names))), np.zeros(len(names))
-    keep = [i for i in range(len(rows)) if i % 5 != 4 or len(rows) < 10]
     steps, done = EPOCHS * len(keep), 0
     for _ in range(EPOCHS):
         for i in draw.permutation(keep).tolist():
@@ -120,37 +123,52 @@ def train(texts: list[bytes], langs: list[str], seed: int = 4) -> Model:
             h = share @ emb[where]
             p = softmax(h @ out + bias)
             p[y[i]] -= 1
-            rate = RATE * (1 - done / steps)
+            left = 1 - done / steps
             g = out @ p
-            out -= rate * np.outer(h, p)
-            bias -= rate * 0.1 * p
-            # Shares sum to one over some hundred subwords: a step of the mean is spread over them.
-            emb[where] -= rate * np.minimum(1.0, share * 50)[:, None] * g[None, :]
+            out -= RATE * left * np.outer(h, p)
+            bias -= BIAS_RATE * left * p
+            emb[where] -= EMBEDDING_RATE * left * share[:, None] * g[None, :]
             done += 1
-    rest = [i for i in range(len(rows)) if i % 5 == 4] or keep
-    logits = np.stack([rows[i][1] @ emb[rows[i][0]] @ out + bias for i in rest])
-    truth = y[rest]
-    at = np.arange(len(rest))
-    temperature = min((float(t) for t in np.geomspace(0.05, 20, 60)), key=lambda t: -np.log(softmax(logits / t)[at, truth] + 1e-12).sum())
-    right = logits.argmax(axis=1) == truth
-    best = softmax(logits / temperature).max(axis=1)[right]
-    accept = float(np.quantile(best, REJECT)) if len(best) else 0.0
+    temperature, accept = 1.0, 0.0
+    if rest:
+        logits = np.stack([rows[i][1] @ emb[rows[i][0]] @ out + bias for i in rest])
+        truth, at = y[rest], np.arange(len(rest))
+        temperature = min((float(t) for t in np.geomspace(0.05, 20, 60)), key=lambda t: -np.log(softmax(logits / t)[at, truth] + 1e-12).sum())
+        best = softmax(logits / temperature).max(axis=1)[logits.argmax(axis=1) == truth]
+        accept = float(np.quantile(best, REJECT)) if len(best) else 0.0
     return Model(names, (emb @ out).astype(np.float32), bias, temperature, accept)
 
 
+def to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, text, lang`` to the text's distinct buckets and how often each is met: bounded by the buckets, however long the text."""
+    for batch in batches:
+        for first, data, offsets in text_slices(batch.column(1)):
+            at, owner = subwords(data, offsets)
+            keys, counts = np.unique(owner * BUCKETS + at, return_counts=True)
+            n = len(offsets) - 1
+            edges = np.searchsorted(keys, np.arange(n + 1) * BUCKETS).tolist()
+            low, counts = (keys % BUCKETS).astype(np.int32), counts.astype(np.int32)
+            parts = ([x[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)] for x in (low, counts))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), batch.column(2).slice(first, n), *(pa.array(p, pa.binary()) for p in parts)], names=["doc_id", "lang", "at", "met"])
+
+
 def train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = sorted((r["doc_id"], r["text"].encode(), r["lang"]) for b in batches for r in b.to_pylist())
+    rows = sorted((r["doc_id"], r["lang"], r["at"], r["met"]) for b in batches for r in b.to_pylist())
     if rows:
-        model = train([t for _, t, _ in rows], [x for _, _, x in rows])
+        each = [(np.frombuffer(at, dtype=np.int32), np.frombuffer(met, dtype=np.int32).astype(np.float64)) for _, _, at, met in rows]
+        model = train([(at, met / max(1.0, met.sum())) for at, met in each], [x for _, x, _, _ in rows])
         yield pa.RecordBatch.from_pylist([{"model": pickle.dumps(model)}])
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = TRAIN_ROWS) -> Model | None:
-    """A model from at most about ``rows`` rows of ``df`` with a language, a text and an id that is not held out; None without any."""
-    own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    usable = own.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sample = bounded(usable, rows).where(F.col("text").isNotNull())
-    found = sample.repartition(1).mapInArrow(train_task, "model binary").collect()
+    """A model from at most about ``rows`` rows of ``df`` with a language, a text and an id that is not held out; None without any.
+
+    The languages' names and counts go to the driver.
+    """
+    own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    usable = own.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    sample = bounded_by(usable, "lang", rows)
+    found = sample.mapInArrow(to_rows, "doc_id long, lang string, at binary, met binary").repartition(1).mapInArrow(train_task, "model binary").collect()
     return pickle.loads(bytes(found[0]["model"])) if found else None
 
 

@@ -78,6 +78,95 @@ def test_rare_buckets_never_get_a_weight():
     assert a.bias == b.bias and (a.at == b.at).all() and (a.weight == b.weight).all()
 
 
+def plain_language_model(rows, langs, seed=4):
+    """The same steps one number at a time, with the gradients as the chain rule gives them."""
+    import math
+
+    draw = np.random.default_rng(seed)
+    names = sorted(set(langs))
+    emb, out = draw.normal(0, 0.1, (language_id.BUCKETS, language_id.DIM)).tolist(), draw.normal(0, 0.1, (language_id.DIM, len(names))).tolist()
+    bias, seen, keep = [0.0] * len(names), {}, []
+    for i, x in enumerate(langs):
+        if seen.get(x, 0) % 5 != 4:
+            keep.append(i)
+        seen[x] = seen.get(x, 0) + 1
+    steps, done = language_id.EPOCHS * len(keep), 0
+    for _ in range(language_id.EPOCHS):
+        for i in draw.permutation(keep).tolist():
+            shares = dict(zip(rows[i][0].tolist(), rows[i][1].tolist()))
+            h = [sum(s * emb[b][d] for b, s in shares.items()) for d in range(language_id.DIM)]
+            z = [sum(h[d] * out[d][k] for d in range(language_id.DIM)) + bias[k] for k in range(len(names))]
+            e = [math.exp(v - max(z)) for v in z]
+            loss = [v / sum(e) - (names[k] == langs[i]) for k, v in enumerate(e)]
+            left = 1 - done / steps
+            g = [sum(out[d][k] * loss[k] for k in range(len(names))) for d in range(language_id.DIM)]
+            for d in range(language_id.DIM):
+                for k in range(len(names)):
+                    out[d][k] -= language_id.RATE * left * h[d] * loss[k]
+                for b, s in shares.items():
+                    emb[b][d] -= language_id.EMBEDDING_RATE * left * s * g[d]
+            bias = [v - language_id.BIAS_RATE * left * x for v, x in zip(bias, loss)]
+            done += 1
+    return names, np.array(emb) @ np.array(out), np.array(bias)
+
+
+def test_language_steps_are_gradient_steps():
+    draw = np.random.default_rng(9)
+    rows, langs = [], []
+    for i in range(23):
+        at = np.unique(draw.integers(0, 60, 20) + 40 * (i % 3))
+        n = draw.integers(1, 5, len(at)).astype(np.float64)
+        rows.append((at.astype(np.int32), n / n.sum()))
+        langs.append(["a", "b", "c"][i % 3])
+    model = language_id.train(rows, langs)
+    names, table, bias = plain_language_model(rows, langs)
+    assert model.langs == names and np.allclose(model.table, table, atol=1e-4) and np.allclose(model.bias, bias, atol=1e-9)
+
+
+def plain_ftrl(rows, y, seed=5):
+    """FTRL-proximal with dicts, a coordinate at a time."""
+    import math
+
+    draw, z, n = np.random.default_rng(seed), {}, {}
+
+    def weight(b):
+        if b != "bias" and abs(z.get(b, 0.0)) <= toxicity.L1:
+            return 0.0
+        l1, l2 = (0.0, 0.0) if b == "bias" else (math.copysign(toxicity.L1, z[b]), toxicity.L2)
+        return -(z.get(b, 0.0) - l1) / ((toxicity.BETA + math.sqrt(n.get(b, 0.0))) / toxicity.ALPHA + l2)
+
+    for _ in range(toxicity.EPOCHS):
+        for i in draw.permutation(len(y)).tolist():
+            mine = [*rows[i].tolist(), "bias"]
+            w = {b: weight(b) for b in mine}
+            g = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(w.values()))))) - y[i]
+            if abs(g) >= 1e-3:
+                for b in mine:
+                    sigma = (math.sqrt(n.get(b, 0.0) + g * g) - math.sqrt(n.get(b, 0.0))) / toxicity.ALPHA
+                    z[b], n[b] = z.get(b, 0.0) + g - sigma * w[b], n.get(b, 0.0) + g * g
+    return {b: weight(b) for b in z if b != "bias" and weight(b)}, weight("bias")
+
+
+def test_toxicity_steps_as_plain_ftrl():
+    draw = np.random.default_rng(4)
+    rows = [np.unique(np.append(draw.integers(0, 200, 12), 300 if i % 3 == 0 else 301)) for i in range(300)]
+    y = np.array([float(i % 3 == 0) for i in range(300)])
+    model = toxicity.train(np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])]), y)
+    weights, bias = plain_ftrl(rows, y)
+    assert 1 < len(weights) < 150 and dict(zip(model.at.tolist(), model.weight.tolist())) == pytest.approx(weights, rel=1e-6) and model.bias == pytest.approx(bias, rel=1e-6)
+
+
+def test_rare_languages_are_learned(spark):
+    from cohortflow.llm.sampling import bounded_by, even_share
+
+    assert even_share([5, 100, 1000], 300) == 195 and even_share([5, 10], 300) == 10 and even_share([], 5) == 0 and even_share([50, 50], 60) == 30
+    df = spark.range(3000).selectExpr("id as doc_id", "if(id % 1000 = 1, 'rare', if(id % 2 = 0, 'a', 'b')) as lang", "'text' as text")
+    got = {r["lang"]: r["count"] for r in bounded_by(df, "lang", 600).groupBy("lang").count().collect()}
+    assert got["rare"] == 3 and 200 < got["a"] < 400 and 200 < got["b"] < 400
+    few = language_id.fit(spark.createDataFrame([(1, "ein Text", "de"), (3, "a text", "en")], "doc_id long, text string, lang string"))
+    assert few is None or few.temperature == 1.0
+
+
 def test_toxicity_learns_from_16000_rows(spark):
     assert bounded(spark.range(16_000).toDF("doc_id"), toxicity.TRAIN_ROWS).count() == 16_000
 
