@@ -38,7 +38,7 @@ PERCENT = 75
 #: Shingles that a task gathers before it sends blocks.
 FLUSH = 1 << 20
 #: Classes and list members that meet in one block, set elements gathered at once, and stretches of the suffix filter.
-QUERIES, MEMBERS, GATHER, BUCKETS = 512, 256, 1 << 22, 16
+QUERIES, MEMBERS, GATHER, BUCKETS = 256, 128, 1 << 22, 16
 
 #: A shingle that a task meets so often in one flush is common: it takes the last place in every order
 #: and is not counted, so that no part gets a row for each text that holds it.
@@ -414,8 +414,30 @@ def overlaps(x: Side, y: Side, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     return out
 
 
-def block_links(percent: int, told: bool):
-    """``x, y, ok`` of one block of classes against one of list members: the links, or all pairs verified if ``told``."""
+def forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the edges from ``a`` to ``b`` to keep so that the same nodes stay connected: fewer than nodes, however many edges."""
+    names, ends = np.unique(np.stack([a, b]), return_inverse=True)
+    ends = ends.reshape(2, -1)
+    _, first = np.unique(np.sort(ends, axis=0), axis=1, return_index=True)  # one edge for each two nodes
+    label, kept = np.arange(len(names)), []
+    u, v = ends[:, first]
+    while len(u):
+        # Each tree takes its first edge to a tree of a smaller number, and all of them are joined.
+        high, low = np.maximum(u, v), np.minimum(u, v)
+        tree, at = np.unique(high, return_index=True)
+        kept.append(first[at])
+        label[tree] = low[at]
+        while (label[label] != label).any():
+            label = label[label]
+        u, v = label[u], label[v]
+        more = u != v
+        u, v, first = u[more], v[more], first[more]
+    return np.concatenate(kept) if kept else np.zeros(0, dtype=np.int64)
+
+
+def block_links(percent: int, every: bool, told: bool):
+    """``x, y, ok`` of one block of classes against one of list members: of the links as many as keep the same
+    components connected, or ``every`` link, or all pairs verified if ``told``."""
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"x": np.zeros(0, np.int64), "y": np.zeros(0, np.int64), "ok": np.zeros(0, bool)})
@@ -429,6 +451,9 @@ def block_links(percent: int, told: bool):
         ok = overlaps(x, y, u, v) >= need(total, percent)
         if not told:
             u, v, ok = u[ok], v[ok], ok[ok]
+            if not every:
+                at = forest(x.comp[u], y.comp[v])
+                u, v, ok = u[at], v[at], ok[at]
         return pd.DataFrame({"x": np.minimum(x.cls[u], y.cls[v]), "y": np.maximum(x.cls[u], y.cls[v]), "ok": ok})
 
     return run
@@ -475,7 +500,7 @@ def across(postings: DataFrame, labels: DataFrame | None, sets: DataFrame, faile
     keys = ["of", "block", "chunk"]
     left, right = (d.join(own, "class").select(*keys, *own.columns) for d in (left, right))
     left, right = left.toDF(*left.columns), right.toDF(*right.columns)
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(block_links(percent, told), "x long, y long, ok boolean")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(block_links(percent, every, told), "x long, y long, ok boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:

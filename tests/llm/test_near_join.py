@@ -137,6 +137,26 @@ def test_verification_counts():
         assert N.overlaps(x, y, u, v).tolist() == [len(np.intersect1d(sets[i], sets[10 + j])) for i, j in zip(u, v)]
 
 
+def test_a_forest_connects_the_same():
+    draw = np.random.default_rng(5)
+    for n, m in ((1, 1), (5, 9), (40, 30), (60, 2000), (300, 200)):
+        a, b = draw.integers(0, n, m) * 7, draw.integers(0, n, m) * 7 + 1000
+        kept = N.forest(a, b)
+
+        def parts(edges):
+            of = {}
+            for x, y in edges:
+                x, y = of.setdefault(x, {x}), of.setdefault(y, {y})
+                if x is not y:
+                    x |= y
+                    for k in y:
+                        of[k] = x
+            return {frozenset(s) for s in of.values()}
+
+        assert parts(zip(a[kept].tolist(), b[kept].tolist())) == parts(zip(a.tolist(), b.tolist()))
+        assert len(kept) == len({*a.tolist(), *b.tolist()}) - len(parts(zip(a.tolist(), b.tolist())))
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 101), (7, 7)], "x long, y long")
     got = {r["class"]: r["comp"] for r in N.components(edges).collect()}
