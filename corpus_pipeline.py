@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import mixing, near_join, packing, secrets, toxicity
+from cohortflow.llm import common, mixing, near_join, packing, secrets, toxicity
 from cohortflow.llm.common import cut, documents
 
 
@@ -52,7 +52,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """The stages in their order. What a stage wrote on its way is removed once its result stands."""
+    docs, began = documents(spark, sf_dir), len(common.written)
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
+        common.remove_tables(spark, began, (f"stage-{name}",))
     return STAGES[-1][1](spark, docs, sf_dir)
