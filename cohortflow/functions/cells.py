@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Words that stand for a missing cell, in any case.
 NULL_WORDS = ("null", "na", "n/a", "nan", "nil", "nill")
 #: Numbers as the JVM's double parser takes them; usable unchanged in DuckDB.
-NUMBER = r"^[+-]?(NaN|Infinity|((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|0[xX]([0-9a-fA-F]+\.?|[0-9a-fA-F]*\.[0-9a-fA-F]+)[pP][+-]?\d+)[fFdD]?)$"
+NUMBER = r"^[+-]?(?:(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|0[xX](?:[0-9a-fA-F]+\.?|[0-9a-fA-F]*\.[0-9a-fA-F]+)[pP][+-]?\d+)[fFdD]?|NaN|Infinity)$"
 BLANKS = "".join(map(chr, range(0x21)))
 # The literals of a boolean option.
 TRUE_WORDS, FALSE_WORDS = ("true", "yes", "y", "1", "on"), ("false", "no", "n", "0", "off")

@@ -133,9 +133,14 @@ def raw_file_class(name: Column, study: Column) -> Column:
 
 
 def natural_key(name: Column) -> Column:
-    """An array to order names by: runs of digits as numbers, the rest in any case, then shorter first."""
+    """An array to order names by: runs of digits as numbers of any length, the rest in any case, then shorter first."""
     runs = F.regexp_extract_all(F.lower(name), F.lit("(\\d+|\\D+)"), F.lit(1))
-    keys = F.transform(runs, lambda x: F.when(x.rlike("^\\d"), F.lpad(x, 40, "0")).otherwise(x))
+
+    def number(x: Column) -> Column:
+        digits = F.ltrim(x, F.lit("0"))
+        return F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits)  # a longer number is a larger one
+
+    keys = F.transform(runs, lambda x: F.when(x.rlike("^\\d"), number(x)).otherwise(x))
     return F.concat(keys, F.array(F.lpad(F.length(name).cast("string"), 10, "0")))
 
 
@@ -196,23 +201,25 @@ def is_data_failure(stage: Column, exit_label: Column) -> Column:
     return F.coalesce(stage.isin("preflight", "validation"), F.lit(False)) | F.coalesce(exit_label.isin("DATA_ERROR", "VALIDATION_FAILED"), F.lit(False))
 
 
-# The status and the action that each category of review item stands for.
+# The status that each category of review item stands for.
 REVIEW = {
-    "MISSING_DATA": ("NOT_MIGRATED", "stage the missing files, then run the study again"),
-    "MALFORMED_DATA": ("NOT_MIGRATED", "fix the files named, then run the study again"),
-    "DATA_MISMATCH": ("NOT_MIGRATED", "compare subject ids with the patient mapping, then run the study again"),
-    "PIPELINE_FAILURE": ("RERUN_NEEDED", "no data problem: run the study again"),
-    "PARTIAL_DATA": ("MIGRATED_WITH_GAPS", "check whether the dropped rows are expected"),
-    "OUTPUT_WARNING": ("MIGRATED_WITH_GAPS", "check the stage's report"),
-}
+    "MISSING_DATA": "NOT_MIGRATED", "MALFORMED_DATA": "NOT_MIGRATED", "DATA_MISMATCH": "NOT_MIGRATED",
+    "PIPELINE_FAILURE": "RERUN_NEEDED", "PARTIAL_DATA": "MIGRATED_WITH_GAPS", "OUTPUT_WARNING": "MIGRATED_WITH_GAPS",
+}
+#: What a status asks of its reader.
+ACTIONS = {"NOT_MIGRATED": "needs other input", "RERUN_NEEDED": "needs another run", "MIGRATED_WITH_GAPS": "needs a look at its counts"}
+
+
+def looked_up(table: dict[str, str], key: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key)
 
 
 def review_status(category: Column) -> Column:
-    return F.try_element_at(F.create_map(*[F.lit(x) for k, v in REVIEW.items() for x in (k, v[0])]), category)
+    return looked_up(REVIEW, category)
 
 
 def review_action(category: Column) -> Column:
-    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k, v in REVIEW.items() for x in (k, v[1])]), category), F.lit(""))
+    return F.coalesce(looked_up(ACTIONS, review_status(category)), F.lit(""))
 
 
 def row_violation(row_id: Column, path: Column, numeric: Column, text: Column) -> Column:

@@ -43,8 +43,9 @@ def column_profile(cells: DataFrame, field: str = "field", value: str = "value")
 
     ``observed`` is null for a field without values.
     """
+    cells = cells.select(field, trimmed(F.col(value)).alias(value))
     v = F.col(value)
-    there = F.coalesce((trimmed(v) != "") & ~is_null_word(v), F.lit(False))
+    there = F.coalesce((v != "") & ~is_null_word(v), F.lit(False))
     per = cells.groupBy(field).agg(F.count_if(there).alias("n_values"), F.count_if(there & ~is_number(v)).alias("n_text"))
     return per.withColumn("observed", F.when(F.col("n_values") == 0, F.lit(None)).when(F.col("n_text") > 0, "TEXT").otherwise("NUMERIC"))
 
@@ -86,9 +87,10 @@ def fingerprint(files: DataFrame, keys: list[str]) -> DataFrame:
 def content_digest(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """A digest of a group's rows whatever their order: their count and the sum of their hashes.
 
-    For groups of any size; ``file_md5`` is for files that fit one cell.
+    For groups of any size; ``file_md5`` is for the bytes of files. Null cells count as empty.
     """
-    h = F.xxhash64(*columns).cast("decimal(38,0)")
+    text = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
     return rows.groupBy(*keys).agg(F.count("*").alias("rows"), F.md5(F.concat_ws(":", F.count("*"), F.sum(h))).alias("digest"))
 
 

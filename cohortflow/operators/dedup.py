@@ -14,7 +14,7 @@ def with_row_order(df: DataFrame, out: str = "ord") -> DataFrame:
 
     For frames read straight from files. A frame has no order of its own afterwards.
     """
-    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("n"))
+    place = F.struct(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("file_block_start"), F.monotonically_increasing_id().alias("n"))
     return df.select(*df.columns, place.alias(out))
 
 
@@ -41,10 +41,12 @@ def first_usable_consent(df: DataFrame, keys: list[str], code: str, order: str)
 
 def code_conflicts(df: DataFrame, keys: list[str], code: str, order: str) -> DataFrame:
     """Keys with rows whose code differs from the row before: ``keys, conflicts, examples`` (five at most, in order)."""
+    from cohortflow.operators.aggregates import first_examples
+
     before = F.lag(code).over(Window.partitionBy(*keys).orderBy(order))
     rows = df.withColumn("_before", before).where(F.col("_before").isNotNull() & (F.col("_before") != F.col(code)))
-    examples = F.slice(F.array_sort(F.collect_list(F.struct(order, F.concat_ws("->", "_before", code).alias("change")))), 1, 5)
-    return rows.groupBy(*keys).agg(F.count("*").alias("conflicts"), F.transform(examples, lambda x: x["change"]).alias("examples"))
+    rows = rows.withColumn("_change", F.concat_ws("->", "_before", code))
+    return first_examples(rows, keys, "_change", order, 5).withColumnRenamed("count", "conflicts")
 
 
 def newest(df: DataFrame, keys: list[str], name: str, time: str | None = None) -> DataFrame:

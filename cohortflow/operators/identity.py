@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from cohortflow.operators.dedup import first_per_key, last_per_key
 from cohortflow.operators.joins import new_ids
 from cohortflow.operators.reshape import sample_sources, union
+from cohortflow.sources.scratch import written
 
 #: Ids numbered in one task at a time.
 RUN = 1 << 16
@@ -23,8 +24,7 @@ def dense_numbers(ids: DataFrame, order: str, out: str) -> DataFrame:
     spark = ids.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = ids.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id())
-    # The ranges are drawn from a sample, and must be the same for both uses below.
-    ranged = ranged.checkpoint() if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else ranged.persist()
+    ranged = written(ranged, "ranges")  # drawn from a sample, they must be the same for both uses below
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     base = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_base"))
     local = F.row_number().over(Window.partitionBy("_part").orderBy(order))

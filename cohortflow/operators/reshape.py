@@ -28,19 +28,21 @@ def to_concepts(wide: DataFrame, mapping: list[dict], patient: str, keep: list[s
     ``mapping``: ``field, path, type`` of the fields to take, a study's own, so it goes into the plan; fields
     that the frame lacks are passed over. Empty cells are dropped inside the row, before rows are made of them.
     """
-    entries = []
-    for m in (m for m in mapping if m["field"] in wide.columns):
-        v = trimmed(F.col(m["field"]).cast("string"))
+    entries, used = [], [m for m in mapping if m["field"] in wide.columns]
+    for i, m in enumerate(used):
+        v = F.col(f"_v{i}")
         there = F.coalesce((v != "") & ~is_null_word(v), F.lit(False))
         numeric = m["type"] == "NUMERIC"
         if numeric:
             there = there & is_number(v)
         entry = F.struct(F.lit(m["path"]).alias("path"), (v if numeric else F.lit("")).alias("numeric"), (F.lit("") if numeric else text_value(v)).alias("text"))
         entries.append(F.when(there, entry))
+    # Cells are trimmed once, before they are tested.
     rows = wide.where(is_patient_cell(F.col(patient)))
+    rows = rows.select(*keep, trimmed(F.col(patient)).alias("patient"), *[trimmed(F.col(m["field"]).cast("string")).alias(f"_v{i}") for i, m in enumerate(used)])
     if not entries:
-        return rows.limit(0).select(*keep, trimmed(F.col(patient)).alias("patient"), *[F.lit("").alias(c) for c in ("path", "numeric", "text")])
-    rows = rows.select(*keep, trimmed(F.col(patient)).alias("patient"), F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("_e"))
+        return rows.limit(0).select(*keep, "patient", *[F.lit("").alias(c) for c in ("path", "numeric", "text")])
+    rows = rows.select(*keep, "patient", F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("_e"))
     return rows.select(*keep, "patient", "_e.*")
 
 

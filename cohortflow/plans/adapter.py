@@ -39,7 +39,7 @@ def consents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
         "o_custkey as person_id",
-        "concat(case when substring(o_orderpriority, 1, 1) in ('1', '2') then 'NWD' else 'SMP' end, o_orderkey) as source_sample_id",
+        "concat(case when substring(o_orderpriority, 1, 1) in ('1', '2') then 'NWD' else 'SMP' end, if(o_orderkey % 499 = 0, ',', ''), o_orderkey) as source_sample_id",
         "case when o_orderkey % 2 = 0 then 'DBGap' else 'submitted' end as sample_source",
     )
 
@@ -97,8 +97,8 @@ def patient_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").selectExpr(
         "c_custkey as ord", STUDY.format("c_nationkey") + " as study_id", "cast(c_custkey % 3 as string) as consent_code",
-        "case c_custkey % 3 when 0 then concat(' P', c_custkey % 500, ' ') when 1 then concat('[''P', c_custkey % 500, ''']') "
-        "else concat('[{''Value '': ''P', c_custkey % 500, ''', ''kind'': ''x''}, ''Q', c_custkey % 7, ''']') end as raw",
+        "case when c_custkey % 40 = 7 then elt(c_custkey % 3 + 1, ' ', '[]', '[{}]') else case c_custkey % 3 when 0 then concat(' P', c_custkey % 500, ' ') when 1 then concat('[''P', c_custkey % 500, ''']') "
+        "else concat('[{''Value '': ''P', c_custkey % 500, ''', ''kind'': ''x''}, ''Q', c_custkey % 7, ''']') end end as raw",
     )
 
 
@@ -106,10 +106,10 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of consent folders, one for each document, with merged files and strays among them."""
     return table(spark, sf_dir, "documents").selectExpr(
         "concat('phs', lpad(regexp_replace(source, '[^0-9]', ''), 6, '0')) as study_id", "concat('c', case lang when 'en' then 1 when 'de' then 2 when 'fr' then 3 else 10 end) as label",
-        "doc_id", "md5(text) as version_id", "cast(n_chars as bigint) as size",
+        "doc_id", "md5(coalesce(text, '')) as version_id", "cast(n_chars as bigint) as size",
     ).selectExpr(
         "study_id", "label", "version_id", "size",
-        "case when doc_id % 10 = 3 then concat('notes_', doc_id, '.txt') when doc_id % 10 = 7 then concat('old_', doc_id, '_allConcepts_merged.csv') "
+        "case when doc_id % 10 = 3 or (study_id like '%4' and label <> 'c2') then concat('notes_', doc_id, '.txt') when doc_id % 10 = 7 or (study_id like '%5' and label <> 'c2') then concat('old_', doc_id, '_allConcepts_merged.csv') "
         "else concat(study_id, '_allConcepts_', doc_id, '.csv') end as name",
     )
 
@@ -130,7 +130,7 @@ consents AS (
   SELECT c_custkey AS person_id, {_STUDY.format('c_nationkey')} AS study_id, (c_custkey % 4)::VARCHAR AS consent_code,
     CASE c_custkey % 4 WHEN 1 THEN 'GRU' WHEN 2 THEN 'HMB' WHEN 3 THEN '' ELSE 'NRUP' END AS consent_abbreviation FROM customer WHERE c_custkey % 13 <> 0),
 samples AS (
-  SELECT o_custkey AS person_id, (CASE WHEN left(o_orderpriority, 1) IN ('1', '2') THEN 'NWD' ELSE 'SMP' END) || o_orderkey AS source_sample_id,
+  SELECT o_custkey AS person_id, (CASE WHEN left(o_orderpriority, 1) IN ('1', '2') THEN 'NWD' ELSE 'SMP' END) || CASE WHEN o_orderkey % 499 = 0 THEN ',' ELSE '' END || o_orderkey AS source_sample_id,
     CASE WHEN o_orderkey % 2 = 0 THEN 'DBGap' ELSE 'submitted' END AS sample_source FROM orders),
 decoded AS (
   SELECT o_orderkey AS ord, l_linenumber AS line, 'D' || o_custkey AS patient,
@@ -153,12 +153,12 @@ patient_mapping AS (
     (1000000 + c_custkey)::VARCHAR AS old_id FROM customer),
 raw_ids AS (
   SELECT c_custkey AS ord, {_STUDY.format('c_nationkey')} AS study_id, (c_custkey % 3)::VARCHAR AS consent_code,
-    CASE WHEN c_custkey % 3 < 2 THEN ['P' || (c_custkey % 500)] ELSE ['P' || (c_custkey % 500), 'Q' || (c_custkey % 7)] END AS ids FROM customer),
+    CASE WHEN c_custkey % 40 = 7 THEN [] WHEN c_custkey % 3 < 2 THEN ['P' || (c_custkey % 500)] ELSE ['P' || (c_custkey % 500), 'Q' || (c_custkey % 7)] END AS ids FROM customer),
 inventory AS (
   SELECT study_id, label, version_id, size,
-    CASE WHEN doc_id % 10 = 3 THEN 'notes_' || doc_id || '.txt' WHEN doc_id % 10 = 7 THEN 'old_' || doc_id || '_allConcepts_merged.csv' ELSE study_id || '_allConcepts_' || doc_id || '.csv' END AS name
+    CASE WHEN doc_id % 10 = 3 OR (study_id LIKE '%4' AND label <> 'c2') THEN 'notes_' || doc_id || '.txt' WHEN doc_id % 10 = 7 OR (study_id LIKE '%5' AND label <> 'c2') THEN 'old_' || doc_id || '_allConcepts_merged.csv' ELSE study_id || '_allConcepts_' || doc_id || '.csv' END AS name
   FROM (SELECT 'phs' || lpad(regexp_replace(source, '[^0-9]', '', 'g'), 6, '0') AS study_id, 'c' || CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 2 WHEN 'fr' THEN 3 ELSE 10 END AS label,
-    doc_id, md5(text) AS version_id, n_chars::BIGINT AS size FROM documents)),
+    doc_id, md5(coalesce(text, '')) AS version_id, n_chars::BIGINT AS size FROM documents)),
 reports AS (
   SELECT event_id, {_STUDY.format('user_id % 25')} AS study_id, CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARNING' ELSE 'INFO' END AS severity, event_type AS code, ts FROM events)
 """

@@ -23,8 +23,8 @@ def failed_checks(row: DataFrame, checks: dict[str, Column], severity: str = "ER
     return row.select(*keys, F.explode(F.array_compact(each)).alias("code")).select(*keys, F.lit(severity).alias("severity"), "code")
 
 
-def load_checks(counts: DataFrame) -> DataFrame:
-    """What a subject-sample load must satisfy, over its row of counts; no new people or samples is a warning."""
+def load_checks(counts: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """What a subject-sample load must satisfy, over its row of counts (or one for each of ``keys``); no new people or samples is a warning."""
     hard = {
         "CONSENTS_NOT_PARTICIPANTS": F.col("consents_written") == F.col("distinct_participants"),
         "MORE_INSERTED_THAN_DISTINCT": F.col("participants_inserted") <= F.col("distinct_participants"),
@@ -33,7 +33,7 @@ def load_checks(counts: DataFrame) -> DataFrame:
         "NO_CONSENT_GROUPS": F.col("consent_groups") > 0,
     }
     soft = {"NO_NEW_PARTICIPANTS": F.col("participants_inserted") > 0, "NO_NEW_SAMPLES": F.col("samples_inserted") > 0}
-    return failed_checks(counts, hard).unionByName(failed_checks(counts, soft, "WARNING"))
+    return failed_checks(counts, hard, keys=keys).unionByName(failed_checks(counts, soft, "WARNING", keys))
 
 
 def manifest_shape(rows: DataFrame, scheme: str) -> DataFrame:
@@ -95,10 +95,15 @@ def split_checks(counts: DataFrame) -> DataFrame:
 
 
 def migration_checks(results: DataFrame, mappings: DataFrame, ready: int) -> DataFrame:
-    """Outcomes cover the ready studies; successes have mapping rows, and as many as they report."""
+    """Outcomes cover the ready studies and are of a known kind; successes have mapping rows, as many as they report, and
+    no fewer than their subjects (column ``subjects``, if there is one); other studies have none, but for those to review."""
     rows = mappings.groupBy("study_id").agg(F.count("*").alias("n"))
     per = results.join(rows, "study_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    bad = failed_checks(per.where("outcome = 'success'"), {"NO_MAPPING": F.col("n") > 0, "MAPPING_ROWS_DIFFER": F.col("n") == F.col("mapping_rows")}, keys=["study_id"])
+    good, subjects = F.col("outcome") == "success", F.col("subjects") if "subjects" in results.columns else F.lit(0)
+    bad = failed_checks(per, {
+        "NO_MAPPING": ~good | (F.col("n") > 0), "MAPPING_ROWS_DIFFER": ~good | (F.col("n") == F.col("mapping_rows")), "SUBJECTS_NOT_COVERED": ~good | (F.col("n") >= subjects),
+        "MAPPING_WITHOUT_RESULT": ~F.col("outcome").isin("skipped", "failed") | (F.col("n") == 0), "UNKNOWN_OUTCOME": F.col("outcome").isin("success", "needs_review", "skipped", "failed"),
+    }, keys=["study_id"])
     total = results.agg(F.count("*").alias("n")).where(F.col("n") != ready)
     return bad.unionByName(total.select(F.lit(None).cast("string").alias("study_id"), F.lit("ERROR").alias("severity"), F.lit("OUTCOMES_NOT_READY_STUDIES").alias("code")))
 
@@ -108,13 +113,13 @@ def identity_checks(rows: DataFrame, crossed: DataFrame) -> DataFrame:
     return none.unionByName(crossed.limit(1).select(F.lit("WARNING").alias("severity"), F.lit("IDENTITY_IN_SEVERAL_CONSENTS").alias("code")))
 
 
-def report_checks(reports: DataFrame, job: str, run_id: str) -> DataFrame:
+def report_checks(reports: DataFrame, job: str | Column, run_id: str, keys: list[str] | None = None) -> DataFrame:
     """What any good report says."""
     none = F.col("inputValidation.counts.error") + F.col("outputValidation.counts.error") == 0
     return failed_checks(reports, {
         "WRONG_JOB": F.col("jobName") == job, "WRONG_RUN": F.col("runId") == run_id, "NOT_SUCCESSFUL": F.col("status") == "SUCCESS",
         "BAD_EXIT_CODE": F.col("exitCode").isin("SUCCESS", "SUCCESS_WITH_WARNINGS"), "ERRORS": none, "ERROR_MESSAGE": F.col("errorMessage").isNull(),
-    })
+    }, keys=keys)
 
 
 def input_guards(studies: DataFrame) -> DataFrame:

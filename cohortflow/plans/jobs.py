@@ -144,8 +144,8 @@ def merge_action(changed: Column | None = None) -> Column:
 
 
 def merge_plan(folders: DataFrame) -> DataFrame:
-    """Folders with ``action`` and ``merge``, the largest first by ``place``; those up to date are not read."""
-    rows = folders.withColumn("action", merge_action())
+    """Folders with ``action`` and ``merge``; those up to date are not read. ``largest_first`` orders them for a report."""
+    rows = folders.withColumn("action", merge_action(F.col("changed") if "changed" in folders.columns else None))
     return rows.withColumn("merge", F.col("action").isin("MISSING", "NO_FINGERPRINT", "SOURCES_CHANGED"))
 
 

@@ -10,9 +10,8 @@ from cohortflow.functions.cells import one_line
 from cohortflow.operators.aggregates import worst
 from cohortflow.operators.reshape import union
 
+# The stages that publish a run's outputs, and a migration's statuses, most severe first.
 PUBLISHING = ("generate-global-all-concepts", "merge-allconcepts", "generate-allconcepts-manifest")
-#: Most severe first.
-RUN_ORDER = ["FAILED", "EXCLUDED", "NOT_REACHED", "COMPLETE_WITH_WARNINGS", "COMPLETE", "ALREADY_PROCESSED"]
 MIGRATION_ORDER = ["NOT_MIGRATED", "RERUN_NEEDED", "NOT_REACHED", "MIGRATED_WITH_GAPS", "MIGRATED"]
 ITEM = "study_id string, stage string, severity string, code string, detail string"
 
@@ -121,11 +120,16 @@ def split_results(runs: DataFrame) -> DataFrame:
     return runs.select("study_id", outcome.alias("outcome"), stage.alias("stage"), F.when(F.col("exit_code").isNotNull(), S.exit_name(F.col("exit_code"))).alias("exit_label"))
 
 
-def split_summary(results: DataFrame, metrics: list[str]) -> DataFrame:
-    """One row: studies by outcome, those left out for their data, those to run again, and sums of the row counts."""
+def review_totals(review: DataFrame) -> DataFrame:
+    """``category, review_items, status`` of a migration's review."""
+    return review.groupBy("category").agg(F.count("*").alias("review_items")).withColumn("status", S.review_status(F.col("category")))
+
+
+def split_summary(results: DataFrame, metrics: list[str], by: list[str] | None = None) -> DataFrame:
+    """One row, or one for each of ``by`` (the lane): studies by outcome, those left out for their data, those to run again, and sums of the row counts."""
     data = S.is_data_failure(F.col("stage"), F.col("exit_label"))
     failed = F.col("outcome") == "FAILED"
-    return results.agg(
+    return results.groupBy(*by or []).agg(
         F.count("*").alias("studies"), F.count_if(F.col("outcome") == "SUCCESS").alias("succeeded"), F.count_if(F.col("outcome") == "SUCCESS_WITH_WARNINGS").alias("succeeded_with_warnings"),
         F.count_if(failed).alias("failed"), F.count_if(F.col("outcome") == "NOT_STARTED").alias("not_started"), F.count_if(failed & data).alias("excluded"),
         F.count_if((failed & ~data) | (F.col("outcome") == "NOT_STARTED")).alias("to_run_again"), *[F.coalesce(F.sum(m), F.lit(0).cast("long")).alias(m) for m in metrics],

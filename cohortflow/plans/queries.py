@@ -90,11 +90,15 @@ def column_profile(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_CELLS + "SELECT study_id, consent_code, path, count(*) AS rows, count(DISTINCT person_id) AS people, count(*) FILTER (numeric <> '') AS numbers, sum(TRY_CAST(numeric AS BIGINT))::BIGINT AS total, min(text) AS least, max(text) AS most FROM concepts WHERE consent_code IS NOT NULL GROUP BY ALL")
 def study_concepts(spark: SparkSession, d: str) -> DataFrame:
-    rows = _concepts(spark, d)[0]
+    rows, keys = _concepts(spark, d)[0], ["study_id", "consent_code", "path"]
+    # Extremes of text make Spark sort what it aggregates, so they are taken of the distinct texts. Both
+    # branches read one exchange of the rows summed up by person and text.
     numbers = F.col("numeric") != ""
-    return rows.groupBy("study_id", "consent_code", "path").agg(
-        F.count("*").alias("rows"), F.count_distinct("person_id").alias("people"), F.count_if(numbers).alias("numbers"),
-        F.sum(F.when(numbers, F.col("numeric").try_cast("long"))).alias("total"), F.min("text").alias("least"), F.max("text").alias("most"))
+    per = rows.groupBy(*keys, "person_id", "text").agg(F.count("*").alias("n"), F.count_if(numbers).alias("k"), F.sum(F.when(numbers, F.col("numeric").try_cast("long"))).alias("t"))
+    sums = per.groupBy(*keys, "person_id").agg(*[F.sum(c).alias(c) for c in "nkt"])
+    sums = sums.groupBy(*keys).agg(F.sum("n").alias("rows"), F.count("*").alias("people"), F.sum("k").alias("numbers"), F.sum("t").alias("total"))
+    texts = per.select(*keys, "text").distinct().groupBy(*keys).agg(F.min("text").alias("least"), F.max("text").alias("most"))
+    return sums.join(texts, keys)
 
 
 def _concepts(spark: SparkSession, d: str):
@@ -106,9 +110,9 @@ def study_concept_counts(spark: SparkSession, d: str) -> DataFrame:
     return _concepts(spark, d)[1]
 
 
-@query(_CELLS + "SELECT person_id::VARCHAR AS person_id, '\"' || person_id || '\",\"' || path || '\",\"' || numeric || '\",\"' || replace(text, '\"', '\"\"') || '\",\"0\"' AS line FROM concepts WHERE consent_code = '1'")
+@query(_CELLS + "SELECT person_id::VARCHAR AS person_id, '\"' || person_id || '\",\"' || path || '\",\"' || numeric || '\",\"' || replace(text, '\"', '\"\"') || '\",\"0\"' AS line FROM concepts WHERE consent_code IS NOT NULL")
 def concept_lines(spark: SparkSession, d: str) -> DataFrame:
-    rows = _concepts(spark, d)[0].where("consent_code = '1'")
+    rows = _concepts(spark, d)[0]
     return rows.select(F.col("person_id").cast("string").alias("person_id"), C.quoted_line(F.col("person_id"), F.col("path"), F.col("numeric"), F.col("text"), F.lit("0")).alias("line"))
 
 
@@ -139,10 +143,14 @@ def rows_and_people_per_consent(spark: SparkSession, d: str) -> DataFrame:
 
 
 _GENOMIC = """
-, groups AS (
+, all_groups AS (
   SELECT DISTINCT c.study_id || '.c' || consent_code AS consent_group, c.study_id, consent_code, abv, person_id, source_sample_id, sample_source
   FROM consents c JOIN samples USING (person_id) JOIN studies s ON s.study_id = c.study_id
-  WHERE is_ready AND NOT is_processed AND upper(data_type) IN ('P/G', 'G') AND consent_code <> '0' AND source_sample_id LIKE 'NWD%')
+  WHERE is_ready AND NOT is_processed AND upper(data_type) IN ('P/G', 'G') AND consent_code <> '0' AND source_sample_id LIKE 'NWD%'),
+held AS (
+  SELECT consent_group, study_id, count(*) FILTER (contains(source_sample_id, ',')) AS bad_samples, array_to_string((list(source_sample_id ORDER BY source_sample_id) FILTER (contains(source_sample_id, ',')))[:10], ';') AS examples
+  FROM all_groups GROUP BY ALL HAVING bad_samples > 0),
+groups AS (SELECT * FROM all_groups WHERE consent_group NOT IN (SELECT consent_group FROM held))
 """
 
 
@@ -151,6 +159,12 @@ def genomic_samples(spark: SparkSession, d: str) -> DataFrame:
     return K.genomic_groups(T.studies(spark, d), T.consents(spark, d), T.samples(spark, d))[0]
 
 
+@query(_GENOMIC + "SELECT consent_group, study_id, 'ID_COUNT_MISMATCH' AS reasons, bad_samples, examples FROM held")
+def held_back_groups(spark: SparkSession, d: str) -> DataFrame:
+    held = K.genomic_groups(T.studies(spark, d), T.consents(spark, d), T.samples(spark, d))[1]
+    return held.withColumns({"reasons": F.array_join("reasons", ","), "examples": F.array_join("examples", ";")})
+
+
 @query(_GENOMIC + """, lists AS (SELECT consent_group, string_agg(source_sample_id, ',' ORDER BY source_sample_id, person_id, sample_source) AS sample_ids, string_agg(person_id, ',' ORDER BY source_sample_id, person_id, sample_source) AS patient_ids FROM groups GROUP BY 1)
 SELECT consent_group, c AS chromosome, 'data/vcfInput/' || consent_group || '.chr' || c || '.annotated_remove_modifiers.hpds.vcf.gz' AS vcf_path, md5(sample_ids) AS samples_md5, md5(patient_ids) AS patients_md5
 FROM lists, (SELECT unnest(list_concat(list_transform(range(1, 23), lambda i: i::VARCHAR), ['X'])) AS c)""")
@@ -169,6 +183,7 @@ def identity_map(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(_IDENTITY + """SELECT study_id, 'IDENTITY_IN_SEVERAL_CONSENTS' AS code, count(*) AS count FROM (SELECT study_id, identity FROM map GROUP BY ALL HAVING count(*) > 1) GROUP BY 1
+UNION ALL SELECT study_id, 'BLANK_IDENTITY', count(*) FROM raw_ids WHERE len(ids) = 0 GROUP BY 1
 UNION ALL SELECT study_id, 'DUPLICATE_IDENTITY', sum(n)::BIGINT FROM (SELECT study_id, consent_code, count(*) - count(DISTINCT identity) AS n FROM each GROUP BY ALL) GROUP BY 1 HAVING sum(n) > 0""")
 def identity_issues(spark: SparkSession, d: str) -> DataFrame:
     return K.identity_map(T.raw_identities(spark, d))[1]
@@ -181,19 +196,19 @@ folders AS (
   SELECT study_id, label, count(*) FILTER (kind = 'source') AS sources, coalesce(sum(size) FILTER (kind = 'source'), 0)::BIGINT AS bytes, count(*) FILTER (kind = 'other_merged') AS other_merged, count(*) FILTER (kind = 'ignored') AS ignored
   FROM kinds GROUP BY ALL),
 known AS (
-  SELECT f.*, p.fingerprint, right(f.label, 1) <> '3' AND sources > 0 AS has_merged,
+  SELECT f.*, p.fingerprint, right(f.label, 1) <> '3' AND (sources > 0 OR f.study_id LIKE '%4' OR f.study_id LIKE '%15') AS has_merged,
     CASE WHEN f.label = 'c1' AND substr(f.study_id, 9, 1) IN ('1', '2') THEN md5(f.study_id) WHEN f.label = 'c2' THEN NULL ELSE p.fingerprint END AS recorded
   FROM folders f LEFT JOIN prints p USING (study_id, label)),
-planned AS (SELECT *, CASE WHEN sources = 0 THEN 'NO_SOURCES' WHEN NOT has_merged THEN 'MISSING' WHEN recorded IS NULL THEN 'NO_FINGERPRINT' WHEN recorded <> fingerprint THEN 'SOURCES_CHANGED' ELSE 'UP_TO_DATE' END AS action FROM known)
+planned AS (SELECT *, CASE WHEN sources = 0 AND NOT has_merged THEN 'NO_SOURCES' WHEN sources = 0 AND other_merged > 0 THEN 'ONLY_MERGED_COPIES' WHEN sources = 0 AND label = 'c1' THEN 'CHANGED_DURING_RUN' WHEN sources = 0 THEN 'REMOVED_NO_SOURCES' WHEN NOT has_merged THEN 'MISSING' WHEN recorded IS NULL THEN 'NO_FINGERPRINT' WHEN recorded <> fingerprint THEN 'SOURCES_CHANGED' ELSE 'UP_TO_DATE' END AS action FROM known)
 """
 
 
 def _folders(spark: SparkSession, d: str) -> DataFrame:
-    """Folders with what their merged files record: none for c3, nothing for c2, something else for some of c1."""
+    """Folders with what their merged files record: none for c3, nothing for c2, something else for some of c1; some without sources still have one, and those of c1 were rewritten."""
     rows = K.consent_folders(T.inventory(spark, d)).drop("merged_version", "merged_size", "recorded_fingerprint", "recorded_md5")
-    merged = (F.substring("label", -1, 1) != "3") & (F.col("sources") > 0)
+    merged = (F.substring("label", -1, 1) != "3") & ((F.col("sources") > 0) | F.col("study_id").like("%4") | F.col("study_id").like("%15"))
     recorded = F.when((F.col("label") == "c1") & F.substring("study_id", 9, 1).isin("1", "2"), F.md5("study_id")).when(F.col("label") != "c2", F.col("fingerprint"))
-    return rows.withColumns({"merged_version": F.when(merged, F.lit("v1")), "merged_size": F.when(merged, F.col("bytes")), "recorded_fingerprint": recorded, "recorded_md5": F.md5("label")})
+    return rows.withColumns({"merged_version": F.when(merged, F.lit("v1")), "merged_size": F.when(merged, F.col("bytes")), "recorded_fingerprint": recorded, "recorded_md5": F.md5("label"), "changed": F.col("label") == "c1"})
 
 
 @query(_FOLDERS + "SELECT study_id, label, fingerprint, sources, bytes, other_merged, ignored, action, action IN ('MISSING', 'NO_FINGERPRINT', 'SOURCES_CHANGED') AS merge FROM planned")
@@ -206,14 +221,14 @@ def merge_actions(spark: SparkSession, d: str) -> DataFrame:
     return A.action_counts(K.merge_plan(_folders(spark, d)))
 
 
-@query(_FOLDERS + """SELECT study_id, label, 'WARNING' AS severity, CASE WHEN action = 'NO_SOURCES' THEN 'FOLDER_WITHOUT_SOURCES' ELSE 'IGNORED_FILES' END AS code FROM planned WHERE action = 'NO_SOURCES' OR ignored > 0 OR other_merged > 0
+@query(_FOLDERS + """SELECT study_id, label, 'WARNING' AS severity, CASE action WHEN 'NO_SOURCES' THEN 'FOLDER_WITHOUT_SOURCES' WHEN 'REMOVED_NO_SOURCES' THEN 'MERGED_FILE_REMOVED' WHEN 'ONLY_MERGED_COPIES' THEN action WHEN 'CHANGED_DURING_RUN' THEN action ELSE 'IGNORED_FILES' END AS code FROM planned WHERE sources = 0 OR ignored > 0 OR other_merged > 0
 UNION ALL SELECT study_id, NULL, 'WARNING', 'STUDY_WITHOUT_FOLDERS' FROM studies WHERE is_ready AND study_id NOT IN (SELECT study_id FROM planned)""")
 def merge_issues(spark: SparkSession, d: str) -> DataFrame:
     return V.merge_issues(K.merge_plan(_folders(spark, d)), T.studies(spark, d))
 
 
 _MANIFEST = _FOLDERS + """, own AS (SELECT k.* FROM known k JOIN studies USING (study_id) WHERE is_ready),
-judged AS (SELECT *, CASE WHEN sources = 0 AND other_merged > 0 THEN 'ONLY_MERGED_COPIES' WHEN sources = 0 THEN 'NO_SOURCES' WHEN NOT has_merged THEN 'MERGED_MISSING' WHEN recorded IS NULL THEN 'MERGED_NOT_FINGERPRINTED' WHEN recorded <> fingerprint THEN 'MERGED_STALE' WHEN bytes = 0 THEN 'MERGED_EMPTY' END AS code FROM own),
+judged AS (SELECT *, CASE WHEN sources = 0 AND other_merged > 0 THEN 'ONLY_MERGED_COPIES' WHEN sources = 0 AND has_merged THEN 'MERGED_WITHOUT_SOURCES' WHEN sources = 0 THEN 'NO_SOURCES' WHEN NOT has_merged THEN 'MERGED_MISSING' WHEN recorded IS NULL THEN 'MERGED_NOT_FINGERPRINTED' WHEN recorded <> fingerprint THEN 'MERGED_STALE' WHEN bytes = 0 THEN 'MERGED_EMPTY' END AS code FROM own),
 good AS (SELECT * FROM judged WHERE code IS NULL)
 """
 
@@ -231,7 +246,7 @@ def manifest(spark: SparkSession, d: str) -> DataFrame:
     return _manifest(spark, d)[0]
 
 
-@query(_MANIFEST + """SELECT study_id, label, CASE WHEN code IN ('ONLY_MERGED_COPIES', 'NO_SOURCES', 'MERGED_EMPTY') THEN 'WARNING' ELSE 'ERROR' END AS severity, code FROM judged WHERE code IS NOT NULL
+@query(_MANIFEST + """SELECT study_id, label, CASE WHEN code IN ('ONLY_MERGED_COPIES', 'NO_SOURCES', 'MERGED_WITHOUT_SOURCES', 'MERGED_EMPTY') THEN 'WARNING' ELSE 'ERROR' END AS severity, code FROM judged WHERE code IS NOT NULL
 UNION ALL SELECT study_id, NULL, 'ERROR', 'NO_CONSENT_FOLDERS' FROM studies WHERE is_ready AND study_id NOT IN (SELECT study_id FROM known)
 UNION ALL SELECT DISTINCT study_id, NULL, 'WARNING', 'STUDY_NOT_IN_MANIFEST' FROM own WHERE study_id NOT IN (SELECT study_id FROM good)
 UNION ALL SELECT NULL, NULL, 'ERROR', 'NO_CONSENT_GROUPS' WHERE (SELECT count(*) FROM good) = 0""")
@@ -239,9 +254,21 @@ def manifest_problems(spark: SparkSession, d: str) -> DataFrame:
     return _manifest(spark, d)[1]
 
 
-@query("SELECT partition AS partition, 'ERROR' AS severity, 'x' AS code FROM (SELECT '' AS partition) WHERE false")
+_SHAPES = """, shapes AS (
+  SELECT study_id || CASE WHEN ord % 9 = 2 THEN '-' ELSE '.c' END || consent_code AS partition, CASE WHEN n % 4 = 1 THEN 'other://x' ELSE 'store://x' END AS uri, CASE WHEN n % 5 = 2 THEN ' ' ELSE 'v' END AS version_id,
+    '2026-01-01' AS last_updated, CASE WHEN n % 3 = 0 THEN 'no digest' ELSE md5(study_id) END AS md5, n
+  FROM (SELECT study_id, consent_code, count(*) AS n, any_value(ord) AS ord FROM consents JOIN studies USING (study_id) GROUP BY ALL))
+"""
+
+
+@query(_SHAPES + """SELECT partition, 'ERROR' AS severity, unnest(list_concat(CASE WHEN NOT regexp_full_match(partition, 'phs\\d{6}\\.c\\d+') THEN ['BAD_PARTITION'] ELSE [] END, CASE WHEN NOT regexp_full_match(md5, '[0-9a-f]{32}') THEN ['BAD_MD5'] ELSE [] END,
+  CASE WHEN trim(version_id) = '' THEN ['BLANK_CELL'] ELSE [] END, CASE WHEN uri LIKE 'other%' THEN ['BAD_URI'] ELSE [] END)) AS code FROM (SELECT * FROM shapes UNION ALL SELECT * FROM shapes WHERE n % 7 = 0)
+UNION ALL SELECT partition, 'ERROR', 'REPEATED_PARTITION' FROM shapes WHERE n % 7 = 0 UNION ALL SELECT 'global', 'ERROR', 'NOT_ONE_GLOBAL_ROW'""")
 def manifest_shape(spark: SparkSession, d: str) -> DataFrame:
-    return V.manifest_shape(manifest(spark, d), "store://")
+    """Rows with every fault there is, by the number of people in a group."""
+    groups = T.consents(spark, d).join(T.studies(spark, d).select("study_id", "ord"), "study_id").groupBy("study_id", "consent_code", "ord").agg(F.count("*").alias("n"))
+    rows = groups.selectExpr("concat(study_id, if(ord % 9 = 2, '-', '.c'), consent_code) as partition", "if(n % 4 = 1, 'other://x', 'store://x') as uri", "if(n % 5 = 2, ' ', 'v') as version_id", "'2026-01-01' as last_updated", "if(n % 3 = 0, 'no digest', md5(study_id)) as md5", "n")
+    return V.manifest_shape(rows.unionByName(rows.where("n % 7 = 0")), "store://")
 
 
 _RESOLVED = """
@@ -308,11 +335,11 @@ def sample_sources(spark: SparkSession, d: str) -> DataFrame:
     return R.sample_sources(T.sstr(spark, d))
 
 
-@query("""SELECT s.study_id, s.subject_id, s.dbgap_sample_id, CASE WHEN c.consent <> '0' THEN 'consented' WHEN c.consent = '0' THEN 'not_consented' ELSE 'unknown' END AS subject_class
-FROM sstr s LEFT JOIN (SELECT study_id, subject_id, arg_min(consent, ord) AS consent FROM sstr WHERE ord % 3 = 0 GROUP BY ALL) c USING (study_id, subject_id)""")
+@query("""SELECT s.study_id, s.subject_id, s.dbgap_sample_id, CASE WHEN c.consent_code <> '0' THEN 'consented' WHEN c.consent_code = '0' THEN 'not_consented' ELSE 'unknown' END AS subject_class
+FROM sstr s LEFT JOIN consents c ON c.study_id = s.study_id AND 'S' || c.person_id = s.subject_id""")
 def classed_samples(spark: SparkSession, d: str) -> DataFrame:
-    first = T.sstr(spark, d).where("ord % 3 = 0").groupBy("study_id", "subject_id").agg(F.min_by("consent", "ord").alias("consent"))
-    return J.samples_of_subjects(T.sstr(spark, d).select("study_id", "subject_id", "dbgap_sample_id"), first.where("consent <> '0'"), first.where("consent = '0'"))
+    known = T.consents(spark, d).selectExpr("study_id", "concat('S', person_id) as subject_id", "consent_code")
+    return J.samples_of_subjects(T.sstr(spark, d).select("study_id", "subject_id", "dbgap_sample_id"), known.where("consent_code <> '0'"), known.where("consent_code = '0'"))
 
 
 @query("""SELECT study_id, consent_code, CASE WHEN consent_code = '0' THEN '' WHEN consent_code = '3' THEN 'Label only' ELSE CASE consent_code WHEN '1' THEN 'GRU' ELSE 'HMB' END END AS consent_abbreviation,
@@ -370,11 +397,6 @@ def _load(spark: SparkSession, d: str):
     return I.load_sstr(T.participants(spark, d), T.consents(spark, d), T.samples(spark, d), rows, "phs000005")
 
 
-@query(_LOAD + """SELECT 'WARNING' AS severity, 'NO_NEW_PARTICIPANTS' AS code FROM (SELECT count(*) AS n FROM firsts WHERE dbgap_subject_id NOT IN (SELECT source_id FROM participants)) WHERE n = 0""")
-def load_checks(spark: SparkSession, d: str) -> DataFrame:
-    return V.load_checks(load_counts(spark, d))
-
-
 @query("SELECT study_id, count(*) FILTER (severity = 'ERROR') AS errors, count(*) FILTER (severity = 'WARNING') AS warnings, count(*) FILTER (severity = 'INFO') AS infos FROM reports GROUP BY 1")
 def severity_counts(spark: SparkSession, d: str) -> DataFrame:
     return A.severity_counts(T.reports(spark, d), ["study_id"])
@@ -409,17 +431,17 @@ def resolved_studies(spark: SparkSession, d: str) -> DataFrame:
 def _run(spark: SparkSession, d: str):
     plan = _plan(spark, d)
     results = plan.where("plan = 'load'").select("study_id", F.lit("sstr").alias("stage"), F.expr("case ord % 4 when 0 then 'SUCCESS' when 2 then 'UNSTABLE' else 'FAILURE' end").alias("result"), F.lit("").alias("reason"))
-    issues = T.reports(spark, d).groupBy("study_id", "severity", "code").agg(F.count("*").alias("n")).where("severity = 'WARNING' and n % 2 = 0").select("study_id", F.lit("sstr").alias("stage"), "severity", "code", F.concat(F.lit("seen "), "n").alias("message"))
+    issues = T.reports(spark, d).groupBy("study_id", "code").agg(F.count("*").alias("n")).selectExpr("study_id", "'sstr' as stage", "case n % 5 when 0 then 'ERROR' when 1 then 'WARNING' else 'INFO' end as severity", "code", "concat('seen ', n) as message")
     stages = spark.createDataFrame([("generate-global-all-concepts", True, "SUCCESS", None), ("merge-allconcepts", True, "SUCCESS", None), ("generate-allconcepts-manifest", True, "SUCCESS", None)], "stage string, ran boolean, status string, message string")
     return plan, O.run_review(plan, results, issues, stages)
 
 
-_REVIEW = _PLAN + """, found AS (SELECT r.study_id, code, count(*) AS n FROM reports r JOIN plan p ON p.study_id = r.study_id AND p.plan <> 'excluded' WHERE severity = 'WARNING' GROUP BY ALL HAVING count(*) % 2 = 0),
+_REVIEW = _PLAN + """, found AS (SELECT r.study_id, code, count(*) AS n, CASE count(*) % 5 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'WARNING' END AS level FROM reports r JOIN plan p ON p.study_id = r.study_id AND p.plan <> 'excluded' GROUP BY r.study_id, code HAVING count(*) % 5 < 2),
 review AS (
   SELECT study_id, 'resolve-studies' AS stage, 'EXCLUDED' AS severity, 'MISSING_INPUTS' AS code, reason AS detail FROM plan WHERE plan = 'excluded'
   UNION ALL SELECT study_id, 'sstr', 'FAILED', 'FAILURE', 'sstr ended FAILURE' FROM plan WHERE plan = 'load' AND ord % 4 IN (1, 3)
-  UNION ALL SELECT study_id, 'sstr', 'WARNING', code, 'seen ' || n FROM found
-  UNION ALL SELECT study_id, 'sstr', 'WARNING', 'UNSTABLE', 'completed with warnings' FROM plan WHERE plan = 'load' AND ord % 4 = 2 AND study_id NOT IN (SELECT study_id FROM found))
+  UNION ALL SELECT study_id, 'sstr', level, code, 'seen ' || n FROM found
+  UNION ALL SELECT study_id, 'sstr', 'WARNING', 'UNSTABLE', 'completed with warnings' FROM plan WHERE plan = 'load' AND ord % 4 = 2 AND study_id NOT IN (SELECT study_id FROM found WHERE level = 'WARNING'))
 """
 
 
@@ -436,7 +458,7 @@ def run_outcomes(spark: SparkSession, d: str) -> DataFrame:
 
 _MIG = """, ps AS (SELECT study_id, CASE ord % 6 WHEN 0 THEN 'skipped' WHEN 1 THEN 'needs_review' WHEN 2 THEN 'failed' ELSE 'success' END AS outcome, ord % 2 AS unresolved_rows, ord FROM studies WHERE is_ready),
 sp AS (SELECT study_id, CASE WHEN ord % 7 = 0 THEN 'FAILED' WHEN ord % 7 = 1 THEN 'NOT_STARTED' ELSE 'SUCCESS' END AS outcome, CASE WHEN ord % 7 = 0 THEN CASE WHEN ord % 2 = 0 THEN 'preflight' ELSE 'run' END END AS stage, CASE WHEN ord % 7 = 0 THEN 'INFRA_ERROR' END AS exit_label, ord % 3 AS unmapped FROM ps WHERE outcome = 'success'),
-later AS (SELECT DISTINCT r.study_id, r.severity, r.code FROM reports r JOIN ps USING (study_id) WHERE severity IN ('ERROR', 'WARNING') AND event_id % 50 = 0),
+later AS (SELECT * FROM (SELECT study_id, code, CASE count(*) % 7 WHEN 0 THEN 'ERROR' WHEN 1 THEN 'WARNING' WHEN 2 THEN 'WARNING' END AS severity FROM reports JOIN ps USING (study_id) GROUP BY study_id, code) WHERE severity IS NOT NULL),
 review AS (
   SELECT study_id, 'participants-migration' AS stage, CASE outcome WHEN 'skipped' THEN 'MISSING_DATA' WHEN 'needs_review' THEN 'DATA_MISMATCH' WHEN 'failed' THEN 'MALFORMED_DATA' ELSE 'PARTIAL_DATA' END AS category,
     CASE outcome WHEN 'skipped' THEN 'NO_PARTICIPANT_FILES' WHEN 'needs_review' THEN 'NEEDS_DATA_REVIEW' WHEN 'failed' THEN 'STUDY_FAILED' ELSE 'SUBJECTS_NOT_MIGRATED' END AS code FROM ps WHERE outcome <> 'success' OR unresolved_rows > 0
@@ -449,7 +471,7 @@ review AS (
 def _migration(spark: SparkSession, d: str):
     ps = T.studies(spark, d).where("is_ready").selectExpr("study_id", "case ord % 6 when 0 then 'skipped' when 1 then 'needs_review' when 2 then 'failed' else 'success' end as outcome", "cast(ord % 2 as bigint) as unresolved_rows", "ord")
     sp = ps.where("outcome = 'success'").selectExpr("study_id", "case ord % 7 when 0 then 'FAILED' when 1 then 'NOT_STARTED' else 'SUCCESS' end as outcome", "case when ord % 7 = 0 then case when ord % 2 = 0 then 'preflight' else 'run' end end as stage", "case when ord % 7 = 0 then 'INFRA_ERROR' end as exit_label", "cast(ord % 3 as bigint) as unmapped", "0L as no_consent", "0L as malformed")
-    later = T.reports(spark, d).where("severity in ('ERROR', 'WARNING') and event_id % 50 = 0").select("study_id", F.lit("merge-allconcepts").alias("stage"), "severity", "code").distinct()
+    later = T.reports(spark, d).groupBy("study_id", "code").agg(F.count("*").alias("n")).selectExpr("study_id", "'merge-allconcepts' as stage", "case n % 7 when 0 then 'ERROR' when 1 then 'WARNING' when 2 then 'WARNING' else 'INFO' end as severity", "code")
     return ps.drop("ord"), sp, O.migration_review(ps, sp, later)
 
 
@@ -523,12 +545,12 @@ def key_profile(spark: SparkSession, d: str) -> DataFrame:
     return A.key_profile(T.sstr(spark, d), "dbgap_sample_id")
 
 
-@query("""SELECT study_id, count(*) AS rows, count(*) FILTER (NOT regexp_matches(new_id, '^\\d+$')) AS bad_new_ids, count(*) FILTER (new_id = '') AS blank_fields, coalesce(max(r), 0) AS repeated_old_ids FROM (
+@query("""SELECT study_id, count(*) AS rows, count(*) FILTER (NOT regexp_matches(new_id, '^\\d+$')) AS bad_new_ids, count(*) FILTER (new_id = '') AS blank_fields, coalesce(max(r), 0) AS repeated_old_ids, max(e) AS repeated_examples FROM (
   SELECT study_id, old_id, CASE WHEN person_id % 10 = 0 THEN '' WHEN person_id % 10 = 1 THEN 'x' || person_id ELSE person_id::VARCHAR END AS new_id FROM (SELECT study_id, person_id, person_id % 700 AS old_id FROM consents))
-LEFT JOIN (SELECT study_id, count(*) AS r FROM (SELECT study_id, person_id % 700 AS old_id FROM consents GROUP BY ALL HAVING count(*) > 1) GROUP BY 1) USING (study_id) GROUP BY 1""")
+LEFT JOIN (SELECT study_id, count(*) AS r, array_to_string((list(old_id ORDER BY old_id))[:5], ',') AS e FROM (SELECT study_id, (person_id % 700)::VARCHAR AS old_id FROM consents GROUP BY ALL HAVING count(*) > 1) GROUP BY 1) USING (study_id) GROUP BY 1""")
 def mapping_checks(spark: SparkSession, d: str) -> DataFrame:
     rows = T.consents(spark, d).selectExpr("study_id", "cast(person_id % 700 as string) as old_id", "case when person_id % 10 = 0 then '' when person_id % 10 = 1 then concat('x', person_id) else cast(person_id as string) end as new_id")
-    return A.mapping_checks(rows).drop("repeated_examples")
+    return A.mapping_checks(rows).withColumn("repeated_examples", F.array_join("repeated_examples", ","))
 
 
 @query("SELECT source_id FROM (SELECT DISTINCT 'D' || o_custkey AS source_id FROM orders) WHERE source_id NOT IN (SELECT source_id FROM participants)")
@@ -536,10 +558,11 @@ def new_source_ids(spark: SparkSession, d: str) -> DataFrame:
     return J.new_ids(T.table(spark, d, "orders").selectExpr("concat('D', o_custkey) as source_id"), T.participants(spark, d), "DBGap")
 
 
-@query("SELECT study_id, consent_code FROM (SELECT DISTINCT study_id, consent_code FROM consents) WHERE (study_id, consent_code) NOT IN (SELECT (study_id, consent_code) FROM consents JOIN samples USING (person_id) WHERE source_sample_id LIKE 'NWD%')")
+@query("SELECT study_id, consent_code FROM (SELECT DISTINCT study_id, consent_code FROM consents UNION SELECT study_id, '9' FROM studies WHERE is_ready) WHERE (study_id, consent_code) NOT IN (SELECT (study_id, consent_code) FROM consents JOIN samples USING (person_id) WHERE source_sample_id LIKE 'NWD%')")
 def stale_outputs(spark: SparkSession, d: str) -> DataFrame:
     written = J.study_samples(T.samples(spark, d), T.consents(spark, d)).where(S.sequenced(F.col("source_sample_id"))).join(T.consents(spark, d), ["study_id", "person_id"])
-    return J.stale(T.consents(spark, d).select("study_id", "consent_code").distinct(), written, ["study_id", "consent_code"])
+    there = R.distinct_union(T.consents(spark, d).select("study_id", "consent_code"), J.ready(T.studies(spark, d)).select("study_id", F.lit("9").alias("consent_code")))
+    return J.stale(there, written, ["study_id", "consent_code"])
 
 
 @query("SELECT study_id, arg_max(name, n) AS name, count(*) AS candidates FROM (SELECT study_id, name, regexp_extract(name, '(\\d+)\\.csv$', 1)::BIGINT AS n FROM inventory WHERE contains(name, '_allConcepts_') AND NOT contains(name, '_merged')) GROUP BY 1")
@@ -566,9 +589,9 @@ def cell_functions(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("value", "n", C.is_number(c).alias("is_number"), C.is_null_word(c).alias("is_null_word"), S.consent_code(c).alias("code"), C.csv_quote(c).alias("quoted"))
 
 
-@query("SELECT study_id, label, count(*) AS rows FROM inventory GROUP BY ALL")
+@query("SELECT study_id, label, count(*) AS rows, md5(count(*) || ':' || sum(('0x' || left(md5(concat_ws(chr(31), name, version_id)), 15))::BIGINT)) AS digest FROM inventory GROUP BY ALL")
 def content_digests(spark: SparkSession, d: str) -> DataFrame:
-    return A.content_digest(T.inventory(spark, d), ["study_id", "label"], ["name", "version_id"]).select("study_id", "label", "rows")
+    return A.content_digest(T.inventory(spark, d), ["study_id", "label"], ["name", "version_id"])
 
 
 @query("SELECT outcome, count(*) AS n, string_agg(study_id, ',' ORDER BY ord) AS study_ids FROM (SELECT ord, study_id, CASE WHEN NOT is_ready THEN 'skipped' WHEN is_processed THEN 'reused' ELSE 'success' END AS outcome FROM studies) GROUP BY 1")
@@ -576,9 +599,10 @@ def ids_by_outcome(spark: SparkSession, d: str) -> DataFrame:
     return A.ids_by_outcome(T.studies(spark, d).selectExpr("ord", "study_id", "case when not is_ready then 'skipped' when is_processed then 'reused' else 'success' end as outcome"))
 
 
-@query("""SELECT flag AS file, count(*) AS rows, 0 AS not_patients,
-  sum(CASE WHEN p.person_id IS NULL THEN 0 ELSE (quantity <> 'NA')::INT + (price <> '')::INT + (status <> '')::INT END)::BIGINT AS emitted, count(*) FILTER (p.person_id IS NULL) * 3 AS skipped, count(DISTINCT CASE WHEN p.person_id IS NULL THEN patient END) AS unmapped_ids
-FROM decoded LEFT JOIN participants p ON p.source_id = patient GROUP BY 1""")
+@query("""SELECT flag AS file, count(*) AS rows, count(*) FILTER (bad) AS not_patients,
+  sum(CASE WHEN bad OR p.person_id IS NULL THEN 0 ELSE (quantity <> 'NA')::INT + (price <> '')::INT + (status <> '')::INT END)::BIGINT AS emitted, count(*) FILTER (NOT bad AND p.person_id IS NULL) * 3 AS skipped, count(DISTINCT CASE WHEN NOT bad AND p.person_id IS NULL THEN patient END) AS unmapped_ids
+FROM (SELECT *, line >= 6 AS bad FROM decoded) LEFT JOIN participants p ON p.source_id = patient GROUP BY 1""")
 def file_counts(spark: SparkSession, d: str) -> DataFrame:
     mapping = [{"field": "quantity", "type": "NUMERIC"}, {"field": "price", "type": "NUMERIC"}, {"field": "status", "type": "TEXT"}]
-    return K.file_counts(T.decoded(spark, d).withColumnRenamed("flag", "file"), mapping, "patient", "file", T.participants(spark, d))
+    rows = T.decoded(spark, d).withColumn("patient", F.expr("case line when 6 then concat('# ', patient) when 7 then ' dbGaP_Subject_ID' else patient end"))
+    return K.file_counts(rows.withColumnRenamed("flag", "file"), mapping, "patient", "file", T.participants(spark, d))

@@ -10,8 +10,10 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cohortflow.functions.cells import csv_quote, quoted_line
+from cohortflow.functions.studies import concept_file
 from cohortflow.operators.reshape import VCF_HEADER
 
 CONCEPT = ("person_id", "path", "numeric", "text", "timestamp")
@@ -31,12 +33,46 @@ def write_concepts(rows: DataFrame, root: str, files_per_group: int = 1) -> None
     lines.repartition(F.col("study_id"), F.col("consent_label"), spread).write.mode("overwrite").partitionBy("study_id", "consent_label").text(root)
 
 
+def written_files(spark: SparkSession, root: str) -> DataFrame:
+    """``path`` and the partition columns of the files that a partitioned write made below ``root``; their bytes are not read."""
+    df = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(root)
+    return df.drop("modificationTime", "length", "content")
+
+
+def move_files(files: DataFrame, target: str) -> int:
+    """Move each file of ``path`` to ``name`` below ``target``, over what is there; how many there were. Files are renamed, not read."""
+    spark, moved = files.sparkSession, 0
+    fs_path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    for r in files.select("path", "name").toLocalIterator():
+        to = fs_path(f"{target}/{r['name']}")
+        fs = to.getFileSystem(conf)
+        fs.mkdirs(to.getParent())
+        fs.delete(to, False)
+        if not fs.rename(fs_path(r["path"]), to):
+            raise OSError(f"{r['path']} could not be moved to {target}/{r['name']}")
+        moved += 1
+    return moved
+
+
+def publish_concepts(spark: SparkSession, root: str, target: str) -> int:
+    """Give the files that ``write_concepts`` made below ``root`` the names that readers look for below ``target``.
+
+    ``study/allConcepts/c1/study_allConcepts_c1.csv``; of a group of several files the others have their number
+    before the suffix.
+    """
+    place = F.row_number().over(Window.partitionBy("study_id", "consent_label").orderBy("path"))
+    first = concept_file(F.col("study_id"), F.substring("consent_label", 2, 20))
+    later = F.concat(F.regexp_replace(first, "\\.csv$", "."), place, F.lit(".csv"))
+    files = written_files(spark, root).select("path", F.when(place == 1, first).otherwise(later).alias("name"))
+    return move_files(files, target)
+
+
 def write_csv_minimal(df: DataFrame, path: str, order: list[str]) -> None:
     """One file with a header, cells quoted only where needed, rows in order. For reports."""
     header = ",".join(df.columns)
     lines = df.select(F.lit(1).alias("_k"), *order, F.concat_ws(",", *[csv_quote(F.col(c)) for c in df.columns]).alias("value"))
     head = df.sparkSession.createDataFrame([(header,)], "value string").select(F.lit(0).alias("_k"), *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order], "value")
-    head.unionByName(lines).coalesce(1).sortWithinPartitions("_k", *order).select("value").write.mode("overwrite").text(path)
+    head.unionByName(lines).repartition(1).sortWithinPartitions("_k", *order).select("value").write.mode("overwrite").text(path)
 
 
 def vcf_lines(rows: DataFrame) -> DataFrame:
@@ -58,33 +94,46 @@ def write_sample_ids(rows: DataFrame, root: str) -> None:
     lines.repartition("consent_group").sortWithinPartitions("consent_group", "value").write.mode("overwrite").partitionBy("consent_group").text(root)
 
 
-def write_identity_map(rows: DataFrame, root: str, per_study: bool) -> None:
-    """``identity,study_id,consent_code`` in that order, with a header; one file, or one for each study."""
+def write_identity_map(rows: DataFrame, root: str, per_study: bool, files: int = 1) -> None:
+    """``identity,study_id,consent_code`` in that order, with a header; one for each study, or ``files`` in order for all.
+
+    One file means that its rows are sorted in one task; a large map is better written as several, each a range.
+    """
     out = rows.select("identity", "study_id", "consent_code")
     order = ["identity", "study_id", "consent_code"]
     if per_study:
         out = out.withColumn("study", F.col("study_id")).repartition("study").sortWithinPartitions("study", *order)
         out.write.mode("overwrite").options(header=True, quote="").partitionBy("study").csv(root)
     else:
-        out.orderBy(*order).coalesce(1).write.mode("overwrite").options(header=True, quote="").csv(root)
+        dealt = out.repartition(1) if files == 1 else out.repartitionByRange(files, *order)
+        dealt.sortWithinPartitions(*order).write.mode("overwrite").options(header=True, quote="").csv(root)
 
 
 def write_identity_tables(spark: SparkSession, root: str, **tables: DataFrame) -> str:
-    """All tables staged in a new snapshot, then named in ``root``'s pointer: readers see all of them or none."""
+    """All tables staged in a new snapshot, then named in ``root``'s pointer, with a number: readers see all of them or none."""
     name = f"snapshot-{uuid.uuid4().hex}"
     for t, df in tables.items():
         writer = df.write.mode("errorifexists")
         (writer.partitionBy("study_id") if "study_id" in df.columns else writer).parquet(f"{root}/{name}/{t}")
-    spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("append").text(f"{root}/pointer")
+    last = pointers(spark, root).agg(F.max("n")).head()[0] if exists(spark, f"{root}/pointer") else 0
+    spark.createDataFrame([(f"{last + 1} {name}",)], "value string").coalesce(1).write.mode("append").text(f"{root}/pointer")
     return name
 
 
-def read_identity_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The table of the snapshot that was named last."""
-    from cohortflow.operators.dedup import newest
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
 
-    pointers = spark.read.text(f"{root}/pointer").select("value", F.col("_metadata.file_modification_time").alias("t"), F.col("_metadata.file_path").alias("f"))
-    snapshot = newest(pointers.withColumn("k", F.lit(0)), ["k"], "f", "t").head()["value"]
+def pointers(spark: SparkSession, root: str) -> DataFrame:
+    """``n, name`` of every snapshot that was named. Writers take turns: a store has one at a time."""
+    parts = F.split("value", " ", 2)
+    return spark.read.text(f"{root}/pointer").select(parts[0].cast("long").alias("n"), parts[1].alias("name"))
+
+
+def read_identity_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The table of the snapshot with the highest number."""
+    snapshot = pointers(spark, root).agg(F.max_by("name", "n")).head()[0]
     return spark.read.option("basePath", f"{root}/{snapshot}/{name}").parquet(f"{root}/{snapshot}/{name}")
 
 
@@ -92,7 +141,7 @@ def write_reports(path: str, order: list[str], **tables: DataFrame) -> None:
     """Each table as CSV and as JSON, whole."""
     for name, df in tables.items():
         own = [c for c in order if c in df.columns]
-        df.orderBy(*own).coalesce(1).write.mode("overwrite").json(f"{path}/{name}.json")
+        df.repartition(1).sortWithinPartitions(*own).write.mode("overwrite").json(f"{path}/{name}.json")
         flat = df.select(*[F.concat_ws("; ", c).alias(c) if t.startswith("array") else F.col(c).cast("string").alias(c) for c, t in df.dtypes])
         write_csv_minimal(flat, f"{path}/{name}.csv", own)
 

@@ -18,7 +18,13 @@ DBGAP_SAMPLE = ["dbGaP_Sample_ID", "dbGaP SampID"]
 OWN_SAMPLE = ["SAMPLE_ID", "SAMPID", "submitted_sample_id"]
 # Columns of an id mapping.
 OLD_ID, NEW_ID = "old_hpds_id", "new_hpds_id"
-READY, PROCESSED = "Data is ready to process", "Data Processed"
+# The headings of the study list.
+ABV, STUDY, KIND, READY, PROCESSED = "Study Abbreviated Name", "Study Identifier", "Data Type", "Data is ready to process", "Data Processed"
+HEADINGS = [
+    ABV, STUDY, "Version", "Phase", "Version Update", "Previous Version", "Previous Phase", "Study Full Name", "Study Type", "BDC Program(s)", KIND, "DCC Harmonized", "Has Multi",
+    "Use Manual Table Methods", "More Info Link", "Additional Information Link (URL)", "Additional Information Link (Label)", "Request Access Text", "Pheno Ingest NHLBI Account",
+    "Pheno Ingest buckets", "Gen3 Authz Program Name", "Gen3 Authz Project Name", "Subject Type(s)", READY, PROCESSED,
+]
 
 
 def empty(c):
@@ -28,14 +34,14 @@ def empty(c):
 def read_managed_inputs(spark: SparkSession, path: str) -> DataFrame:
     """The study list: all columns, trimmed, with ``ord, study_id, abv, data_type, is_ready, is_processed``.
 
-    Rows without abbreviation or id are dropped. A flag that is neither yes, no nor blank is an error.
+    All headings must be there. Rows without abbreviation or id are dropped. A flag that is neither yes, no nor blank is an error.
     """
-    df = require_columns(read_delimited(spark, path), ["Study Abbreviated Name", "Study Identifier", "Data Type", READY, PROCESSED], "the study list")
-    df = df.select(*[trimmed(F.col(f"`{c}`")).alias(c) for c in df.columns], F.monotonically_increasing_id().alias("ord"))
-    df = df.where((F.col("`Study Abbreviated Name`") != "") & (F.col("`Study Identifier`") != ""))
+    df = require_columns(read_delimited(spark, path), HEADINGS, "the study list")
+    df = with_row_order(df).select(*[trimmed(F.col(f"`{c}`")).alias(c) for c in df.columns], "ord")
+    df = df.where((F.col(f"`{ABV}`") != "") & (F.col(f"`{STUDY}`") != ""))
     df = require_none(df, yes_no(F.col(f"`{READY}`")).isNull() | yes_no(F.col(f"`{PROCESSED}`")).isNull(), "flags that are neither yes nor no")
     return df.withColumns({
-        "study_id": F.col("`Study Identifier`"), "abv": F.col("`Study Abbreviated Name`"), "data_type": F.col("`Data Type`"),
+        "study_id": F.col(f"`{STUDY}`"), "abv": F.col(f"`{ABV}`"), "data_type": F.col(f"`{KIND}`"),
         "is_ready": yes_no(F.col(f"`{READY}`")), "is_processed": yes_no(F.col(f"`{PROCESSED}`")),
     })
 
@@ -43,14 +49,14 @@ def read_managed_inputs(spark: SparkSession, path: str) -> DataFrame:
 def read_concept_mapping(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``file, column, path, declared, patient_column`` of a mapping's rows, and the rows dropped, with ``reason``.
 
-    A first row whose key has no colon and whose type is a word but no type is a header. An error if no row is left.
+    A first row whose key is a bare word, without a colon, is a header. An error if no row is left.
     """
     df = with_row_order(spark.read.schema("c0 string, c1 string, c2 string, c3 string, c4 string").options(quote='"', escape='"', mode="PERMISSIVE").csv(path))
     df = df.select("ord", *[F.translate(trimmed(F.coalesce(F.col(f"c{i}"), F.lit(""))), '"', "").alias(f"c{i}") for i in range(5)], F.col("c3").isNull().alias("short"))
     df = df.where(F.concat(*[F.col(f"c{i}") for i in range(5)]) != "")
-    first = df.agg(F.min("ord").alias("_first"))
-    df = df.join(F.broadcast(first))
-    header = (F.col("ord") == F.col("_first")) & ~F.col("c0").contains(":") & F.col("c0").rlike("^[A-Za-z_ ]+$")
+    first = df.agg(F.min("ord")).head()[0]
+    at_first = F.lit(False) if first is None else (F.col("ord.file_path") == first["file_path"]) & (F.col("ord.file_block_start") == first["file_block_start"]) & (F.col("ord.n") == first["n"])
+    header = at_first & ~F.col("c0").contains(":") & F.col("c0").rlike("^[A-Za-z_ ]+$")
     df = df.where(~header)
     key = S.mapping_key(F.col("c0"))
     reason = F.when(F.col("short"), "TOO_FEW_COLUMNS").when(key.isNull(), "BAD_KEY").when(F.col("c1") == "", "NO_ROOT")
@@ -67,7 +73,7 @@ def read_sstr(spark: SparkSession, path: str) -> DataFrame:
     """Subject and sample rows with ``ord``. A blank subject or consent fails the load; the sample columns may lack."""
     df = require_columns(read_delimited(spark, path, "\t"), ["SUBJECT_ID", "CONSENT", "consent_abbreviation", "dbgap_subject_id", "dbgap_sample_id"], path)
     sample = F.col("SAMPLE_ID") if "SAMPLE_ID" in df.columns else F.lit("")
-    df = df.select(F.monotonically_increasing_id().alias("ord"), trimmed(F.col("SUBJECT_ID")).alias("subject_id"), trimmed(sample).alias("sample_id"), trimmed(F.col("CONSENT")).alias("consent"),
+    df = with_row_order(df).select("ord", trimmed(F.col("SUBJECT_ID")).alias("subject_id"), trimmed(sample).alias("sample_id"), trimmed(F.col("CONSENT")).alias("consent"),
                    trimmed(F.col("consent_abbreviation")).alias("consent_abbreviation"), trimmed(F.col("dbgap_subject_id")).alias("dbgap_subject_id"), trimmed(F.col("dbgap_sample_id")).alias("dbgap_sample_id"))
     return require_none(df, empty(F.col("dbgap_subject_id")) | empty(F.col("consent")), f"{path}: subject or consent is blank")
 
@@ -82,7 +88,7 @@ def column(df: DataFrame, names: list[str], what: str):
 def read_subjects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Consented (``dbgap_id, code, conflicts, subject_id``), not consented (``dbgap_id, subject_id``), and issues (``ord, code, example``)."""
     df = read_commented(spark, path)
-    rows = df.select(F.monotonically_increasing_id().alias("ord"), column(df, DBGAP_SUBJECT, "the repository's subject id").alias("dbgap_id"),
+    rows = with_row_order(df).select("ord", column(df, DBGAP_SUBJECT, "the repository's subject id").alias("dbgap_id"),
                      column(df, OWN_SUBJECT, "the study's subject id").alias("subject_id"), column(df, CONSENT, "the consent").alias("code"))
     blank = empty(F.col("dbgap_id"))
     code = S.consent_code(F.col("code"))
@@ -98,7 +104,7 @@ def read_samples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``ord, subject_id, dbgap_sample_id, sample_id`` of rows with a subject and an id, and issues for the others."""
     df = read_commented(spark, path)
     own = S.resolve_column(df, OWN_SAMPLE)
-    rows = df.select(F.monotonically_increasing_id().alias("ord"), column(df, DBGAP_SUBJECT, "the subject").alias("subject_id"), column(df, DBGAP_SAMPLE, "the sample").alias("dbgap_sample_id"),
+    rows = with_row_order(df).select("ord", column(df, DBGAP_SUBJECT, "the subject").alias("subject_id"), column(df, DBGAP_SAMPLE, "the sample").alias("dbgap_sample_id"),
                      (trimmed(F.col(f"`{own}`")) if own else F.lit("")).alias("sample_id"))
     kind = F.when(empty(F.col("subject_id")), "BLANK_SUBJECT").when(empty(F.col("dbgap_sample_id")) & empty(F.col("sample_id")), "NO_SAMPLE_ID")
     return rows.where(kind.isNull()), rows.select("ord", kind.alias("code"), F.col("subject_id").alias("example")).where("code is not null")
@@ -131,7 +137,7 @@ def read_patient_mapping(spark: SparkSession, path: str) -> DataFrame:
 
 def read_id_mapping(spark: SparkSession, path: str) -> DataFrame:
     """``old_id, new_id``; the last row of an old id counts."""
-    df = read_delimited(spark, path).select(F.monotonically_increasing_id().alias("ord"), trimmed(F.col(OLD_ID)).alias("old_id"), trimmed(F.col(NEW_ID)).alias("new_id"))
+    df = with_row_order(read_delimited(spark, path)).select("ord", trimmed(F.col(OLD_ID)).alias("old_id"), trimmed(F.col(NEW_ID)).alias("new_id"))
     return last_per_key(df.where("old_id <> '' and new_id <> ''"), ["old_id"], "ord").drop("ord")
 
 

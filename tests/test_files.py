@@ -43,11 +43,31 @@ def test_run_tsv(spark, tmp_path):
 
 
 def test_managed_inputs(spark, tmp_path):
-    head = "Study Abbreviated Name,Study Identifier,Data Type,Data is ready to process,Data Processed\n"
-    df = SF.read_managed_inputs(spark, put(tmp_path, "m.csv", head + "A,phs000001,P/G,YES,no\n,phs000002,P,Yes,No\nC,phs000003,P,,\n"))
+    def table(*rows):
+        cells = [dict(zip((SF.ABV, SF.STUDY, SF.KIND, SF.READY, SF.PROCESSED), r)) for r in rows]
+        return "\n".join([",".join(SF.HEADINGS), *(",".join(c.get(h, "") for h in SF.HEADINGS) for c in cells), ""])
+
+    df = SF.read_managed_inputs(spark, put(tmp_path, "m.csv", table(("A", "phs000001", "P/G", "YES", "no"), ("", "phs000002", "P", "Yes", "No"), ("C", "phs000003", "P", "", ""))))
     assert [(r.study_id, r.is_ready, r.is_processed) for r in df.orderBy("ord").collect()] == [("phs000001", True, False), ("phs000003", False, False)]
     with pytest.raises(BadFile):
-        SF.read_managed_inputs(spark, put(tmp_path, "n.csv", head + "A,phs000001,P,perhaps,no\n"))
+        SF.read_managed_inputs(spark, put(tmp_path, "n.csv", table(("A", "phs000001", "P", "perhaps", "no"))))
+    with pytest.raises(BadFile, match="Subject Type"):
+        SF.read_managed_inputs(spark, put(tmp_path, "o.csv", table(("A", "phs000001", "P", "yes", "no")).replace("Subject Type(s)", "x")))
+
+
+def test_order_over_files_of_unequal_sizes(spark, tmp_path):
+    old = "old_hpds_id,new_hpds_id,common\n"
+    put(tmp_path, "ids/a.csv", old + "1,first,x\n")
+    put(tmp_path, "ids/b.csv", old + "".join(f"9{i},{i},{'long ' * 20}\n" for i in range(200)) + "1,last,x\n")
+    put(tmp_path, "ids/c.csv", old + "2,only,x\n")
+    assert dict(SF.read_id_mapping(spark, str(tmp_path / "ids")).where("length(old_id) = 1").collect()) == {"1": "last", "2": "only"}
+    head = "SUBJECT_ID\tCONSENT\tconsent_abbreviation\tdbgap_subject_id\tdbgap_sample_id\n"
+    put(tmp_path, "sstr/a.txt", head + "s\t1\tGRU\t11\t\n")
+    put(tmp_path, "sstr/b.txt", head + "".join(f"s\t2\tHMB\t11\t{'x' * 50}{i}\n" for i in range(300)))
+    assert SF.read_sstr(spark, str(tmp_path / "sstr")).groupBy("subject_id").agg({"ord": "min"}).count() == 1
+    from cohortflow.operators.aggregates import consent_groups
+
+    assert [r["consent"] for r in consent_groups(SF.read_sstr(spark, str(tmp_path / "sstr")).selectExpr("*", "'s' as study_id")).collect()] == ["1"]
 
 
 def test_concept_mapping(spark, tmp_path):

@@ -78,6 +78,9 @@ def test_kinds(spark):
 def test_natural_order(spark):
     names = spark.createDataFrame([("phs7.v33.txt",), ("phs7.v9.txt",), ("PHS7.v10.txt",)], "n string")
     assert [r[0] for r in names.orderBy(S.natural_key(F.col("n"))).collect()] == ["phs7.v9.txt", "PHS7.v10.txt", "phs7.v33.txt"]
+    long = ["1" * 45 + "2.csv", "1" * 45 + "1.csv", "2" * 45 + ".csv", "0" * 50 + "7.csv", "x" * 60 + "1", "x" * 60 + "02"]
+    keyed = spark.createDataFrame([(n,) for n in long], "n string")
+    assert [r[0] for r in keyed.orderBy(S.natural_key(F.col("n"))).collect()] == [long[3], long[2], long[1], long[0], long[4], long[5]]
 
 
 def test_columns_by_alias(spark):
