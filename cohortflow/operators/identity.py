@@ -43,8 +43,10 @@ def lookup_ids(participants: DataFrame, ids: DataFrame, source: str) -> DataFram
     return ids.select("source_id").distinct().join(participants.where(F.col("source") == source).select("source_id", "person_id"), "source_id")
 
 
-def purge_and_reload(consents: DataFrame, study: str, new: DataFrame) -> DataFrame:
-    """A study's consents replaced; refused when there is nothing to put in their place."""
+def purge_and_reload(consents: DataFrame, study: str | None, new: DataFrame) -> DataFrame:
+    """A study's consents replaced; refused when there is nothing to put in their place. Without ``study``, those of all studies in ``new``."""
+    if study is None:
+        return consents.join(new.select("study_id").distinct(), "study_id", "left_anti").select(*new.columns).unionByName(new).select(*consents.columns)
     if new.isEmpty():
         raise EmptyInput(f"{study}: no subjects in the new input; its consents stay")
     return consents.where(F.col("study_id") != study).unionByName(new.select(*consents.columns))
@@ -60,55 +62,64 @@ def insert_samples(samples: DataFrame, new: DataFrame) -> DataFrame:
     return samples.unionByName(new.select(*samples.columns)).dropDuplicates()
 
 
-def load_sstr(participants: DataFrame, consents: DataFrame, samples: DataFrame, sstr: DataFrame, study: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """One study's subject and sample rows loaded into the three tables; the fourth frame is one row of counts.
+def of_studies(df: DataFrame, study: str | None) -> DataFrame:
+    return df if study is None else df.withColumn("study_id", F.lit(study))
 
-    ``sstr``: ``ord, subject_id, sample_id, consent, consent_abbreviation, dbgap_subject_id, dbgap_sample_id``. A
-    subject's first row gives its consent. Nothing is written here: the caller swaps all three snapshots or none.
+
+def load_sstr(participants: DataFrame, consents: DataFrame, samples: DataFrame, sstr: DataFrame, study: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Subject and sample rows loaded into the three tables; the fourth frame is a row of counts for each study.
+
+    ``sstr``: ``ord, subject_id, sample_id, consent, consent_abbreviation, dbgap_subject_id, dbgap_sample_id`` of
+    ``study``, or with ``study_id`` of several. A subject's first row gives its consent. Nothing is written here: the
+    caller swaps all three snapshots or none.
     """
-    first = first_per_key(sstr.select("dbgap_subject_id", "consent", "consent_abbreviation", "ord"), ["dbgap_subject_id"], "ord")
+    sstr = of_studies(sstr, study)
+    first = first_per_key(sstr.select("study_id", "dbgap_subject_id", "consent", "consent_abbreviation", "ord"), ["study_id", "dbgap_subject_id"], "ord")
     ids = first.select(F.col("dbgap_subject_id").alias("source_id"))
     people = resolve_or_create(participants, ids, "DBGap")
     known = lookup_ids(people, ids, "DBGap")
     rows = first.join(known, first["dbgap_subject_id"] == known["source_id"])
-    new = rows.select("person_id", F.lit(study).alias("study_id"), F.col("consent").alias("consent_code"), "consent_abbreviation")
-    tubes = sample_sources(sstr.withColumn("study_id", F.lit(study)).withColumn("subject_id", F.col("dbgap_subject_id")))
-    tubes = tubes.join(known, tubes["subject_id"] == known["source_id"]).select("person_id", "source_sample_id", "sample_source").distinct()
-    fresh = tubes.exceptAll(samples.select("person_id", "source_sample_id", "sample_source"))
+    new = rows.select("person_id", "study_id", F.col("consent").alias("consent_code"), "consent_abbreviation")
+    tubes = sample_sources(sstr.withColumn("subject_id", F.col("dbgap_subject_id")))
+    tubes = tubes.join(known, tubes["subject_id"] == known["source_id"]).select("study_id", "person_id", "source_sample_id", "sample_source").distinct()
+    key = ["person_id", "source_sample_id", "sample_source"]
+    fresh = first.withColumnRenamed("dbgap_subject_id", "source_id").join(participants.where("source = 'DBGap'").select("source_id"), "source_id", "left_anti")
     counted = {
-        "rows_read": sstr, "distinct_participants": ids, "participants_inserted": new_ids(ids, participants, "DBGap"), "consents_written": new,
-        "consents_purged": consents.where(F.col("study_id") == study), "consent_groups": new.select("consent_code").distinct(), "samples_seen": tubes, "samples_inserted": fresh,
+        "rows_read": sstr, "distinct_participants": first, "participants_inserted": fresh, "consents_written": new,
+        "consents_purged": consents.join(first.select("study_id").distinct(), "study_id", "left_semi"), "consent_groups": new.select("study_id", "consent_code").distinct(),
+        "samples_seen": tubes, "samples_inserted": tubes.join(samples.select(*key).distinct(), key, "left_anti"),
     }
-    each = union(*[df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in counted.items()])
-    counts = each.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in counted])
-    return people, purge_and_reload(consents, study, new), insert_samples(samples, tubes), counts
+    each = union(*[df.groupBy("study_id").agg(F.count("*").alias("n")).select("study_id", F.lit(name).alias("name"), "n") for name, df in counted.items()])
+    counts = each.groupBy("study_id").agg(*[F.coalesce(F.max(F.when(F.col("name") == name, F.col("n"))), F.lit(0).cast("long")).alias(name) for name in counted])
+    return people, purge_and_reload(consents, study, new), insert_samples(samples, tubes.select(*key)), counts
 
 
-def load_multi(participants: DataFrame, consents: DataFrame, samples: DataFrame, subjects: DataFrame, tubes: DataFrame, decodings: DataFrame, study: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """One study's subject and sample tables loaded; the fourth frame is its issues (``code, count``).
+def load_multi(participants: DataFrame, consents: DataFrame, samples: DataFrame, subjects: DataFrame, tubes: DataFrame, decodings: DataFrame, study: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Subject and sample tables loaded; the fourth frame is their issues (``study_id, code, count``).
 
     ``subjects``: ``ord, dbgap_id, subject_id, code``; ``tubes``: ``ord, subject_id`` (the repository's),
-    ``dbgap_sample_id, sample_id``; ``decodings``: ``consent_code, label``.
+    ``dbgap_sample_id, sample_id``; ``decodings``: ``consent_code, label``; all of ``study``, or with ``study_id`` of several.
     """
     from cohortflow.operators.dedup import first_usable_consent
     from cohortflow.operators.joins import decoded_consents, samples_of_subjects
 
-    yes, no = first_usable_consent(subjects, ["dbgap_id"], "code", "ord")
-    coded = yes.select(F.lit(study).alias("study_id"), "dbgap_id", F.col("code").alias("consent_code"), "conflicts")
-    named = decoded_consents(coded, decodings.withColumn("study_id", F.lit(study)))
+    subjects, tubes, decodings = (of_studies(df, study) for df in (subjects, tubes, decodings))
+    yes, no = first_usable_consent(subjects, ["study_id", "dbgap_id"], "code", "ord")
+    coded = yes.select("study_id", "dbgap_id", F.col("code").alias("consent_code"), "conflicts")
+    named = decoded_consents(coded, decodings)
     ids = yes.select(F.col("dbgap_id").alias("source_id"))
     people = resolve_or_create(participants, ids, "DBGap")
     known = lookup_ids(people, ids, "DBGap")
     new = named.join(known, named["dbgap_id"] == known["source_id"]).select("person_id", "study_id", "consent_code", "consent_abbreviation")
-    classed = samples_of_subjects(tubes.withColumn("study_id", F.lit(study)), coded.select("study_id", F.col("dbgap_id").alias("subject_id")), no.select(F.lit(study).alias("study_id"), F.col("dbgap_id").alias("subject_id")))
+    classed = samples_of_subjects(tubes, *[df.select("study_id", F.col("dbgap_id").alias("subject_id")) for df in (coded, no)])
     rows = sample_sources(classed.where("subject_class = 'consented'").select("study_id", "subject_id", "dbgap_sample_id", "sample_id"))
     rows = rows.join(known, rows["subject_id"] == known["source_id"]).select("person_id", "source_sample_id", "sample_source")
 
     def counted(df: DataFrame, code: Column | str) -> DataFrame:
-        return df.select((F.lit(code) if isinstance(code, str) else code).alias("code")).groupBy("code").agg(F.count("*").alias("count"))
+        return df.select("study_id", (F.lit(code) if isinstance(code, str) else code).alias("code")).groupBy("study_id", "code").agg(F.count("*").alias("count"))
 
     issues = union(
-        counted(named.where("issue is not null").select("consent_code", "issue").distinct(), F.col("issue")),
+        counted(named.where("issue is not null").select("study_id", "consent_code", "issue").distinct(), F.col("issue")),
         counted(coded.where("conflicts > 0"), "CONSENT_CONFLICT"),
         counted(no, "SUBJECTS_NOT_CONSENTED"),
         counted(classed.where("subject_class = 'not_consented'"), "SAMPLES_OF_UNCONSENTED_SUBJECTS"),

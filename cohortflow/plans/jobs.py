@@ -5,7 +5,7 @@ Every job takes all studies at once; a study's verdict is a grouped result, not
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.functions import studies as S
@@ -13,6 +13,7 @@ from cohortflow.functions.cells import has_separator, is_null_word, is_number, i
 from cohortflow.operators import aggregates as A
 from cohortflow.operators import joins as J
 from cohortflow.operators import reshape as R
+from cohortflow.sources.scratch import written
 
 
 def study_concepts(wide: DataFrame, mapping: DataFrame, patient: str, participants: DataFrame, consents: DataFrame, study: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -34,6 +35,50 @@ def study_concepts(wide: DataFrame, mapping: DataFrame, patient: str, participan
     return good.select("study_id", "consent_code", "person_id", "path", "numeric", "text"), counts
 
 
+def concepts_of_files(wides: dict[str, DataFrame], mapping: DataFrame, participants: DataFrame, consents: DataFrame, study: str | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Concept rows of a study's data files, counts for each file, and the files that the mapping names and ``wides`` lacks.
+
+    ``mapping``: ``file, column, path, declared, patient_column``, a study's own, so it goes through the driver.
+    ``wides``: the cells of each file as text and ``malformed``; malformed rows give no concepts, but their cells
+    count for the types, which are observed for each column of each file. Columns beyond a file's width are passed
+    over. Counts: ``file, rows, malformed, not_patients, written, unmapped, no_consent, unmapped_ids``.
+    """
+    wanted: dict[str, list] = {}
+    for r in mapping.collect():
+        wanted.setdefault(r["file"], []).append(r)
+    names = {f: [c for c in df.columns if c != "malformed"] for f, df in wides.items()}
+    used = {f: [r for r in rows if max(r["column"], r["patient_column"]) < len(names[f])] for f, rows in wanted.items() if f in wides}
+    used = {f: rows for f, rows in used.items() if rows}
+
+    def pairs(f: str) -> DataFrame:
+        each = F.array(*[F.struct(F.lit(f"{f}:{c}").alias("field"), F.col(f"`{names[f][c]}`").alias("value")) for c in sorted({r["column"] for r in used[f]})])
+        return wides[f].select(F.explode(each).alias("c")).select("c.field", "c.value")
+
+    types = {r["field"]: r["observed"] for r in A.column_profile(R.union(*map(pairs, used))).collect()} if used else {}
+    found, sizes = [], []
+    for f, rows in used.items():
+        by_patient: dict[int, list] = {}
+        for r in rows:
+            if types.get(f"{f}:{r['column']}", r["declared"]) is not None:
+                by_patient.setdefault(r["patient_column"], []).append(r)
+        good = wides[f].where("not malformed").withColumn("file", F.lit(f))
+        for p, own in by_patient.items():
+            entries = [{"field": names[f][r["column"]], "path": r["path"], "type": types.get(f"{f}:{r['column']}", r["declared"])} for r in own]
+            found.append(R.to_concepts(good, entries, names[f][p], ["file"]))
+        first = F.col(f"`{names[f][min(r['patient_column'] for r in rows)]}`")
+        sizes.append(wides[f].agg(F.count("*").alias("rows"), F.count_if("malformed").alias("malformed"), F.count_if(~is_patient_cell(first)).alias("not_patients")).withColumn("file", F.lit(f)))
+    missing = sorted(set(wanted) - set(wides))
+    if not found:
+        raise ValueError("no mapping row names a column of a file that is there")
+    rows = J.to_consents(J.to_people(R.union(*found), participants), consents if study is None else J.of_study(consents, study))
+    kind = F.when(F.col("person_id").isNull(), "unmapped").when(F.col("consent_code").isNull(), "no_consent").otherwise("written")
+    rows = rows.withColumn("class", kind)
+    of = F.col("class")
+    per = rows.groupBy("file").agg(*[F.count_if(of == k).alias(k) for k in ("written", "unmapped", "no_consent")], F.count_distinct(F.when(of == "unmapped", F.col("patient"))).alias("unmapped_ids"))
+    counts = R.union(*sizes).join(per, "file", "left").select("file", "rows", "malformed", "not_patients", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("written", "unmapped", "no_consent", "unmapped_ids")])
+    return rows.where("class = 'written'").select("file", "study_id", "consent_code", "person_id", "path", "numeric", "text"), counts, missing
+
+
 def file_counts(wide: DataFrame, mapping: list[dict], patient: str, file: str, participants: DataFrame) -> DataFrame:
     """Per data file: rows, rows whose first cell names no patient, cells emitted, cells dropped, and patients not known."""
     fields = [m["field"] for m in mapping if m["field"] in wide.columns]
@@ -154,6 +199,27 @@ def to_merge(lines: DataFrame, plan: DataFrame) -> DataFrame:
     return lines.join(plan.where("merge").select("study_id", "label"), ["study_id", "label"], "left_semi").orderBy("study_id", "label", "name", "line")
 
 
+def merge_files(spark: SparkSession, root: str, plan: DataFrame, target: str) -> DataFrame:
+    """Merge the folders that ``plan`` says to: their sources below ``root``, in name order, to one file each below ``target``.
+
+    Returns ``study_id, label, bytes, md5`` of the merged files. The format asks for one ordered file a folder, so a
+    folder's lines are sorted and written by one task, which spills; folders are merged side by side.
+    """
+    from cohortflow.sources.sinks import move_files, written_files
+
+    rows = R.concatenated(spark, f"{root}/*/allConcepts/*/*{S.MARKER}*").where(~S.is_merged_name(F.col("name")))
+    folder = F.col("place.file_path")
+    rows = rows.select(F.regexp_extract(folder, "([^/]+)/allConcepts/(c[^/]+)/[^/]+$", 1).alias("study_id"), F.regexp_extract(folder, "([^/]+)/allConcepts/(c[^/]+)/[^/]+$", 2).alias("label"), "name", F.col("place").alias("line"), "value")
+    chosen = rows.join(plan.where("merge").select("study_id", "label"), ["study_id", "label"], "left_semi")
+    stage = f"{target}/_staged"
+    chosen.repartition("study_id", "label").sortWithinPartitions("study_id", "label", "name", "line").select("study_id", "label", "value").write.mode("overwrite").partitionBy("study_id", "label").text(stage)
+    name = F.concat("study_id", F.lit("/allConcepts/"), "label", F.lit("/"), S.merged_file(F.col("study_id"), F.col("label")))
+    move_files(written_files(spark, stage).select("path", name.alias("name")), target)
+    files = spark.read.format("binaryFile").load(f"{target}/*/allConcepts/*/*_MERGED.csv")
+    at = "([^/]+)/allConcepts/(c[^/]+)/[^/]+$"
+    return files.select(F.regexp_extract("path", at, 1).alias("study_id"), F.regexp_extract("path", at, 2).alias("label"), F.col("length").alias("bytes"), F.md5("content").alias("md5"))
+
+
 def manifest(studies: DataFrame, folders: DataFrame, files: DataFrame, global_file: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
     """Rows ``partition, uri, version_id, last_updated, md5`` and problems ``study_id, label, severity, code``.
 
@@ -197,6 +263,58 @@ def migrate(studies: DataFrame, mapping: DataFrame, loaded: DataFrame, subjects:
     return rows.where("resolution = 'mapped'").select("study_id", "old_id", "person_id", "dbgap_id"), out, A.unresolved(rows)
 
 
+def migrate_studies(
+    studies: DataFrame, files: DataFrame, sstr: DataFrame, subjects: DataFrame, tubes: DataFrame, decodings: DataFrame, mapping: DataFrame,
+    participants: DataFrame, consents: DataFrame, samples: DataFrame, prior: DataFrame, folder: str,
+) -> dict[str, DataFrame]:
+    """A whole migration: files chosen, studies loaded, patient mappings resolved, every study's outcome told.
+
+    Ready studies count once. Those that ``prior`` has for the same ``folder`` are not done again. Of the others each is
+    loaded from its preferred subject-sample file, else from its newest subject table with the sample table, else
+    skipped; one whose mapping resolves to nothing needs a review. ``files``: ``study_id, name``; the other inputs are
+    as their readers give them, with ``study_id``. Returns ``participants, consents, samples, mappings, outcomes, unresolved, issues``.
+    """
+    from cohortflow.operators import dedup as E
+    from cohortflow.operators import identity as I
+
+    listed = J.ready(studies).select("ord", "study_id", "abv").dropDuplicates(["study_id"])
+    todo, reused = J.to_resume(listed, prior, folder)
+    kinds = files.withColumn("kind", S.raw_file_class(F.col("name"), F.col("study_id"))).where("kind is not null")
+    table = E.preferred(kinds.where("kind in ('sstr', 'sstr_copy')"), ["study_id"], F.col("kind") == "sstr_copy", "name").select("study_id", F.col("name").alias("sstr_file"), "candidates")
+    newest = E.newest(kinds.where("kind = 'subject'").select("study_id", "name"), ["study_id"], "name").select("study_id", F.col("name").alias("subject_file"))
+    paired = E.paired_dictionaries(kinds.where("kind = 'dictionary'").select("study_id", "name").join(newest, "study_id"), ["study_id"], "name", "subject_file").select("study_id", F.col("name").alias("dictionary"))
+    chosen = todo.join(table, "study_id", "left").join(newest, "study_id", "left").join(paired, "study_id", "left")
+    chosen = written(chosen.withColumn("source", F.when(F.col("sstr_file").isNotNull(), "SSTR").when(F.col("subject_file").isNotNull(), "MULTI")), "chosen")
+
+    def of(df: DataFrame, source: str) -> DataFrame:
+        return df.join(chosen.where(F.col("source") == source).select("study_id"), "study_id", "left_semi")
+
+    by_table, by_subject = of(sstr, "SSTR"), of(subjects, "MULTI")
+    people, own, held, _ = I.load_sstr(participants, consents, samples, by_table)
+    people = written(people, "people")
+    people, own, held, found = I.load_multi(people, own, held, by_subject, of(tubes, "MULTI"), decodings)
+    people = written(people, "people")
+    yes, no = E.first_usable_consent(by_subject, ["study_id", "dbgap_id"], "code", "ord")
+    named = by_subject.groupBy("study_id", "dbgap_id").agg(F.min_by("subject_id", "ord").alias("subject_id"))
+    ids = R.union(by_table.select("study_id", F.col("dbgap_subject_id").alias("dbgap_id"), "subject_id"), yes.select("study_id", "dbgap_id").join(named, ["study_id", "dbgap_id"]))
+    no = no.join(named, ["study_id", "dbgap_id"]).select("study_id", "subject_id")
+    rows = written(J.resolve_patients(mapping.join(chosen.select("study_id"), "study_id", "left_semi"), ids.select("study_id", "dbgap_id"), ids, no, people), "resolved")
+    per = rows.groupBy("study_id").agg(F.count_if(F.col("resolution") == "mapped").alias("mapping_rows"), F.count_if(F.col("resolution") != "mapped").alias("unresolved_rows"))
+    n = F.coalesce("mapping_rows", F.lit(0).cast("long"))
+    codes = F.array_compact(F.array(F.when(F.col("source").isNull(), "NO_PARTICIPANT_FILES"), F.when(F.col("source").isNotNull() & (n == 0), "NEEDS_DATA_REVIEW")))
+    out = chosen.join(per, "study_id", "left").withColumn("codes", codes)
+    good = F.size("codes") == 0
+    out = out.select("ord", "study_id", "abv", "source", n.alias("mapping_rows"), F.coalesce("unresolved_rows", F.lit(0).cast("long")).alias("unresolved_rows"),
+                     S.study_outcome(good, F.col("codes")).alias("outcome"), S.outcome_class(good, F.col("source"), F.col("sstr_file"), F.col("codes")).alias("class"))
+    again = reused.join(listed, "study_id").select("ord", "study_id", "abv", F.lit(None).cast("string").alias("source"), F.col("mapping_rows").cast("long").alias("mapping_rows"), F.lit(0).cast("long").alias("unresolved_rows"), F.lit("success").alias("outcome"), F.lit("reused").alias("class"))
+    without = chosen.where("source = 'MULTI' and dictionary is null").select("study_id", F.lit("NO_DATA_DICT").alias("code"))
+    several = chosen.where("candidates > 1").select("study_id", F.lit("SEVERAL_SSTR_FILES").alias("code"))
+    return {
+        "participants": people, "consents": own, "samples": held, "mappings": rows.where("resolution = 'mapped'").select("study_id", "old_id", "person_id", "dbgap_id"),
+        "outcomes": out.unionByName(again), "unresolved": A.unresolved(rows), "issues": R.union(found.select("study_id", "code", "count"), *[df.withColumn("count", F.lit(1).cast("long")) for df in (without, several)]),
+    }
+
+
 def resolve_studies(studies: DataFrame, inputs: DataFrame) -> DataFrame:
     """``study_id, abv, plan, reason, decoded_bytes, csv_count``: load, already_processed, or excluded with all its reasons.
 

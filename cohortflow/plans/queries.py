@@ -379,22 +379,16 @@ def insert_samples(spark: SparkSession, d: str) -> DataFrame:
     return I.insert_samples(T.samples(spark, d), new)
 
 
-_LOAD = """, mine AS (SELECT * FROM sstr WHERE study_id = 'phs000005'), firsts AS (SELECT dbgap_subject_id, arg_min(consent, ord) AS consent FROM mine GROUP BY 1)
-"""
-
-
-@query(_LOAD + """, ids AS (SELECT f.*, coalesce(p.person_id, (SELECT max(person_id) FROM participants) + row_number() OVER (PARTITION BY p.person_id IS NULL ORDER BY dbgap_subject_id)) AS pid FROM firsts f LEFT JOIN participants p ON p.source_id = dbgap_subject_id),
-tubes AS (SELECT DISTINCT pid, sid, src FROM (SELECT dbgap_subject_id, dbgap_sample_id AS sid, 'DBGap' AS src FROM mine UNION ALL SELECT dbgap_subject_id, sample_id, 'submitted' FROM mine) JOIN ids USING (dbgap_subject_id) WHERE sid <> '')
-SELECT (SELECT count(*) FROM mine) AS rows_read, (SELECT count(*) FROM firsts) AS distinct_participants, (SELECT count(*) FROM firsts WHERE dbgap_subject_id NOT IN (SELECT source_id FROM participants)) AS participants_inserted,
-  (SELECT count(*) FROM ids) AS consents_written, (SELECT count(*) FROM consents WHERE study_id = 'phs000005') AS consents_purged, (SELECT count(DISTINCT consent) FROM firsts) AS consent_groups,
-  (SELECT count(*) FROM tubes) AS samples_seen, (SELECT count(*) FROM tubes t WHERE NOT EXISTS (SELECT 1 FROM samples s WHERE s.person_id = t.pid AND s.source_sample_id = t.sid AND s.sample_source = t.src)) AS samples_inserted""")
+@query(""", firsts AS (SELECT study_id, dbgap_subject_id, arg_min(consent, ord) AS consent FROM sstr GROUP BY ALL),
+fresh AS (SELECT dbgap_subject_id, (SELECT max(person_id) FROM participants) + row_number() OVER (ORDER BY dbgap_subject_id) AS pid FROM (SELECT DISTINCT dbgap_subject_id FROM firsts WHERE dbgap_subject_id NOT IN (SELECT source_id FROM participants))),
+ids AS (SELECT f.*, coalesce(p.person_id, n.pid) AS pid FROM firsts f LEFT JOIN participants p ON p.source_id = dbgap_subject_id LEFT JOIN fresh n USING (dbgap_subject_id)),
+tubes AS (SELECT DISTINCT study_id, pid, sid, src FROM (SELECT study_id, dbgap_subject_id, dbgap_sample_id AS sid, 'DBGap' AS src FROM sstr UNION ALL SELECT study_id, dbgap_subject_id, sample_id, 'submitted' FROM sstr) JOIN ids USING (study_id, dbgap_subject_id) WHERE sid <> '')
+SELECT s.study_id, (SELECT count(*) FROM sstr x WHERE x.study_id = s.study_id) AS rows_read, count(*) AS distinct_participants, count(*) FILTER (dbgap_subject_id IN (SELECT dbgap_subject_id FROM fresh)) AS participants_inserted, count(*) AS consents_written,
+  (SELECT count(*) FROM consents x WHERE x.study_id = s.study_id) AS consents_purged, count(DISTINCT consent) AS consent_groups, (SELECT count(*) FROM tubes x WHERE x.study_id = s.study_id) AS samples_seen,
+  (SELECT count(*) FROM tubes x LEFT JOIN (SELECT DISTINCT * FROM samples) y ON y.person_id = x.pid AND y.source_sample_id = x.sid AND y.sample_source = x.src WHERE x.study_id = s.study_id AND y.person_id IS NULL) AS samples_inserted
+FROM ids s GROUP BY s.study_id""")
 def load_counts(spark: SparkSession, d: str) -> DataFrame:
-    return _load(spark, d)[3]
-
-
-def _load(spark: SparkSession, d: str):
-    rows = T.sstr(spark, d).where("study_id = 'phs000005'").withColumn("consent_abbreviation", F.lit("GRU"))
-    return I.load_sstr(T.participants(spark, d), T.consents(spark, d), T.samples(spark, d), rows, "phs000005")
+    return I.load_sstr(T.participants(spark, d), T.consents(spark, d), T.samples(spark, d), T.sstr(spark, d).withColumn("consent_abbreviation", F.lit("GRU")))[3]
 
 
 @query("SELECT study_id, count(*) FILTER (severity = 'ERROR') AS errors, count(*) FILTER (severity = 'WARNING') AS warnings, count(*) FILTER (severity = 'INFO') AS infos FROM reports GROUP BY 1")

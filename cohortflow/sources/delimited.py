@@ -34,6 +34,15 @@ def read_commented(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame
     return df.where(checked).drop("_corrupt_record").na.fill("")
 
 
+def read_wide(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """A quoted file with a header, as it stands, and ``malformed``: true for rows of another width. Missing cells are empty."""
+    opts = {"header": True, "sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    names = spark.read.options(**opts).csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("_corrupt_record", T.StringType())])
+    df = spark.read.schema(schema).options(**opts, columnNameOfCorruptRecord="_corrupt_record").csv(path)
+    return df.withColumn("malformed", F.col("_corrupt_record").isNotNull()).drop("_corrupt_record").na.fill("")
+
+
 def read_positional(spark: SparkSession, path: str, n: int, sep: str = ",") -> DataFrame:
     """Headerless rows: ``c0`` to ``c{n-1}`` and ``malformed``, true for rows of another width."""
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(n)] + [T.StructField("_corrupt_record", T.StringType())])
