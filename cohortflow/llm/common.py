@@ -38,12 +38,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def remove_tables(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+def remove_tables(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = (), only: list[str] | None = None) -> None:
     """Remove what operators wrote to the shared folder after the first ``since`` paths of ``written``, but for tables named in ``keep``.
 
-    For the time when results that read those tables have been saved.
+    For the time when results that read those tables have been saved. ``only``: of these paths.
     """
-    for path in [p for p in written[since:] if p.rpartition("/")[2].rpartition("-")[0] not in keep]:
+    for path in [p for p in written[since:] if p.rpartition("/")[2].rpartition("-")[0] not in keep and (only is None or p in only)]:
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
         written.remove(path)
