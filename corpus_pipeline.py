@@ -5,33 +5,64 @@ Stages take ``(spark, docs, sf_dir)``; all but the last return the columns of ``
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.llm import common, mixing, near_join, packing, secrets, toxicity
 from cohortflow.llm.common import cut, documents
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: What the last stage wrote to the shared folder on its way.
+passed: list[str] = []
+
+
+def stage(f: Stage) -> Stage:
+    """A stage that first removes what the one before it wrote on its way: that one's result has been written by then.
+
+    Should ``docs`` still read such a table, since it was not, the table stays.
+    """
+
+    @functools.wraps(f)
+    def one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        reads = docs.inputFiles() if passed else []
+        common.remove_tables(spark, only=[p for p in passed if not any(p.rpartition("/")[2] in r for r in reads)])
+        began = len(common.written)
+        out = f(spark, docs, sf_dir)
+        passed[:] = common.written[began:]
+        return out
+
+    return one
+
+
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a model learned from their labels scores as toxic go."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.keep_clean(docs, model)
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by three quarters of their shingles, directly or through others, the one with the least id stays."""
     return near_join.keep_one(docs)
 
 
+@stage
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets, and credential parts that complete each other, are replaced in the texts."""
     return secrets.redact(docs)
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are left out or repeated so that sources come near their target weights."""
     return mixing.remix(docs)
 
 
+@stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences, every source in its share of each window."""
     import public_tokenizers
