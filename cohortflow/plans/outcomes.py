@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cohortflow.functions import studies as S
 from cohortflow.functions.cells import one_line
@@ -23,23 +24,30 @@ def run_review(plan: DataFrame, outcomes: DataFrame, issues: DataFrame, stages:
     per-study stage that ran; ``issues``: ``study_id, stage, severity, code, message``; ``stages``: ``stage, ran,
     status, message`` of run-wide stages.
     """
-    active = plan.where("plan <> 'excluded'").select("study_id")
-    excluded = plan.where("plan = 'excluded'").select("study_id", F.lit("resolve-studies").alias("stage"), F.lit("EXCLUDED").alias("severity"), F.lit("MISSING_INPUTS").alias("code"), F.col("reason").alias("detail"))
-    own = outcomes.join(plan.where("plan = 'load'").select("study_id"), "study_id")
-    unstarted = own.where("result = 'NOT_RUN'").select("study_id", "stage", F.lit("NOT_REACHED").alias("severity"), F.lit("NOT_STARTED").alias("code"), F.lit("the stage stopped first").alias("detail"))
-    failed = own.where("result not in ('SUCCESS', 'UNSTABLE', 'NOT_RUN')").select("study_id", "stage", F.lit("FAILED").alias("severity"), F.col("result").alias("code"), F.coalesce(F.nullif("reason", F.lit("")), F.concat("stage", F.lit(" ended "), "result")).alias("detail"))
-    found = issues.where("severity in ('ERROR', 'WARNING')").join(active, "study_id").select("study_id", "stage", F.when(F.col("severity") == "ERROR", "FAILED").otherwise("WARNING").alias("severity"), "code", F.col("message").alias("detail"))
-    warned = found.where("severity = 'WARNING'").select("study_id", "stage")
-    unstable = own.where("result = 'UNSTABLE'").join(warned, ["study_id", "stage"], "left_anti").select("study_id", "stage", F.lit("WARNING").alias("severity"), F.lit("UNSTABLE").alias("code"), F.lit("completed with warnings").alias("detail"))
-    items = [excluded, unstarted, failed, found, unstable]
+    result = F.col("result")
+    own = outcomes.select(
+        "study_id", "stage", F.lit("outcome").alias("kind"), F.when(result == "NOT_RUN", "NOT_REACHED").when(result == "UNSTABLE", "WARNING").when(result != "SUCCESS", "FAILED").alias("severity"),
+        F.when(result == "NOT_RUN", "NOT_STARTED").otherwise(result).alias("code"),
+        F.when(result == "NOT_RUN", "the stage stopped first").when(result == "UNSTABLE", "completed with warnings").otherwise(F.coalesce(F.nullif("reason", F.lit("")), F.concat("stage", F.lit(" ended "), "result"))).alias("detail"),
+    )
+    found = issues.where("severity in ('ERROR', 'WARNING')").select("study_id", "stage", F.lit("issue").alias("kind"), F.when(F.col("severity") == "ERROR", "FAILED").otherwise("WARNING").alias("severity"), "code", F.col("message").alias("detail"))
+    kind = F.col("kind")
+    told = own.where("severity is not null").unionByName(found).join(plan.select("study_id", "plan"), "study_id")
+    told = told.where(F.when(kind == "outcome", F.col("plan") == "load").otherwise(F.col("plan") != "excluded")).drop("plan")
     if not preflight:
-        pairs = active.select("study_id", F.explode(F.array(*map(F.lit, PUBLISHING))).alias("stage"))
-        pairs = pairs.join(F.broadcast(stages), "stage", "left").withColumn("ran", F.coalesce("ran", F.lit(False)))
-        absent = pairs.where("not ran").select("study_id", "stage", F.lit("NOT_REACHED").alias("severity"), F.lit("STAGE_NOT_RUN").alias("code"), F.lit("outputs not published").alias("detail"))
-        named = union(failed, found).where("severity = 'FAILED'").select("study_id", "stage")
-        broke = pairs.where("ran and status <> 'SUCCESS'").join(named, ["study_id", "stage"], "left_anti").select("study_id", "stage", F.lit("FAILED").alias("severity"), F.lit("STAGE_FAILED").alias("code"), F.coalesce("message", F.lit("see its report")).alias("detail"))
-        items += [absent, broke]
-    return union(*items).withColumn("detail", one_line(F.col("detail")))
+        pairs = plan.where("plan <> 'excluded'").select("study_id", F.explode(F.array(*map(F.lit, PUBLISHING))).alias("stage"))
+        pairs = pairs.join(F.broadcast(stages), "stage", "left").withColumn("ran", F.coalesce("ran", F.lit(False))).where("not ran or status <> 'SUCCESS'")
+        late = pairs.select(
+            "study_id", "stage", F.lit("stage").alias("kind"), F.when(F.col("ran"), "FAILED").otherwise("NOT_REACHED").alias("severity"), F.when(F.col("ran"), "STAGE_FAILED").otherwise("STAGE_NOT_RUN").alias("code"),
+            F.when(F.col("ran"), F.coalesce("message", F.lit("see its report"))).otherwise("outputs not published").alias("detail"))
+        told = told.unionByName(late)
+    # What a stage's own issues tell already is not told again by its outcome, nor a failure that is named by its stage.
+    mine = Window.partitionBy("study_id", "stage")
+    warned = F.max((kind == "issue") & (F.col("severity") == "WARNING")).over(mine)
+    named = F.max((kind != "stage") & (F.col("severity") == "FAILED")).over(mine)
+    told = told.withColumns({"_warned": warned, "_named": named}).where(~((F.col("code") == "UNSTABLE") & (kind == "outcome") & F.col("_warned")) & ~((F.col("code") == "STAGE_FAILED") & (kind == "stage") & F.col("_named")))
+    excluded = plan.where("plan = 'excluded'").select("study_id", F.lit("resolve-studies").alias("stage"), F.lit("EXCLUDED").alias("severity"), F.lit("MISSING_INPUTS").alias("code"), F.col("reason").alias("detail"))
+    return union(told.select(*excluded.columns), excluded).withColumn("detail", one_line(F.col("detail")))
 
 
 def run_outcomes(plan: DataFrame, review: DataFrame) -> DataFrame:
