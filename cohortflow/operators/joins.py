@@ -1,7 +1,7 @@
 """Equi-joins of studies, people, consents, samples, files and reports.
 
-Sides that grow with the data are left to Spark's choice; only the study list, a mapping of a study's
-columns and the like, which are of a study's or a file's size, are broadcast by name.
+No side is broadcast by name unless its rows are counted by a setting (ranges, stages): which sides are small is
+left to Spark, which checks their sizes.
 """
 
 from __future__ import annotations
@@ -91,7 +91,7 @@ def ready(studies: DataFrame, processed: bool = True) -> DataFrame:
 def of_ready(studies: DataFrame, facts: DataFrame, repeat: bool = False) -> DataFrame:
     """Facts of ready studies. A study that is listed twice counts twice only with ``repeat``."""
     ids = ready(studies).select("study_id")
-    return F.broadcast(ids if repeat else ids.distinct()).join(facts, "study_id")
+    return (ids if repeat else ids.distinct()).join(facts, "study_id")
 
 
 def of_study(df: DataFrame, study: str) -> DataFrame:

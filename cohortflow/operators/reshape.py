@@ -72,7 +72,7 @@ def global_concepts(studies: DataFrame, participants: DataFrame, consents: DataF
     A study that is listed twice contributes twice. The three kinds that a consent gives are made in one pass.
     """
     listed = studies.where("is_ready").groupBy("study_id").agg(F.count("*").alias("times"))
-    own = consents.join(F.broadcast(listed), "study_id")
+    own = consents.join(listed, "study_id")
     person = F.col("person_id")
     flag = F.concat(F.lit(S.STUDY_CONSENTS), F.col("study_id"), F.lit(S.SEP))
     short = F.coalesce("consent_abbreviation", F.lit(""))

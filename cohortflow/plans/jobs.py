@@ -112,7 +112,7 @@ def genomic_groups(studies: DataFrame, consents: DataFrame, samples: DataFrame,
     Held back: ``consent_group, study_id, reasons, bad_samples, examples``. A bad group doesn't stop the others.
     """
     chosen = J.ready(studies, processed).where(S.is_genomic(F.col("data_type"))).select("study_id", "abv").distinct()
-    own = J.study_samples(samples, consents).join(consents.select("study_id", "person_id", "consent_code"), ["study_id", "person_id"]).join(F.broadcast(chosen), "study_id")
+    own = J.study_samples(samples, consents).join(consents.select("study_id", "person_id", "consent_code"), ["study_id", "person_id"]).join(chosen, "study_id")
     rows = own.where(S.consented(F.col("consent_code")) & S.sequenced(F.col("source_sample_id"))).withColumn("consent_group", S.partition_name(F.col("study_id"), F.col("consent_code")))
     rows = rows.withColumns({"_bad_id": has_separator(F.col("source_sample_id"), ",\t\n\r"), "_bad_abv": has_separator(F.col("abv"), ",\n\r")})
     groups = rows.groupBy("consent_group", "study_id").agg(F.count_if("_bad_id").alias("bad_samples"), F.max("_bad_abv").alias("_bad_abv"))
@@ -229,7 +229,7 @@ def manifest(studies: DataFrame, folders: DataFrame, files: DataFrame, global_fi
     from cohortflow.plans.gates import folder_problems, global_problems
 
     ids = J.ready(studies).select("study_id").distinct()
-    own = folders.join(F.broadcast(ids), "study_id")
+    own = folders.join(ids, "study_id")
     judged = own.withColumn("problem", folder_problems())
     name = S.merged_file(F.col("study_id"), F.col("label"))
     times = files.where(F.col("name") == name).select("study_id", "label", "last_modified")
@@ -331,5 +331,5 @@ def resolve_studies(studies: DataFrame, inputs: DataFrame) -> DataFrame:
 def exclude_studies(studies: DataFrame, excluded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The study list with excluded ones not ready, and excluded ids that it lacks."""
     marked = excluded.select("study_id").distinct().withColumn("_out", F.lit(True))
-    rows = studies.join(F.broadcast(marked), "study_id", "left").withColumn("is_ready", F.col("is_ready") & F.col("_out").isNull()).drop("_out")
+    rows = studies.join(marked, "study_id", "left").withColumn("is_ready", F.col("is_ready") & F.col("_out").isNull()).drop("_out")
     return rows.select(*studies.columns), marked.select("study_id").join(studies.select("study_id"), "study_id", "left_anti")
