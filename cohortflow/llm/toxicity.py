@@ -185,9 +185,13 @@ def score(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col:
 
 
 def keep_clean(df: DataFrame, model: Model | None, cut_at: float = CUT, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose text scores below ``cut_at``."""
+    """The rows of ``df`` whose text scores below ``cut_at``, with all their columns under their own names.
+
+    A null or empty text has the score of no features, and stays where that is below; repeated rows are judged one by
+    one, alike; without a model all rows stay; an empty table gives none.
+    """
     columns = [c for c in df.columns if c != text_col]
-    sent = df.select(F.col(text_col).alias("_key"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)])
+    sent = df.select(F.col(f"`{text_col}`").alias("_key"), F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns)])
     schema = ", ".join(["doc_id string", "score double", *[f"_{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(columns)]])
     out = sent.mapInArrow(predict(model), schema).where(F.col("score") < cut_at)
     back = {text_col: F.col("doc_id")} | {c: F.col(f"_{i}") for i, c in enumerate(columns)}
