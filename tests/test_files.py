@@ -7,7 +7,7 @@ from cohortflow.plans import jobs as K
 from cohortflow.sources import files as FI
 from cohortflow.sources import sinks
 from cohortflow.sources import study_files as SF
-from cohortflow.sources.delimited import BadFile, read_commented, read_delimited, read_positional, read_run_tsv
+from cohortflow.sources.delimited import BadFile, read_commented, read_delimited, read_positional, read_run_tsv, read_wide
 
 
 def put(tmp_path, name, text):
@@ -36,6 +36,9 @@ def test_commented(spark, tmp_path):
 def test_positional(spark, tmp_path):
     path = put(tmp_path, "a.csv", "1,2,3\n1,2\n1,2,3,4\n")
     assert [r["malformed"] for r in read_positional(spark, path, 3).collect()] == [False, True, True]
+    assert read_positional(spark, path, 3).where("malformed").count() == 2  # also where no cell is asked for
+    with pytest.raises(Exception, match="wider"):
+        read_commented(spark, put(tmp_path, "b.txt", "id\tv\n1\t2\t3\n")).select("id").collect()
 
 
 def test_run_tsv(spark, tmp_path):
@@ -152,6 +155,34 @@ def test_inventory_merge_and_manifest(spark, tmp_path):
     assert lines(spark, str(tmp_path / "pub/current")) == ["r1"]
 
 
+def test_concepts_of_a_study_of_files(spark, tmp_path):
+    wide = {"a.csv": 'id,weight,note\nD1,70,"say ""x"""\nD2,NA,tall\n#c,1,x\nD9,80,far\nD1,90\n', "b.csv": "age,id\n12,D1\nold,D2\n"}
+    wides = {f: read_wide(spark, put(tmp_path, f"in/{f}", text)) for f, text in wide.items()}
+    lines = "a.csv:1,s,weight,TEXT,\na.csv:2,s,note,NUMERIC,\nb.csv:0,s,age,NUMERIC,patientcol=1\na.csv:7,s,beyond,TEXT,\nc.csv:1,s,gone,TEXT,\n"
+    mapping = SF.read_concept_mapping(spark, put(tmp_path, "map.csv", lines))[0]
+    people = spark.createDataFrame([(1, "D1", "DBGap"), (2, "D2", "DBGap")], "person_id long, source_id string, source string")
+    consents = spark.createDataFrame([(1, "phs000001", "1", "")], "person_id long, study_id string, consent_code string, consent_abbreviation string")
+    rows, counts, missing = K.concepts_of_files(wides, mapping, people, consents)
+    assert sorted(tuple(r)[3:] for r in rows.collect()) == [(1, "µsµageµ", "", "12"), (1, "µsµnoteµ", "", "say 'x'"), (1, "µsµweightµ", "70", "")]
+    assert sorted(tuple(r) for r in counts.collect()) == [("a.csv", 5, 1, 1, 2, 2, 1, 1), ("b.csv", 2, 0, 0, 1, 0, 1, 0)]
+    assert missing == ["c.csv"]
+    with pytest.raises(ValueError):
+        K.concepts_of_files({}, mapping, people, consents)
+
+
+def test_several_files_of_a_group_get_numbers(spark, tmp_path):
+    rows = spark.range(200).selectExpr("'phs000001' as study_id", "'1' as consent_code", "cast(id as string) as person_id", "'µaµ' as path", "'' as numeric", "'x' as text", "'0' as timestamp")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one file again
+    sinks.write_concepts(rows, str(tmp_path / "stage"), files_per_group=4)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    n = sinks.publish_concepts(spark, str(tmp_path / "stage"), str(tmp_path / "out"))
+    names = sorted(p.name for p in (tmp_path / "out/phs000001/allConcepts/c1").glob("*.csv"))
+    assert n == len(names) > 1 and names[-1] == "phs000001_allConcepts_c1.csv" and all(x.startswith("phs000001_allConcepts_c1.") for x in names)
+    assert SF.read_all_concepts(spark, str(tmp_path / "out/*/allConcepts/*")).count() == 200
+    sinks.write_concepts(rows, str(tmp_path / "stage2"))
+    assert sinks.publish_concepts(spark, str(tmp_path / "stage2"), str(tmp_path / "out")) == 1
+
+
 def test_genomic_files(spark, tmp_path):
     rows = spark.createDataFrame([("phs000001.c1", "A", 2, "NWD1", "s"), ("phs000001.c1", "A", 1, "NWD2", "s")], "consent_group string, abv string, person_id int, source_sample_id string, sample_source string")
     sinks.write_vcf_indexes(K.genomic_indexes(rows), str(tmp_path / "vcf"))
