@@ -1,4 +1,4 @@
-"""The queries of the corpus operators, op1 to op10 and the pipeline, with their SQL."""
+"""The queries of the corpus operators, op1 to op13 and the pipeline, with their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cohortflow.llm import language_id, media, mixing, near_join, packing, secrets, sharding, token_counts, topk, toxicity
+from cohortflow.llm import bpe, language_id, media, mixing, near_join, packing, secrets, sharding, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts.query,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": sharding.query,
     "op9_media_columns": media.query,
     "op10_exact_top_k": topk.query,
+    "op13_bpe": bpe.query,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
