@@ -33,6 +33,8 @@ from cohortflow.llm.shingles import release, spans_hash, text_slices
 
 #: Distinct pieces that a Python worker remembers from task to task.
 CACHE = 1_000_000
+#: Ids that are decoded at once, or those of one row.
+SPELT = 1 << 18
 LETTER, NUMBER, OTHER, WHITE, SPACE = 1, 2, 3, 4, 5
 APOSTROPHE = ord("'")
 #: Fixed values of the byte-level vocabulary: what may follow an apostrophe as a piece of its own.
@@ -286,12 +288,13 @@ def decoding(path: str, column: int, names: list[str]):
         vocabulary = encoder_for(path).vocabulary
         for batch in batches:
             lists = batch.column(column)
-            ids = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = lists.flatten()
             upto = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
             first = 0
-            while first < len(batch):  # some million ids at once, or one row
-                last = max(first + 1, int(np.searchsorted(upto, upto[first] + (1 << 20), side="right")) - 1)
-                raw, length = vocabulary.spell(ids[upto[first] : upto[last]])
+            while first < len(batch):
+                last = max(first + 1, int(np.searchsorted(upto, upto[first] + SPELT, side="right")) - 1)
+                some = ids.slice(upto[first], upto[last] - upto[first]).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+                raw, length = vocabulary.spell(some)
                 raw, at = raw.tobytes(), np.concatenate([[0], np.cumsum(length)])[upto[first : last + 1] - upto[first]].tolist()
                 texts = [raw[a:b].decode("utf-8", errors="replace") for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*(c.slice(first, last - first) for c in batch.columns), pa.array(texts, pa.string())], names=names)
