@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cohortflow.llm import bpe, hard_negatives, language_id, media, mixing, near_join, packing, secrets, sharding, token_counts, topk, toxicity
+from cohortflow.llm import bpe, hard_negatives, language_id, media, mixing, near_join, packing, prefix_trie, secrets, sharding, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts.query,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": sharding.query,
     "op9_media_columns": media.query,
     "op10_exact_top_k": topk.query,
+    "op11_prefix_trie": prefix_trie.query,
     "op12_hard_negatives": hard_negatives.query,
     "op13_bpe": bpe.query,
     "pipeline": corpus_pipeline.run,
@@ -30,5 +31,6 @@ SQL: dict[str, str] = {
     "op6_secret_scans": secrets.SQL,
     "op8_sharding": sharding.SQL,
     "op10_exact_top_k": topk.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
     "op12_hard_negatives": hard_negatives.SQL,
 }
