@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 
 from cohortflow.llm.common import cut
 from cohortflow.llm.shingles import mix
-from cohortflow.llm.topk import EXACT, NONE, SPACE, by_length, products, usable, whole
+from cohortflow.llm.topk import EXACT, NONE, SPACE, by_length, products, sent, usable, whole
 
 #: Rows of a leaf, and boxes of an inner node.
 LEAF, FAN = 256, 16
@@ -291,9 +291,7 @@ def shard_search(k: int, same: bool):
 def visit(rows: DataFrame, chosen: DataFrame, k: int, same: bool) -> DataFrame:
     """Hits of the queries in the shards chosen for them. Only rows of chosen shards are sent, once for each ``GROUP_QUERIES`` queries."""
     each = cut(chosen.withColumn("shard", F.explode("shards")).drop("shards"), "negatives-chosen")
-    sizes = cut(each.groupBy("shard").agg(F.ceil(F.count("*") / GROUP_QUERIES).alias("parts")), "negatives-parts")
-    left = rows.join(sizes, "shard").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    right = each.join(sizes, "shard").withColumn("part", F.pmod(F.xxhash64("row", F.lit(1)), F.col("parts")))
+    left, right = sent(rows, each, GROUP_QUERIES)
     left, right = left.select("row", "vec_id", "label", "v", "shard", "part"), right.select("row", "label", "v", "w", "shard", "part")
     left, right = left.toDF(*left.columns), right.toDF(*right.columns)
     return left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInPandas(shard_search(k, same), HITS)

@@ -163,12 +163,14 @@ def train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = TRAIN_ROWS) -> Model | None:
     """A model from at most about ``rows`` rows of ``df`` with a language, a text and an id that is not held out; None without any.
 
-    The languages' names and counts go to the driver.
+    Of several rows of an id one counts. Every language has a row at least, so there are more than ``rows`` only if
+    there are more languages. The languages' names and counts go to the driver.
     """
     own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     usable = own.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     sample = bounded_by(usable, "lang", rows)
-    found = sample.mapInArrow(to_rows, "doc_id long, lang string, at binary, met binary").repartition(1).mapInArrow(train_task, "model binary").collect()
+    each = sample.mapInArrow(to_rows, "doc_id long, lang string, at binary, met binary").groupBy("doc_id").agg(F.min(F.struct("lang", "at", "met")).alias("s")).select("doc_id", "s.*")
+    found = each.repartition(1).mapInArrow(train_task, "model binary").collect()
     return pickle.loads(bytes(found[0]["model"])) if found else None
 
 

@@ -8,13 +8,15 @@ yields them as Arrow batches of bounded size. A member that can't be read is tri
 again by itself, and at last is returned with its error; no other member suffers.
 
 An archive's own directory has to be read whole. So that this stays a small part of
-the work, ranges of an archive are taken together, as many as hold 16 times the bytes
-of its directory: the first of them reads all, the others nothing.
+the work, a range holds at least 16 times the bytes of its archive's directory. A folder's
+list has the sizes of directories, so that its ranges are planned once; without a list, ranges
+are taken together when they are read: the first of them reads all, the others nothing.
 """
 
 from __future__ import annotations
 
 import hashlib
+import lzma
 import struct
 import time
 import uuid
@@ -40,10 +42,12 @@ SIGNATURE = b"\x89PNG\r\n\x1a\n"
 RANGE = 16 << 20
 BATCH = 4 << 20
 TRIES = 3
+#: Ranges grow so that a folder has at most about so many of them.
+RANGES = 65_536
 #: A reader takes at least so many times the bytes of the archive's directory, which it reads too.
 SHARE = 16
 #: What a damaged, encrypted or foreign member can raise, and only it.
-BROKEN = (OSError, zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, ValueError, struct.error)
+BROKEN = (OSError, zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, RuntimeError, NotImplementedError, ValueError, struct.error, MemoryError)
 
 
 def pad(text: bytes) -> bytes:
@@ -82,6 +86,8 @@ def from_png(data: bytes) -> np.ndarray:
             width, height, *rest = struct.unpack(">IIBBBBB", part)
             if rest != [8, 0, 0, 0, 0]:
                 raise ValueError("only plain 8-bit grey pictures are read")
+            if not width or not height:
+                raise ValueError("the picture is empty")
             size = (height, width)
         elif kind == b"IDAT":
             body.append(part)
@@ -113,7 +119,7 @@ def filesystem(uri: str):
 
 
 def write_archives(folder: str):
-    """``doc_id, text`` to one archive for each task; a row for it: ``name, size, members``.
+    """``doc_id, text`` to one archive for each task; a row for it: ``name, members, directory``, the last the bytes of its directory.
 
     A task that is tried again writes another archive; only those of successful tasks are named in the result.
     """
@@ -128,7 +134,9 @@ def write_archives(folder: str):
                     media = to_png(pad((text.as_py() or "").encode()))
                     archive.writestr(zipfile.ZipInfo(f"{members:09d}/{key}.png"), media)
                     members += 1
-        yield pa.RecordBatch.from_pylist([{"name": name, "members": members}] if members else [], schema=pa.schema([("name", pa.string()), ("members", pa.int64())]))
+            archive.close()
+            directory = out.tell() - archive.start_dir
+        yield pa.RecordBatch.from_pylist([{"name": name, "members": members, "directory": directory}] if members else [], schema=pa.schema([("name", pa.string()), ("members", pa.int64()), ("directory", pa.int64())]))
 
     return run
 
@@ -138,6 +146,7 @@ class ArchiveRange(InputPartition):
     uri: str
     start: int
     end: int
+    planned: bool = False
 
 
 class ArchiveReader(DataSourceReader):
@@ -154,12 +163,19 @@ class ArchiveReader(DataSourceReader):
         system, base = filesystem(self.folder)
         files = [f for f in system.get_file_info(fs.FileSelector(base)) if f.is_file and f.base_name.endswith(".zip")]
         files.sort(key=lambda f: f.base_name)
-        if self.listed:
-            wanted = set(pq.read_table(f"{base}/{LIST}", filesystem=system, columns=["name"]).column(0).to_pylist())
-            files = [f for f in files if f.base_name in wanted]
-            if len(files) < len(wanted):
-                raise FileNotFoundError(f"{self.folder} lacks archives: {sorted(wanted - {f.base_name for f in files})[:3]}")
-        out = [ArchiveRange(f"{self.folder}/{f.base_name}", a, min(a + self.range, f.size)) for f in files for a in range(0, f.size, self.range)]
+        size = max(self.range, -(-sum(f.size for f in files) // RANGES))
+        if not self.listed:
+            out = [ArchiveRange(f"{self.folder}/{f.base_name}", at, at + size) for f in files for at in range(0, f.size, size)]
+            return out or [ArchiveRange("", 0, 0)]
+        table = pq.read_table(f"{base}/{LIST}", filesystem=system, columns=["name", "directory"])
+        listed = dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist(), strict=True))
+        files = [f for f in files if f.base_name in listed]
+        if len(files) < len(listed):
+            raise FileNotFoundError(f"{self.folder} lacks archives: {sorted(listed.keys() - {f.base_name for f in files})[:3]}")
+        out = []
+        for f in files:
+            step = max(size, SHARE * listed[f.base_name])
+            out += [ArchiveRange(f"{self.folder}/{f.base_name}", at, at + step, True) for at in range(0, f.size - listed[f.base_name], step)]
         return out or [ArchiveRange("", 0, 0)]
 
     def member(self, archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> tuple[bytes | None, str | None]:
@@ -177,9 +193,11 @@ class ArchiveReader(DataSourceReader):
             return
         system, base = filesystem(partition.uri)
         with system.open_input_file(base) as f:
-            together = -(-SHARE * directory_bytes(f) // self.range) * self.range or self.range
-            if partition.start % together:
-                return
+            together = step = partition.end - partition.start
+            if not partition.planned:
+                together = -(-SHARE * directory_bytes(f) // step) * step or step
+                if partition.start % together:
+                    return
             try:
                 archive = zipfile.ZipFile(f)
             except BROKEN as e:
@@ -249,7 +267,7 @@ def store(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> str:
     system.create_dir(base, recursive=True)
     sent = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     with writing(spark):
-        sent.mapInArrow(write_archives(folder), "name string, members long").write.parquet(f"{folder}/{LIST}")
+        sent.mapInArrow(write_archives(folder), "name string, members long, directory long").write.parquet(f"{folder}/{LIST}")
     return folder
 
 
@@ -279,7 +297,7 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         "media_sha256": hashlib.sha256(row["media"]).hexdigest(),
                         "feature": feature(samples),
                     }
-                except (*BROKEN, MemoryError) as e:
+                except BROKEN as e:
                     out["error"] = f"{type(e).__name__}: {e}"
             rows.append(out)
         yield pa.RecordBatch.from_pylist(rows, schema=_COLUMNS)

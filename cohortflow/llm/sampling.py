@@ -22,18 +22,19 @@ def bounded(ids: DataFrame, rows: int, id_col: str = "doc_id", seed: int = 17) -
 
 
 def even_share(counts: list[int], rows: int) -> int:
-    """The most that each label may have so that all together have ``rows`` at most, when smaller labels leave theirs to the others."""
+    """The most that each label may have so that all together have ``rows`` at most, when smaller labels leave theirs to the others; one at least."""
     left, labels = rows, len(counts)
     for n in sorted(counts):
         if n * labels > left:
-            return left // labels
+            return max(1, left // labels)
         left, labels = left - n, labels - 1
     return max(counts, default=0)
 
 
 def bounded_by(df: DataFrame, label: str, rows: int, id_col: str = "doc_id", seed: int = 17) -> DataFrame:
-    """About ``rows`` of the rows of ``df``, shared evenly by its labels and chosen by a hash of the id: all of a label that has no more than its share."""
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
-    share = even_share(list(counts.values()), rows)
-    limits = df.sparkSession.createDataFrame([(k, int(SPACE * min(1.0, share / n))) for k, n in counts.items()], f"{label} string, _limit long")
-    return df.join(F.broadcast(limits), label).where(F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(SPACE)) < F.col("_limit")).select(*df.columns)
+    """About ``rows`` of the rows of ``df``, shared evenly by its labels and chosen by a hash of the id: all of a label that has no more than its share, and the first of each."""
+    place = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(SPACE))
+    counts = df.groupBy(label).agg(F.count("*").alias("n"), F.min(place).alias("first")).collect()
+    share = even_share([r["n"] for r in counts], rows)
+    limits = df.sparkSession.createDataFrame([(r[label], max(r["first"] + 1, int(SPACE * min(1.0, share / r["n"])))) for r in counts], f"{label} string, _limit long")
+    return df.join(F.broadcast(limits), label).where(place < F.col("_limit")).select(*df.columns)

@@ -5,7 +5,8 @@ cells of too many rows are dealt on into shards; each shard is a ball of its cel
 centre and the distance of its farthest row. A query with norm |q| can score at most
 q.c + |q|r in a ball with centre c and radius r. In waves a query goes to the shard of its
 highest bound, then to the next few, then to all that are left; the kth score so far
-goes with it, and shards whose bound it beats are never visited: no row is sent for them.
+goes with it, and shards whose bound it beats are never visited: in each wave only the rows of
+shards that some query goes to are sent.
 Within a shard a ball tree is searched likewise: blocks of queries walk its leaves from
 the highest bound down, sharing each query's kth score from leaf to leaf.
 """
@@ -29,6 +30,8 @@ LEAF = 128
 QUERY_BLOCK = 256
 #: Rows of a shard at most, cells at most, sampled rows for each cell, and queries that one group takes.
 SHARD_ROWS, CELLS, SAMPLE, GROUP_QUERIES = 65_536, 1024, 16, 65_536
+#: Bounds that a task works out at once.
+BOUNDS = 1 << 21
 #: Shards that a query visits before it is told its kth score: in the first wave, and until the second is over.
 WAVES = (1, 9)
 SPACE = 1 << 20
@@ -214,11 +217,15 @@ def choose(cells: Cells, first: int, last: int | None):
             shards: list[list[int]] = [[] for _ in floor]
             for at, v in by_length(batch.column("v")):
                 names, cell, radius = cells.shards[v.shape[1]]
-                bound = bounds(v.astype(np.float64), cells.of(v.shape[1])[0][cell], radius)
-                order = np.argsort(-bound, axis=1, kind="stable")[:, first:last]
-                ok = np.take_along_axis(bound, order, 1) >= floor[at][:, None]
-                for i, o, keep in zip(at.tolist(), order, ok, strict=True):
-                    shards[i] = names[o[keep]].tolist()
+                centres = cells.of(v.shape[1])[0][cell]
+                step = max(1, BOUNDS // len(names))
+                for a in range(0, len(at), step):
+                    some = at[a : a + step]
+                    bound = bounds(v[a : a + step].astype(np.float64), centres, radius)
+                    order = np.argsort(-bound, axis=1, kind="stable")[:, first:last]
+                    ok = np.take_along_axis(bound, order, 1) >= floor[some][:, None]
+                    for i, o, keep in zip(some.tolist(), order, ok, strict=True):
+                        shards[i] = names[o[keep]].tolist()
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "vec_id", "v", "floor")), pa.array(shards, pa.list_(pa.int64()))], names=["row", "vec_id", "v", "floor", "shards"])
 
     return run
@@ -252,17 +259,17 @@ def top(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def visit(rows: DataFrame, chosen: DataFrame, k: int, groups: int) -> DataFrame:
-    """Hits of the queries in the shards chosen for them. ``groups``: how many a shard's queries are dealt into at most."""
-    if groups > 1:
-        chosen = cut(chosen, "top-k-chosen")
-    each = chosen.withColumn("shard", F.explode("shards")).drop("shards")
-    if groups == 1:
-        left, right = rows.withColumn("part", F.lit(0)), each.withColumn("part", F.lit(0))
-    else:
-        sizes = cut(each.groupBy("shard").agg(F.ceil(F.count("*") / GROUP_QUERIES).alias("parts")), "top-k-parts")
-        left = rows.join(sizes, "shard").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
-        right = each.join(sizes, "shard").withColumn("part", F.pmod(F.xxhash64("row", F.lit(1)), F.col("parts"))).drop("parts")
+def sent(rows: DataFrame, each: DataFrame, group_queries: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a visit by shard and part: the rows of shards that a query goes to, once for each ``group_queries`` of them, and the queries."""
+    sizes = cut(each.groupBy("shard").agg(F.ceil(F.count("*") / group_queries).alias("parts")), "top-k-parts")
+    left = rows.join(sizes, "shard").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    right = each.join(sizes, "shard").withColumn("part", F.pmod(F.xxhash64("row", F.lit(1)), F.col("parts"))).drop("parts")
+    return left, right
+
+
+def visit(rows: DataFrame, chosen: DataFrame, k: int, group_queries: int) -> DataFrame:
+    """Hits of the queries in the shards chosen for them."""
+    left, right = sent(rows, cut(chosen.withColumn("shard", F.explode("shards")).drop("shards"), "top-k-chosen"), group_queries)
     left, right = left.select("row", "vec_id", "v", "shard", "part"), right.select("row", "vec_id", "v", "floor", "shard", "part")
     left, right = left.toDF(*left.columns), right.toDF(*right.columns)
     return left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInPandas(shard_search(k), HITS)
@@ -277,7 +284,8 @@ def exact_top_k(df: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     no part. Fewer candidates give fewer ranks, an empty table none. Scores are exact up to a long; a component or
     a score beyond it is an error. ``is_query`` is a condition on ``vec_id``. Columns but the two named are not read.
     Each task holds one shard and as many queries as ``group_queries``, whatever the table's size. The driver gets
-    16,384 sampled vectors at most, and one distance for each shard, which is one for 65,536 rows.
+    16,384 sampled vectors at most, and one distance for each shard, which is one for 65,536 rows. There are ``CELLS`` cells at most: beyond as many shards
+    those of a cell share its ball, and their number no longer adds to what bounds exclude.
     """
     own = df.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull())
     rows = cut(own.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), whole(F.col(vector_col)).alias("v")), "top-k-rows")
@@ -297,11 +305,10 @@ def exact_top_k(df: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     most = max(len(s[0]) for s in cells.shards.values())
 
     queries = rows.where(is_query).select("row", "vec_id", "v")
-    groups = -(-queries.count() // group_queries)
     told, hits, first = queries.withColumn("floor", F.lit(NONE).cast("long")), None, 0
     for last in (*[w for w in WAVES if w < most], None):
         chosen = told.mapInArrow(choose(cells, first, last), "row long, vec_id long, v array<long>, floor long, shards array<long>")
-        new = visit(rows, chosen, k, groups)
+        new = visit(rows, chosen, k, group_queries)
         if last is None:
             hits = new if hits is None else hits.unionByName(new)
             break

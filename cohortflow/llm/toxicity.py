@@ -94,8 +94,6 @@ def train(at_all: np.ndarray, bounds: np.ndarray, y: np.ndarray, seed: int = 5)
             at = np.append(at_all[bounds[i] : bounds[i + 1]], free)
             w = weights(at)
             g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - y[i]
-            if abs(g) < 1e-3:
-                continue
             z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA * w
             n[at] += g * g
     everything = np.arange((1 << BITS) + 1)
@@ -147,13 +145,14 @@ def train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
     """A model from at most about ``rows`` labelled rows of ``docs`` that are not held out; None without any.
 
-    Of several labels of an id the highest counts. The sampled ids, at most about ``rows``, are broadcast.
+    Of several labels of an id the highest counts, of several of its texts one. The sampled ids, at most about ``rows``, are broadcast.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("double").alias("toxic"))
     sample = cut(bounded(cut(known, "toxic-labels"), rows), "toxic-sample")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
-    at = texts.mapInArrow(to_rows, "doc_id long, toxic double, at binary")
+    at = texts.mapInArrow(to_rows, "doc_id long, toxic double, at binary").groupBy("doc_id", "toxic").agg(F.min("at").alias("at"))
+    at = at.select("doc_id", "toxic", "at")
     found = at.repartition(1).mapInArrow(train_task, "model binary").collect()
     return pickle.loads(bytes(found[0]["model"])) if found else None
 

@@ -247,6 +247,46 @@ def test_features_as_counted_plainly():
         assert got["hist"] == "/".join(map(str, bins))
 
 
+def test_empty_pictures_and_damaged_lzma(spark, tmp_path):
+    def picture(width, height):
+        head = media.struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)
+        return media.SIGNATURE + media.chunk(b"IHDR", head) + media.chunk(b"IDAT", media.zlib.compress(b"\0" * height)) + media.chunk(b"IEND", b"")
+
+    good = media.to_png(media.pad(b"fine"))
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_LZMA) as z:
+        z.writestr("0/1.png", good * 3)
+        z.writestr("1/2.png", picture(0, 5))
+        z.writestr("2/3.png", picture(5, 0))
+        z.writestr("3/4.png", good)
+        at = z.getinfo("0/1.png")
+    raw = bytearray((tmp_path / "a.zip").read_bytes())
+    raw[at.header_offset + 30 + 7 + 4 :][:1]
+    raw[at.header_offset + 30 + 7 + 4] = 255  # the compressor's properties
+    (tmp_path / "a.zip").write_bytes(bytes(raw))
+    rows = {r["doc_id"]: r for r in media.media_columns(spark, f"file://{tmp_path}").collect()}
+    assert "LZMAError" in rows[1]["error"] and "empty" in rows[2]["error"] and "empty" in rows[3]["error"] and rows[4]["error"] is None
+
+
+def test_a_member_too_large_for_memory():
+    def read(self, info):
+        raise MemoryError
+
+    reader = media.ArchiveReader({"path": "file:///none", "tries": "1"})
+    assert reader.member(type("Huge", (), {"read": read})(), None)[1].startswith("MemoryError")
+
+
+def test_planned_ranges_read_their_archive_once(docs, monkeypatch):
+    folder = media.store(docs.repartition(2))
+    for size in ("100", "2000", "10000000"):
+        reader = media.ArchiveReader({"path": folder, "listed": "true", "rangeBytes": size})
+        parts = reader.partitions()
+        found = [[m for b in reader.read(p) for m in b.column("member").to_pylist()] for p in parts]
+        assert all(p.planned for p in parts) and sum(map(len, found)) == docs.count()
+    monkeypatch.setattr(media, "RANGES", 3)
+    reader = media.ArchiveReader({"path": folder, "rangeBytes": "10"})
+    assert len(reader.partitions()) <= 5 and sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == docs.count()
+
+
 def test_a_bad_member_does_not_stop_the_others(spark, tmp_path):
     good = media.to_png(media.pad(b"fine"))
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:

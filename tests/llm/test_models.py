@@ -140,10 +140,9 @@ def plain_ftrl(rows, y, seed=5):
             mine = [*rows[i].tolist(), "bias"]
             w = {b: weight(b) for b in mine}
             g = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(w.values()))))) - y[i]
-            if abs(g) >= 1e-3:
-                for b in mine:
-                    sigma = (math.sqrt(n.get(b, 0.0) + g * g) - math.sqrt(n.get(b, 0.0))) / toxicity.ALPHA
-                    z[b], n[b] = z.get(b, 0.0) + g - sigma * w[b], n.get(b, 0.0) + g * g
+            for b in mine:
+                sigma = (math.sqrt(n.get(b, 0.0) + g * g) - math.sqrt(n.get(b, 0.0))) / toxicity.ALPHA
+                z[b], n[b] = z.get(b, 0.0) + g - sigma * w[b], n.get(b, 0.0) + g * g
     return {b: weight(b) for b in z if b != "bias" and weight(b)}, weight("bias")
 
 
@@ -159,7 +158,7 @@ def test_toxicity_steps_as_plain_ftrl():
 def test_rare_languages_are_learned(spark):
     from cohortflow.llm.sampling import bounded_by, even_share
 
-    assert even_share([5, 100, 1000], 300) == 195 and even_share([5, 10], 300) == 10 and even_share([], 5) == 0 and even_share([50, 50], 60) == 30
+    assert even_share([5, 100, 1000], 300) == 195 and even_share([5, 10], 300) == 10 and even_share([], 5) == 0 and even_share([50, 50], 60) == 30 and even_share([1] * 7000, 6000) == 1
     df = spark.range(3000).selectExpr("id as doc_id", "if(id % 1000 = 1, 'rare', if(id % 2 = 0, 'a', 'b')) as lang", "'text' as text")
     got = {r["lang"]: r["count"] for r in bounded_by(df, "lang", 600).groupBy("lang").count().collect()}
     assert got["rare"] == 3 and 200 < got["a"] < 400 and 200 < got["b"] < 400
@@ -167,6 +166,32 @@ def test_rare_languages_are_learned(spark):
     assert few is None or few.temperature == 1.0
 
 
+def test_more_languages_than_rows(spark):
+    from cohortflow.llm.sampling import bounded_by
+
+    df = spark.range(900).selectExpr("id as doc_id", "concat('l', id % 300) as lang", "'text' as text")
+    got = {r["lang"]: r["count"] for r in bounded_by(df, "lang", 100).groupBy("lang").count().collect()}
+    assert len(got) == 300 and sum(got.values()) < 700
+
+
+@pytest.mark.parametrize("module", [language_id, toxicity])
+def test_repeated_ids_count_once(spark, module):
+    """One id with very many rows joins the sample once."""
+    docs = spark.createDataFrame([(1, f"text {i}", "en") for i in range(50)] + [(3, "ein Wort", "de")], "doc_id long, text string, lang string")
+    seen, train = [], module.train_task
+
+    def counted(batches):
+        rows = [b for b in batches]
+        yield from train(iter(rows)) if sum(b.num_rows for b in rows) == 2 else []
+
+    module.train_task, seen = counted, seen
+    try:
+        labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int")
+        assert (module.fit(docs) if module is language_id else module.fit(docs, labels)) is not None
+    finally:
+        module.train_task = train
+
+
 def test_toxicity_learns_from_16000_rows(spark):
     assert bounded(spark.range(16_000).toDF("doc_id"), toxicity.TRAIN_ROWS).count() == 16_000
 

@@ -238,7 +238,7 @@ def test_empty_hash(spark):
     assert hashlib.sha256(b"").hexdigest() == spark.sql("select sha2('', 256)").head()[0]
 
 
-def plain_top(rows, k, every):
+def plain_top(rows, k, every, only=None):
     import math
 
     ok = []
@@ -247,7 +247,7 @@ def plain_top(rows, k, every):
             ok.append((i, [math.floor(256 * x) for x in v]))
     out = Counter()
     for at, (q, v) in enumerate(ok):
-        if q % every == 0:
+        if q % every == 0 and (only is None or q in only):
             best = sorted((-sum(a * b for a, b in zip(v, w)), i) for b, (i, w) in enumerate(ok) if b != at and len(w) == len(v))[:k]
             out.update((q, r + 1, i, -s) for r, (s, i) in enumerate(best))
     return out
@@ -284,21 +284,33 @@ def test_far_shards_get_no_queries(spark):
     draw = random.Random(8)
     rows = [(i, [(i % 8) * 10 + draw.uniform(-1, 1), draw.uniform(-1, 1)]) for i in range(800)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    cut, sent = topk.cut, []
+    sides, sent = topk.sent, []
 
-    def counted(frame, name):
-        out = cut(frame, name)
-        if name == "top-k-chosen":
-            sent.append(out.select(F.explode("shards")).count())
+    def counted(rows, each, group_queries):
+        out = sides(rows, each, group_queries)
+        sent.append((out[0].count(), out[1].count()))
         return out
 
-    topk.cut = counted
+    topk.sent = counted
     try:
+        some = F.col("vec_id").isin(0, 8, 16)  # all among the first of the eight groups of rows
+        got = topk.exact_top_k(df, some, 5, shard_rows=50).collect()
+        few = [rows for rows, _ in sent]
+        assert Counter(map(tuple, got)) == plain_top(rows, 5, 1, {0, 8, 16}) and max(few) < 800 / 2
+        sent.clear()
         got = topk.exact_top_k(df, F.col("vec_id") % 10 == 0, 5, shard_rows=50, group_queries=40).collect()
     finally:
-        topk.cut = cut
+        topk.sent = sides
+    assert Counter(map(tuple, got)) == plain_top(rows, 5, 10)
+    assert sent[0][1] == 80 and sum(n for _, n in sent) < 80 * 16 / 2
+
+
+def test_choosing_in_blocks_gives_the_same(spark, monkeypatch):
+    draw = random.Random(5)
+    rows = [(i, [draw.uniform(-1, 1) for _ in range(4)]) for i in range(150)]
+    monkeypatch.setattr(topk, "BOUNDS", 7)
+    got = topk.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0, 5, shard_rows=8).collect()
     assert Counter(map(tuple, got)) == plain_top(rows, 5, 10)
-    assert sent[0] == 80 and sum(sent) < 80 * 16 / 2
 
 
 def test_top_k_of_nothing(spark):
