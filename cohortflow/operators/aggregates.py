@@ -78,10 +78,15 @@ def ordered_lists(df: DataFrame, keys: list[str], order: list[str], fields: dict
 
 
 def fingerprint(files: DataFrame, keys: list[str]) -> DataFrame:
-    """SHA-256 of a folder's sources: a line of name, tab and version for each, in name order."""
-    line = F.struct("name", F.concat(F.col("name"), F.lit("\t"), F.col("version_id"), F.lit("\n")).alias("line"))
-    lines = F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"])
-    return files.groupBy(*keys).agg(F.sha2(F.array_join(lines, ""), 256).alias("fingerprint"), F.count("*").alias("sources"), F.sum("size").alias("bytes"))
+    """``keys, fingerprint, sources, bytes``: SHA-256 of a folder's sources, a line of name, tab and version for each, in name order.
+
+    A folder may have any number of files: its sorted lines pass through one digest, nothing is gathered.
+    """
+    from cohortflow.sources.streams import sha256_of_lines
+
+    lines = files.withColumn("_line", F.concat("name", F.lit("\t"), "version_id", F.lit("\n")))
+    sizes = files.groupBy(*keys).agg(F.count("*").alias("sources"), F.sum("size").alias("bytes"))
+    return sha256_of_lines(lines, keys, "_line", "name").join(sizes, keys)
 
 
 def content_digest(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -94,11 +99,6 @@ def content_digest(rows: DataFrame, keys: list[str], columns: list[str]) -> Data
     return rows.groupBy(*keys).agg(F.count("*").alias("rows"), F.md5(F.concat_ws(":", F.count("*"), F.sum(h))).alias("digest"))
 
 
-def file_md5(files: DataFrame) -> DataFrame:
-    """From ``binaryFile``: ``path, md5``."""
-    return files.select("path", F.md5("content").alias("md5"))
-
-
 def key_profile(df: DataFrame, key: str) -> DataFrame:
     k = trimmed(F.coalesce(F.col(key), F.lit("")))
     return df.agg(F.count("*").alias("rows"), F.count_distinct(F.when(k != "", k)).alias("distinct_keys"), F.count_if(k == "").alias("blank_keys"))

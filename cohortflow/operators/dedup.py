@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortflow.functions.cells import trimmed
 from cohortflow.functions.studies import consent_code, natural_key
 
 
@@ -29,14 +30,21 @@ def first_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
-def first_usable_consent(df: DataFrame, keys: list[str], code: str, order: str) -> tuple[DataFrame, DataFrame]:
-    """Each key's first code that is a number but 0, and how many later rows have another (``keys, code, conflicts``); and keys without one."""
-    counts = df.groupBy(*keys, consent_code(F.col(code)).alias("_code")).agg(F.count("*").alias("_n"), F.min(order).alias("_first"))
-    usable = F.coalesce(F.col("_code") != "0", F.lit(False))
-    at = F.when(usable, F.col("_first"))
-    per = counts.groupBy(*keys).agg(F.min_by(F.struct(F.col("_code"), "_n"), at).alias("_r"), F.sum(F.when(usable, F.col("_n"))).alias("_all"), F.max(usable).alias("_usable"))
-    yes = per.where("_usable").select(*keys, F.col("_r._code").alias(code), (F.col("_all") - F.col("_r._n")).alias("conflicts"))
-    return yes, per.where("not _usable").select(*keys)
+def first_usable_consent(df: DataFrame, keys: list[str], code: str, order: str, own: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Each key's first code that is a number but 0, and how many later rows have another (``keys, code, conflicts``); and the keys that say 0 and never another.
+
+    Keys with only blank codes, or codes that are no numbers, are in neither. ``own``: a column of another id, which comes
+    from the row whose code is used, or is the first that is not blank of the rows of 0.
+    """
+    name = F.col(own) if own else F.lit(None).cast("string")
+    rows = df.select(*keys, consent_code(F.col(code)).alias("_code"), F.col(order).alias("_o"), name.alias("_own"))
+    counts = rows.groupBy(*keys, "_code").agg(
+        F.count("*").alias("_n"), F.min("_o").alias("_first"), F.min_by("_own", "_o").alias("_own"), F.min_by("_own", F.when(trimmed(F.coalesce("_own", F.lit(""))) != "", F.col("_o"))).alias("_named"))
+    usable, zero = F.coalesce(F.col("_code") != "0", F.lit(False)), F.coalesce(F.col("_code") == "0", F.lit(False))
+    per = counts.groupBy(*keys).agg(
+        F.min_by(F.struct("_code", "_n", "_own"), F.when(usable, F.col("_first"))).alias("_r"), F.sum(F.when(usable, F.col("_n"))).alias("_all"), F.max(usable).alias("_usable"), F.max(zero).alias("_zero"), F.max(F.when(zero, F.col("_named"))).alias("_named"))
+    yes = per.where("_usable").select(*keys, F.col("_r._code").alias(code), (F.col("_all") - F.col("_r._n")).alias("conflicts"), *([F.col("_r._own").alias(own)] if own else []))
+    return yes, per.where("_zero and not _usable").select(*keys, *([F.coalesce("_named", F.lit("")).alias(own)] if own else []))
 
 
 def code_conflicts(df: DataFrame, keys: list[str], code: str, order: str) -> DataFrame:

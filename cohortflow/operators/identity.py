@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortflow.functions.cells import trimmed
+from cohortflow.functions.studies import consent_code as usable_code
+from cohortflow.operators.aggregates import first_examples
 from cohortflow.operators.dedup import first_per_key, last_per_key
 from cohortflow.operators.joins import new_ids
 from cohortflow.operators.reshape import sample_sources, union
@@ -95,7 +98,7 @@ def load_sstr(participants: DataFrame, consents: DataFrame, samples: DataFrame,
 
 
 def load_multi(participants: DataFrame, consents: DataFrame, samples: DataFrame, subjects: DataFrame, tubes: DataFrame, decodings: DataFrame, study: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Subject and sample tables loaded; the fourth frame is their issues (``study_id, code, count``).
+    """Subject and sample tables loaded; the fourth frame is their issues (``study_id, code, count, examples``, ten at most).
 
     ``subjects``: ``ord, dbgap_id, subject_id, code``; ``tubes``: ``ord, subject_id`` (the repository's),
     ``dbgap_sample_id, sample_id``; ``decodings``: ``consent_code, label``; all of ``study``, or with ``study_id`` of several.
@@ -104,6 +107,7 @@ def load_multi(participants: DataFrame, consents: DataFrame, samples: DataFrame,
     from cohortflow.operators.joins import decoded_consents, samples_of_subjects
 
     subjects, tubes, decodings = (of_studies(df, study) for df in (subjects, tubes, decodings))
+    subjects = subjects.where(trimmed(F.coalesce("dbgap_id", F.lit(""))) != "")
     yes, no = first_usable_consent(subjects, ["study_id", "dbgap_id"], "code", "ord")
     coded = yes.select("study_id", "dbgap_id", F.col("code").alias("consent_code"), "conflicts")
     named = decoded_consents(coded, decodings)
@@ -115,14 +119,17 @@ def load_multi(participants: DataFrame, consents: DataFrame, samples: DataFrame,
     rows = sample_sources(classed.where("subject_class = 'consented'").select("study_id", "subject_id", "dbgap_sample_id", "sample_id"))
     rows = rows.join(known, rows["subject_id"] == known["source_id"]).select("person_id", "source_sample_id", "sample_source")
 
-    def counted(df: DataFrame, code: Column | str) -> DataFrame:
-        return df.select("study_id", (F.lit(code) if isinstance(code, str) else code).alias("code")).groupBy("study_id", "code").agg(F.count("*").alias("count"))
+    def counted(df: DataFrame, code: Column | str, example: Column, order: str) -> DataFrame:
+        each = df.select("study_id", (F.lit(code) if isinstance(code, str) else code).alias("code"), example.alias("example"), F.col(order).alias("o"))
+        return first_examples(each, ["study_id", "code"], "example", "o", 10)
 
+    odd = subjects.withColumn("_code", usable_code(F.col("code"))).join(coded.where("conflicts > 0").select("study_id", "dbgap_id", "consent_code"), ["study_id", "dbgap_id"])
+    odd = odd.where("_code <> '0' and _code <> consent_code")
     issues = union(
-        counted(named.where("issue is not null").select("study_id", "consent_code", "issue").distinct(), F.col("issue")),
-        counted(coded.where("conflicts > 0"), "CONSENT_CONFLICT"),
-        counted(no, "SUBJECTS_NOT_CONSENTED"),
-        counted(classed.where("subject_class = 'not_consented'"), "SAMPLES_OF_UNCONSENTED_SUBJECTS"),
-        counted(classed.where("subject_class = 'unknown'"), "SAMPLES_OF_UNKNOWN_SUBJECTS"),
+        counted(named.where("issue is not null").select("study_id", "consent_code", "issue").distinct(), F.col("issue"), F.col("consent_code"), "consent_code"),
+        counted(odd, "CONSENT_CONFLICT", F.concat("dbgap_id", F.lit("="), "consent_code", F.lit("/"), "_code"), "ord"),
+        counted(no, "SUBJECTS_NOT_CONSENTED", F.col("dbgap_id"), "dbgap_id"),
+        counted(classed.where("subject_class = 'not_consented'"), "SAMPLES_OF_UNCONSENTED_SUBJECTS", F.col("subject_id"), "ord"),
+        counted(classed.where("subject_class = 'unknown'"), "SAMPLES_OF_UNKNOWN_SUBJECTS", F.col("subject_id"), "ord"),
     )
     return people, purge_and_reload(consents, study, new), insert_samples(samples, rows), issues

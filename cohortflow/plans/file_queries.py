@@ -106,18 +106,19 @@ def sstr_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 _CODE = "CASE WHEN ord % 11 = 0 THEN '' WHEN ord % 11 = 1 THEN 'x' ELSE '0' || consent END"
-_SUBJECTS = f""", listed AS (SELECT ord, CASE WHEN ord % 23 = 0 THEN '' ELSE dbgap_subject_id END AS id, subject_id, {_CODE} AS raw FROM sstr),
+_SUBJECTS = f""", listed AS (SELECT ord, CASE WHEN ord % 23 = 0 THEN '' ELSE dbgap_subject_id END AS id, CASE WHEN ord % 3 = 0 THEN '' ELSE subject_id || '.' || (ord % 5) END AS subject_id, {_CODE} AS raw FROM sstr),
 coded AS (SELECT *, CASE WHEN regexp_matches(raw, '^[0-9]+$') THEN coalesce(nullif(ltrim(raw, '0'), ''), '0') END AS code FROM listed)
 """
 
 
 def _subjects(spark: SparkSession, d: str):
-    rows = T.sstr(spark, d).selectExpr("ord", "if(ord % 23 = 0, '', dbgap_subject_id) as `dbGaP SubjID`", "subject_id as SUBJID", f"{_CODE.replace('||', chr(124) * 2)} as gencons", "'more' as other")
+    rows = T.sstr(spark, d).selectExpr("ord", "if(ord % 23 = 0, '', dbgap_subject_id) as `dbGaP SubjID`", "if(ord % 3 = 0, '', concat(subject_id, '.', ord % 5)) as SUBJID", f"{_CODE.replace('||', chr(124) * 2)} as gencons", "'more' as other")
     return SF.read_subjects(spark, put_table(rows, new_path(spark, "subjects"), "\t", "ord"))
 
 
-@query(_SUBJECTS + """, firsts AS (SELECT id, arg_min(subject_id, ord) AS subject_id, arg_min(code, ord) FILTER (code <> '0') AS code FROM coded WHERE id <> '' GROUP BY 1)
-SELECT id AS dbgap_id, subject_id, code, CASE WHEN code IS NOT NULL THEN (SELECT count(*) FROM coded c WHERE c.id = f.id AND c.code NOT IN ('0', f.code)) END AS conflicts FROM firsts f""")
+@query(_SUBJECTS + """, firsts AS (
+  SELECT id, arg_min(code, ord) FILTER (code <> '0') AS code, arg_min(subject_id, ord) FILTER (code <> '0') AS subject_id, bool_or(coalesce(code = '0', FALSE)) AS zero, arg_min(subject_id, ord) FILTER (code = '0' AND subject_id <> '') AS zero_id FROM coded WHERE id <> '' GROUP BY 1)
+SELECT id AS dbgap_id, CASE WHEN code IS NULL THEN coalesce(zero_id, '') ELSE subject_id END AS subject_id, code, CASE WHEN code IS NOT NULL THEN (SELECT count(*) FROM coded c WHERE c.id = f.id AND c.code NOT IN ('0', f.code)) END AS conflicts FROM firsts f WHERE code IS NOT NULL OR zero""")
 def subject_files(spark: SparkSession, d: str) -> DataFrame:
     yes, no, _ = _subjects(spark, d)
     return yes.select("dbgap_id", "subject_id", "code", "conflicts").unionByName(no.select("dbgap_id", "subject_id"), allowMissingColumns=True)

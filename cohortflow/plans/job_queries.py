@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cohortflow.functions import cells as C
 from cohortflow.plans import adapter as T
 from cohortflow.plans import jobs as K
+from cohortflow.plans import migration as M
 from cohortflow.plans.queries import query, split_concepts
 from cohortflow.sources import files as FI
 from cohortflow.sources import sinks
@@ -64,41 +65,87 @@ def merged_concepts(spark: SparkSession, d: str) -> DataFrame:
     stage, root = new_path(spark, "sources"), new_path(spark, "folders")
     rows.repartition("study_id", "label", "name").sortWithinPartitions("study_id", "label", "name", "o").drop("o").write.partitionBy("study_id", "label", "name").text(stage)
     sinks.move_files(sinks.written_files(spark, stage).selectExpr("path", "concat(study_id, '/allConcepts/', label, '/', name) as name"), root)
-    folders = K.consent_folders(FI.file_inventory(spark, root))
+    files = FI.file_inventory(spark, root)
+    folders = K.consent_folders(files)
     done = F.col("label") == "c3"
     folders = folders.withColumns({"merged_version": F.when(done, F.lit("v1")), "recorded_fingerprint": F.when(done, F.col("fingerprint")), "recorded_md5": F.when(done, F.lit("m"))})
-    return K.merge_files(spark, root, K.merge_plan(folders), new_path(spark, "merged"))
-
-
-_RUN = """
-, listed AS (SELECT ord, study_id, abv FROM studies WHERE is_ready),
-reused AS (SELECT * FROM listed WHERE ord % 6 = 5 AND ord % 4 > 0),
-chosen AS (SELECT *, CASE WHEN ord % 5 < 3 THEN 'SSTR' WHEN ord % 5 = 3 THEN 'MULTI' END AS source FROM listed WHERE study_id NOT IN (SELECT study_id FROM reused)),
-firsts AS (SELECT study_id, dbgap_subject_id AS dbgap_id, any_value(subject_id) AS subject_id, arg_min(consent, ord) AS first_code, arg_min(consent, ord) FILTER (consent <> '0') AS usable FROM sstr GROUP BY ALL),
-loaded AS (SELECT f.*, source, CASE source WHEN 'SSTR' THEN first_code ELSE usable END AS code FROM firsts f JOIN chosen USING (study_id) WHERE source = 'SSTR' OR (source = 'MULTI' AND usable IS NOT NULL)),
-refused AS (SELECT f.* FROM firsts f JOIN chosen USING (study_id) WHERE source = 'MULTI' AND usable IS NULL),
+    return K.merge_files(files, K.merge_plan(folders), new_path(spark, "merged")).drop("files", "error")
+
+
+# A migration from raw files. By a study's place in the list, modulo 10:
+# 0 a good subject-sample table and a copy, 1 a bad one beside good tables, 2 a bad one alone, 3 tables without a dictionary,
+# 4 a subject table without consents, 5 no file, 6 a mapping of strangers, 7 a mapping with a short row, 8 no mapping, 9 a bad sample table and dictionary.
+_RAW_CODE = "CASE WHEN ord % 11 = 0 THEN '' WHEN ord % 11 = 1 THEN 'x' ELSE '0' || consent END"
+_RUN = f"""
+, listed AS (SELECT ord AS place, ord % 10 AS k, study_id, abv FROM studies WHERE is_ready),
+reused AS (SELECT * FROM listed WHERE place % 6 = 5 AND place % 4 > 0),
+chosen AS (SELECT *, CASE WHEN k IN (0, 6) THEN 'SSTR' WHEN k IN (1, 3, 9) THEN 'MULTI' END AS source FROM listed WHERE study_id NOT IN (SELECT study_id FROM reused)),
+coded AS (SELECT s.*, source, k, CASE WHEN source = 'SSTR' THEN consent WHEN regexp_matches({_RAW_CODE}, '^[0-9]+$') THEN coalesce(nullif(ltrim({_RAW_CODE}, '0'), ''), '0') END AS code FROM sstr s JOIN chosen USING (study_id) WHERE source IS NOT NULL),
+firsts AS (SELECT study_id, source, k, dbgap_subject_id AS dbgap_id, any_value(subject_id) AS subject_id, arg_min(code, ord) FILTER (source = 'SSTR' OR code <> '0') AS code, bool_or(coalesce(code = '0', FALSE)) AS zero FROM coded GROUP BY ALL),
+loaded AS (SELECT * FROM firsts WHERE code IS NOT NULL),
+refused AS (SELECT * FROM firsts WHERE code IS NULL AND zero),
 told AS (
-  SELECT m.study_id, m.old_id, CASE WHEN a.dbgap_id IS NOT NULL OR b.dbgap_id IS NOT NULL THEN 'mapped' WHEN n.dbgap_id IS NOT NULL THEN 'not_consented' ELSE 'not_in_file' END AS resolution
-  FROM patient_mapping m JOIN chosen USING (study_id) LEFT JOIN loaded a ON a.study_id = m.study_id AND a.dbgap_id = m.id LEFT JOIN loaded b ON b.study_id = m.study_id AND b.subject_id = m.id LEFT JOIN refused n ON n.study_id = m.study_id AND n.subject_id = m.id),
+  SELECT m.study_id, m.old_id, CASE WHEN a.dbgap_id IS NOT NULL THEN 'mapped' WHEN n.dbgap_id IS NOT NULL THEN 'not_consented' ELSE 'not_in_file' END AS resolution
+  FROM (SELECT study_id, k, CASE WHEN k = 6 THEN 'Z' || id ELSE id END AS id, old_id FROM patient_mapping JOIN chosen USING (study_id) WHERE source IS NOT NULL) m
+  LEFT JOIN loaded a ON a.study_id = m.study_id AND m.id IN (a.dbgap_id, a.subject_id) LEFT JOIN refused n ON n.study_id = m.study_id AND m.id IN (n.dbgap_id, n.subject_id)),
 per AS (SELECT study_id, count(*) FILTER (resolution = 'mapped') AS mapping_rows, count(*) FILTER (resolution <> 'mapped') AS unresolved_rows FROM told GROUP BY 1)
 """
+_DICTIONARY = '<data_table><variable id="v1"><name>other</name><value code="1">no</value></variable><variable id="v2"><name>Consent</name><value code="1">General (GRU)</value><value code="2">Health</value></variable></data_table>'
+
+
+def raw_files(spark: SparkSession, d: str) -> str:
+    """The raw files of all studies below a new folder."""
+    base, stage = new_path(spark, "raw"), new_path(spark, "raw-staged")
+    s, rows = T.studies(spark, d).selectExpr("ord as place", "ord % 10 as k", "study_id", "abv"), T.sstr(spark, d)
+
+    def file(ks: tuple[int, ...], folder: str, name: str, value: str, body: DataFrame | None = None, *heads: str) -> DataFrame:
+        """Lines of one file for each of the studies ``ks``: heads, then a line for each row of ``body``; both are expressions."""
+        own = s.where(F.col("k").isin(*ks)).withColumns({"at": F.expr(f"concat('{folder}/', {name})")})
+        top = own.select("study_id", "at", F.posexplode(F.array(*map(F.expr, heads))).alias("n", "value")).selectExpr("study_id", "at", "cast(n as long) - 100 as n", "value")
+        if body is None:
+            return top
+        return top.unionByName(own.join(body, "study_id").selectExpr("study_id", "at", "cast(ord as long) as n", f"{value} as value"))
+
+    code = _RAW_CODE.replace("||", "^").replace("'0' ^ consent", "concat('0', consent)")
+    tab = "concat_ws('\t', {})".format
+    mapping = T.patient_mapping(spark, d).withColumn("ord", F.col("old_id").cast("long"))
+    raw, old = "rawData", "legacy/data"
+    every = [
+        file((0, 6, 7, 8), raw, "concat('SSTR_', study_id, '.v1.txt')", tab("subject_id, sample_id, consent, 'GRU', dbgap_subject_id, dbgap_sample_id"), rows, tab("'SUBJECT_ID', 'SAMPLE_ID', 'CONSENT', 'consent_abbreviation', 'dbgap_subject_id', 'dbgap_sample_id'")),
+        file((0,), raw, "concat('BDC-Ingestion-Only__sstr_', study_id, '.txt')", "''", None, "'nothing of use'"),
+        file((1,), raw, "concat('sstr_', study_id, '.txt')", tab("'GRU', dbgap_subject_id, dbgap_sample_id, subject_id, if(ord % 3 = 0, ' ', consent)"), rows, tab("'consent_abbreviation', 'dbgap_subject_id', 'dbgap_sample_id', 'SUBJECT_ID', 'CONSENT'")),
+        file((2,), raw, "concat('sstr_', study_id, '.txt')", tab("subject_id, consent, 'GRU', dbgap_subject_id"), rows, tab("'SUBJECT_ID', 'CONSENT', 'consent_abbreviation', 'dbgap_subject_id'")),
+        file((1, 3, 9), raw, "concat(study_id, '.v10.pht000001.Subject.MULTI.txt')", tab(f"dbgap_subject_id, subject_id, {code}"), rows, "'# made for a test'", tab("'dbGaP_Subject_ID', 'SUBJECT_ID', 'CONSENT'")),
+        file((3,), raw, "concat(study_id, '.v2.pht000001.Subject.MULTI.txt')", "''", None, "'an older one'"),
+        file((4,), raw, "concat(study_id, '.v1.pht000001.Subject.MULTI.txt')", tab("dbgap_subject_id, consent"), rows, tab("'dbGaP_Subject_ID', 'other'")),
+        file((1, 3), raw, "concat(study_id, '.pht000002.Sample.MULTI.txt')", tab("sample_id, dbgap_subject_id, dbgap_sample_id"), rows, tab("'SAMPID', 'dbGaP SubjID', 'dbGaP_Sample_ID'")),
+        file((9,), raw, "concat(study_id, '.pht000002.Sample.MULTI.txt')", tab("dbgap_subject_id, sample_id"), rows, tab("'dbGaP_Subject_ID', 'SAMPLE_ID'")),
+        file((1,), raw, "concat(study_id, '.pht000001.v1.Subject.data_dict.xml')", "''", None, f"'{_DICTIONARY}'"),
+        file((9,), raw, "concat(study_id, '.pht000001.v1.Subject.data_dict.xml')", "''", None, "'no dictionary'"),
+        file((0, 1, 2, 3, 4, 5, 9), old, "concat(abv, '_PatientMapping.v2.csv')", "concat_ws(',', id, abv, concat('\"', old_id, '\"'))", mapping),
+        file((6,), old, "concat(abv, '_PatientMapping.v2.csv')", "concat_ws(',', concat('Z', id), abv, old_id)", mapping),
+        file((7,), old, "concat(abv, '_PatientMapping.v2.csv')", "concat_ws(',', id, abv, old_id)", mapping, "'x,y'"),
+    ]
+    lines = every[0]
+    for f in every[1:]:
+        lines = lines.unionByName(f)
+    lines.repartition("study_id", "at").sortWithinPartitions("study_id", "at", "n").drop("n").write.partitionBy("study_id", "at").text(stage)
+    sinks.move_files(sinks.written_files(spark, stage).selectExpr("path", "concat(study_id, '/', at) as name"), base)
+    return base
 
 
 def _migrated(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    s, rows = T.studies(spark, d), T.sstr(spark, d)
-    names = "case when ord % 5 < 3 then array(concat('SSTR_', study_id, '.v1.txt'), concat('BDC-Ingestion-Only__sstr_', study_id, '.txt')) when ord % 5 = 3 then array(concat(study_id, '.v2.pht000001.Subject.MULTI.txt'), concat(study_id, '.v10.pht000001.Subject.MULTI.txt'), if(ord % 2 = 0, concat(study_id, '.pht000001.subject.data_dict.xml'), 'none')) else array('readme.txt') end"
-    files = s.selectExpr("study_id", f"explode({names}) as name")
-    subjects = rows.selectExpr("study_id", "ord", "dbgap_subject_id as dbgap_id", "subject_id", "consent as code")
-    tubes = rows.selectExpr("study_id", "ord", "dbgap_subject_id as subject_id", "dbgap_sample_id", "sample_id")
-    labels = s.selectExpr("study_id", "explode(array(struct('1' as consent_code, 'General (GRU)' as label), struct('2' as consent_code, 'Health (HMB)' as label))) as l").select("study_id", "l.*")
+    s = T.studies(spark, d)
     prior = s.selectExpr("study_id", "if(ord % 6 = 5, 'now', 'old') as data_folder", "ord % 4 as mapping_rows", "true as has_mapping_file")
-    return K.migrate_studies(s, files, rows.withColumn("consent_abbreviation", F.lit("GRU")), subjects, tubes, labels, T.patient_mapping(spark, d), T.participants(spark, d), T.consents(spark, d), T.samples(spark, d), prior, "now")
+    return M.migrate_folders(spark, raw_files(spark, d), s, T.participants(spark, d), T.consents(spark, d), T.samples(spark, d), prior, "now")
 
 
-@query(_RUN + """SELECT ord, c.study_id, abv, source, coalesce(mapping_rows, 0) AS mapping_rows, coalesce(unresolved_rows, 0) AS unresolved_rows, CASE WHEN source IS NULL THEN 'skipped' WHEN coalesce(mapping_rows, 0) = 0 THEN 'needs_review' ELSE 'success' END AS outcome,
-  CASE WHEN source IS NULL THEN 'skipped_no_files' WHEN coalesce(mapping_rows, 0) = 0 THEN 'skipped_needs_review' WHEN source = 'SSTR' THEN 'loaded_sstr' ELSE 'loaded_multi' END AS class FROM chosen c LEFT JOIN per USING (study_id)
-UNION ALL SELECT ord, study_id, abv, NULL, ord % 4, 0, 'success', 'reused' FROM reused""")
+@query(_RUN + """SELECT place AS ord, c.study_id, abv, source, coalesce(mapping_rows, 0) AS mapping_rows, coalesce(unresolved_rows, 0) AS unresolved_rows,
+  CASE WHEN k = 5 THEN 'skipped' WHEN source IS NULL THEN 'failed' WHEN coalesce(mapping_rows, 0) = 0 THEN 'needs_review' ELSE 'success' END AS outcome,
+  CASE WHEN k = 5 THEN 'skipped_no_files' WHEN k = 2 THEN 'failed_no_source' WHEN k = 4 THEN 'failed_multi' WHEN source IS NULL THEN 'failed_other' WHEN coalesce(mapping_rows, 0) = 0 THEN 'skipped_needs_review' WHEN source = 'SSTR' THEN 'loaded_sstr' WHEN k = 1 THEN 'loaded_multi_sstr_malformed' ELSE 'loaded_multi' END AS class FROM chosen c LEFT JOIN per USING (study_id)
+UNION ALL SELECT place, study_id, abv, NULL, place % 4, 0, 'success', 'reused' FROM reused""")
 def migration_run(spark: SparkSession, d: str) -> DataFrame:
+    """Outcomes of all studies, with files of every kind of fault."""
     return _migrated(spark, d)["outcomes"]
 
 
@@ -108,12 +155,32 @@ def migrated_consents(spark: SparkSession, d: str) -> DataFrame:
     return _migrated(spark, d)["consents"].groupBy("study_id", "consent_code").agg(F.count("*").alias("people"))
 
 
-@query(_RUN + """, tubes AS (SELECT s.*, CASE WHEN l.dbgap_id IS NOT NULL THEN 'consented' WHEN r.dbgap_id IS NOT NULL THEN 'not_consented' END AS class FROM sstr s JOIN chosen c ON c.study_id = s.study_id AND source = 'MULTI'
-  LEFT JOIN loaded l ON l.study_id = s.study_id AND l.dbgap_id = s.dbgap_subject_id LEFT JOIN refused r ON r.study_id = s.study_id AND r.dbgap_id = s.dbgap_subject_id)
-SELECT study_id, 'CONSENT_CODE_NOT_DECODED' AS code, count(DISTINCT code) AS count FROM loaded WHERE source = 'MULTI' AND code NOT IN ('1', '2') GROUP BY 1
-UNION ALL SELECT study_id, 'CONSENT_CONFLICT', count(*) FROM loaded l WHERE source = 'MULTI' AND EXISTS (SELECT 1 FROM sstr s WHERE s.study_id = l.study_id AND s.dbgap_subject_id = l.dbgap_id AND s.consent NOT IN ('0', l.code)) GROUP BY 1
-UNION ALL SELECT study_id, 'SUBJECTS_NOT_CONSENTED', count(*) FROM refused GROUP BY 1
-UNION ALL SELECT study_id, 'SAMPLES_OF_UNCONSENTED_SUBJECTS', count(*) FROM tubes WHERE class = 'not_consented' GROUP BY 1
-UNION ALL SELECT study_id, 'NO_DATA_DICT', 1 FROM chosen WHERE source = 'MULTI' AND ord % 2 = 1 UNION ALL SELECT study_id, 'SEVERAL_SSTR_FILES', 1 FROM chosen WHERE source = 'SSTR'""")
+@query(_RUN + """, multi AS (SELECT c.*, l.code AS first_code, r.dbgap_id IS NOT NULL AS no FROM coded c LEFT JOIN loaded l ON l.study_id = c.study_id AND l.dbgap_id = c.dbgap_subject_id LEFT JOIN refused r ON r.study_id = c.study_id AND r.dbgap_id = c.dbgap_subject_id WHERE c.source = 'MULTI'),
+said AS (
+  SELECT study_id, 'ERROR' AS severity, 'PATIENT_MAPPING_UNUSABLE' AS code, CASE k WHEN 7 THEN 'SHORT_OR_BLANK_ROW' ELSE 'EMPTY' END AS example, '' AS o FROM chosen WHERE k IN (7, 8)
+  UNION ALL SELECT study_id, 'WARNING', 'MULTIPLE_SSTR_CANDIDATES', unnest(['SSTR_' || study_id || '.v1.txt', NULL]), '' FROM chosen WHERE k = 0
+  UNION ALL SELECT study_id, 'WARNING', 'SSTR_MALFORMED', CASE k WHEN 1 THEN 'BLANK_CONSENT' ELSE 'NO_COLUMN_DBGAP_SAMPLE_ID' END, '' FROM chosen WHERE k IN (1, 2)
+  UNION ALL SELECT study_id, 'ERROR', 'NO_PARTICIPANT_SOURCE', 'sstr_' || study_id || '.txt', '' FROM chosen WHERE k = 2
+  UNION ALL SELECT study_id, 'WARNING', 'NO_PARTICIPANT_FILES', NULL, '' FROM chosen WHERE k = 5
+  UNION ALL SELECT study_id, 'WARNING', 'MULTIPLE_SUBJECT_MULTI_CANDIDATES', unnest([study_id || '.v10.pht000001.Subject.MULTI.txt', NULL]), '' FROM chosen WHERE k = 3
+  UNION ALL SELECT study_id, 'INFO', 'NO_SAMPLE_MULTI', NULL, '' FROM chosen WHERE k = 4
+  UNION ALL SELECT study_id, 'ERROR', 'MULTI_LOAD_FAILED', 'NO_COLUMN_CONSENT', '' FROM chosen WHERE k = 4
+  UNION ALL SELECT study_id, 'WARNING', 'SAMPLE_MULTI_UNREADABLE', 'NO_COLUMN_SAMPLE', '' FROM chosen WHERE k = 9
+  UNION ALL SELECT study_id, 'WARNING', 'NO_DATA_DICT', NULL, '' FROM chosen WHERE k = 3
+  UNION ALL SELECT study_id, 'WARNING', 'DATA_DICT_UNREADABLE', study_id || '.pht000001.v1.Subject.data_dict.xml', '' FROM chosen WHERE k = 9
+  UNION ALL SELECT DISTINCT study_id, 'WARNING', CASE WHEN k = 1 AND code = '2' THEN 'CONSENT_LABEL_WITHOUT_ABBREVIATION' ELSE 'CONSENT_CODE_NOT_DECODED' END, code, code FROM loaded WHERE source = 'MULTI' AND NOT (k = 1 AND code = '1')
+  UNION ALL SELECT study_id, 'WARNING', 'CONSENT_CONFLICT', dbgap_subject_id || '=' || first_code || '/' || code, lpad(ord::VARCHAR, 12, '0') FROM multi WHERE code <> '0' AND code <> first_code
+  UNION ALL SELECT study_id, 'INFO', 'SUBJECTS_NOT_CONSENTED', dbgap_id, dbgap_id FROM refused
+  UNION ALL SELECT study_id, CASE WHEN no THEN 'INFO' ELSE 'WARNING' END, CASE WHEN no THEN 'SAMPLES_OF_UNCONSENTED_SUBJECTS' ELSE 'SAMPLES_OF_UNKNOWN_SUBJECTS' END, dbgap_subject_id, lpad(ord::VARCHAR, 12, '0') FROM multi WHERE k <> 9 AND first_code IS NULL AND (dbgap_sample_id <> '' OR sample_id <> '')
+  UNION ALL SELECT study_id, CASE resolution WHEN 'not_consented' THEN 'INFO' ELSE 'WARNING' END, CASE resolution WHEN 'not_consented' THEN 'PATIENT_MAPPING_NOT_CONSENTED' ELSE 'PATIENT_MAPPING_UNRESOLVED' END, old_id, old_id FROM told WHERE resolution <> 'mapped')
+SELECT study_id, severity, code, count(*) AS count, coalesce(array_to_string((list(example ORDER BY o) FILTER (example IS NOT NULL))[:10], ','), '') AS examples FROM said GROUP BY ALL""")
 def migration_issues(spark: SparkSession, d: str) -> DataFrame:
-    return _migrated(spark, d)["issues"]
+    return _migrated(spark, d)["issues"].withColumn("examples", F.array_join("examples", ","))
+
+
+@query(_RUN + """SELECT study_id, severity, code FROM (
+  SELECT study_id, 'WARNING' AS severity, 'NO_NEW_PARTICIPANTS' AS code, count(*) FILTER (dbgap_id NOT IN (SELECT source_id FROM participants)) AS n FROM loaded WHERE source = 'SSTR' GROUP BY 1)
+WHERE n = 0""")
+def migration_gates(spark: SparkSession, d: str) -> DataFrame:
+    """What the gates of loads and outcomes say of a migration that ran: nothing is wrong, some studies bring nobody new."""
+    return _migrated(spark, d)["checks"]

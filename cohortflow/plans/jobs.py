@@ -13,7 +13,9 @@ from cohortflow.functions.cells import has_separator, is_null_word, is_number, i
 from cohortflow.operators import aggregates as A
 from cohortflow.operators import joins as J
 from cohortflow.operators import reshape as R
+from cohortflow.sources.files import file_inventory, listing
 from cohortflow.sources.scratch import written
+from cohortflow.sources.streams import merge_bytes, remove_files
 
 
 def study_concepts(wide: DataFrame, mapping: DataFrame, patient: str, participants: DataFrame, consents: DataFrame, study: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -189,7 +191,7 @@ def merge_action(changed: Column | None = None) -> Column:
 
 
 def merge_plan(folders: DataFrame) -> DataFrame:
-    """Folders with ``action`` and ``merge``; those up to date are not read. ``largest_first`` orders them for a report."""
+    """Folders with ``action`` and ``merge``; ``merge_files`` opens no source of the others. ``largest_first`` orders them for a report."""
     rows = folders.withColumn("action", merge_action(F.col("changed") if "changed" in folders.columns else None))
     return rows.withColumn("merge", F.col("action").isin("MISSING", "NO_FINGERPRINT", "SOURCES_CHANGED"))
 
@@ -199,25 +201,44 @@ def to_merge(lines: DataFrame, plan: DataFrame) -> DataFrame:
     return lines.join(plan.where("merge").select("study_id", "label"), ["study_id", "label"], "left_semi").orderBy("study_id", "label", "name", "line")
 
 
-def merge_files(spark: SparkSession, root: str, plan: DataFrame, target: str) -> DataFrame:
-    """Merge the folders that ``plan`` says to: their sources below ``root``, in name order, to one file each below ``target``.
+def merge_files(files: DataFrame, plan: DataFrame, target: str, chunk: int = 0) -> DataFrame:
+    """Merge the folders that ``plan`` says to, each its sources in name order, to one file each below ``target``.
 
-    Returns ``study_id, label, bytes, md5`` of the merged files. The format asks for one ordered file a folder, so a
-    folder's lines are sorted and written by one task, which spills; folders are merged side by side.
+    ``files``: an inventory with ``key``, where a file is. Returns ``study_id, label, files, bytes, md5, error``. Only sources of
+    folders to be merged are opened. A folder whose source can't be read has an error and keeps what stood before; it stops no other.
+    The format asks for one ordered file a folder, which one task streams; folders are merged side by side.
     """
-    from cohortflow.sources.sinks import move_files, written_files
-
-    rows = R.concatenated(spark, f"{root}/*/allConcepts/*/*{S.MARKER}*").where(~S.is_merged_name(F.col("name")))
-    folder = F.col("place.file_path")
-    rows = rows.select(F.regexp_extract(folder, "([^/]+)/allConcepts/(c[^/]+)/[^/]+$", 1).alias("study_id"), F.regexp_extract(folder, "([^/]+)/allConcepts/(c[^/]+)/[^/]+$", 2).alias("label"), "name", F.col("place").alias("line"), "value")
-    chosen = rows.join(plan.where("merge").select("study_id", "label"), ["study_id", "label"], "left_semi")
-    stage = f"{target}/_staged"
-    chosen.repartition("study_id", "label").sortWithinPartitions("study_id", "label", "name", "line").select("study_id", "label", "value").write.mode("overwrite").partitionBy("study_id", "label").text(stage)
-    name = F.concat("study_id", F.lit("/allConcepts/"), "label", F.lit("/"), S.merged_file(F.col("study_id"), F.col("label")))
-    move_files(written_files(spark, stage).select("path", name.alias("name")), target)
-    files = spark.read.format("binaryFile").load(f"{target}/*/allConcepts/*/*_MERGED.csv")
+    chosen = files.join(plan.where("merge").select("study_id", "label"), ["study_id", "label"], "left_semi").where(S.file_class(F.col("name"), F.col("study_id"), F.col("label")) == "source")
+    to = F.concat(F.lit(f"{target}/"), "study_id", F.lit("/allConcepts/"), "label", F.lit("/"), S.merged_file(F.col("study_id"), F.col("label")))
+    done = written(merge_bytes(chosen.withColumn("_to", to), "_to", "key", "name", chunk), "merged")
     at = "([^/]+)/allConcepts/(c[^/]+)/[^/]+$"
-    return files.select(F.regexp_extract("path", at, 1).alias("study_id"), F.regexp_extract("path", at, 2).alias("label"), F.col("length").alias("bytes"), F.md5("content").alias("md5"))
+    return done.select(F.regexp_extract("target", at, 1).alias("study_id"), F.regexp_extract("target", at, 2).alias("label"), "files", "bytes", "md5", "error")
+
+
+def merge_run(spark: SparkSession, root: str, recorded: DataFrame, digests: bool = False) -> tuple[DataFrame, DataFrame]:
+    """A whole merge of the folders below ``root``: what became of each, and what to record of merged files for the next run.
+
+    Folders: ``study_id, label, action, sources, ignored, other_merged, files_merged, md5, error``. ``action`` is that of ``merge_action``, or
+    ``FAILED``. A merged file without sources is removed, unless a second listing, made just before, shows another version of it.
+    Recorded: ``study_id, label, recorded_fingerprint, recorded_md5``. ``digests``: versions are digests of the files' bytes.
+    """
+    keys = ["study_id", "label"]
+    files = written(file_inventory(spark, root, digests), "inventory")
+    plan = written(merge_plan(consent_folders(files, recorded)), "plan")
+    done = merge_files(files, plan, root)
+    ours = files.join(plan.where("action = 'REMOVED_NO_SOURCES'").select(*keys), keys, "left_semi").where(S.file_class(F.col("name"), F.col("study_id"), F.col("label")) == "merged")
+    again = listing(spark, *[r["key"] for r in ours.select("key").toLocalIterator()]).select(F.col("path").alias("key"), F.struct("size", "last_modified").alias("now"))
+    looked = written(ours.join(again, "key", "left").select(*keys, "key", F.coalesce(F.col("now") != F.struct("size", "last_modified"), F.lit(True)).alias("changed")), "looked")
+    removed = written(remove_files(looked.where("not changed").select(F.col("key").alias("path"))), "removed")
+    gone = looked.join(removed.select(F.col("path").alias("key"), F.col("error").alias("_left")), "key", "left").select(*keys, "changed", "_left")
+    out = plan.join(done, keys, "left").join(gone, keys, "left")
+    action = F.when(F.col("changed"), "CHANGED_DURING_RUN").when(F.coalesce("error", "_left").isNotNull(), "FAILED").otherwise(F.col("action"))
+    told = out.select(*keys, action.alias("action"), "sources", "ignored", "other_merged", F.when(F.col("error").isNull(), F.coalesce("files", F.lit(0).cast("long"))).otherwise(0).alias("files_merged"),
+                      F.coalesce("md5", F.when(F.col("action") == "UP_TO_DATE", F.col("recorded_md5"))).alias("md5"), F.coalesce("error", "_left").alias("error"), "fingerprint")
+    told = written(told, "told")
+    keep = told.where("md5 is not null").select(*keys, F.col("fingerprint").alias("recorded_fingerprint"), F.col("md5").alias("recorded_md5"))
+    failed = recorded.join(told.where("action = 'FAILED'").select(*keys), keys, "left_semi").select(*keys, "recorded_fingerprint", "recorded_md5")
+    return told.drop("fingerprint"), keep.unionByName(failed)
 
 
 def manifest(studies: DataFrame, folders: DataFrame, files: DataFrame, global_file: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
@@ -263,58 +284,6 @@ def migrate(studies: DataFrame, mapping: DataFrame, loaded: DataFrame, subjects:
     return rows.where("resolution = 'mapped'").select("study_id", "old_id", "person_id", "dbgap_id"), out, A.unresolved(rows)
 
 
-def migrate_studies(
-    studies: DataFrame, files: DataFrame, sstr: DataFrame, subjects: DataFrame, tubes: DataFrame, decodings: DataFrame, mapping: DataFrame,
-    participants: DataFrame, consents: DataFrame, samples: DataFrame, prior: DataFrame, folder: str,
-) -> dict[str, DataFrame]:
-    """A whole migration: files chosen, studies loaded, patient mappings resolved, every study's outcome told.
-
-    Ready studies count once. Those that ``prior`` has for the same ``folder`` are not done again. Of the others each is
-    loaded from its preferred subject-sample file, else from its newest subject table with the sample table, else
-    skipped; one whose mapping resolves to nothing needs a review. ``files``: ``study_id, name``; the other inputs are
-    as their readers give them, with ``study_id``. Returns ``participants, consents, samples, mappings, outcomes, unresolved, issues``.
-    """
-    from cohortflow.operators import dedup as E
-    from cohortflow.operators import identity as I
-
-    listed = J.ready(studies).select("ord", "study_id", "abv").dropDuplicates(["study_id"])
-    todo, reused = J.to_resume(listed, prior, folder)
-    kinds = files.withColumn("kind", S.raw_file_class(F.col("name"), F.col("study_id"))).where("kind is not null")
-    table = E.preferred(kinds.where("kind in ('sstr', 'sstr_copy')"), ["study_id"], F.col("kind") == "sstr_copy", "name").select("study_id", F.col("name").alias("sstr_file"), "candidates")
-    newest = E.newest(kinds.where("kind = 'subject'").select("study_id", "name"), ["study_id"], "name").select("study_id", F.col("name").alias("subject_file"))
-    paired = E.paired_dictionaries(kinds.where("kind = 'dictionary'").select("study_id", "name").join(newest, "study_id"), ["study_id"], "name", "subject_file").select("study_id", F.col("name").alias("dictionary"))
-    chosen = todo.join(table, "study_id", "left").join(newest, "study_id", "left").join(paired, "study_id", "left")
-    chosen = written(chosen.withColumn("source", F.when(F.col("sstr_file").isNotNull(), "SSTR").when(F.col("subject_file").isNotNull(), "MULTI")), "chosen")
-
-    def of(df: DataFrame, source: str) -> DataFrame:
-        return df.join(chosen.where(F.col("source") == source).select("study_id"), "study_id", "left_semi")
-
-    by_table, by_subject = of(sstr, "SSTR"), of(subjects, "MULTI")
-    people, own, held, _ = I.load_sstr(participants, consents, samples, by_table)
-    people = written(people, "people")
-    people, own, held, found = I.load_multi(people, own, held, by_subject, of(tubes, "MULTI"), decodings)
-    people = written(people, "people")
-    yes, no = E.first_usable_consent(by_subject, ["study_id", "dbgap_id"], "code", "ord")
-    named = by_subject.groupBy("study_id", "dbgap_id").agg(F.min_by("subject_id", "ord").alias("subject_id"))
-    ids = R.union(by_table.select("study_id", F.col("dbgap_subject_id").alias("dbgap_id"), "subject_id"), yes.select("study_id", "dbgap_id").join(named, ["study_id", "dbgap_id"]))
-    no = no.join(named, ["study_id", "dbgap_id"]).select("study_id", "subject_id")
-    rows = written(J.resolve_patients(mapping.join(chosen.select("study_id"), "study_id", "left_semi"), ids.select("study_id", "dbgap_id"), ids, no, people), "resolved")
-    per = rows.groupBy("study_id").agg(F.count_if(F.col("resolution") == "mapped").alias("mapping_rows"), F.count_if(F.col("resolution") != "mapped").alias("unresolved_rows"))
-    n = F.coalesce("mapping_rows", F.lit(0).cast("long"))
-    codes = F.array_compact(F.array(F.when(F.col("source").isNull(), "NO_PARTICIPANT_FILES"), F.when(F.col("source").isNotNull() & (n == 0), "NEEDS_DATA_REVIEW")))
-    out = chosen.join(per, "study_id", "left").withColumn("codes", codes)
-    good = F.size("codes") == 0
-    out = out.select("ord", "study_id", "abv", "source", n.alias("mapping_rows"), F.coalesce("unresolved_rows", F.lit(0).cast("long")).alias("unresolved_rows"),
-                     S.study_outcome(good, F.col("codes")).alias("outcome"), S.outcome_class(good, F.col("source"), F.col("sstr_file"), F.col("codes")).alias("class"))
-    again = reused.join(listed, "study_id").select("ord", "study_id", "abv", F.lit(None).cast("string").alias("source"), F.col("mapping_rows").cast("long").alias("mapping_rows"), F.lit(0).cast("long").alias("unresolved_rows"), F.lit("success").alias("outcome"), F.lit("reused").alias("class"))
-    without = chosen.where("source = 'MULTI' and dictionary is null").select("study_id", F.lit("NO_DATA_DICT").alias("code"))
-    several = chosen.where("candidates > 1").select("study_id", F.lit("SEVERAL_SSTR_FILES").alias("code"))
-    return {
-        "participants": people, "consents": own, "samples": held, "mappings": rows.where("resolution = 'mapped'").select("study_id", "old_id", "person_id", "dbgap_id"),
-        "outcomes": out.unionByName(again), "unresolved": A.unresolved(rows), "issues": R.union(found.select("study_id", "code", "count"), *[df.withColumn("count", F.lit(1).cast("long")) for df in (without, several)]),
-    }
-
-
 def resolve_studies(studies: DataFrame, inputs: DataFrame) -> DataFrame:
     """``study_id, abv, plan, reason, decoded_bytes, csv_count``: load, already_processed, or excluded with all its reasons.
 

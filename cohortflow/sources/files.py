@@ -7,20 +7,39 @@ from pyspark.sql import functions as F
 
 from cohortflow.operators.dedup import newest
 from cohortflow.sources.delimited import BadFile
+from cohortflow.sources.streams import md5_of_files
 
 ISSUES = "struct<issues: array<struct<severity: string, code: string, message: string, location: string, context: map<string,string>>>, counts: struct<error: long, warning: long, info: long>>"
 REPORT = f"jobName string, jobType string, runId string, exitCode string, status string, startedAt string, finishedAt string, durationMillis long, inputValidation {ISSUES}, outputValidation {ISSUES}, metrics map<string,string>, errorMessage string"
 
 
-def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """``study_id, label, name, key, version_id, last_modified, size`` of the files directly in consent folders.
+def listing(spark: SparkSession, *globs: str) -> DataFrame:
+    """``path, size, last_modified`` of the files that patterns match, none if none does. No bytes are read, whatever the sizes."""
+    conf = spark._jsc.hadoopConfiguration()
+    found = []
+    for g in globs:
+        at = spark._jvm.org.apache.hadoop.fs.Path(g)
+        if len(at.getFileSystem(conf).globStatus(at) or []):
+            found.append(g)
+    if not found:
+        return spark.createDataFrame([], "path string, size long, last_modified timestamp")
+    return spark.read.format("binaryFile").load(found).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"))
 
-    Without a store's version ids, a file's version is the md5 of what it holds; pass an inventory with real ones to skip reading.
+
+def file_inventory(spark: SparkSession, root: str, digests: bool = False) -> DataFrame:
+    """``study_id, label, name, key, version_id, last_modified, size`` of the files directly in consent folders below ``root``.
+
+    Without a store's version ids a file's version is its size and time, so nothing is read; with ``digests`` it is the MD5 of what it holds,
+    read as a stream.
     """
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    parts = F.regexp_extract("path", "([^/]+)/allConcepts/(c[^/]+)/[^/]+$", 1), F.regexp_extract("path", "([^/]+)/allConcepts/(c[^/]+)/[^/]+$", 2)
-    rows = df.select(parts[0].alias("study_id"), parts[1].alias("label"), F.element_at(F.split("path", "/"), -1).alias("name"), F.col("path").alias("key"), F.md5("content").alias("version_id"), F.col("modificationTime").alias("last_modified"), F.col("length").alias("size"))
-    return rows.where("study_id <> ''")
+    rows = listing(spark, f"{root}/*/allConcepts/c*/*")
+    at = "([^/]+)/allConcepts/(c[^/]+)/[^/]+$"
+    own = F.concat_ws("-", "size", F.unix_micros("last_modified"))
+    if digests:
+        rows, own = rows.join(md5_of_files(rows).select("path", "md5"), "path"), F.col("md5")
+    return rows.select(
+        F.regexp_extract("path", at, 1).alias("study_id"), F.regexp_extract("path", at, 2).alias("label"), F.element_at(F.split("path", "/"), -1).alias("name"), F.col("path").alias("key"),
+        own.alias("version_id"), "last_modified", "size")
 
 
 def current_versions(versions: DataFrame) -> DataFrame:

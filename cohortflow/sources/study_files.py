@@ -86,18 +86,20 @@ def column(df: DataFrame, names: list[str], what: str):
 
 
 def read_subjects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Consented (``dbgap_id, code, conflicts, subject_id``), not consented (``dbgap_id, subject_id``), and issues (``ord, code, example``)."""
+    """Consented (``dbgap_id, code, conflicts, subject_id``), not consented (``dbgap_id, subject_id``), and issues (``ord, code, example``).
+
+    Not consented are those who say 0 and never another code; those without any usable code are only issues.
+    """
     df = read_commented(spark, path)
+    own = S.resolve_column(df, OWN_SUBJECT)
     rows = with_row_order(df).select("ord", column(df, DBGAP_SUBJECT, "the repository's subject id").alias("dbgap_id"),
-                     column(df, OWN_SUBJECT, "the study's subject id").alias("subject_id"), column(df, CONSENT, "the consent").alias("code"))
+                     (trimmed(F.col(f"`{own}`")) if own else F.lit("")).alias("subject_id"), column(df, CONSENT, "the consent").alias("code"))
     blank = empty(F.col("dbgap_id"))
     code = S.consent_code(F.col("code"))
     kind = F.when(blank, "BLANK_SUBJECT").when(empty(F.col("code")), "BLANK_CONSENT").when(code.isNull(), "CONSENT_NOT_A_NUMBER").when(code == "0", "CONSENT_ZERO")
     issues = rows.select("ord", kind.alias("code"), F.concat_ws(":", "dbgap_id", "code").alias("example")).where("code is not null")
     rows = rows.where(~blank)
-    yes, no = first_usable_consent(rows, ["dbgap_id"], "code", "ord")
-    own = rows.groupBy("dbgap_id").agg(F.min_by("subject_id", "ord").alias("subject_id"))
-    return yes.join(own, "dbgap_id"), no.join(own, "dbgap_id"), issues
+    return *first_usable_consent(rows, ["dbgap_id"], "code", "ord", "subject_id"), issues
 
 
 def read_samples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

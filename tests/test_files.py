@@ -95,7 +95,7 @@ def test_subjects(spark, tmp_path):
     text = "# c\ndbGaP SubjID\tSUBJID\tgencons\n1\ta\t0\n1\ta\t02\n1\ta\t3\n2\tb\t0\n3\tc\tx\n\td\t1\n"
     yes, no, issues = SF.read_subjects(spark, put(tmp_path, "subj.txt", text))
     assert [(r.dbgap_id, r.code, r.conflicts) for r in yes.collect()] == [("1", "2", 1)]
-    assert sorted(r.dbgap_id for r in no.collect()) == ["2", "3"]
+    assert [(r.dbgap_id, r.subject_id) for r in no.collect()] == [("2", "b")]
     assert sorted(r.code for r in issues.collect()) == ["BLANK_SUBJECT", "CONSENT_NOT_A_NUMBER", "CONSENT_ZERO", "CONSENT_ZERO"]
 
 

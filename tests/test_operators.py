@@ -44,9 +44,12 @@ def test_paired_dictionary(spark):
 
 
 def test_usable_consents(spark):
-    df = spark.createDataFrame([("a", 1, "0"), ("a", 2, "02"), ("a", 3, "1"), ("a", 4, "2"), ("b", 5, "x")], "k string, o int, c string")
+    df = spark.createDataFrame([("a", 1, "0"), ("a", 2, "02"), ("a", 3, "1"), ("a", 4, "2"), ("b", 5, "x"), ("d", 6, " "), ("d", 7, None), ("e", 8, "00"), ("e", 9, "x"), ("e", 10, "0"), ("f", 11, "1"), ("f", 12, "3"), ("f", 13, "4"), ("f", 14, "1")], "k string, o int, c string")
     yes, no = E.first_usable_consent(df, ["k"], "c", "o")
-    assert rows(yes, "k", "c", "conflicts") == [("a", "2", 1)] and rows(no, "k") == [("b",)]
+    assert rows(yes, "k", "c", "conflicts") == [("a", "2", 1), ("f", "1", 2)] and rows(no, "k") == [("e",)]
+    named = df.withColumn("own", F.expr("if(o in (1, 8), '', concat('S', o))"))
+    yes, no = E.first_usable_consent(named, ["k"], "c", "o", "own")
+    assert rows(yes, "k", "own") == [("a", "S2"), ("f", "S11")] and rows(no, "k", "own") == [("e", "S10")]
 
 
 def test_first_labels_and_failures(spark):
