@@ -50,6 +50,20 @@ def column_profile(cells: DataFrame, field: str = "field", value: str = "value")
     return per.withColumn("observed", F.when(F.col("n_values") == 0, F.lit(None)).when(F.col("n_text") > 0, "TEXT").otherwise("NUMERIC"))
 
 
+def wide_profile(wide: DataFrame, fields: list[str]) -> DataFrame:
+    """``column_profile`` of columns side by side: one aggregate of counts for each, without a row for each cell."""
+    counts = []
+    for i, f in enumerate(fields):
+        v = trimmed(F.coalesce(F.col(f"`{f}`").cast("string"), F.lit("")))
+        there = F.coalesce((v != "") & ~is_null_word(v), F.lit(False))
+        counts += [F.count_if(there).alias(f"v{i}"), F.count_if(there & ~is_number(v)).alias(f"t{i}")]
+    if not counts:
+        return wide.sparkSession.createDataFrame([], "field string, n_values long, n_text long, observed string")
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"v{i}").alias("n_values"), F.col(f"t{i}").alias("n_text")) for i, f in enumerate(fields)])
+    observed = F.when(F.col("n_values") == 0, F.lit(None)).when(F.col("n_text") > 0, "TEXT").otherwise("NUMERIC")
+    return wide.agg(*counts).select(F.inline(each)).withColumn("observed", observed)
+
+
 def profiled_mapping(mapping: DataFrame, profile: DataFrame) -> DataFrame:
     """The mapping with observed types; fields of no values go, and fields that were not seen keep their type."""
     rows = mapping.join(profile, "field", "left")

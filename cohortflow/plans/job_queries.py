@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from cohortflow.functions import cells as C
 from cohortflow.plans import adapter as T
+from cohortflow.plans import concepts as G
 from cohortflow.plans import jobs as K
 from cohortflow.plans import migration as M
 from cohortflow.plans.queries import query, split_concepts
 from cohortflow.sources import files as FI
 from cohortflow.sources import sinks
+from cohortflow.sources import study_files as SF
 from cohortflow.sources.scratch import new_path
 
 #: Columns of the two data files there are, and what the mapping says of each; a third file is not there.
@@ -32,16 +34,29 @@ classed AS (
 """.replace("{NUMBER}", C.NUMBER)
 
 
-def _of_files(spark: SparkSession, d: str):
+def data_files(spark: SparkSession, d: str) -> str:
+    """The two data files below a new folder; rows of line 7 of the first have a cell too many, those of line 6 name no patient."""
     rows = T.decoded(spark, d).withColumn("patient", F.expr("if(line = 6, concat('#', patient), patient)"))
-    wides = {f: rows.select(*columns, (F.expr("line = 7") if f == "main.csv" else F.lit(False)).alias("malformed")) for f, columns in FILES.items()}
+    base, stage = new_path(spark, "data"), new_path(spark, "data-staged")
+    lines = None
+    for f, columns in FILES.items():
+        value = F.concat_ws(",", *[C.csv_quote(F.coalesce(c, F.lit(""))) for c in columns])
+        own = rows.select(F.lit(f).alias("at"), F.col("ord").alias("n"), (F.when(F.col("line") == 7, F.concat(value, F.lit(",more"))).otherwise(value) if f == "main.csv" else value).alias("value"))
+        own = own.unionByName(spark.createDataFrame([(f, -1, ",".join(columns))], "at string, n long, value string"))
+        lines = own if lines is None else lines.unionByName(own)
+    lines.repartition("at").sortWithinPartitions("at", "n").drop("n").write.partitionBy("at").text(stage)
+    sinks.move_files(sinks.written_files(spark, stage).selectExpr("path", "at as name"), base)
+    return base
+
+
+def _of_files(spark: SparkSession, d: str):
     mapping = spark.createDataFrame(MAPPED, "file string, column int, path string, declared string, patient_column int")
-    return K.concepts_of_files(wides, mapping, T.participants(spark, d), T.consents(spark, d))
+    return G.concepts_of_files(spark, data_files(spark, d), mapping, T.participants(spark, d), T.consents(spark, d))
 
 
 @query(_FILES + "SELECT file, study_id, consent_code, path, count(*) AS rows, count(DISTINCT person_id) AS people, count(*) FILTER (type = 'NUMERIC') AS numbers FROM classed WHERE class = 'written' GROUP BY ALL")
 def file_concepts(spark: SparkSession, d: str) -> DataFrame:
-    rows = _of_files(spark, d)[0]
+    rows = _of_files(spark, d)[0].where("class = 'written'")
     return rows.groupBy("file", "study_id", "consent_code", "path").agg(F.count("*").alias("rows"), F.count_distinct("person_id").alias("people"), F.count_if(F.col("numeric") != "").alias("numbers"))
 
 
@@ -51,6 +66,45 @@ def file_concept_counts(spark: SparkSession, d: str) -> DataFrame:
     return _of_files(spark, d)[1]
 
 
+_STUDY = "phs000004"
+_GENERATED = _FILES + f", own AS (SELECT c.* FROM classed c LEFT JOIN participants p ON p.source_id = c.patient WHERE c.study_id = '{_STUDY}')\n"
+
+
+def _generated(spark: SparkSession, d: str):
+    """A study's concept files, over those of an earlier run that had another group; without and with a file missing."""
+    own = [(f"{f}:{i}", "", f"µ{f}µ{c}µ", "NUMERIC" if i % 2 else "TEXT", "" if f == "main.csv" else "patientcol=3") for f, columns in FILES.items() for i, c in enumerate(columns) if c != "patient"]
+    out, data = new_path(spark, "generated"), data_files(spark, d)
+    old = spark.createDataFrame([("1", "µoldµ", "", "x", "0", _STUDY, c) for c in ("2", "77")], "person_id string, path string, numeric string, text string, timestamp string, study_id string, consent_code string")
+    told = []
+    for extra in ([], [("gone.csv:1", "µgoneµ", "x", "TEXT", "")]):
+        rows = [(k, p.strip("µ").split("µ")[0] if not r else r, p.strip("µ").split("µ")[-1], t, o) for k, r, p, t, o in [*own, *extra]]
+        lines = spark.createDataFrame([(",".join(r),) for r in rows], "value string")
+        lines.coalesce(1).write.text(at := new_path(spark, "mapping"))
+        sinks.write_concepts(old, stage := new_path(spark, "old"))
+        sinks.publish_concepts(spark, stage, out)
+        told.append(G.generate_concepts(spark, _STUDY, data, at, T.participants(spark, d), T.consents(spark, d), out))
+    return out, told
+
+
+@query(_GENERATED + "SELECT 'c' || consent_code AS label, count(*) AS rows, count(DISTINCT person_id) AS people, count(*) FILTER (type = 'NUMERIC') AS numbers FROM own WHERE class = 'written' GROUP BY 1 UNION ALL SELECT 'c77', 1, 1, 0 UNION ALL SELECT 'c2', 1, 1, 0 WHERE NOT EXISTS (SELECT 1 FROM own WHERE class = 'written' AND consent_code = '2')")
+def generated_concepts(spark: SparkSession, d: str) -> DataFrame:
+    """The concept files that stand after two runs: the second misses a file, so that the group of an earlier run stays."""
+    out, _ = _generated(spark, d)
+    rows = SF.read_all_concepts(spark, f"{out}/*/allConcepts/*/*.csv").withColumn("label", F.regexp_extract(F.col("_metadata.file_path"), "/(c[^/]+)/[^/]+$", 1))
+    return rows.where("not malformed").groupBy("label").agg(F.count("*").alias("rows"), F.count_distinct("person_id").alias("people"), F.count_if(F.col("numeric") != "").alias("numbers"))
+
+
+@query(_GENERATED + f"""SELECT run, severity, code FROM (SELECT unnest([1, 2]) AS run), (
+  SELECT 'WARNING' AS severity, 'MALFORMED' AS code, count(*) AS n FROM decoded WHERE line = 7
+  UNION ALL SELECT 'WARNING', 'UNMAPPED', count(*) FROM vals v JOIN typed USING (file, field) LEFT JOIN (SELECT DISTINCT source_id FROM participants JOIN consents USING (person_id) WHERE study_id = '{_STUDY}') p ON p.source_id = patient WHERE NOT none AND NOT (file = 'main.csv' AND line = 7) AND line <> 6 AND p.source_id IS NULL
+  UNION ALL SELECT 'WARNING', 'STALE_OUTPUTS', 1) WHERE n > 0 UNION ALL SELECT 2, 'WARNING', 'FILES_MISSING'""")
+def generated_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What the gates say of the two runs."""
+    _, told = _generated(spark, d)
+    a, b = (t["checks"].withColumn("run", F.lit(i)) for i, t in enumerate(told, 1))
+    return a.unionByName(b).select("run", "severity", "code")
+
+
 _SOURCES = """, lined AS (
   SELECT study_id, 'c' || consent_code AS label, study_id || '_allConcepts_' || (person_id % 3) || '.csv' AS name, lpad(person_id::VARCHAR, 9, '0') || path || numeric || text AS o, '"' || person_id || '","' || path || '","' || numeric || '","' || text || '","0"' AS value
   FROM legacy_rows JOIN id_mapping USING (old_id) JOIN consents USING (person_id))

@@ -26,7 +26,7 @@ def study_concepts(wide: DataFrame, mapping: DataFrame, patient: str, participan
     """
     fields = [r["field"] for r in mapping.select("field").collect()]
     used = mapping.where(F.col("field").isin(*[c for c in wide.columns]))
-    profile = A.column_profile(R.cells(wide.where(is_patient_cell(F.col(patient))), [f for f in fields if f in wide.columns], []))
+    profile = A.wide_profile(wide.where(is_patient_cell(F.col(patient))), [f for f in fields if f in wide.columns])
     types = [r.asDict() for r in A.profiled_mapping(used, profile).select("field", "path", "type").collect()]
     rows = R.to_concepts(wide, types, patient, [])
     own = consents if study is None else J.of_study(consents, study)
@@ -37,50 +37,6 @@ def study_concepts(wide: DataFrame, mapping: DataFrame, patient: str, participan
     return good.select("study_id", "consent_code", "person_id", "path", "numeric", "text"), counts
 
 
-def concepts_of_files(wides: dict[str, DataFrame], mapping: DataFrame, participants: DataFrame, consents: DataFrame, study: str | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Concept rows of a study's data files, counts for each file, and the files that the mapping names and ``wides`` lacks.
-
-    ``mapping``: ``file, column, path, declared, patient_column``, a study's own, so it goes through the driver.
-    ``wides``: the cells of each file as text and ``malformed``; malformed rows give no concepts, but their cells
-    count for the types, which are observed for each column of each file. Columns beyond a file's width are passed
-    over. Counts: ``file, rows, malformed, not_patients, written, unmapped, no_consent, unmapped_ids``.
-    """
-    wanted: dict[str, list] = {}
-    for r in mapping.collect():
-        wanted.setdefault(r["file"], []).append(r)
-    names = {f: [c for c in df.columns if c != "malformed"] for f, df in wides.items()}
-    used = {f: [r for r in rows if max(r["column"], r["patient_column"]) < len(names[f])] for f, rows in wanted.items() if f in wides}
-    used = {f: rows for f, rows in used.items() if rows}
-
-    def pairs(f: str) -> DataFrame:
-        each = F.array(*[F.struct(F.lit(f"{f}:{c}").alias("field"), F.col(f"`{names[f][c]}`").alias("value")) for c in sorted({r["column"] for r in used[f]})])
-        return wides[f].select(F.explode(each).alias("c")).select("c.field", "c.value")
-
-    types = {r["field"]: r["observed"] for r in A.column_profile(R.union(*map(pairs, used))).collect()} if used else {}
-    found, sizes = [], []
-    for f, rows in used.items():
-        by_patient: dict[int, list] = {}
-        for r in rows:
-            if types.get(f"{f}:{r['column']}", r["declared"]) is not None:
-                by_patient.setdefault(r["patient_column"], []).append(r)
-        good = wides[f].where("not malformed").withColumn("file", F.lit(f))
-        for p, own in by_patient.items():
-            entries = [{"field": names[f][r["column"]], "path": r["path"], "type": types.get(f"{f}:{r['column']}", r["declared"])} for r in own]
-            found.append(R.to_concepts(good, entries, names[f][p], ["file"]))
-        first = F.col(f"`{names[f][min(r['patient_column'] for r in rows)]}`")
-        sizes.append(wides[f].agg(F.count("*").alias("rows"), F.count_if("malformed").alias("malformed"), F.count_if(~is_patient_cell(first)).alias("not_patients")).withColumn("file", F.lit(f)))
-    missing = sorted(set(wanted) - set(wides))
-    if not found:
-        raise ValueError("no mapping row names a column of a file that is there")
-    rows = J.to_consents(J.to_people(R.union(*found), participants), consents if study is None else J.of_study(consents, study))
-    kind = F.when(F.col("person_id").isNull(), "unmapped").when(F.col("consent_code").isNull(), "no_consent").otherwise("written")
-    rows = rows.withColumn("class", kind)
-    of = F.col("class")
-    per = rows.groupBy("file").agg(*[F.count_if(of == k).alias(k) for k in ("written", "unmapped", "no_consent")], F.count_distinct(F.when(of == "unmapped", F.col("patient"))).alias("unmapped_ids"))
-    counts = R.union(*sizes).join(per, "file", "left").select("file", "rows", "malformed", "not_patients", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("written", "unmapped", "no_consent", "unmapped_ids")])
-    return rows.where("class = 'written'").select("file", "study_id", "consent_code", "person_id", "path", "numeric", "text"), counts, missing
-
-
 def file_counts(wide: DataFrame, mapping: list[dict], patient: str, file: str, participants: DataFrame) -> DataFrame:
     """Per data file: rows, rows whose first cell names no patient, cells emitted, cells dropped, and patients not known."""
     fields = [m["field"] for m in mapping if m["field"] in wide.columns]

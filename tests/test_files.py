@@ -3,6 +3,7 @@ import json
 import pytest
 
 from cohortflow.operators import reshape as R
+from cohortflow.plans import concepts as G
 from cohortflow.plans import jobs as K
 from cohortflow.sources import files as FI
 from cohortflow.sources import sinks
@@ -157,17 +158,45 @@ def test_inventory_merge_and_manifest(spark, tmp_path):
 
 def test_concepts_of_a_study_of_files(spark, tmp_path):
     wide = {"a.csv": 'id,weight,note\nD1,70,"say ""x"""\nD2,NA,tall\n#c,1,x\nD9,80,far\nD1,90\n', "b.csv": "age,id\n12,D1\nold,D2\n"}
-    wides = {f: read_wide(spark, put(tmp_path, f"in/{f}", text)) for f, text in wide.items()}
+    for f, text in wide.items():
+        put(tmp_path, f"in/{f}", text)
     lines = "a.csv:1,s,weight,TEXT,\na.csv:2,s,note,NUMERIC,\nb.csv:0,s,age,NUMERIC,patientcol=1\na.csv:7,s,beyond,TEXT,\nc.csv:1,s,gone,TEXT,\n"
     mapping = SF.read_concept_mapping(spark, put(tmp_path, "map.csv", lines))[0]
     people = spark.createDataFrame([(1, "D1", "DBGap"), (2, "D2", "DBGap")], "person_id long, source_id string, source string")
     consents = spark.createDataFrame([(1, "phs000001", "1", "")], "person_id long, study_id string, consent_code string, consent_abbreviation string")
-    rows, counts, missing = K.concepts_of_files(wides, mapping, people, consents)
-    assert sorted(tuple(r)[3:] for r in rows.collect()) == [(1, "µsµageµ", "", "12"), (1, "µsµnoteµ", "", "say 'x'"), (1, "µsµweightµ", "70", "")]
+    rows, counts, missing = G.concepts_of_files(spark, str(tmp_path / "in"), mapping, people, consents)
+    assert sorted((r.person_id, r.path, r.numeric, r.text) for r in rows.where("class = 'written'").collect()) == [(1, "µsµageµ", "", "12"), (1, "µsµnoteµ", "", "say 'x'"), (1, "µsµweightµ", "70", "")]
     assert sorted(tuple(r) for r in counts.collect()) == [("a.csv", 5, 1, 1, 2, 2, 1, 1), ("b.csv", 2, 0, 0, 1, 0, 1, 0)]
-    assert missing == ["c.csv"]
+    assert [r.file for r in missing.collect()] == ["c.csv"]
     with pytest.raises(ValueError):
-        K.concepts_of_files({}, mapping, people, consents)
+        G.concepts_of_files(spark, str(tmp_path / "none"), mapping, people, consents)
+
+
+def test_generated_concepts_replace_what_stood(spark, tmp_path):
+    put(tmp_path, "in/a.csv", "id,weight\nD1,70\nD2,x\n")
+    people = spark.createDataFrame([(1, "D1", "DBGap"), (2, "D2", "DBGap")], "person_id long, source_id string, source string")
+    consents = spark.createDataFrame([(1, "phs000001", "1", ""), (2, "phs000001", "2", "")], "person_id long, study_id string, consent_code string, consent_abbreviation string")
+    out = tmp_path / "out"
+
+    def run(mapping, data="in"):
+        return G.generate_concepts(spark, "phs000001", str(tmp_path / data), put(tmp_path, "map.csv", mapping), people, consents, str(out))
+
+    def names():
+        return sorted(p.name for p in out.glob("*/allConcepts/*/*.csv"))
+
+    put(tmp_path, "out/phs000001/allConcepts/c9/phs000001_allConcepts_c9.csv", "old")
+    put(tmp_path, "out/phs000001/allConcepts/c9/kept.txt", "other")
+    told = run("a.csv:1,s,weight,TEXT,\ngone.csv:1,s,gone,TEXT,\nbad,,,,\n")
+    assert names() == ["phs000001_allConcepts_c1.csv", "phs000001_allConcepts_c2.csv", "phs000001_allConcepts_c9.csv"]
+    assert sorted((r.severity, r.code) for r in told["checks"].collect()) == [("WARNING", "FILES_MISSING"), ("WARNING", "STALE_OUTPUTS")] and told["dropped"].count() == 1
+    told = run("a.csv:1,s,weight,TEXT,\n")
+    assert names() == ["phs000001_allConcepts_c1.csv", "phs000001_allConcepts_c2.csv"] and (out / "phs000001/allConcepts/c9/kept.txt").exists()
+    assert [r.removed for r in told["stale"].collect()] == [True]
+    put(tmp_path, "in2/a.csv", "id,weight\nD9,70\n")
+    told = run("a.csv:1,s,weight,TEXT,\n", "in2")  # nobody is known: an error, and all stays
+    assert ("ERROR", "NO_ROWS") in [(r.severity, r.code) for r in told["checks"].collect()] and len(names()) == 2
+    with pytest.raises(ValueError, match="no consents"):
+        G.generate_concepts(spark, "phs000009", str(tmp_path / "in"), str(tmp_path / "map.csv"), people, consents, str(out))
 
 
 def test_several_files_of_a_group_get_numbers(spark, tmp_path):
