@@ -133,3 +133,18 @@ def load_multi(participants: DataFrame, consents: DataFrame, samples: DataFrame,
         counted(classed.where("subject_class = 'unknown'"), "SAMPLES_OF_UNKNOWN_SUBJECTS", F.col("subject_id"), "ord"),
     )
     return people, purge_and_reload(consents, study, new), insert_samples(samples, rows), issues
+
+
+def changes(before: dict[str, DataFrame], people: DataFrame, consents: DataFrame, samples: DataFrame, studies: DataFrame) -> dict[str, tuple[str, DataFrame]]:
+    """What a load changes in the three tables, for ``store.write_changes``: new people and samples are added, the loaded ``studies``' consents replaced.
+
+    ``people, consents, samples``: the tables after the load.
+    """
+    own = consents.join(studies.select("study_id").distinct(), "study_id", "left_semi").select(*consents.columns)
+    if not before:
+        return {"participants": ("whole", people), "consents": ("studies", consents), "samples": ("whole", samples)}
+    key = ["person_id", "source_sample_id", "sample_source"]
+    return {
+        "participants": ("append", people.join(before["participants"].select("person_id"), "person_id", "left_anti").select(*people.columns)),
+        "consents": ("studies", own), "samples": ("append", samples.join(before["samples"].select(*key), key, "left_anti").select(*samples.columns)),
+    }
