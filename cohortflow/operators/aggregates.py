@@ -150,10 +150,10 @@ def repeated(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("times")).where("times > 1")
 
 
-def ids_by_outcome(results: DataFrame) -> DataFrame:
-    """``outcome, n, study_ids``: the studies of each outcome in input order."""
+def ids_by_outcome(results: DataFrame, by: tuple[str, ...] = ("outcome",)) -> DataFrame:
+    """``by, n, study_ids``: the studies of each outcome, or of each source and class, in input order."""
     ids = F.transform(F.array_sort(F.collect_list(F.struct("ord", "study_id"))), lambda x: x["study_id"])
-    return results.groupBy("outcome").agg(F.count("*").alias("n"), F.array_join(ids, ",").alias("study_ids"))
+    return results.groupBy(*by).agg(F.count("*").alias("n"), F.array_join(ids, ",").alias("study_ids"))
 
 
 def unresolved(resolved: DataFrame) -> DataFrame:
@@ -161,6 +161,17 @@ def unresolved(resolved: DataFrame) -> DataFrame:
     return first_examples(resolved.where("resolution <> 'mapped'"), ["study_id", "resolution"], "old_id", "old_id", 10)
 
 
+def unresolved_ids(resolved: DataFrame) -> DataFrame:
+    """``study_id, resolution, old_id`` of every mapping row that did not resolve, for a table of any size; ``unresolved`` has ten of each."""
+    return resolved.where("resolution <> 'mapped'").select("study_id", "resolution", "old_id")
+
+
+def unmapped_examples(rows: DataFrame, id_mapping: DataFrame, n: int = 10) -> DataFrame:
+    """How many ids of legacy rows the mapping lacks, and the first ``n`` of them: one row, none if it has all."""
+    lost = rows.select("old_id").distinct().join(id_mapping.select("old_id"), "old_id", "left_anti").withColumn("_all", F.lit(1))
+    return first_examples(lost, ["_all"], "old_id", "old_id", n).select(F.col("count").alias("ids"), "examples")
+
+
 def table_counts(**tables: DataFrame) -> DataFrame:
     out = None
     for name, df in tables.items():
