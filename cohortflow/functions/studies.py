@@ -174,6 +174,9 @@ def issue_study(context: Column, location: Column, message: Column) -> Column:
     return F.coalesce(named, first(F.try_element_at(context, F.lit("folder"))), first(location), first(message))
 
 
+# Fixed values in the next two: issue codes, and the outcomes and classes of studies that reports carry.
+
+
 def study_outcome(success: Column, codes: Column) -> Column:
     """``success``, ``needs_review``, ``skipped`` or ``failed`` from a study's issue codes."""
     return (

@@ -77,6 +77,7 @@ def decoded_consents(codes: DataFrame, decodings: DataFrame) -> DataFrame:
     """Codes with ``consent_abbreviation`` and ``issue``: none, CONSENT_CODE_NOT_DECODED or CONSENT_LABEL_WITHOUT_ABBREVIATION."""
     from cohortflow.functions.studies import abbreviation
 
+    # The codes of the two issues.
     rows = codes.join(decodings.select("study_id", "consent_code", "label"), ["study_id", "consent_code"], "left")
     short = abbreviation(F.col("label"))
     return rows.withColumn("consent_abbreviation", F.when(F.col("label").isNull(), "").when(short == "", F.col("label")).otherwise(short)).withColumn(

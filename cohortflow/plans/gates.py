@@ -10,6 +10,9 @@ from cohortflow.operators.aggregates import SEVERITY, severity_rank
 from cohortflow.operators.reshape import union
 
 
+# The codes of issues in this file are fixed values: reports carry them.
+
+
 def verdict(issues: DataFrame, keys: list[str]) -> DataFrame:
     """FAILED for any error, SUCCESS_WITH_WARNINGS for any warning, else SUCCESS."""
     top = F.max(severity_rank(F.col("severity")))

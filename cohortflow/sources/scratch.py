@@ -19,8 +19,23 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: What this session's jobs have written here, for ``remove_tables``.
+paths: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/cohortflow/{name}-{uuid.uuid4().hex}"
+    """A path of the shared folder that nothing has been written to; ``remove_tables`` removes it."""
+    path = f"{shared_folder(spark)}/cohortflow/{name}-{uuid.uuid4().hex}"
+    paths.append(path)
+    return path
+
+
+def remove_tables(spark: SparkSession, since: int = 0) -> None:
+    """Remove what has been written to the shared folder after the first ``since`` of ``paths``: once results that read it have been saved."""
+    for path in paths[since:]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    del paths[since:]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

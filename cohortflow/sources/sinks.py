@@ -67,10 +67,11 @@ def publish_concepts(spark: SparkSession, root: str, target: str) -> int:
     return move_files(files, target)
 
 
-def write_csv_minimal(df: DataFrame, path: str, order: list[str]) -> None:
-    """One file with a header, cells quoted only where needed, rows in order. For reports."""
-    header = ",".join(df.columns)
-    lines = df.select(F.lit(1).alias("_k"), *order, F.concat_ws(",", *[csv_quote(F.col(c)) for c in df.columns]).alias("value"))
+def write_csv_minimal(df: DataFrame, path: str, order: list[str], columns: list[str] | None = None) -> None:
+    """One file with a header, cells quoted only where needed, rows in order. For reports. ``columns``: those to write, all if not given."""
+    columns = columns or df.columns
+    header = ",".join(columns)
+    lines = df.select(F.lit(1).alias("_k"), *order, F.concat_ws(",", *[csv_quote(F.col(c)) for c in columns]).alias("value"))
     head = df.sparkSession.createDataFrame([(header,)], "value string").select(F.lit(0).alias("_k"), *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order], "value")
     head.unionByName(lines).repartition(1).sortWithinPartitions("_k", *order).select("value").write.mode("overwrite").text(path)
 
@@ -138,12 +139,21 @@ def read_identity_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def write_reports(path: str, order: list[str], **tables: DataFrame) -> None:
-    """Each table as CSV and as JSON, whole."""
+    """Each table as CSV and as JSON, whole. All are written aside first, so that a failure leaves the reports that stood before."""
+    stage = f"{path}/.staged-{uuid.uuid4().hex}"
     for name, df in tables.items():
         own = [c for c in order if c in df.columns]
-        df.repartition(1).sortWithinPartitions(*own).write.mode("overwrite").json(f"{path}/{name}.json")
+        df.repartition(1).sortWithinPartitions(*own).write.json(f"{stage}/{name}.json")
         flat = df.select(*[F.concat_ws("; ", c).alias(c) if t.startswith("array") else F.col(c).cast("string").alias(c) for c, t in df.dtypes])
-        write_csv_minimal(flat, f"{path}/{name}.csv", own)
+        write_csv_minimal(flat, f"{stage}/{name}.csv", own)
+    for spark in [df.sparkSession for df in tables.values()][:1]:
+        fs_path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+        fs = fs_path(path).getFileSystem(conf)
+        for file in [f"{name}.{kind}" for name in tables for kind in ("json", "csv")]:
+            fs.delete(fs_path(f"{path}/{file}"), True)
+            if not fs.rename(fs_path(f"{stage}/{file}"), fs_path(f"{path}/{file}")):
+                raise OSError(f"{path}/{file} could not be put in place")
+        fs.delete(fs_path(stage), True)
 
 
 def publish_manifest(rows: DataFrame, problems: DataFrame, root: str, run_id: str) -> bool:
@@ -152,6 +162,6 @@ def publish_manifest(rows: DataFrame, problems: DataFrame, root: str, run_id: st
         return False
     out = rows.select("partition", "uri", "version_id", "last_updated", "md5", (F.col("partition") != "global").alias("_later"))
     for path in (f"{root}/{run_id}/manifest", f"{root}/{run_id}/copy"):
-        write_csv_minimal(out.drop("_later"), path, ["partition"])
+        write_csv_minimal(out, path, ["_later", "partition"], [c for c in out.columns if c != "_later"])
     rows.sparkSession.createDataFrame([(run_id,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/current")
     return True
