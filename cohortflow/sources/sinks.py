@@ -15,6 +15,8 @@ from pyspark.sql.window import Window
 from cohortflow.functions.cells import csv_quote, quoted_line
 from cohortflow.functions.studies import concept_file
 from cohortflow.operators.reshape import VCF_HEADER
+from cohortflow.sources.scratch import written
+from cohortflow.sources.streams import move
 
 CONCEPT = ("person_id", "path", "numeric", "text", "timestamp")
 
@@ -40,18 +42,12 @@ def written_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def move_files(files: DataFrame, target: str) -> int:
-    """Move each file of ``path`` to ``name`` below ``target``, over what is there; how many there were. Files are renamed, not read."""
-    spark, moved = files.sparkSession, 0
-    fs_path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
-    for r in files.select("path", "name").toLocalIterator():
-        to = fs_path(f"{target}/{r['name']}")
-        fs = to.getFileSystem(conf)
-        fs.mkdirs(to.getParent())
-        fs.delete(to, False)
-        if not fs.rename(fs_path(r["path"]), to):
-            raise OSError(f"{r['path']} could not be moved to {target}/{r['name']}")
-        moved += 1
-    return moved
+    """Move each file of ``path`` to ``name`` below ``target``, over what is there; how many there were. Files are renamed by tasks, not read."""
+    done = written(move(files.select("path", F.concat(F.lit(f"{target}/"), "name").alias("to"))), "moved")
+    told = done.agg(F.count("*").alias("n"), F.min("error").alias("error"), F.min_by("to", F.col("error").isNull()).alias("to")).head()
+    if told["error"] is not None:
+        raise OSError(f"{told['to']} could not be put in place: {told['error']}")
+    return told["n"]
 
 
 def publish_concepts(spark: SparkSession, root: str, target: str) -> int:

@@ -62,6 +62,15 @@ def md5_of_files(files: DataFrame, path: str = "path", chunk: int = 0) -> DataFr
     return paths.repartition("path").mapInArrow(digested(chunk), "path string, bytes long, md5 string, error string")
 
 
+def put_in_place(system, staged: str, at: str) -> None:
+    """Move a whole file over what stands at ``at``, and drop the checksum file that Hadoop's local file system keeps of the old one."""
+    folder, _, name = at.rpartition("/")
+    side = f"{folder}/.{name}.crc"
+    if system.get_file_info(side).is_file:
+        system.delete_file(side)
+    system.move(staged, at)
+
+
 def put_together(paths: list[str], target: str, size: int) -> tuple[int, str]:
     """Copy the files to ``target``, each ending with a line end: how many bytes, and their MD5. No half-written file is left under that name."""
     system, at = opened(target)
@@ -79,7 +88,7 @@ def put_together(paths: list[str], target: str, size: int) -> tuple[int, str]:
                     out.write(b"\n")
                     digest.update(b"\n")
                     n += 1
-        system.move(staged, at)
+        put_in_place(system, staged, at)
     except BaseException:
         if system.get_file_info(staged).is_file:
             system.delete_file(staged)
@@ -137,14 +146,38 @@ def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = {"path": path, "error": None}
             try:
                 system, at = opened(path)
-                if system.get_file_info(at).is_file:
-                    system.delete_file(at)
+                for file in (at, f"{at.rpartition('/')[0]}/.{at.rpartition('/')[2]}.crc"):
+                    if system.get_file_info(file).is_file:
+                        system.delete_file(file)
             except OSError as e:
                 row["error"] = f"{type(e).__name__}: {e}"
             rows.append(row)
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("path", pa.string()), ("error", pa.string())]))
 
 
+def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``path, to`` to ``to, error``: each file is moved over what is there. A file that a task moved before it was run again is in place already."""
+    for batch in batches:
+        rows = []
+        for path, to in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            row = {"to": to, "error": None}
+            try:
+                system, source = opened(path)
+                at = opened(to)[1]
+                if system.get_file_info(source).is_file or not system.get_file_info(at).is_file:
+                    system.create_dir(at.rpartition("/")[0], recursive=True)
+                    put_in_place(system, source, at)
+            except OSError as e:
+                row["error"] = f"{type(e).__name__}: {e}"
+            rows.append(row)
+        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("to", pa.string()), ("error", pa.string())]))
+
+
+def move(files: DataFrame) -> DataFrame:
+    """Move each ``path`` to ``to``: ``to, error``. Tasks move files side by side; done when the frame is computed."""
+    return files.select("path", "to").mapInArrow(moved, "to string, error string")
+
+
 def remove_files(files: DataFrame) -> DataFrame:
     """Remove each ``path``: ``path, error``. Done when the frame is computed."""
     return files.select("path").mapInArrow(removed, "path string, error string")

@@ -150,3 +150,16 @@ def test_verdicts_of_files(spark, tmp_path):
     labels, verdict = H.decoding_files(spark, [put(tmp_path, f"{n}/rawData/d.xml", t) for n, t in xml.items()], consents)
     assert rows(labels, "consent_code", "label") == [("1", "A (B)")]
     assert {r["file"].split("/")[-3]: r["problem"] for r in verdict.collect()} == {"good": None, "doctype": "DATA_DICT_UNREADABLE", "bad": "DATA_DICT_UNREADABLE", "other": "CONSENT_VARIABLE_NOT_IN_DATA_DICT"}
+
+
+def test_files_are_moved_by_tasks(spark, tmp_path):
+    a, b = put(tmp_path, "a", "1"), put(tmp_path, "b", "2")
+    to = [str(tmp_path / "out" / n) for n in "xyz"]
+    put(tmp_path, "out/x", "old")
+    put(tmp_path, "out/.x.crc", "of the old one")
+    files = spark.createDataFrame([(a, to[0]), (b, to[1]), (str(tmp_path / "gone"), to[2])], "path string, to string")
+    got = {r["to"]: r["error"] for r in ST.move(files).collect()}
+    assert got[to[0]] is None and got[to[1]] is None and got[to[2]]
+    assert [(tmp_path / "out" / n).read_text() for n in "xy"] == ["1", "2"] and not (tmp_path / "out/.x.crc").exists()
+    again = ST.move(files.where("path like '%/a'")).collect()  # a task that is run again
+    assert again[0]["error"] is None and (tmp_path / "out/x").read_text() == "1"
