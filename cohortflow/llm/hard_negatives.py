@@ -64,12 +64,18 @@ def tiles(x: np.ndarray, size: int) -> list[np.ndarray]:
 
 
 class RTree:
-    """Boxes over the rows of ``x``, packed level by level; ``rows[i]`` of a leaf, ``below[i]`` of an inner node; the root is last."""
+    """Boxes over the rows of ``x``, packed level by level; ``rows[i]`` of a leaf, ``below[i]`` of an inner node; the root is last.
+
+    ``order`` puts a leaf's rows side by side; leaves are stretches of rows in that order.
+    """
 
     def __init__(self, x: np.ndarray, leaf: int = LEAF, fan: int = FAN) -> None:
-        self.rows: list[np.ndarray | None] = list(tiles(x, leaf))
+        leaves = tiles(x, leaf)
+        self.order = np.concatenate(leaves)
+        ends = np.cumsum([len(at) for at in leaves]).tolist()
+        self.rows: list[slice | None] = [slice(e - len(at), e) for at, e in zip(leaves, ends, strict=True)]
         self.below: list[list[int] | None] = [None] * len(self.rows)
-        low, high = [x[at].min(axis=0) for at in self.rows], [x[at].max(axis=0) for at in self.rows]
+        low, high = [x[at].min(axis=0) for at in leaves], [x[at].max(axis=0) for at in leaves]
         level = list(range(len(self.rows)))
         while len(level) > 1:
             middle = np.array([(low[i] + high[i]) / 2 for i in level])
@@ -96,12 +102,13 @@ def intervals(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndar
 
 @dataclass
 class Rows:
-    """Rows of one shard, all with as many components."""
+    """Rows of one shard, all with as many components, in the order of its tree; ``about``: ``x`` as doubles."""
 
     x: np.ndarray
     row: np.ndarray
     vec_id: np.ndarray
     label: np.ndarray
+    about: np.ndarray
 
 
 def limits(window: dict) -> tuple[float, float]:
@@ -122,7 +129,7 @@ def best_first(tree: RTree, rows: Rows, q: np.ndarray, own: int, label: int, sam
         inside = [min(b, hi) for lo, hi in zip(floor, roof, strict=True) if a <= hi and b >= lo]
         return max(inside) if inside else None
 
-    root = len(tree.rows) - 1
+    root, as_doubles = len(tree.rows) - 1, q.astype(np.float64)
     queue = [(-r, root)] if (r := reach(root)) is not None else []
     while queue:
         _, node = heapq.heappop(queue)
@@ -134,16 +141,17 @@ def best_first(tree: RTree, rows: Rows, q: np.ndarray, own: int, label: int, sam
                     heapq.heappush(queue, (-r, child))
             continue
         at = tree.rows[node]
-        score = products(q[None, :], rows.x[at], wide)[0]
+        score = products(q[None, :], rows.x[at], True)[0] if wide else (rows.about[at] @ as_doubles).astype(np.int64)
         ok = (rows.label[at] == label) & (rows.row[at] != own) if same else rows.label[at] != label
         ok &= (score >= min(floor)) & (score <= max(roof))
-        if not ok.any():
+        hits = np.flatnonzero(ok)
+        if not len(hits):
             continue
-        at, score = at[ok], score[ok]
+        vec_id, score = rows.vec_id[at][hits], score[hits]
         for w in range(len(windows)):
             inside = (score >= floor[w]) & (score <= roof[w])
             if inside.any():
-                s, v = np.concatenate([best[w], score[inside]]), np.concatenate([who[w], rows.vec_id[at[inside]]])
+                s, v = np.concatenate([best[w], score[inside]]), np.concatenate([who[w], vec_id[inside]])
                 order = np.lexsort((v, -s))[:k]
                 best[w], who[w] = s[order], v[order]
                 floor[w] = max(floor[w], int(best[w, -1]))
@@ -272,8 +280,9 @@ def shard_search(k: int, same: bool):
         found: list[tuple[int, int, int, int]] = []
         if len(vectors) and len(queries):
             x = np.stack(vectors["v"].to_numpy()).astype(np.int64)
-            rows = Rows(x, *(vectors[c].to_numpy(np.int64) for c in ("row", "vec_id", "label")))
             tree = RTree(x.astype(np.float64))
+            x = x[tree.order]
+            rows = Rows(x, *(vectors[c].to_numpy(np.int64)[tree.order] for c in ("row", "vec_id", "label")), x.astype(np.float64))
             biggest = np.maximum(np.abs(tree.low), np.abs(tree.high)).max(axis=0)
             for i in range(0, len(queries), QUERY_BLOCK):
                 part = queries.iloc[i : i + QUERY_BLOCK]

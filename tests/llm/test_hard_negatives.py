@@ -86,15 +86,16 @@ def test_large_scores(spark):
 def test_tree_drops_boxes_that_cannot_matter(monkeypatch):
     draw = np.random.default_rng(2)
     x = np.concatenate([draw.normal(c, 1, (600, 3)) for c in (-40, 0, 40)]).round().astype(np.int64)
-    rows = H.Rows(x, np.arange(len(x)), np.arange(len(x)), draw.integers(0, 2, len(x)))
     tree = H.RTree(x.astype(float), leaf=32, fan=4)
-    assert sorted(np.concatenate([r for r in tree.rows if r is not None]).tolist()) == list(range(len(x)))
+    assert sorted(tree.order.tolist()) == list(range(len(x)))
+    x = x[tree.order]
+    rows = H.Rows(x, np.arange(len(x)), np.arange(len(x)), draw.integers(0, 2, len(x)), x.astype(float))
     seen = []
     monkeypatch.setattr(H, "products", lambda q, y, wide: (seen.append(len(y)), q @ y.T)[1])
     q = np.array([40, 40, 40])
     least, most = H.intervals(q[None, :].astype(float), tree.low, tree.high)
     windows = [(2000, 4500), (100, 200)]
-    best, who = H.best_first(tree, rows, q, -1, 0, False, windows, 3, least[0].tolist(), most[0].tolist(), False)
+    best, who = H.best_first(tree, rows, q, -1, 0, False, windows, 3, least[0].tolist(), most[0].tolist(), True)
     score, other = x @ q, rows.label != 0
     for w, (lo, hi) in enumerate(windows):
         want = sorted((-s, i) for i, s in enumerate(score.tolist()) if other[i] and lo <= s <= hi)[:3]
