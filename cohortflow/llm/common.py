@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortflow.sources.scratch import shared_folder
 
 #: While a table is written: shuffle files go with their job, and batches of whole texts stay small.
 WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
@@ -18,19 +18,6 @@ WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "s
 written: list[str] = []
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; where it is unset, a temporary one on local masters and else an error."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = spark.conf.get("cohortflow.scratch", "")
-        if not base:
-            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-            base = "file://" + tempfile.mkdtemp(prefix="spark-")
-            spark.conf.set("cohortflow.scratch", base)
-    return base.rstrip("/")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     """A path of the shared folder that nothing has been written to; it is removed by ``remove_tables``."""
     path = f"{shared_folder(spark)}/cohortflow/{name}-{uuid.uuid4().hex}"

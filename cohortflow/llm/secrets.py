@@ -6,7 +6,8 @@ is reported only if the parts that complete a credential are found within a scop
 of the same text, measured between the nearest edges: parts that touch, overlap or
 hold one another are near at any length. A text's parts are passed in order of
 their starts, forwards and backwards, with the nearest part so far of each family, so
-no parts are joined; a weak part is linked with the nearest of each family it needs.
+no parts are joined; a weak part is linked with the nearest of each family it needs. That is
+what an interval join of parts, as the query's SQL has it, gives, without its pairs.
 """
 
 from __future__ import annotations
