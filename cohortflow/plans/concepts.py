@@ -88,8 +88,8 @@ def generate_concepts(spark: SparkSession, study: str, data: str, mapping: str,
     """A study's concept files below ``output`` from its data files and mapping file, and what to tell of it.
 
     Each consent group's rows are written to the name that readers look for. A file that an earlier run left for a group without rows now
-    is removed, unless a file that the mapping names is missing, which may be why; then all such files stay. No row at all is an error, and
-    nothing is written or removed. Returns ``counts`` (for each file), ``groups`` (``consent_code, rows, people``), ``missing``, ``dropped`` (mapping rows),
+    is removed, unless a file that the mapping names is missing, which may be why; then all such files stay. No row at all, or a row that
+    ``row_violation`` does not allow, is an error, and nothing is written or removed. Returns ``counts`` (for each file), ``groups`` (``consent_code, rows, people``), ``missing``, ``dropped`` (mapping rows),
     ``stale`` (``path, removed``) and ``checks`` (``severity, code``), which the published set passed.
     """
     own = J.of_study(consents, study)
@@ -106,13 +106,16 @@ def generate_concepts(spark: SparkSession, study: str, data: str, mapping: str,
     there = FI.listing(spark, f"{output}/{study}/allConcepts/c*/{study}_allConcepts_c*.csv").select("path", F.regexp_extract("path", "/c([^/]+)/[^/]+$", 1).alias("consent_code"))
     old = written(there.join(groups.select("consent_code"), "consent_code", "left_anti").select("path"), "stale")
     totals = counts.selectExpr("stack(4, 'written', written, 'unmapped', unmapped, 'no_consent', no_consent, 'malformed', malformed) as (class, rows)").groupBy("class").agg(F.sum("rows").alias("rows"))
-    checks = written(V.concept_checks(totals, missing, old), "concept-checks")
+    bad = kept.where(S.row_violation(F.col("person_id").cast("string"), F.col("path"), F.col("numeric"), F.col("text")).isNotNull()).limit(1)
+    checks = written(V.concept_checks(totals, missing, old).unionByName(bad.select(F.lit("ERROR").alias("severity"), F.lit("BAD_CONCEPT_ROWS").alias("code"))), "concept-checks")
     told = {"counts": counts, "groups": groups, "missing": missing, "dropped": dropped, "checks": checks}
     if not checks.where("severity = 'ERROR'").isEmpty():
         return told | {"stale": old.select("path", F.lit(False).alias("removed"))}
     stage = new_path(spark, "concept-files")
     sinks.write_concepts(kept.withColumns({"person_id": F.col("person_id").cast("string"), "timestamp": F.lit("0")}), stage, files_per_group)
-    sinks.publish_concepts(spark, stage, output)
+    files = sinks.publish_concepts(spark, stage, output)
+    if not groups.count() <= files <= groups.count() * files_per_group:
+        raise OSError(f"{study}: {files} files for {groups.count()} consent groups")
     keep = not missing.isEmpty()
     if keep:
         return told | {"stale": old.select("path", F.lit(False).alias("removed"))}

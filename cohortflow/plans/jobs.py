@@ -88,12 +88,13 @@ def genomic_indexes(rows: DataFrame) -> DataFrame:
 
 
 def identity_map(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct ``identity, study_id, consent_code``, and issues per study: ids in several consents, blank cells, repeats."""
-    each = R.identity_rows(raw.select("study_id", "consent_code", "raw"))
+    """Distinct ``identity, study_id, consent_code``, and issues per study: ids in several consents, blank cells, repeats within a ``file`` (or, without that column, a consent group)."""
+    file = [c for c in ("file",) if c in raw.columns]
+    each = R.identity_rows(raw.select("study_id", "consent_code", *file, "raw"))
     rows = each.select("identity", "study_id", "consent_code").distinct()
     crossed = A.cross_consent(rows).groupBy("study_id").agg(F.count("*").alias("count")).select("study_id", F.lit("IDENTITY_IN_SEVERAL_CONSENTS").alias("code"), "count")
     blank = raw.groupBy("study_id").agg(F.count_if(F.size(S.identities(F.col("raw"))) == 0).alias("count")).where("count > 0").select("study_id", F.lit("BLANK_IDENTITY").alias("code"), "count")
-    repeats = A.duplicates_in_group(each, ["study_id", "consent_code"], "identity").groupBy("study_id").agg(F.sum("duplicates").alias("count")).where("count > 0").select("study_id", F.lit("DUPLICATE_IDENTITY").alias("code"), "count")
+    repeats = A.duplicates_in_group(each, ["study_id", "consent_code", *file], "identity").groupBy("study_id").agg(F.sum("duplicates").alias("count")).where("count > 0").select("study_id", F.lit("DUPLICATE_IDENTITY").alias("code"), "count")
     return rows, R.union(crossed, blank, repeats)
 
 

@@ -209,3 +209,10 @@ def test_a_study_listed_twice(spark):
     tubes = spark.createDataFrame([(1, "T", "DBGap"), (1, "T", "submitted")], "person_id long, source_sample_id string, sample_source string")
     n = R.global_concepts(studies, people, consents, tubes).groupBy("study_id").count()
     assert rows(n, "study_id", "count") == [("a", 12), ("b", 3)]
+
+
+def test_repeats_count_within_a_file(spark):
+    raw = spark.createDataFrame([("phs000001", "1", "a", "P1"), ("phs000001", "1", "b", "P1"), ("phs000001", "1", "b", "P1"), ("phs000001", "1", "b", " ")], "study_id string, consent_code string, file string, raw string")
+    rows_of, issues = K.identity_map(raw)
+    assert rows(rows_of, "identity") == [("P1",)] and rows(issues, "code", "count") == [("BLANK_IDENTITY", 1), ("DUPLICATE_IDENTITY", 1)]
+    assert rows(K.identity_map(raw.drop("file"))[1], "code", "count") == [("BLANK_IDENTITY", 1), ("DUPLICATE_IDENTITY", 2)]
