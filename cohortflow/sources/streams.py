@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Bytes held at once.
 CHUNK = 4 << 20
+#: Tasks that files are dealt to at most.
+TASKS = 20_000
 
 
 def opened(path: str):
@@ -33,6 +35,12 @@ def chunks(path: str, size: int = 0) -> Iterator[bytes]:
             yield part
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of a key together, keys spread over tasks. The number of tasks is stated, else Spark would put rows as short as paths into one, whatever their files hold."""
+    n = rows.select(key).distinct().count()
+    return rows.repartition(max(1, min(4 * n, TASKS)), key)
+
+
 def digested(size: int):
     """``path`` to ``path, bytes, md5, error``."""
 
@@ -59,7 +67,7 @@ _DIGESTS = pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("md5", pa.s
 def md5_of_files(files: DataFrame, path: str = "path", chunk: int = 0) -> DataFrame:
     """``path, bytes, md5, error`` of each file: read as a stream, so of any size. A file that can't be read has only its error."""
     paths = files.select(F.col(path).cast("string").alias("path")).distinct()
-    return paths.repartition("path").mapInArrow(digested(chunk), "path string, bytes long, md5 string, error string")
+    return dealt(paths, "path").mapInArrow(digested(chunk), "path string, bytes long, md5 string, error string")
 
 
 def put_in_place(system, staged: str, at: str) -> None:
@@ -134,8 +142,8 @@ def merge_bytes(files: DataFrame, target: str, path: str, order: str, chunk: int
     computed, so compute it once. A task that is run again writes the same file anew and moves it over the old one.
     """
     rows = files.select(F.col(target).alias("target"), F.col(path).alias("path"), F.col(order).alias("_o"))
-    dealt = rows.repartition("target").sortWithinPartitions("target", "_o").select("target", "path")
-    return dealt.mapInArrow(merging(chunk), "target string, files long, bytes long, md5 string, error string")
+    rows = dealt(rows, "target").sortWithinPartitions("target", "_o").select("target", "path")
+    return rows.mapInArrow(merging(chunk), "target string, files long, bytes long, md5 string, error string")
 
 
 def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +212,7 @@ def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sha256_of_lines(rows: DataFrame, keys: list[str], line: str, order: str) -> DataFrame:
     """``keys, fingerprint``: the SHA-256 of each key's lines in order. Rows are sorted by Spark, which spills; no key is gathered."""
     key = F.to_json(F.struct(*keys))
-    dealt = rows.select(key.alias("_key"), F.col(line).alias("_line"), F.col(order).alias("_o")).repartition("_key").sortWithinPartitions("_key", "_o", "_line").select("_key", "_line")
-    found = dealt.mapInArrow(hashed, "key string, fingerprint string")
+    lines = rows.select(key.alias("_key"), F.col(line).alias("_line"), F.col(order).alias("_o")).repartition("_key").sortWithinPartitions("_key", "_o", "_line").select("_key", "_line")
+    found = lines.mapInArrow(hashed, "key string, fingerprint string")
     kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
     return found.select(F.from_json("key", kinds).alias("k"), "fingerprint").select(*[F.col(f"k.{k}").alias(k) for k in keys], "fingerprint")

@@ -163,3 +163,9 @@ def test_files_are_moved_by_tasks(spark, tmp_path):
     assert [(tmp_path / "out" / n).read_text() for n in "xy"] == ["1", "2"] and not (tmp_path / "out/.x.crc").exists()
     again = ST.move(files.where("path like '%/a'")).collect()  # a task that is run again
     assert again[0]["error"] is None and (tmp_path / "out/x").read_text() == "1"
+
+
+def test_files_are_dealt_to_several_tasks(spark):
+    paths = spark.createDataFrame([(f"/f{i}",) for i in range(12)], "path string")
+    assert ST.dealt(paths, "path").rdd.getNumPartitions() == 48
+    assert ST.dealt(paths.limit(0), "path").rdd.getNumPartitions() == 1
