@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import documents
-from cohortflow.llm.sampling import bounded_by, held_out
+from cohortflow.llm.sampling import bounded_by, held_out, once
 from cohortflow.llm.shingles import mix, spans_hash, text_slices
 
 BUCKETS = 1 << 16
@@ -140,8 +140,10 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], langs: list[str], seed: int
 
 
 def to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, text, lang`` to the text's distinct buckets and how often each is met: bounded by the buckets, however long the text."""
+    """``doc_id, text, lang`` to the text's distinct buckets and how often each is met: bounded by the buckets, however long the text. A task sends an id once."""
+    sent: set[int] = set()
     for batch in batches:
+        batch = batch.filter(pa.array(once(batch.column(0).to_pylist(), sent)))
         for first, data, offsets in text_slices(batch.column(1)):
             at, owner = subwords(data, offsets)
             keys, counts = np.unique(owner * BUCKETS + at, return_counts=True)
@@ -154,6 +156,7 @@ def to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = sorted((r["doc_id"], r["lang"], r["at"], r["met"]) for b in batches for r in b.to_pylist())
+    rows = [r for i, r in enumerate(rows) if not i or r[0] != rows[i - 1][0]]  # several tasks may have sent an id
     if rows:
         each = [(np.frombuffer(at, dtype=np.int32), np.frombuffer(met, dtype=np.int32).astype(np.float64)) for _, _, at, met in rows]
         model = train([(at, met / max(1.0, met.sum())) for at, met in each], [x for _, x, _, _ in rows])
@@ -169,8 +172,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     usable = own.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     sample = bounded_by(usable, "lang", rows)
-    each = sample.mapInArrow(to_rows, "doc_id long, lang string, at binary, met binary").groupBy("doc_id").agg(F.min(F.struct("lang", "at", "met")).alias("s")).select("doc_id", "s.*")
-    found = each.repartition(1).mapInArrow(train_task, "model binary").collect()
+    found = sample.mapInArrow(to_rows, "doc_id long, lang string, at binary, met binary").repartition(1).mapInArrow(train_task, "model binary").collect()
     return pickle.loads(bytes(found[0]["model"])) if found else None
 
 

@@ -21,6 +21,15 @@ def bounded(ids: DataFrame, rows: int, id_col: str = "doc_id", seed: int = 17) -
     return ids.where(F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(SPACE)) < int(SPACE * rows / total))
 
 
+def once(ids: list[int], sent: set[int]) -> list[bool]:
+    """Which of ``ids`` a task has not sent yet. ``sent`` holds those of a bounded sample, and is added to."""
+    new = []
+    for i in ids:
+        new.append(i not in sent)
+        sent.add(i)
+    return new
+
+
 def even_share(counts: list[int], rows: int) -> int:
     """The most that each label may have so that all together have ``rows`` at most, when smaller labels leave theirs to the others; one at least."""
     left, labels = rows, len(counts)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.llm.common import cut, documents
 from cohortflow.llm.language_id import letters, word_spans
-from cohortflow.llm.sampling import bounded, held_out
+from cohortflow.llm.sampling import bounded, held_out, once
 from cohortflow.llm.shingles import mix, release, spans_hash, text_slices
 
 BITS = 20
@@ -103,8 +103,10 @@ def train(at_all: np.ndarray, bounds: np.ndarray, y: np.ndarray, seed: int = 5)
 
 
 def to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, text, toxic`` to the text's distinct buckets."""
+    """``doc_id, text, toxic`` to the text's distinct buckets. A task sends an id once, however often it repeats."""
+    sent: set[int] = set()
     for batch in batches:
+        batch = batch.filter(pa.array(once(batch.column(0).to_pylist(), sent)))
         for first, data, offsets in text_slices(batch.column(1)):
             at, owner = (np.concatenate(x) for x in zip(*features(data, offsets), strict=True))
             keys = np.unique(owner << BITS | at)
@@ -124,8 +126,9 @@ def train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts += [np.frombuffer(a.as_buffer(), dtype=np.int32) for a in b.column("at")]
     if not ids:
         return
-    # One array for all rows, in order of their ids, whatever order they came in.
+    # One array for all rows, in order of their ids, whatever order they came in; an id that several tasks sent counts once.
     order = sorted(range(len(ids)), key=ids.__getitem__)
+    order = [i for n, i in enumerate(order) if not n or ids[i] != ids[order[n - 1]]]
     at = np.concatenate([parts[i] for i in order])
     del parts, b
     release()
@@ -151,8 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model | N
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("double").alias("toxic"))
     sample = cut(bounded(cut(known, "toxic-labels"), rows), "toxic-sample")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
-    at = texts.mapInArrow(to_rows, "doc_id long, toxic double, at binary").groupBy("doc_id", "toxic").agg(F.min("at").alias("at"))
-    at = at.select("doc_id", "toxic", "at")
+    at = texts.mapInArrow(to_rows, "doc_id long, toxic double, at binary")
     found = at.repartition(1).mapInArrow(train_task, "model binary").collect()
     return pickle.loads(bytes(found[0]["model"])) if found else None
 

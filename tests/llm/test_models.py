@@ -177,19 +177,29 @@ def test_more_languages_than_rows(spark):
 @pytest.mark.parametrize("module", [language_id, toxicity])
 def test_repeated_ids_count_once(spark, module):
     """One id with very many rows joins the sample once."""
-    docs = spark.createDataFrame([(1, f"text {i}", "en") for i in range(50)] + [(3, "ein Wort", "de")], "doc_id long, text string, lang string")
-    seen, train = [], module.train_task
+    docs = spark.createDataFrame([(1, f"text {i}", "en") for i in range(50)] + [(3, "ein Wort", "de")], "doc_id long, text string, lang string").coalesce(1)
+    train = module.train_task
 
     def counted(batches):
         rows = [b for b in batches]
         yield from train(iter(rows)) if sum(b.num_rows for b in rows) == 2 else []
 
-    module.train_task, seen = counted, seen
+    module.train_task = counted
     try:
         labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int")
         assert (module.fit(docs) if module is language_id else module.fit(docs, labels)) is not None
     finally:
         module.train_task = train
+    assert (module.fit(docs.repartition(5)) if module is language_id else module.fit(docs.repartition(5), labels)) is not None
+
+
+def test_an_id_that_several_tasks_sent_counts_once(monkeypatch):
+    import pyarrow as pa
+
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda at, bounds, y: seen.append((len(bounds) - 1, len(y))) or toxicity.Model(at[:0], at[:0], 0.0))
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "toxic": 1.0, "at": np.array([1, 2], dtype=np.int32).tobytes()} for i in (1, 1, 2)])
+    assert len(list(toxicity.train_task(iter([batch, batch])))) == 1 and seen == [(2, 2)]
 
 
 def test_toxicity_learns_from_16000_rows(spark):
