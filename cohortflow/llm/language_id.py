@@ -143,7 +143,8 @@ def to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, text, lang`` to the text's distinct buckets and how often each is met: bounded by the buckets, however long the text. A task sends an id once."""
     sent: set[int] = set()
     for batch in batches:
-        batch = batch.filter(pa.array(once(batch.column(0).to_pylist(), sent)))
+        new = once(batch.column(0).to_pylist(), sent)
+        batch = batch if all(new) else batch.filter(pa.array(new))
         for first, data, offsets in text_slices(batch.column(1)):
             at, owner = subwords(data, offsets)
             keys, counts = np.unique(owner * BUCKETS + at, return_counts=True)

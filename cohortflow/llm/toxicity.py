@@ -106,7 +106,8 @@ def to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, text, toxic`` to the text's distinct buckets. A task sends an id once, however often it repeats."""
     sent: set[int] = set()
     for batch in batches:
-        batch = batch.filter(pa.array(once(batch.column(0).to_pylist(), sent)))
+        new = once(batch.column(0).to_pylist(), sent)
+        batch = batch if all(new) else batch.filter(pa.array(new))
         for first, data, offsets in text_slices(batch.column(1)):
             at, owner = (np.concatenate(x) for x in zip(*features(data, offsets), strict=True))
             keys = np.unique(owner << BITS | at)
@@ -114,6 +115,7 @@ def to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low = (keys & ((1 << BITS) - 1)).astype(np.int32)
             n = len(offsets) - 1
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), batch.column(2).slice(first, n), pa.array([low[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())], names=["doc_id", "toxic", "at"])
+    release()
 
 
 def train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,6 +172,7 @@ def predict(model: Model | None):
                 score = model.scores(data, offsets, table) if model else np.zeros(n)
                 rest = [batch.column(i).slice(first, n) for i in range(2, batch.num_columns)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array(score), *rest], names=["doc_id", "score", *batch.schema.names[2:]])
+        release()
 
     return run
 
