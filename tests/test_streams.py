@@ -36,6 +36,15 @@ def test_digests_in_chunks(spark, tmp_path):
     assert got["gone"]["md5"] is None and "FileNotFoundError" in got["gone"]["error"]
 
 
+@pytest.mark.parametrize("name", ["at=legacy%2Fdata%2Fa.csv", "a b.csv", "ä#?&[1].csv", "100%.csv"])
+def test_names_stand_for_themselves(spark, tmp_path, name):
+    at = put(tmp_path, name, "x")
+    assert ST.md5_of_files(spark.createDataFrame([(f"file:{at}",)], "path string")).head()["md5"] == hashlib.md5(b"x").hexdigest()
+    moved = spark.createDataFrame([(f"file:{at}", f"file://{tmp_path}/to/{name}")], "path string, to string")
+    assert ST.move(moved).head()["error"] is None and (tmp_path / "to" / name).read_text() == "x" and not os.path.exists(at)
+    assert ST.remove_files(spark.createDataFrame([(f"{tmp_path}/to/{name}",)], "path string")).head()["error"] is None and not (tmp_path / "to" / name).exists()
+
+
 def test_bytes_are_put_together_as_they_are(spark, tmp_path):
     a, b, c = (put(tmp_path, n, d) for n, d in (("1", b"x\r\ny"), ("2", b""), ("3", b"z\n\n")))
     target = tmp_path / "out" / "all.csv"
