@@ -172,7 +172,7 @@ def person_trees(spark: SparkSession, d: str) -> DataFrame:
     rows = T.table(spark, d, "customer").selectExpr(f"concat('n-', {T.STUDY.format('c_nationkey')}, '-v1', if(c_custkey % 4 = 3, '', concat('-c', c_custkey % 4))) as g", "concat(c_custkey, '\t', if(c_custkey % 3 = 0, concat('P', c_custkey), concat('[''P', c_custkey, ''']'))) as value", "c_custkey as ord")
     lines = rows.select("g", F.col("ord").alias("ord"), "value").unionByName(rows.select("g").distinct().selectExpr("g", "-1L as ord", "'id\t Identity ' as value"))
     lines.repartition("g").sortWithinPartitions("g", "ord").select("g", "value").write.partitionBy("g").text(stage)
-    sinks.move_files(sinks.written_files(spark, stage).selectExpr("path", "concat('set-20250601/study/consent_groups/', g, '/a/mapped-data/Person.tsv') as name"), root)
+    sinks.move_files(sinks.written_files(spark, stage, "g").selectExpr("path", "concat('set-20250601/study/consent_groups/', g, '/a/mapped-data/Person.tsv') as name"), root)
     names = spark.createDataFrame([("set-20250601",), ("set-20240601",), ("else",)], "name string")
     return SF.read_person_tree(spark, root, FI.latest_dataset(names)).select("study_id", "consent_code", "raw")
 
@@ -226,7 +226,7 @@ def report_files(spark: SparkSession, d: str) -> DataFrame:
     docs = tally.groupBy("study_id").agg(*phases).select("study_id", F.to_json(F.struct(F.concat(F.lit("job-"), "study_id").alias("jobName"), F.lit("r").alias("runId"), F.lit("SUCCESS").alias("status"), "inputValidation", "outputValidation")).alias("value"))
     docs = docs.unionByName(docs.limit(1).select(F.lit("broken").alias("study_id"), F.substring("value", 1, 40).alias("value")))
     docs.repartition("study_id").write.partitionBy("study_id").text(stage := new_path(spark, "reports"))
-    sinks.move_files(sinks.written_files(spark, stage).selectExpr("path", "concat(study_id, '.json') as name"), root := new_path(spark, "reports"))
+    sinks.move_files(sinks.written_files(spark, stage, "study_id").selectExpr("path", "concat(study_id, '.json') as name"), root := new_path(spark, "reports"))
     rows = FI.issues(FI.read_reports(spark, f"{root}/*.json"))
     return rows.select("jobName", "phase", "severity", "code", "message", issue_study(F.col("context"), F.col("location"), F.col("message")).alias("study"))
 
@@ -250,13 +250,13 @@ SELECT consent_group, md5(consent_group) AS line FROM lists UNION ALL SELECT con
 UNION ALL SELECT consent_group, md5(concat_ws(chr(9), 'data/vcfInput/' || consent_group || '.chr' || c || '.annotated_remove_modifiers.hpds.vcf.gz', c, 'TRUE', 'TRUE', s, p, '', '')) FROM lists, (SELECT unnest(list_concat(list_transform(range(1, 23), lambda i: i::VARCHAR), ['X'])) AS c)""")
 def vcf_index_files(spark: SparkSession, d: str) -> DataFrame:
     sinks.write_vcf_indexes(K.genomic_indexes(genomic_samples(spark, d)), path := new_path(spark, "vcf"))
-    return spark.read.text(path).select("consent_group", F.md5("value").alias("line"))
+    return sinks.written_lines(spark, path, "consent_group").select("consent_group", F.md5("value").alias("line"))
 
 
 @query(_GENOMIC + "SELECT consent_group, person_id || ',' || abv || ',' || source_sample_id AS value FROM groups")
 def sample_id_files(spark: SparkSession, d: str) -> DataFrame:
     sinks.write_sample_ids(genomic_samples(spark, d), path := new_path(spark, "sample-ids"))
-    return spark.read.text(path).select("consent_group", "value")
+    return sinks.written_lines(spark, path, "consent_group").select("consent_group", "value")
 
 
 @query(_IDENTITY + "SELECT identity, study_id, consent_code, row_number() OVER (ORDER BY identity, study_id, consent_code) AS place FROM map")

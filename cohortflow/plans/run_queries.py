@@ -45,7 +45,7 @@ def index_sets(spark: SparkSession, d: str) -> DataFrame:
     for samples in (T.samples(spark, d).withColumn("source_sample_id", F.translate("source_sample_id", ",", "")), T.samples(spark, d)):
         stage = new_path(spark, "index-staged")
         sinks.write_vcf_indexes(K.genomic_indexes(K.genomic_groups(T.studies(spark, d), T.consents(spark, d), samples)[0]), stage)
-        store.publish_set(spark, root, sinks.written_files(spark, stage).select(F.col("consent_group").alias("name"), "path"))
+        store.publish_set(spark, root, sinks.written_files(spark, stage, "consent_group").select(F.col("consent_group").alias("name"), "path"))
     for n in (1, 2):
         files = store.read_set(spark, root, n)
         paths = [r["path"] for r in files.select("path").collect()]
@@ -100,7 +100,7 @@ def _merge_runs(spark: SparkSession, d: str) -> tuple[str, DataFrame, DataFrame]
     def put(lines: DataFrame) -> None:
         stage = new_path(spark, "merge-staged")
         lines.repartition("study_id", "label", "name").sortWithinPartitions("study_id", "label", "name", "o").drop("o").write.partitionBy("study_id", "label", "name").text(stage)
-        sinks.move_files(sinks.written_files(spark, stage).selectExpr("path", "concat(study_id, '/allConcepts/', label, '/', name) as name"), root)
+        sinks.move_files(sinks.written_files(spark, stage, "study_id", "label", "name").selectExpr("path", "concat(study_id, '/allConcepts/', label, '/', name) as name"), root)
 
     put(rows)
     first, recorded = K.merge_run(spark, root, spark.createDataFrame([], "study_id string, label string, recorded_fingerprint string, recorded_md5 string"))

@@ -105,3 +105,13 @@ def test_readers_see_whole_sets(spark, tmp_path):
     assert rows(ST.read_set(spark, root), "name") == [("phs000001.c1.tsv",)]
     text = spark.read.text([r["path"] for r in ST.read_set(spark, root).collect()])
     assert rows(text, "value") == [("two phs000001.c1",)] and rows(seen, "name") == rows(ST.read_set(spark, root, 1), "name")
+
+
+def test_a_write_without_rows_is_an_empty_set(spark, tmp_path):
+    """All groups held back: no partition folder tells of their column."""
+    root, stage = str(tmp_path / "sets"), str(tmp_path / "stage")
+    none = spark.createDataFrame([], "consent_group string, vcf_path string, chromosome string, sample_ids string, patient_ids string, n int")
+    sinks.write_vcf_indexes(none, stage)
+    assert sinks.written_lines(spark, stage, "consent_group").select("consent_group", "value").collect() == []
+    ST.publish_set(spark, root, sinks.written_files(spark, stage, "consent_group").selectExpr("consent_group as name", "path"))
+    assert ST.read_set(spark, root, 1).collect() == []
