@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.functions import studies as S
-from cohortflow.functions.cells import is_null_word, is_number, is_patient_cell, text_value, trimmed
+from cohortflow.functions.cells import NULL_WORDS, NUMBER, is_patient_cell, text_value, trimmed
 from cohortflow.operators import joins as J
 from cohortflow.operators import reshape as R
 from cohortflow.operators.identity import EmptyInput
@@ -29,7 +29,7 @@ CLASSES = ("written", "unmapped", "no_consent")
 
 def held(value: Column) -> Column:
     """Whether a trimmed cell holds a value."""
-    return F.coalesce((value != "") & ~is_null_word(value), F.lit(False))
+    return F.coalesce((value != "") & ~F.lower(value).isin(*NULL_WORDS), F.lit(False))
 
 
 def concepts_of_rows(rows: DataFrame, heads: DataFrame, mapping: DataFrame, participants: DataFrame, consents: DataFrame, study: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -49,23 +49,26 @@ def concepts_of_rows(rows: DataFrame, heads: DataFrame, mapping: DataFrame, part
 
     per_file = used.groupBy("file").agg(F.min("patient_column").alias("first"), F.collect_set("column").alias("columns"))
     wide = F.size("cells") != F.size("header")
-    each = rows.join(per_file, "file").select("file", wide.alias("wide"), (~is_patient_cell(F.get("cells", F.col("first")))).alias("other"), "cells", F.explode(F.concat("columns", F.array(F.lit(ROW)))).alias("column"))
+    # What the mapping says of a file is a row, and small: broadcast, else a file's rows would meet in one task.
+    each = rows.join(F.broadcast(per_file), "file").select("file", wide.alias("wide"), (~is_patient_cell(F.get("cells", F.col("first")))).alias("other"), "cells", F.explode(F.concat("columns", F.array(F.lit(ROW)))).alias("column"))
     value = trimmed(F.coalesce(F.when(F.col("column") >= 0, F.get("cells", F.col("column"))), F.lit("")))
     seen = each.select("file", "column", "wide", "other", value.alias("v")).groupBy("file", "column").agg(
-        F.count("*").alias("rows"), F.count_if("wide").alias("malformed"), F.count_if("other").alias("not_patients"), F.count_if(held(F.col("v"))).alias("n_values"), F.count_if(held(F.col("v")) & ~is_number(F.col("v"))).alias("n_text"))
+        F.count("*").alias("rows"), F.count_if("wide").alias("malformed"), F.count_if("other").alias("not_patients"), F.count_if(held(F.col("v"))).alias("n_values"), F.count_if(held(F.col("v")) & ~F.col("v").rlike(NUMBER)).alias("n_text"))
     seen = written(seen, "column-profile")
 
     typed = used.join(seen.where(F.col("column") >= 0).select("file", "column", "n_values", "n_text"), ["file", "column"], "left").where("n_values is null or n_values > 0")
     kind = F.when(F.col("n_values").isNull(), F.col("declared")).when(F.col("n_text") > 0, "TEXT").otherwise("NUMERIC")
-    entries = typed.groupBy("file").agg(F.collect_list(F.struct("column", "patient_column", "path", (kind == "NUMERIC").alias("number"))).alias("entries"))
+    entries = typed.groupBy("file", "patient_column").agg(F.collect_list(F.struct("column", "path", (kind == "NUMERIC").alias("number"))).alias("entries"))
 
     def concept(e: Column) -> Column:
-        return F.struct(e["path"].alias("path"), e["number"].alias("number"), trimmed(F.coalesce(F.get("cells", e["patient_column"]), F.lit(""))).alias("patient"), trimmed(F.coalesce(F.get("cells", e["column"]), F.lit(""))).alias("v"))
-
-    made = F.filter(F.transform("entries", concept), lambda c: held(c["v"]) & is_patient_cell(c["patient"]) & (~c["number"] | is_number(c["v"])))
-    cells = rows.where(~wide).join(entries, "file").select("file", F.explode(made).alias("c"))
-    found = cells.select("file", "c.patient", "c.path", F.when(F.col("c.number"), F.col("c.v")).otherwise("").alias("numeric"), F.when(F.col("c.number"), F.lit("")).otherwise(text_value(F.col("c.v"))).alias("text"))
-    found = J.to_consents(J.to_people(found, participants), consents if study is None else J.of_study(consents, study))
+        return F.struct(e["path"].alias("path"), e["number"].alias("number"), trimmed(F.coalesce(F.get("cells", e["column"]), F.lit(""))).alias("v"))
+
+    # A row meets its patient before concepts are made rows of their own.
+    made = F.filter(F.transform("entries", concept), lambda c: held(c["v"]) & (~c["number"] | c["v"].rlike(NUMBER)))
+    cells = rows.where(~wide).join(F.broadcast(entries), "file").select("file", trimmed(F.coalesce(F.get("cells", F.col("patient_column")), F.lit(""))).alias("patient"), made.alias("made"))
+    cells = cells.where(is_patient_cell(F.col("patient")))
+    cells = J.with_consents(cells, participants, consents if study is None else J.of_study(consents, study)).withColumn("c", F.explode("made"))
+    found = cells.select("file", "patient", "c.path", F.when(F.col("c.number"), F.col("c.v")).otherwise("").alias("numeric"), F.when(F.col("c.number"), F.lit("")).otherwise(text_value(F.col("c.v"))).alias("text"), "study_id", "consent_code", "person_id")
     of = F.when(F.col("person_id").isNull(), "unmapped").when(F.col("consent_code").isNull(), "no_consent").otherwise("written")
     found = written(found.select("file", "patient", "path", "numeric", "text", "study_id", "consent_code", "person_id", of.alias("class")), "concepts")
 

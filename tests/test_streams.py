@@ -178,3 +178,19 @@ def test_files_are_dealt_to_several_tasks(spark):
     paths = spark.createDataFrame([(f"/f{i}",) for i in range(12)], "path string")
     assert ST.dealt(paths, "path").rdd.getNumPartitions() == 48
     assert ST.dealt(paths.limit(0), "path").rdd.getNumPartitions() == 1
+
+
+def test_a_files_rows_stay_spread_over_tasks(spark, tmp_path):
+    """Headers come to the rows, not a file's rows to its header's task; a line without a quote has the cells of one with."""
+    at = put(tmp_path, "a.csv", "id,v,w\n" + "".join(f"{i},,x{i}\n" for i in range(4000)) + 'q,"a ""b"", c",\n')
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(kept, ("8192", "0", "-1"), strict=True):
+            spark.conf.set(k, v)
+        got, _ = H.own_headers(spark, [at], ",", quoted=True)
+        assert got.select(F.spark_partition_id()).distinct().count() > 1
+        cells = {r["cells"][0]: r["cells"][1:] for r in got.collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(cells) == 4001 and cells["7"] == ["", "x7"] and cells["q"] == ['a "b", c', ""]
