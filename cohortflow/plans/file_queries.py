@@ -17,6 +17,7 @@ from cohortflow.sources import files as FI
 from cohortflow.sources import sinks
 from cohortflow.sources import study_files as SF
 from cohortflow.sources.scratch import new_path
+from cohortflow.sources.streams import digest_of_lines
 
 
 def put_lines(df: DataFrame, path: str, *order: str) -> str:
@@ -209,7 +210,8 @@ SELECT label, name, count(*) AS lines, count(*) AS distinct_places, md5(string_a
 def concatenated_sources(spark: SparkSession, d: str) -> DataFrame:
     """Every line of the files of all groups, with its file and a place of its own."""
     rows = R.concatenated(spark, f"{_published(spark, d)}/*/allConcepts/*/*.csv").withColumn("label", F.concat(F.lit("c"), F.regexp_extract("name", "_c(\\d+)\\.csv$", 1)))
-    return rows.groupBy("label", "name").agg(F.count("*").alias("lines"), F.count_distinct("place").alias("distinct_places"), F.md5(F.array_join(F.array_sort(F.collect_list("value")), "\n")).alias("digest"))
+    counts = rows.groupBy("label", "name").agg(F.count("*").alias("lines"), F.count_distinct("place").alias("distinct_places"))
+    return counts.join(digest_of_lines(rows, ["label", "name"], "value", "value", "md5", "\n").withColumnRenamed("fingerprint", "digest"), ["label", "name"])
 
 
 _REPORTS = ", tally AS (SELECT study_id, severity, code, count(*) AS n FROM reports GROUP BY ALL)\n"

@@ -66,6 +66,18 @@ def test_fingerprint_gathers_nothing(spark):
     assert "collect_list" not in plan and "collect_set" not in plan
 
 
+def test_digest_of_joined_lines(spark):
+    rows = spark.createDataFrame([("a", x) for x in ("z", "ä", "", "b", "b")] + [("b", "x")], "k string, v string")
+    got = {r["k"]: r["fingerprint"] for r in ST.digest_of_lines(rows, ["k"], "v", "v", "md5", "\n").collect()}
+    assert got == {"a": hashlib.md5("\nb\nb\nz\nä".encode()).hexdigest(), "b": hashlib.md5(b"x").hexdigest()}
+
+
+def test_concatenated_sources_gathers_no_group(spark, sf_dir):
+    from cohortflow.plans.file_queries import concatenated_sources
+
+    assert "collect_list" not in concatenated_sources(spark, sf_dir)._jdf.queryExecution().toString()
+
+
 def folder(study, label):
     return f"{study}/allConcepts/{label}"
 
