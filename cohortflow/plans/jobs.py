@@ -28,9 +28,11 @@ def study_concepts(wide: DataFrame, mapping: DataFrame, patient: str, participan
     used = mapping.where(F.col("field").isin(*[c for c in wide.columns]))
     profile = A.wide_profile(wide.where(is_patient_cell(F.col(patient))), [f for f in fields if f in wide.columns])
     types = [r.asDict() for r in A.profiled_mapping(used, profile).select("field", "path", "type").collect()]
-    rows = R.to_concepts(wide, types, patient, [])
     own = consents if study is None else J.of_study(consents, study)
-    rows = J.to_consents(J.to_people(rows, participants), own)
+    # Rows meet their patient while they are wide, so that one row is shuffled for all its concepts, and once.
+    kept = wide.where(is_patient_cell(F.col(patient))).withColumn("_person", trimmed(F.col(patient)))
+    known = J.with_consents(kept.select(*{patient: 0, **dict.fromkeys(t["field"] for t in types)}, "_person"), participants, own, "_person")
+    rows = R.to_concepts(known, types, patient, ["study_id", "consent_code", "person_id"])
     good = rows.where("consent_code is not null")
     counts = rows.groupBy(F.when(F.col("person_id").isNull(), "unmapped").when(F.col("consent_code").isNull(), "no_consent").otherwise("written").alias("class"))
     counts = counts.agg(F.count("*").alias("rows"), F.count_distinct("patient").alias("patients"))

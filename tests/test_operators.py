@@ -216,3 +216,22 @@ def test_repeats_count_within_a_file(spark):
     rows_of, issues = K.identity_map(raw)
     assert rows(rows_of, "identity") == [("P1",)] and rows(issues, "code", "count") == [("BLANK_IDENTITY", 1), ("DUPLICATE_IDENTITY", 1)]
     assert rows(K.identity_map(raw.drop("file"))[1], "code", "count") == [("BLANK_IDENTITY", 1), ("DUPLICATE_IDENTITY", 2)]
+
+
+def test_concepts_are_shuffled_as_wide_rows(spark):
+    """One join of wide rows with people and their consents; concepts are made above it."""
+    wide = spark.createDataFrame([(" D1 ", "1", "x"), ("D2", "2", "null"), ("D3", "3", "y"), ("#D1", "4", "z")], "patient string, a string, b string")
+    mapping = spark.createDataFrame([("a", 0, "µaµ", "NUMERIC"), ("b", 1, "µbµ", "TEXT")], "field string, column int, path string, declared string")
+    people = spark.createDataFrame([(1, "D1", "DBGap"), (2, "D2", "DBGap")], "person_id long, source_id string, source string")
+    consents = spark.createDataFrame([(1, "s1", "1", ""), (1, "s2", "2", "")], "person_id long, study_id string, consent_code string, consent_abbreviation string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rows, counts = K.study_concepts(wide, mapping, "patient", people, consents)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Generate") < plan.index("Join")
+        got = sorted(map(tuple, rows.select("study_id", "person_id", "path", "numeric", "text").collect()))
+        assert got == [("s1", 1, "µaµ", "1", ""), ("s1", 1, "µbµ", "", "x"), ("s2", 1, "µaµ", "1", ""), ("s2", 1, "µbµ", "", "x")]
+        assert {r["class"]: (r["rows"], r["patients"]) for r in counts.collect()} == {"written": (4, 1), "no_consent": (1, 1), "unmapped": (2, 1)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
