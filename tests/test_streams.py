@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.operators import aggregates as A
 from cohortflow.plans import jobs as K
+from cohortflow.plans import migration as M
 from cohortflow.sources import files as FI
 from cohortflow.sources import own_headers as H
 from cohortflow.sources import streams as ST
@@ -206,3 +207,20 @@ def test_a_files_rows_stay_spread_over_tasks(spark, tmp_path):
         for k, v in kept.items():
             spark.conf.set(k, v)
     assert len(cells) == 4001 and cells["7"] == ["", "x7"] and cells["q"] == ['a "b", c', ""]
+
+
+def test_a_migrations_raw_files_are_not_read_again_for_each_result(spark, tmp_path):
+    put(tmp_path, "s1/rawData/SSTR_s1.txt", "SUBJECT_ID\tSAMPLE_ID\tCONSENT\tconsent_abbreviation\tdbgap_subject_id\tdbgap_sample_id\nS1\tT1\t1\tGRU\tD1\t1\n")
+    put(tmp_path, "s2/rawData/s2.v1.pht000001.Subject.MULTI.txt", "dbGaP_Subject_ID\tSUBJECT_ID\tCONSENT\nD2\tS2\t1\nD2\tS2\t2\nD3\tS3\t0\n")
+    put(tmp_path, "s2/rawData/s2.pht000002.Sample.MULTI.txt", "dbGaP_Subject_ID\tdbGaP_Sample_ID\tSAMPLE_ID\nD2\t7\tT7\n")
+    for study, n in (("s1", 1), ("s2", 2)):
+        put(tmp_path, f"{study}/legacy/data/A{n}_PatientMapping.v2.csv", f"D{n},A{n},10{n}\n")
+    studies = spark.createDataFrame([(1, "s1", "A1", True, False), (2, "s2", "A2", True, False)], "ord long, study_id string, abv string, is_ready boolean, is_processed boolean")
+    tables = ("person_id long, source_id string, source string", "person_id long, study_id string, consent_code string, consent_abbreviation string", "person_id long, source_sample_id string, sample_source string")
+    prior = "study_id string, data_folder string, mapping_rows long, has_mapping_file boolean"
+    got = M.migrate_folders(spark, f"file:{tmp_path}", studies, *[spark.createDataFrame([], t) for t in (*tables, prior)], "now")
+    assert rows(got["outcomes"], "study_id", "source", "mapping_rows", "outcome") == [("s1", "SSTR", 1, "success"), ("s2", "MULTI", 1, "success")]
+    assert rows(got["consents"], "study_id", "consent_code") == [("s1", "1"), ("s2", "1")]
+    assert rows(got["issues"].where("code = 'CONSENT_CONFLICT'"), "study_id", "count", "examples") == [("s2", 1, ["D2=1/2"])]
+    for name, df in got.items():
+        assert not [f for f in df.inputFiles() if str(tmp_path) in f], name
