@@ -248,3 +248,19 @@ def test_identity_snapshots(spark, tmp_path):
 def test_versions(spark):
     v = spark.createDataFrame([("a", True, False), ("a", False, False), ("b", True, True)], "name string, is_latest boolean, is_deleted boolean")
     assert [r["name"] for r in FI.current_versions(v).collect()] == ["a"]
+
+
+def test_an_index_group_is_one_ordered_file_where_sides_shuffle_unlike_amounts(spark, tmp_path):
+    own = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(4000).selectExpr("concat('phs', id % 8, '.c1') as consent_group", "id as person_id", "concat('NWD', id) as source_sample_id", "'DBGap' as sample_source")
+        sinks.write_vcf_indexes(K.genomic_indexes(rows), str(tmp_path / "vcf"))
+    finally:
+        for k in own:
+            spark.conf.unset(k)
+    for i in range(8):
+        (file,) = (tmp_path / f"vcf/consent_group=phs{i}.c1").glob("part-*")
+        lines = file.read_text().splitlines()
+        assert len(lines) == 25 and lines[:2] == [f"phs{i}.c1", R.VCF_HEADER] and [line.split("\t")[1] for line in lines[2:]] == [*map(str, range(1, 23)), "X"]
