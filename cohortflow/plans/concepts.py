@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.functions import studies as S
-from cohortflow.functions.cells import NULL_WORDS, NUMBER, is_patient_cell, text_value, trimmed
+from cohortflow.functions.cells import NULL_WORDS, NUMBER, names_patient, text_value
 from cohortflow.operators import joins as J
 from cohortflow.operators import reshape as R
 from cohortflow.operators.identity import EmptyInput
@@ -32,28 +32,34 @@ def held(value: Column) -> Column:
     return F.coalesce((value != "") & ~F.lower(value).isin(*NULL_WORDS), F.lit(False))
 
 
-def concepts_of_rows(rows: DataFrame, heads: DataFrame, mapping: DataFrame, participants: DataFrame, consents: DataFrame, study: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def concepts_of_rows(rows: DataFrame, heads: DataFrame, mapping: DataFrame, participants: DataFrame, consents: DataFrame, study: str | None = None, only_written: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Concept rows with their ``class``, counts for each file, and the files that the mapping names and ``heads`` lacks.
 
-    ``rows, heads``: of ``own_headers``; ``mapping``: ``file, column, path, declared, patient_column``. A row that is wider or narrower
+    ``rows, heads``: of ``own_headers``, cells trimmed; ``mapping``: ``file, column, path, declared, patient_column``. A row that is wider or narrower
     than its header is malformed: it gives no concepts, but its cells count for the types, which are observed for each column of each file.
     Mapping rows of columns beyond a file's width are passed over. Rows: ``file, patient, path, numeric, text, study_id, consent_code,
-    person_id, class`` (``CLASSES``). Counts: ``file, rows, malformed, not_patients, written, unmapped, no_consent, unmapped_ids``.
+    person_id, class`` (``CLASSES``); ``only_written``: those of other classes are counted, not kept. Counts: ``file, rows, malformed, not_patients, written, unmapped, no_consent, unmapped_ids``.
     """
     spark = rows.sparkSession
-    name = F.element_at(F.split("file", "/"), -1)
-    rows, heads = rows.withColumn("file", name), heads.withColumn("file", name)
-    used = written(mapping.join(heads.select("file", F.size("header").alias("_width")), "file").where(F.greatest("column", "patient_column") < F.col("_width")).drop("_width"), "used-mapping")
+    heads = heads.select(F.col("file").alias("_at"), F.element_at(F.split("file", "/"), -1).alias("file"), F.size("header").alias("_width"))
+    rows = rows.withColumnRenamed("file", "_at")
+    used = written(mapping.join(heads, "file").where(F.greatest("column", "patient_column") < F.col("_width")).drop("_width", "_at"), "used-mapping")
     if used.isEmpty():
         raise EmptyInput("no mapping row names a column of a file that is there")
 
+    def of_file(said: DataFrame) -> DataFrame:
+        """Rows with what the mapping says of their file. That is a row, and small: broadcast, else a file's rows would meet in one task."""
+        return rows.join(F.broadcast(heads.select("_at", "file").join(said, "file")), "_at")
+
     per_file = used.groupBy("file").agg(F.min("patient_column").alias("first"), F.collect_set("column").alias("columns"))
     wide = F.size("cells") != F.size("header")
-    # What the mapping says of a file is a row, and small: broadcast, else a file's rows would meet in one task.
-    each = rows.join(F.broadcast(per_file), "file").select("file", wide.alias("wide"), (~is_patient_cell(F.get("cells", F.col("first")))).alias("other"), "cells", F.explode(F.concat("columns", F.array(F.lit(ROW)))).alias("column"))
-    value = trimmed(F.coalesce(F.when(F.col("column") >= 0, F.get("cells", F.col("column"))), F.lit("")))
-    seen = each.select("file", "column", "wide", "other", value.alias("v")).groupBy("file", "column").agg(
-        F.count("*").alias("rows"), F.count_if("wide").alias("malformed"), F.count_if("other").alias("not_patients"), F.count_if(held(F.col("v"))).alias("n_values"), F.count_if(held(F.col("v")) & ~F.col("v").rlike(NUMBER)).alias("n_text"))
+    # What holds for a row is found before there is a row for each of its columns, and a cell is looked at once.
+    own = of_file(per_file).select("file", wide.alias("wide"), (~names_patient(F.coalesce(F.get("cells", F.col("first")), F.lit("")))).alias("other"), "cells", F.concat("columns", F.array(F.lit(ROW))).alias("columns"))
+    value = F.when(F.col("column") >= 0, F.get("cells", F.col("column")))
+    each = own.select("file", "wide", "other", "cells", F.explode("columns").alias("column")).select("file", "column", "wide", "other", value.alias("v"))
+    each = each.select("file", "column", "wide", "other", F.when(held(F.col("v")), F.when(F.col("v").rlike(NUMBER), "NUMERIC").otherwise("TEXT")).alias("kind"))
+    seen = each.groupBy("file", "column").agg(
+        F.count("*").alias("rows"), F.count_if("wide").alias("malformed"), F.count_if("other").alias("not_patients"), F.count("kind").alias("n_values"), F.count_if(F.col("kind") == "TEXT").alias("n_text"))
     seen = written(seen, "column-profile")
 
     typed = used.join(seen.where(F.col("column") >= 0).select("file", "column", "n_values", "n_text"), ["file", "column"], "left").where("n_values is null or n_values > 0")
@@ -61,30 +67,33 @@ def concepts_of_rows(rows: DataFrame, heads: DataFrame, mapping: DataFrame, part
     entries = typed.groupBy("file", "patient_column").agg(F.collect_list(F.struct("column", "path", (kind == "NUMERIC").alias("number"))).alias("entries"))
 
     def concept(e: Column) -> Column:
-        return F.struct(e["path"].alias("path"), e["number"].alias("number"), trimmed(F.coalesce(F.get("cells", e["column"]), F.lit(""))).alias("v"))
-
-    # A row meets its patient before concepts are made rows of their own.
-    made = F.filter(F.transform("entries", concept), lambda c: held(c["v"]) & (~c["number"] | c["v"].rlike(NUMBER)))
-    cells = rows.where(~wide).join(F.broadcast(entries), "file").select("file", trimmed(F.coalesce(F.get("cells", F.col("patient_column")), F.lit(""))).alias("patient"), made.alias("made"))
-    cells = cells.where(is_patient_cell(F.col("patient")))
-    cells = J.with_consents(cells, participants, consents if study is None else J.of_study(consents, study)).withColumn("c", F.explode("made"))
-    found = cells.select("file", "patient", "c.path", F.when(F.col("c.number"), F.col("c.v")).otherwise("").alias("numeric"), F.when(F.col("c.number"), F.lit("")).otherwise(text_value(F.col("c.v"))).alias("text"), "study_id", "consent_code", "person_id")
+        return F.struct(e["path"].alias("path"), e["number"].alias("number"), F.coalesce(F.get("cells", e["column"]), F.lit("")).alias("v"))
+
+    # A row meets its patient before concepts are made rows of their own. People are written first, so that their size is known: few, as a study's, need no shuffle of the rows.
+    # A column is numeric only if the first pass found nothing but numbers in it, so its cells aren't tested again.
+    made = F.filter(F.transform("entries", concept), lambda c: held(c["v"]))
+    patient = F.coalesce(F.get("cells", F.col("patient_column")), F.lit(""))
+    # Rows that give no concepts stay without any: a filter would have their cells parsed once more for it.
+    cells = of_file(entries).select("file", patient.alias("patient"), F.when(~wide & names_patient(patient), made).alias("made"))
+    people = written(J.consents_of_sources(participants, consents if study is None else J.of_study(consents, study)), "people")
     of = F.when(F.col("person_id").isNull(), "unmapped").when(F.col("consent_code").isNull(), "no_consent").otherwise("written")
-    found = written(found.select("file", "patient", "path", "numeric", "text", "study_id", "consent_code", "person_id", of.alias("class")), "concepts")
+    classed = J.to_sources(cells, people).select("file", "patient", "made", F.size("made").alias("n"), "study_id", "consent_code", "person_id", of.alias("class"))
+    classed = written(classed.withColumn("made", F.when(F.col("class") == "written", F.col("made"))) if only_written else classed, "concepts")
+    found = classed.withColumn("c", F.explode("made")).select("file", "patient", "c.path", F.when(F.col("c.number"), F.col("c.v")).otherwise("").alias("numeric"), F.when(F.col("c.number"), F.lit("")).otherwise(text_value(F.col("c.v"))).alias("text"), "study_id", "consent_code", "person_id", "class")
 
-    per = found.groupBy("file").agg(*[F.count_if(F.col("class") == k).alias(k) for k in CLASSES], F.count_distinct(F.when(F.col("class") == "unmapped", F.col("patient"))).alias("unmapped_ids"))
+    per = classed.where("n > 0").groupBy("file").agg(*[F.sum(F.when(F.col("class") == k, F.col("n"))).alias(k) for k in CLASSES], F.count_distinct(F.when(F.col("class") == "unmapped", F.col("patient"))).alias("unmapped_ids"))
     sizes = heads.select("file").join(per_file.select("file"), "file").join(seen.where(F.col("column") == ROW).select("file", "rows", "malformed", "not_patients"), "file", "left")
     counts = sizes.join(per, "file", "left").select("file", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("rows", "malformed", "not_patients", *CLASSES, "unmapped_ids")])
     missing = mapping.select("file").distinct().join(heads.select("file"), "file", "left_anti")
     return found, counts, missing if not missing.isEmpty() else spark.createDataFrame([], "file string")
 
 
-def concepts_of_files(spark: SparkSession, data: str, mapping: DataFrame, participants: DataFrame, consents: DataFrame, study: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def concepts_of_files(spark: SparkSession, data: str, mapping: DataFrame, participants: DataFrame, consents: DataFrame, study: str | None = None, only_written: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``concepts_of_rows`` of the files of the folder ``data`` that the mapping names; others are not read."""
     there = FI.listing(spark, f"{data}/*").select("path", F.element_at(F.split("path", "/"), -1).alias("file"))
     paths = [r["path"] for r in there.join(mapping.select("file").distinct(), "file").select("path").collect()]
-    rows, heads = own_headers(spark, paths, ",", quoted=True)
-    return concepts_of_rows(rows, heads, mapping, participants, consents, study)
+    rows, heads = own_headers(spark, paths, ",", quoted=True, trim=True)
+    return concepts_of_rows(rows, heads, mapping, participants, consents, study, only_written)
 
 
 def generate_concepts(spark: SparkSession, study: str, data: str, mapping: str, participants: DataFrame, consents: DataFrame, output: str, files_per_group: int = 1) -> dict[str, DataFrame]:
@@ -102,9 +111,9 @@ def generate_concepts(spark: SparkSession, study: str, data: str, mapping: str,
     if people.isEmpty():
         raise EmptyInput(f"{study} has no participants")
     good, dropped = read_concept_mapping(spark, mapping)
-    rows, counts, missing = concepts_of_files(spark, data, good, people, own)
+    rows, counts, missing = concepts_of_files(spark, data, good, people, own, only_written=True)
     counts = written(counts, "concept-counts")
-    kept = rows.where("class = 'written'")
+    kept = written(rows, "own-concepts")
     groups = written(kept.groupBy("consent_code").agg(F.count("*").alias("rows"), F.count_distinct("person_id").alias("people")), "concept-groups")
     there = FI.listing(spark, f"{output}/{study}/allConcepts/c*/{study}_allConcepts_c*.csv").select("path", F.regexp_extract("path", "/c([^/]+)/[^/]+$", 1).alias("consent_code"))
     old = written(there.join(groups.select("consent_code"), "consent_code", "left_anti").select("path"), "stale")

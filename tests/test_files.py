@@ -9,6 +9,7 @@ from cohortflow.sources import files as FI
 from cohortflow.sources import sinks
 from cohortflow.sources import study_files as SF
 from cohortflow.sources.delimited import BadFile, read_commented, read_delimited, read_positional, read_run_tsv, read_wide
+from cohortflow.sources.own_headers import own_headers
 
 
 def put(tmp_path, name, text):
@@ -264,3 +265,20 @@ def test_an_index_group_is_one_ordered_file_where_sides_shuffle_unlike_amounts(s
         (file,) = (tmp_path / f"vcf/consent_group=phs{i}.c1").glob("part-*")
         lines = file.read_text().splitlines()
         assert len(lines) == 25 and lines[:2] == [f"phs{i}.c1", R.VCF_HEADER] and [line.split("\t")[1] for line in lines[2:]] == [*map(str, range(1, 23)), "X"]
+
+
+def test_headers_are_read_once_and_other_classes_are_counted(spark, tmp_path):
+    put(tmp_path, "in/a.csv", '\n id ,weight,note\n D1\t,70 ," say  ""x"" "\nD2, na ,\x01tall\nD9,80,far\nD9,,\n#c,1,x\nD1,90\n')
+    put(tmp_path, "in/b.csv", "id,weight\n")
+    mapping = SF.read_concept_mapping(spark, put(tmp_path, "map.csv", "a.csv:1,s,weight,TEXT,\na.csv:2,s,note,NUMERIC,\nb.csv:1,s,b,TEXT,\n"))[0]
+    people = spark.createDataFrame([(1, "D1", "DBGap"), (2, "D2", "DBGap")], "person_id long, source_id string, source string")
+    consents = spark.createDataFrame([(1, "phs000001", "1", "")], "person_id long, study_id string, consent_code string, consent_abbreviation string")
+    _, heads = own_headers(spark, [str(tmp_path / "in/a.csv"), str(tmp_path / "in/b.csv")], ",", quoted=True)
+    assert sorted(r.header for r in heads.collect()) == [["id", "weight"], ["id", "weight", "note"]]
+    assert not [p for p in heads.inputFiles() if p.endswith(".csv")]  # each use of them would read all files again
+    told = [G.concepts_of_files(spark, str(tmp_path / "in"), mapping, people, consents, only_written=x) for x in (False, True)]
+    for _, counts, _ in told:
+        assert sorted(tuple(r) for r in counts.collect()) == [("a.csv", 6, 1, 1, 2, 2, 1, 1), ("b.csv", 0, 0, 0, 0, 0, 0, 0)]
+    every, own = ([(r["class"], r.patient, r.path, r.numeric, r.text) for r in rows.collect()] for rows, _, _ in told)
+    assert sorted(own) == [("written", "D1", "µsµnoteµ", "", "say  'x'"), ("written", "D1", "µsµweightµ", "70", "")]
+    assert sorted(every) == sorted([*own, ("no_consent", "D2", "µsµnoteµ", "", "tall"), ("unmapped", "D9", "µsµnoteµ", "", "far"), ("unmapped", "D9", "µsµweightµ", "80", "")])
